@@ -1,0 +1 @@
+"""geoweave.streaming."""
