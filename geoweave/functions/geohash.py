@@ -160,34 +160,45 @@ def geohash(lat, lng, precision: int = 4) -> Column:
 
 # ---------------------------------------------------------------- decode ---
 
+_VALID_RE = "^[0-9b-hjkmnp-z]{1,12}$"
+
+
+def _chunk_values(lng_w: int) -> tuple[list[int], list[int]]:
+    """Per base-32 value: (longitude chunk, latitude chunk) of a char of this layout."""
+    inv = {c: i for i, c in enumerate(_TABLE[lng_w])}
+    lat_w = 5 - lng_w
+    lng_vals, lat_vals = [], []
+    for ch in BASE32:
+        pos = inv[ch]
+        lng_vals.append(pos >> lat_w)
+        lat_vals.append(pos & ((1 << lat_w) - 1))
+    return lng_vals, lat_vals
+
+
+_CHUNKS = {3: _chunk_values(3), 2: _chunk_values(2)}
+
+
 def _parse(gh) -> dict:
     """Band indexes of a geohash string of any length 1..12 (per-row length).
 
-    Returns columns: ok, n (length), nl / nt (bits per axis), lat_idx, lng_idx.
+    Each character is located once in the alphabet; its position indexes two
+    32-entry arrays giving its longitude and latitude bits.  Characters past
+    the end read as '0', which contributes no bits.  Returns columns: ok,
+    n (length), nl / nt (bits per axis), lat_idx, lng_idx.
     """
-    gh = F.lower(_c(gh))
-    n = F.length(gh)
+    g = F.lower(_c(gh))
+    n = F.length(g)
+    ok = F.coalesce(g.rlike(_VALID_RE), F.lit(False))
     lat12 = F.lit(0).cast("long")
     lng12 = F.lit(0).cast("long")
-    bad = F.lit(False)
     for k in range(MAX_PRECISION):
         lng_before, lng_w, lat_before, lat_w = _char_layout(k)
-        present = n > F.lit(k)
-        v = F.instr(F.lit(BASE32), F.substr(gh, F.lit(k + 1), F.lit(1))) - F.lit(1)
-        bad = bad | (present & (v < F.lit(0)))
-        v = F.when(present & (v >= F.lit(0)), v.cast("long")).otherwise(F.lit(0).cast("long"))
-        # char bits, most significant first: alternate lng / lat starting with the wider one
-        lng_bits = [4, 2, 0] if lng_w == 3 else [3, 1]
-        lat_bits = [3, 1] if lng_w == 3 else [4, 2, 0]
-        lng_chunk = F.lit(0).cast("long")
-        for j, b in enumerate(lng_bits):
-            lng_chunk = lng_chunk.bitwiseOR(F.shiftleft(F.shiftright(v, b).bitwiseAND(F.lit(1)), len(lng_bits) - 1 - j))
-        lat_chunk = F.lit(0).cast("long")
-        for j, b in enumerate(lat_bits):
-            lat_chunk = lat_chunk.bitwiseOR(F.shiftleft(F.shiftright(v, b).bitwiseAND(F.lit(1)), len(lat_bits) - 1 - j))
+        lng_vals, lat_vals = _CHUNKS[lng_w]
+        pos = F.greatest(F.instr(F.lit(BASE32), F.substr(g, F.lit(k + 1), F.lit(1))), F.lit(1))
+        lng_chunk = F.element_at(F.array(*[F.lit(x) for x in lng_vals]), pos).cast("long")
+        lat_chunk = F.element_at(F.array(*[F.lit(x) for x in lat_vals]), pos).cast("long")
         lng12 = lng12.bitwiseOR(F.shiftleft(lng_chunk, _FULL_BITS - lng_before - lng_w))
         lat12 = lat12.bitwiseOR(F.shiftleft(lat_chunk, _FULL_BITS - lat_before - lat_w))
-    ok = gh.isNotNull() & (n >= F.lit(1)) & (n <= F.lit(MAX_PRECISION)) & ~bad
     bits = F.lit(5) * n
     nl = F.floor((bits + F.lit(1)) / F.lit(2)).cast("int")
     nt = F.floor(bits / F.lit(2)).cast("int")
@@ -237,6 +248,38 @@ def neighbours(gh) -> Column:
     return F.map_from_arrays(F.array_compact(F.array(*keys)), F.array_compact(F.array(*values)))
 
 
+def explode_neighbours(df, gh_col: str = "geohash", direction: str = "direction",
+                       neighbour: str = "neighbour"):
+    """Long form of :func:`neighbours`: one row per (input row, direction).
+
+    The string is parsed once into columns, the eight directions are fanned
+    out with ``inline``, and each output row encodes a single cell, so the
+    generated code stays small.  Rows whose geohash is null, empty or
+    invalid produce no output; polar cells produce five rows.
+
+    The validity test is applied only above the generator: a filter on the
+    parsed columns below it would be pushed down through the projections
+    and inline the whole geohash derivation into the scan filter.
+    """
+    p = _parse(gh_col)
+    staged = df.select("*", p["n"].alias("_gw_n"), p["nl"].alias("_gw_nl"), p["nt"].alias("_gw_nt"),
+                       p["lat_idx"].alias("_gw_ti"), p["lng_idx"].alias("_gw_li"), p["ok"].alias("_gw_ok"))
+    dirs = F.array(*[F.struct(F.lit(k).alias(direction), F.lit(a).alias("_gw_dlat"), F.lit(b).alias("_gw_dlng"))
+                     for k, (a, b) in DIRECTIONS.items()])
+    fan = staged.select("*", F.inline(dirs))
+    nt, nl = F.col("_gw_nt"), F.col("_gw_nl")
+    lat2 = F.col("_gw_ti") + F.col("_gw_dlat")
+    lng2 = F.pmod(F.col("_gw_li") + F.col("_gw_dlng"), F.call_function("shiftleft", F.lit(1).cast("long"), nl))
+    fan = fan.select("*", lat2.alias("_gw_t2"), lng2.alias("_gw_l2"))
+    keep = F.col("_gw_ok") & (F.col("_gw_t2") >= F.lit(0)) & \
+        (F.col("_gw_t2") < F.call_function("shiftleft", F.lit(1).cast("long"), nt))
+    lat_full = F.call_function("shiftleft", F.col("_gw_t2"), F.lit(_FULL_BITS) - nt)
+    lng_full = F.call_function("shiftleft", F.col("_gw_l2"), F.lit(_FULL_BITS) - nl)
+    text = F.substr(_text(lat_full, lng_full, MAX_PRECISION), F.lit(1), F.col("_gw_n"))
+    out = fan.select(*df.columns, direction, F.when(keep, text).alias(neighbour))
+    return out.where(F.col(neighbour).isNotNull())
+
+
 def neighbour_cells(cell, precision: int = 4) -> Column:
     """Array of the packed ids of the (up to 8) neighbours of ``cell``."""
     nl, nt = bit_split(precision)

@@ -70,7 +70,7 @@ def repair_multiline(spark: SparkSession, path: str, schema: StructType, key_pat
     record's text.  Each file is one task (``wholetext``), so the unit of
     work is a file: writers should bound file size (``maxRecordsPerFile``).
     """
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)  # the keyword: .text() would reset an .option()
     # only the writer's final line break goes; a break that ends a text field stays
     body = F.regexp_replace(F.col("value"), r"\n\z", "")
     rec = F.explode(F.split(body, f"\n(?={key_pattern}{sep})"))
