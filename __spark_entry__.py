@@ -373,8 +373,8 @@ def q_delete_where(spark, sf):
 def q_mutation_chain(spark, sf):
     s = td.table(spark, sf, "supplier")
     low = F.coalesce(F.col("s_acctbal") < 5000, F.lit(False))
-    t = mu.CowTable(spark, scratch_path(spark, "my_emp"), fmt="orc", bucket_col="s_suppkey", buckets=5)
-    t._commit(s.where(low))
+    t = mu.CowTable.create(spark, scratch_path(spark, "my_emp"), s.where(low), fmt="orc",
+                           bucket_col="s_suppkey", buckets=5)
     t.update(F.col("s_nationkey") == 3, {"s_acctbal": 9000.0})
     t.insert(s.where(~low))
     t.delete(F.col("s_nationkey") == 7)
@@ -425,9 +425,14 @@ _EPS = 1e-9
 
 
 def _d_index(v: str, lo: float, hi: float, bits: int) -> str:
+    """Band index by floor, corrected against the exact band edges (bisection semantics)."""
     c = f"greatest(least({v}, CAST({hi - _EPS!r} AS DOUBLE)), CAST({lo + _EPS!r} AS DOUBLE))"
-    return (f"least(CAST(floor(({c} - CAST({lo!r} AS DOUBLE)) / CAST({hi - lo!r} AS DOUBLE) * "
-            f"CAST({float(2 ** bits)!r} AS DOUBLE)) AS BIGINT), {2 ** bits - 1})")
+    est = (f"CAST(floor(({c} - CAST({lo!r} AS DOUBLE)) / CAST({hi - lo!r} AS DOUBLE) * "
+           f"CAST({float(2 ** bits)!r} AS DOUBLE)) AS BIGINT)")
+    width = (hi - lo) / 2 ** bits
+    lower = f"(CAST({lo!r} AS DOUBLE) + CAST({est} AS DOUBLE) * CAST({width!r} AS DOUBLE))"
+    return (f"least(greatest(CASE WHEN {c} < {lower} THEN {est} - 1 "
+            f"WHEN {c} >= {lower} + CAST({width!r} AS DOUBLE) THEN {est} + 1 ELSE {est} END, 0), {2 ** bits - 1})")
 
 
 def _d_text(ti: str, li: str, p: int) -> str:

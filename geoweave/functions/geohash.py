@@ -90,9 +90,21 @@ def valid_coordinates(lat, lng) -> Column:
 
 
 def _axis_index(v: Column, lo: float, hi: float, bits: int) -> Column:
+    """Band index = number of bisection steps to the right, exactly.
+
+    The floor formula can be off by one when ``v - lo`` rounds (a value a
+    few ulps below a band edge).  Band edges ``lo + k * width`` are exact
+    doubles for up to 30 bits, so the estimate is checked against its own
+    lower and upper edge and moved by one where needed.
+    """
     clamped = F.greatest(F.least(v, F.lit(hi - _EPS)), F.lit(lo + _EPS))
-    idx = F.floor((clamped - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(1 << bits))).cast("long")
-    return F.least(idx, F.lit((1 << bits) - 1))
+    est = F.floor((clamped - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(1 << bits))).cast("long")
+    width = (hi - lo) / (1 << bits)
+    lower = F.lit(lo) + est.cast("double") * F.lit(width)
+    idx = (F.when(clamped < lower, est - F.lit(1))
+           .when(clamped >= lower + F.lit(width), est + F.lit(1))
+           .otherwise(est))
+    return F.least(F.greatest(idx, F.lit(0)), F.lit((1 << bits) - 1))
 
 
 def lat_index(lat, precision: int = 4) -> Column:
@@ -224,28 +236,44 @@ def decode(gh) -> Column:
     return F.when(p["ok"], F.struct(lat.alias("lat"), lng.alias("lng")))
 
 
+def _let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and hand it to ``fn`` as a lambda variable.
+
+    Keeps expressions that use their input many times linear in size when
+    they are nested (e.g. the neighbours of a neighbour).
+    """
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def neighbours(gh) -> Column:
     """Adjacent cells as ``map<string,string>`` keyed n, ne, e, se, s, sw, w, nw.
 
     Labels follow geometry.  Longitude wraps at +-180; nothing lies beyond
     a pole, so polar cells have five entries.  Null, empty or invalid input
-    gives an empty map.
+    gives an empty map.  For many rows prefer :func:`explode_neighbours`,
+    which stays in generated code.
     """
-    p = _parse(gh)
-    lat_span = F.call_function("shiftleft", F.lit(1).cast("long"), p["nt"])
-    lng_span = F.call_function("shiftleft", F.lit(1).cast("long"), p["nl"])
-    keys, values = [], []
-    for name, (dlat, dlng) in DIRECTIONS.items():
-        lat2 = p["lat_idx"] + F.lit(dlat)
-        lng2 = F.pmod(p["lng_idx"] + F.lit(dlng), lng_span)
-        inside = p["ok"] & (lat2 >= F.lit(0)) & (lat2 < lat_span)
-        # encode at full precision from left-aligned indexes, then cut to the input length
-        lat_full = F.call_function("shiftleft", lat2, F.lit(_FULL_BITS) - p["nt"])
-        lng_full = F.call_function("shiftleft", lng2, F.lit(_FULL_BITS) - p["nl"])
-        text = F.substr(_text(lat_full, lng_full, MAX_PRECISION), F.lit(1), p["n"])
-        values.append(F.when(inside, text))
-        keys.append(F.when(inside, F.lit(name)))
-    return F.map_from_arrays(F.array_compact(F.array(*keys)), F.array_compact(F.array(*values)))
+    def build(s: Column) -> Column:
+        n, nl, nt = s["n"], s["nl"], s["nt"]
+        lat_span = F.call_function("shiftleft", F.lit(1).cast("long"), nt)
+        lng_span = F.call_function("shiftleft", F.lit(1).cast("long"), nl)
+        keys, values = [], []
+        for name, (dlat, dlng) in DIRECTIONS.items():
+            lat2 = s["lat_idx"] + F.lit(dlat)
+            lng2 = F.pmod(s["lng_idx"] + F.lit(dlng), lng_span)
+            inside = s["ok"] & (lat2 >= F.lit(0)) & (lat2 < lat_span)
+            lat_full = F.call_function("shiftleft", lat2, F.lit(_FULL_BITS) - nt)
+            lng_full = F.call_function("shiftleft", lng2, F.lit(_FULL_BITS) - nl)
+            text = F.substr(_text(lat_full, lng_full, MAX_PRECISION), F.lit(1), n)
+            values.append(F.when(inside, text))
+            keys.append(F.when(inside, F.lit(name)))
+        return F.map_from_arrays(F.array_compact(F.array(*keys)), F.array_compact(F.array(*values)))
+
+    def parsed(g: Column) -> Column:
+        p = _parse(g)
+        return F.struct(*[p[k].alias(k) for k in ("ok", "n", "nl", "nt", "lat_idx", "lng_idx")])
+
+    return _let(_c(gh), lambda g: _let(parsed(g), build))
 
 
 def explode_neighbours(df, gh_col: str = "geohash", direction: str = "direction",
@@ -303,8 +331,13 @@ def sql_geohash_expr(lat: str, lng: str, precision: int = 4) -> str:
 
     def index(v: str, lo: float, hi: float, bits: int) -> str:
         clamped = f"greatest(least({v}, CAST({hi - _EPS!r} AS DOUBLE)), CAST({lo + _EPS!r} AS DOUBLE))"
-        return (f"least(CAST(floor(({clamped} - CAST({lo!r} AS DOUBLE)) / CAST({hi - lo!r} AS DOUBLE)"
-                f" * CAST({float(1 << bits)!r} AS DOUBLE)) AS BIGINT), {(1 << bits) - 1})")
+        est = (f"CAST(floor(({clamped} - CAST({lo!r} AS DOUBLE)) / CAST({hi - lo!r} AS DOUBLE)"
+               f" * CAST({float(1 << bits)!r} AS DOUBLE)) AS BIGINT)")
+        width = (hi - lo) / (1 << bits)
+        lower = f"(CAST({lo!r} AS DOUBLE) + CAST({est} AS DOUBLE) * CAST({width!r} AS DOUBLE))"
+        idx = (f"CASE WHEN {clamped} < {lower} THEN {est} - 1 "
+               f"WHEN {clamped} >= {lower} + CAST({width!r} AS DOUBLE) THEN {est} + 1 ELSE {est} END")
+        return f"least(greatest({idx}, 0), {(1 << bits) - 1})"
 
     la, lo_ = index(lat, -90.0, 90.0, nt), index(lng, -180.0, 180.0, nl)
     chars = []

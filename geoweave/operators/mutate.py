@@ -1,10 +1,13 @@
 """UPDATE / DELETE / INSERT as copy-on-write over file tables.
 
-Spark's file tables have no row-level UPDATE or DELETE.  A change is a
-new full snapshot written next to the old one; the table then points at
-it.  The old snapshot is never rewritten in place (Spark refuses to
-overwrite a path it is reading), a failed write leaves the table on the
-previous version, and each snapshot cuts the lineage of the chain.
+Spark's file tables have no row-level UPDATE or DELETE.  An UPDATE or
+DELETE writes a new full snapshot next to the old one and the table then
+points at it; an INSERT only appends files to the current snapshot.  The
+old snapshot is never rewritten in place (Spark refuses to overwrite a
+path it is reading), a failed write leaves the table on the previous
+version, and each snapshot cuts the lineage of the chain.  File-level
+copy-on-write (rewriting only the files that hold matching rows) needs a
+table format such as Delta or Iceberg, which is not on this classpath.
 
 SQL semantics: a row is changed or removed only where the predicate is
 TRUE; a NULL predicate leaves the row alone.
@@ -42,28 +45,25 @@ class CowTable:
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "orc", bucket_col: str | None = None,
-                 buckets: int | None = None):
+                 buckets: int | None = None, version: int = 0):
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
         self.bucket_col, self.buckets = bucket_col, buckets
-        self.version = self._read_pointer()
-        self._schema = None
-
-    def _read_pointer(self) -> int:
-        try:
-            row = self.spark.read.text(f"{self.root}/_latest").first()
-            return int(row[0]) if row else 0
-        except Exception as e:  # only "no table yet" is expected here
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return 0
-            raise
+        self.version = version
+
+    @classmethod
+    def create(cls, spark: SparkSession, root: str, rows: DataFrame, **kw) -> "CowTable":
+        """New table whose first snapshot is ``rows`` (``CREATE TABLE`` + first ``INSERT``)."""
+        return cls(spark, root, **kw)._commit(rows)
+
+    @classmethod
+    def open(cls, spark: SparkSession, root: str, **kw) -> "CowTable":
+        """Existing table at ``root``, on its latest committed snapshot."""
+        row = spark.read.text(f"{root.rstrip('/')}/_latest").first()
+        return cls(spark, root, version=int(row[0]), **kw)
 
     def _path(self, v: int) -> str:
         return f"{self.root}/v={v:06d}"
 
-    def create(self, schema) -> "CowTable":
-        self._schema = schema
-        return self._commit(self.spark.createDataFrame([], schema))
-
     def read(self) -> DataFrame:
         if self.version == 0:
             raise ValueError(f"table at {self.root} has no snapshot yet")
@@ -81,8 +81,13 @@ class CowTable:
         return self
 
     def insert(self, rows: DataFrame) -> "CowTable":
+        """``INSERT INTO``: new files appended to the current snapshot, nothing rewritten."""
         cur = self.read()
-        return self._commit(cur.unionByName(rows.select(*cur.columns)))
+        typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in cur.schema.fields])
+        if self.bucket_col and self.buckets:
+            typed = typed.repartition(self.buckets, self.bucket_col).sortWithinPartitions(self.bucket_col)
+        typed.write.mode("append").format(self.fmt).save(self._path(self.version))
+        return self
 
     def update(self, condition: Column, assignments: dict) -> "CowTable":
         return self._commit(update_where(self.read(), condition, assignments))
