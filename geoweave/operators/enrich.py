@@ -27,6 +27,7 @@ from . import dedupe as dd
 from .sizing import BROADCAST_MAX_ROWS, broadcast_if_small
 
 CELL = "_cell"
+ORDER = "_order"
 
 
 def add_cell(df: DataFrame, precision: int = 4, lat: str = "lat", lng: str = "lng",
@@ -63,8 +64,17 @@ def reduce_observations(observations: DataFrame, precision: int = 4, order_key:
     every column (or of ``columns``).  ``keep_cells`` restricts the
     observations to those cells before aggregating (semi-join reduction).
     ``date_columns`` are ISO date strings aggregated as DATE (keeps a
-    HashAggregate).
+    HashAggregate).  Without ``order_key`` in the data, "first" follows a
+    content hash of the row; without the average columns, ``avg`` falls
+    back to ``first``.
     """
+    if order_key is None or order_key not in observations.columns:
+        # content-defined order: deterministic across reruns and partitionings,
+        # still a bigint so the aggregation stays hash-based
+        observations = observations.withColumn(ORDER, F.xxhash64(*observations.columns))
+        order_key = ORDER
+    if mode == "avg" and not set(avg_columns) <= set(observations.columns):
+        mode = "first"  # another observation shape: first value of every column
     obs = add_cell(observations, precision).where(F.col(CELL).isNotNull())
     if keep_cells is not None:
         bound = 32 ** precision if precision_bound else None
@@ -74,7 +84,7 @@ def reduce_observations(observations: DataFrame, precision: int = 4, order_key:
                              date_columns)
     if mode == "first":
         cols = columns if columns is not None else [
-            c for c in observations.columns if c not in (order_key, "geohash")]
+            c for c in observations.columns if c not in (order_key, "geohash", ORDER)]
         return dd.dedupe_first(obs, CELL, order_key, cols, prefix, date_columns)
     raise ValueError(f"mode must be 'avg' or 'first', got {mode!r}")
 
