@@ -110,7 +110,7 @@ def q_dedupe_first_prefixed(spark, sf):
 
 
 def q_key_overlap(spark, sf):
-    return en.key_overlap(_with_geohash(P(spark, sf)), _with_geohash(O(spark, sf))).withColumnRenamed("key", "geohash")
+    return rp.matching_cells(P(spark, sf), O(spark, sf))
 
 
 def q_join_stats(spark, sf):
@@ -127,7 +127,7 @@ def q_avg_temp_by_country(spark, sf):
 
 
 def q_pipeline_summary(spark, sf):
-    return rp.pipeline_summary(P(spark, sf), O(spark, sf), _enriched(spark, sf))
+    return rp.pipeline_summary(P(spark, sf), O(spark, sf))
 
 
 def q_dedupe_ratio(spark, sf):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,35 +50,52 @@ def date_range(df: DataFrame, column: str = "wthr_date") -> DataFrame:
     return df.agg(F.min(column).alias("min_date"), F.max(column).alias("max_date"))
 
 
-def pipeline_summary(places: DataFrame, observations: DataFrame, enriched: DataFrame,
-                     precision: int = 4, probe: str = "weather_avg_tmpr_c") -> DataFrame:
-    """The run report in long form: (metric, value).
+def cell_counts(df: DataFrame, precision: int = 4, extra: dict | None = None) -> DataFrame:
+    """Rows per cell (the NULL cell is one group), plus optional extra aggregates.
 
-    Each figure is one aggregation; they are stacked with ``union`` (no
-    cross join).  Distinct geohash counts count a NULL geohash as a value,
-    like ``select(c).distinct().count()``.
+    At most ``32 ** precision + 1`` rows whatever the input size; a hot cell
+    is combined map-side.
     """
-    pc = en.add_cell(places, precision)
-    oc = en.add_cell(observations, precision)
+    aggs = [F.count(F.lit(1)).alias("n")] + [v.alias(k) for k, v in (extra or {}).items()]
+    return en.add_cell(df, precision).groupBy(en.CELL).agg(*aggs)
 
-    def distinct_with_null(df: DataFrame) -> F.Column:
-        return F.countDistinct(en.CELL) + F.max(F.when(F.col(en.CELL).isNull(), 1).otherwise(0))
 
-    place_cells = pc.select(en.CELL).distinct()
-    obs_cells = oc.select(en.CELL).distinct()
-    m = F.col(probe).isNotNull()
-    parts = [
-        places.agg(F.count(F.lit(1)).alias("v"), F.lit("places_total").alias("metric")),
-        observations.agg(F.count(F.lit(1)).alias("v"), F.lit("observations_total").alias("metric")),
-        places.agg(F.count_if(is_null()).alias("v"), F.lit("null_coordinates").alias("metric")),
-        places.agg(F.count_if(is_invalid()).alias("v"), F.lit("invalid_coordinates").alias("metric")),
-        pc.agg(distinct_with_null(pc).alias("v"), F.lit("place_geohashes").alias("metric")),
-        oc.agg(distinct_with_null(oc).alias("v"), F.lit("observation_geohashes").alias("metric")),
-        place_cells.intersect(obs_cells).agg(F.count(F.lit(1)).alias("v"),
-                                             F.lit("matching_geohashes").alias("metric")),
-        enriched.agg(F.count(F.lit(1)).alias("v"), F.lit("enriched_total").alias("metric")),
-        enriched.agg(F.count_if(m).alias("v"), F.lit("matched").alias("metric")),
-        enriched.agg(F.count_if(~m).alias("v"), F.lit("unmatched").alias("metric")),
+def matching_cells(places: DataFrame, observations: DataFrame, precision: int = 4) -> DataFrame:
+    """Geohashes present on both sides (set intersection on the bigint cell; NULL is a member)."""
+    a = en.add_cell(places, precision).select(en.CELL)
+    b = en.add_cell(observations, precision).select(en.CELL)
+    return a.intersect(b).select(cell_to_geohash(en.CELL, precision).alias("geohash"))
+
+
+def pipeline_summary(places: DataFrame, observations: DataFrame, precision: int = 4) -> DataFrame:
+    """The run report in long form: (metric, value).
+
+    Each source is scanned once into per-cell counts (at most 32**precision
+    rows each); a null-safe full outer join of the two and one aggregation
+    give every figure.  Distinct geohash counts count the NULL geohash as a
+    value and it matches itself in the overlap (set semantics), but a place
+    without a cell never counts as enriched.
+    """
+    pc = cell_counts(places, precision, {"nulls": F.count_if(is_null()), "invalid": F.count_if(is_invalid())})
+    oc = cell_counts(observations, precision).withColumnRenamed("n", "obs_n")
+    j = pc.join(oc, pc[en.CELL].eqNullSafe(oc[en.CELL]), "full_outer") \
+          .select(F.coalesce(pc[en.CELL], oc[en.CELL]).alias("cell"), "n", "nulls", "invalid", "obs_n")
+    both = F.col("n").isNotNull() & F.col("obs_n").isNotNull()
+    hit = both & F.col("cell").isNotNull()
+    matched = F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0))
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    figures = [
+        ("places_total", total),
+        ("observations_total", F.coalesce(F.sum("obs_n"), F.lit(0))),
+        ("null_coordinates", F.coalesce(F.sum("nulls"), F.lit(0))),
+        ("invalid_coordinates", F.coalesce(F.sum("invalid"), F.lit(0))),
+        ("place_geohashes", F.count("n")),
+        ("observation_geohashes", F.count("obs_n")),
+        ("matching_geohashes", F.count_if(both)),
+        ("enriched_total", total),
+        ("matched", matched),
+        ("unmatched", total - matched),
     ]
-    parts = [p.select("metric", F.col("v").cast("long").alias("value")) for p in parts]
-    return reduce(DataFrame.unionAll, parts)
+    row = j.agg(*[v.cast("long").alias(k) for k, v in figures])
+    stacked = F.array(*[F.struct(F.lit(k).alias("metric"), F.col(k).alias("value")) for k, _ in figures])
+    return row.select(F.inline(stacked))

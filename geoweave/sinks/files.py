@@ -13,16 +13,22 @@ def checksum(columns: list[str]) -> Column:
 
 def write_partitioned(df: DataFrame, path: str, partition_cols=("country",), mode: str = "overwrite",
                       fmt: str = "parquet", compression: str = "snappy", dynamic_overwrite: bool = True,
-                      max_records_per_file: int | None = None) -> None:
+                      max_records_per_file: int | None = None, rebalance: bool = True) -> None:
     """Write ``df`` as Hive-style partition directories.
 
-    ``rebalance`` (an AQE-aware repartition on the partition columns) keeps
-    each directory to a few files and splits a partition value that holds
-    a large share of the rows across several tasks instead of one.
+    ``rebalance=True`` (an AQE-aware repartition on the partition columns)
+    keeps each directory to a few files and splits a partition value that
+    holds a large share of the rows across several tasks instead of one; it
+    costs one shuffle of the output.  ``rebalance=False`` writes without a
+    shuffle, sorting each task's rows by the partition columns (one open file
+    per task at a time, but up to tasks x partitions files).
     ``dynamic_overwrite`` replaces only the partitions being written.
     """
     cols = list(partition_cols)
-    out = df.hint("rebalance", *cols) if cols else df.hint("rebalance")
+    if rebalance:
+        out = df.hint("rebalance", *cols) if cols else df.hint("rebalance")
+    else:
+        out = df.sortWithinPartitions(*cols) if cols else df
     w = out.write.mode(mode).format(fmt).option("compression", compression)
     if dynamic_overwrite and mode == "overwrite" and cols:
         w = w.option("partitionOverwriteMode", "dynamic")

@@ -118,7 +118,7 @@ def test_reports(places, obs_real_shape):
     e = en.enrich(places, obs_real_shape)
     s = rp.join_stats(e).first()
     assert (s.total_records, s.matched_records, s.unmatched_records, s.matched_pct) == (5, 3, 2, 60.0)
-    summary = {r.metric: r.value for r in rp.pipeline_summary(places, obs_real_shape, e).collect()}
+    summary = {r.metric: r.value for r in rp.pipeline_summary(places, obs_real_shape).collect()}
     assert summary["places_total"] == 5 and summary["matched"] == 3 and summary["matching_geohashes"] == 3
     assert summary["place_geohashes"] == 4  # three cells + NULL
     t = rp.top_cells(obs_real_shape, 2).collect()
