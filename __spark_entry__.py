@@ -348,8 +348,8 @@ def q_select_star_limit(spark, sf):
 
 
 def q_project_between_sort(spark, sf):
-    return tb.project_range_top(td.table(spark, sf, "supplier"), ["s_suppkey", "s_name", "s_nationkey"],
-                                "s_suppkey", 10, 60, [F.col("s_name").desc(), F.col("s_suppkey")], 5)
+    return tb.project_range_top(td.table(spark, sf, "supplier"), ["s_suppkey", "s_name", "s_acctbal"],
+                                "s_acctbal", 1000, 6000, [F.col("s_name").desc(), F.col("s_suppkey")], 5)
 
 
 def q_group_count_sorted(spark, sf):
@@ -678,8 +678,8 @@ def oracle_sql() -> dict[str, str]:
         "input_lineage": _q("SELECT country, count(*) AS rows, true AS has_files FROM places "
                             "WHERE country IN ('NATION_3', 'NATION_7') GROUP BY country"),
         "select_star_limit": "SELECT * FROM supplier ORDER BY s_suppkey LIMIT 10",
-        "project_between_sort": "SELECT s_suppkey, s_name, s_nationkey FROM supplier "
-                                "WHERE s_suppkey BETWEEN 10 AND 60 ORDER BY s_name DESC, s_suppkey LIMIT 5",
+        "project_between_sort": "SELECT s_suppkey, s_name, s_acctbal FROM supplier "
+                                "WHERE s_acctbal BETWEEN 1000 AND 6000 ORDER BY s_name DESC, s_suppkey LIMIT 5",
         "group_count_sorted": "SELECT o_orderpriority, count(*) AS orders_count FROM orders "
                               "GROUP BY o_orderpriority ORDER BY orders_count DESC",
         "group_count": _q("SELECT country, count(*) AS customers_n FROM places GROUP BY country"),
