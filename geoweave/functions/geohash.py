@@ -12,10 +12,12 @@ Equal cells <=> equal geohash strings of that precision, so joins and
 groupings use the ``bigint`` (HashAggregate-friendly, cheap inferred
 ``isnotnull`` filters) and the text is produced only for output.
 
-Each character takes a 2- or 3-bit chunk from each index; the chunk pair
-is looked up in a 32-character table derived from the alphabet, so every
-character is one ``substr`` and the whole expression stays small enough
-for whole-stage codegen.
+The text is made from the geohash integer (the two indexes interleaved by
+10-bit lookups in a spread table) with ``conv`` to base 32 and
+``translate`` to the geohash alphabet, so an encode reads each index once
+per 10 bits and the expression stays small enough for whole-stage codegen
+however it is nested.  Decoding locates each character once and reads its
+bits from two 32-entry arrays.
 """
 
 from __future__ import annotations
@@ -49,40 +51,6 @@ def bit_split(precision: int) -> tuple[int, int]:
     return (bits + 1) // 2, bits // 2
 
 
-def _char_layout(k: int) -> tuple[int, int, int, int]:
-    """For 0-based char k: (lng bits before, lng width, lat bits before, lat width)."""
-    start = 5 * k
-    lng_before, lat_before = (start + 1) // 2, start // 2
-    lng_w = 3 if start % 2 == 0 else 2
-    return lng_before, lng_w, lat_before, 5 - lng_w
-
-
-def _chunk_table(lng_w: int) -> str:
-    """32-char table: position (lng_chunk << lat_w | lat_chunk) -> geohash char.
-
-    A character whose first bit is longitude has the pattern L T L T L
-    (lng_w = 3); otherwise T L T L T (lng_w = 2).
-    """
-    lat_w = 5 - lng_w
-    out = []
-    for pos in range(32):
-        lng_chunk, lat_chunk = pos >> lat_w, pos & ((1 << lat_w) - 1)
-        v = 0
-        li, ti = lng_w - 1, lat_w - 1
-        for b in range(5):  # most significant char bit first
-            lng_turn = (b % 2 == 0) == (lng_w == 3)
-            if lng_turn:
-                bit, li = (lng_chunk >> li) & 1, li - 1
-            else:
-                bit, ti = (lat_chunk >> ti) & 1, ti - 1
-            v = (v << 1) | bit
-        out.append(BASE32[v])
-    return "".join(out)
-
-
-_TABLE = {3: _chunk_table(3), 2: _chunk_table(2)}
-
-
 def valid_coordinates(lat, lng) -> Column:
     """TRUE when both are non-null and inside [-90,90] x [-180,180] (NaN is out)."""
     lat, lng = _c(lat), _c(lng)
@@ -141,33 +109,78 @@ def cell_lng_index(cell, precision: int = 4) -> Column:
     return _c(cell).bitwiseAND(F.lit((1 << nl) - 1))
 
 
-def _text(lat_i: Column, lng_i: Column, precision: int) -> Column:
-    """Geohash text from band indexes at a fixed precision."""
+def _spread10(i: int) -> int:
+    """Bit k of i moved to bit 2k (for a 10-bit i)."""
+    out = 0
+    for k in range(10):
+        out |= ((i >> k) & 1) << (2 * k)
+    return out
+
+
+# 1024-entry spread table, built by rule; a SQL array literal is one JVM call to build
+_SPREAD_SQL = "array(" + ", ".join(f"{_spread10(i)}L" for i in range(1024)) + ")"
+_CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"  # digit set of conv(..., 32)
+
+
+def _spread(x: Column, bits: int) -> Column:
+    """Low ``bits`` bits of ``x`` moved to the even bit positions (10-bit table lookups)."""
+    table = F.expr(_SPREAD_SQL)
+    out = None
+    for j in range(0, bits, 10):
+        # never a NULL index: on a literal array it is read as -1 (the last element)
+        chunk = F.coalesce((F.shiftright(x, j) if j else x).bitwiseAND(F.lit(1023)), F.lit(0).cast("long"))
+        part = F.element_at(table, (chunk + F.lit(1)).cast("int"))
+        part = F.shiftleft(part, 2 * j) if j else part
+        out = part if out is None else out.bitwiseOR(part)
+    return out
+
+
+def _morton(lat_i: Column, lng_i: Column, precision: int) -> Column:
+    """The geohash integer: index bits interleaved, longitude in the top bit."""
     nl, nt = bit_split(precision)
-    chars = []
-    for k in range(precision):
-        lng_before, lng_w, lat_before, lat_w = _char_layout(k)
-        lng_chunk = F.shiftright(lng_i, nl - lng_before - lng_w).bitwiseAND(F.lit((1 << lng_w) - 1))
-        lat_chunk = F.shiftright(lat_i, nt - lat_before - lat_w).bitwiseAND(F.lit((1 << lat_w) - 1))
-        pos = F.shiftleft(lng_chunk, lat_w).bitwiseOR(lat_chunk) + F.lit(1)
-        chars.append(F.substr(F.lit(_TABLE[lng_w]), pos.cast("int"), F.lit(1)))
-    return F.concat(*chars)
+    if nl == nt:
+        return F.shiftleft(_spread(lng_i, nl), 1).bitwiseOR(_spread(lat_i, nt))
+    return _spread(lng_i, nl).bitwiseOR(F.shiftleft(_spread(lat_i, nt), 1))
+
+
+def _code_text(code: Column, precision: int) -> Column:
+    """Base-32 text of a geohash integer; NULL stays NULL (no CASE needed)."""
+    digits = F.lpad(F.conv(code.cast("string"), 10, 32), precision, "0")
+    return F.translate(digits, _CONV_DIGITS, BASE32)
+
+
+def _text(lat_i: Column, lng_i: Column, precision: int) -> Column:
+    """Geohash text from band indexes at a fixed precision.
+
+    Each index is read once per 10 bits and the text is made by ``conv``
+    from the interleaved integer, so the expression stays linear in size.
+    """
+    return _code_text(_morton(lat_i, lng_i, precision), precision)
 
 
 def cell_to_geohash(cell, precision: int = 4) -> Column:
-    """Text geohash of a packed cell id of the given precision."""
+    """Text geohash of a packed cell id of the given precision (NULL for NULL).
+
+    NULL travels by arithmetic (``+ cell * 0``) rather than a CASE, so the
+    shared parts stay eligible for common-subexpression elimination.
+    """
     cell = _c(cell)
-    return F.when(cell.isNotNull(),
-                  _text(cell_lat_index(cell, precision), cell_lng_index(cell, precision), precision))
+    code = _morton(cell_lat_index(cell, precision), cell_lng_index(cell, precision), precision)
+    return _code_text(code + cell * F.lit(0), precision)
 
 
 def geohash(lat, lng, precision: int = 4) -> Column:
     """Geohash text of (lat, lng); NULL when either is null or out of range.
 
     ``df.withColumn("geohash", geohash("lat", "lng", 4))``; one native
-    expression in place of a row-at-a-time Python UDF.
+    expression in place of a row-at-a-time Python UDF.  Built straight from
+    the two band indexes (each read once), not through :func:`cell_id`, so
+    the generated method stays small enough for the JIT.
     """
-    return cell_to_geohash(cell_id(lat, lng, precision), precision)
+    lat, lng = _c(lat), _c(lng)
+    guard = F.when(valid_coordinates(lat, lng), F.lit(0).cast("long"))  # NULL when invalid
+    code = _morton(lat_index(lat, precision), lng_index(lng, precision), precision) + guard
+    return _code_text(code, precision)
 
 
 # ---------------------------------------------------------------- decode ---
@@ -175,65 +188,67 @@ def geohash(lat, lng, precision: int = 4) -> Column:
 _VALID_RE = "^[0-9b-hjkmnp-z]{1,12}$"
 
 
-def _chunk_values(lng_w: int) -> tuple[list[int], list[int]]:
-    """Per base-32 value: (longitude chunk, latitude chunk) of a char of this layout."""
-    inv = {c: i for i, c in enumerate(_TABLE[lng_w])}
-    lat_w = 5 - lng_w
-    lng_vals, lat_vals = [], []
-    for ch in BASE32:
-        pos = inv[ch]
-        lng_vals.append(pos >> lat_w)
-        lat_vals.append(pos & ((1 << lat_w) - 1))
-    return lng_vals, lat_vals
+def _compact8(i: int) -> int:
+    """Bits 0, 2, 4, 6 of an 8-bit i gathered into 4 bits."""
+    return sum(((i >> (2 * k)) & 1) << k for k in range(4))
 
 
-_CHUNKS = {3: _chunk_values(3), 2: _chunk_values(2)}
+# 256-entry compaction table, built by rule
+_COMPACT_SQL = "array(" + ", ".join(f"{_compact8(i)}L" for i in range(256)) + ")"
+
+
+def _gather_even(x: Column, out_bits: int) -> Column:
+    """Even-position bits of ``x`` gathered into an ``out_bits``-bit value (8-bit lookups)."""
+    table = F.expr(_COMPACT_SQL)
+    out = None
+    for j in range(0, 2 * out_bits, 8):
+        chunk = F.coalesce((F.shiftright(x, j) if j else x).bitwiseAND(F.lit(255)), F.lit(0).cast("long"))
+        part = F.element_at(table, (chunk + F.lit(1)).cast("int"))
+        part = F.shiftleft(part, j // 2) if j else part
+        out = part if out is None else out.bitwiseOR(part)
+    return out
 
 
 def _parse(gh) -> dict:
     """Band indexes of a geohash string of any length 1..12 (per-row length).
 
-    Each character is located once in the alphabet; its position indexes two
-    32-entry arrays giving its longitude and latitude bits.  Characters past
-    the end read as '0', which contributes no bits.  Returns columns: ok,
-    n (length), nl / nt (bits per axis), lat_idx, lng_idx.
+    The string becomes its integer with ``translate`` + ``conv``; longitude
+    and latitude bits are then gathered from alternate positions.  Returns
+    columns: ok, n (length), nl / nt (bits per axis), lat_idx, lng_idx.
+    Values are meaningful only where ``ok``.
     """
     g = F.lower(_c(gh))
     n = F.length(g)
     ok = F.coalesce(g.rlike(_VALID_RE), F.lit(False))
-    lat12 = F.lit(0).cast("long")
-    lng12 = F.lit(0).cast("long")
-    for k in range(MAX_PRECISION):
-        lng_before, lng_w, lat_before, lat_w = _char_layout(k)
-        lng_vals, lat_vals = _CHUNKS[lng_w]
-        pos = F.greatest(F.instr(F.lit(BASE32), F.substr(g, F.lit(k + 1), F.lit(1))), F.lit(1))
-        lng_chunk = F.element_at(F.array(*[F.lit(x) for x in lng_vals]), pos).cast("long")
-        lat_chunk = F.element_at(F.array(*[F.lit(x) for x in lat_vals]), pos).cast("long")
-        lng12 = lng12.bitwiseOR(F.shiftleft(lng_chunk, _FULL_BITS - lng_before - lng_w))
-        lat12 = lat12.bitwiseOR(F.shiftleft(lat_chunk, _FULL_BITS - lat_before - lat_w))
+    code = F.conv(F.translate(g, BASE32, _CONV_DIGITS), 32, 10).cast("long")
     bits = F.lit(5) * n
+    # the top bit (bits - 1) is longitude, so longitude sits on that parity
+    lng_src = F.call_function("shiftright", code, ((bits - F.lit(1)) % F.lit(2)).cast("int"))
+    lat_src = F.call_function("shiftright", code, (bits % F.lit(2)).cast("int"))
     nl = F.floor((bits + F.lit(1)) / F.lit(2)).cast("int")
     nt = F.floor(bits / F.lit(2)).cast("int")
-    lng_idx = F.call_function("shiftright", lng12, F.lit(_FULL_BITS) - nl)
-    lat_idx = F.call_function("shiftright", lat12, F.lit(_FULL_BITS) - nt)
-    return dict(ok=ok, n=n, nl=nl, nt=nt, lat_idx=lat_idx, lng_idx=lng_idx)
+    return dict(ok=ok, n=n, nl=nl, nt=nt, lat_idx=_gather_even(lat_src, _FULL_BITS),
+                lng_idx=_gather_even(lng_src, _FULL_BITS))
 
 
 def geohash_to_cell(gh, precision: int = 4) -> Column:
-    """Packed cell id of a geohash string of exactly ``precision`` chars."""
+    """Packed cell id of a geohash string of exactly ``precision`` chars (else NULL)."""
     p = _parse(gh)
-    return F.when(p["ok"] & (p["n"] == F.lit(precision)), pack(p["lat_idx"], p["lng_idx"], precision))
+    guard = F.when(p["ok"] & (p["n"] == F.lit(precision)), F.lit(0).cast("long"))
+    return pack(p["lat_idx"], p["lng_idx"], precision) + guard
 
 
 def decode(gh) -> Column:
     """Centre of the geohash cell as ``struct<lat double, lng double>``.
 
-    NULL for null, empty or invalid strings.
+    Null, empty or invalid strings give ``(NULL, NULL)``.  NULL travels by
+    arithmetic, not a CASE, so the parsed parts are shared by both fields.
     """
     p = _parse(gh)
+    guard = F.when(p["ok"], F.lit(0.0))
     lat = F.lit(-90.0) + (p["lat_idx"].cast("double") + F.lit(0.5)) * F.lit(180.0) / F.pow(F.lit(2.0), p["nt"])
     lng = F.lit(-180.0) + (p["lng_idx"].cast("double") + F.lit(0.5)) * F.lit(360.0) / F.pow(F.lit(2.0), p["nl"])
-    return F.when(p["ok"], F.struct(lat.alias("lat"), lng.alias("lng")))
+    return F.struct((lat + guard).alias("lat"), (lng + guard).alias("lng"))
 
 
 def _let(value: Column, fn) -> Column:
@@ -321,11 +336,11 @@ def neighbour_cells(cell, precision: int = 4) -> Column:
     return F.array_compact(F.array(*out))
 
 
-def sql_geohash_expr(lat: str, lng: str, precision: int = 4) -> str:
+def sql_geohash_expr(lat: str, lng: str, precision: int = 4, spread_fn: str = "gw_spread10") -> str:
     """Spark SQL text of :func:`geohash` over two column or parameter names.
 
-    Used to register ``geohash(lat, lng)`` as a SQL function so SQL users
-    get the same native expression.
+    ``spread_fn`` is a SQL function spreading a 10-bit value (registered by
+    :func:`register_sql_functions`).
     """
     nl, nt = bit_split(precision)
 
@@ -339,19 +354,21 @@ def sql_geohash_expr(lat: str, lng: str, precision: int = 4) -> str:
                f"WHEN {clamped} >= {lower} + CAST({width!r} AS DOUBLE) THEN {est} + 1 ELSE {est} END")
         return f"least(greatest({idx}, 0), {(1 << bits) - 1})"
 
+    def spread(x: str, bits: int) -> str:
+        parts = [f"({spread_fn}(({x} >> {j}) & 1023) << {2 * j})" for j in range(0, bits, 10)]
+        return "(" + " | ".join(parts) + ")"
+
     la, lo_ = index(lat, -90.0, 90.0, nt), index(lng, -180.0, 180.0, nl)
-    chars = []
-    for k in range(precision):
-        lng_before, lng_w, lat_before, lat_w = _char_layout(k)
-        lng_chunk = f"(({lo_} >> {nl - lng_before - lng_w}) & {(1 << lng_w) - 1})"
-        lat_chunk = f"(({la} >> {nt - lat_before - lat_w}) & {(1 << lat_w) - 1})"
-        chars.append(f"substr('{_TABLE[lng_w]}', CAST((({lng_chunk} << {lat_w}) | {lat_chunk}) + 1 AS INT), 1)")
-    return (f"CASE WHEN {lat} BETWEEN -90 AND 90 AND {lng} BETWEEN -180 AND 180 "
-            f"THEN concat({', '.join(chars)}) END")
+    code = (f"(({spread(lo_, nl)} << 1) | {spread(la, nt)})" if nl == nt
+            else f"({spread(lo_, nl)} | ({spread(la, nt)} << 1))")
+    text = f"translate(lpad(conv(CAST({code} AS STRING), 10, 32), {precision}, '0'), '{_CONV_DIGITS}', '{BASE32}')"
+    return f"CASE WHEN {lat} BETWEEN -90 AND 90 AND {lng} BETWEEN -180 AND 180 THEN {text} END"
 
 
 def register_sql_functions(spark, precision: int = 4, name: str = "geohash") -> None:
     """``CREATE TEMPORARY FUNCTION <name>(lat, lng)`` returning the geohash text."""
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION gw_spread10(x BIGINT) RETURNS BIGINT "
+              f"RETURN element_at({_SPREAD_SQL}, CAST(x + 1 AS INT))")
     body = sql_geohash_expr("lat", "lng", precision)
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(lat DOUBLE, lng DOUBLE) "
               f"RETURNS STRING RETURN {body}")

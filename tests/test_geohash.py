@@ -84,7 +84,8 @@ def test_decode(spark):
     r = df.select(G.decode("g").alias("d")).collect()
     assert (r[0].d.lat, r[0].d.lng) == (40.693359375, -74.00390625)
     assert 40 < r[0].d.lat < 41 and -75 < r[0].d.lng < -73
-    assert r[1].d is None and r[2].d is None and r[4].d is None
+    for i in (1, 2, 4):  # empty, NULL, invalid -> (None, None)
+        assert (r[i].d.lat, r[i].d.lng) == (None, None)
     assert r[3].d == r[0].d
 
 
