@@ -22,6 +22,10 @@ bits from two 32-entry arrays.
 
 from __future__ import annotations
 
+import functools
+
+import numpy as np
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,6 +47,30 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _memo(fn):
+    """Reuse the built Column when every argument is a plain name or number.
+
+    Building these expressions costs hundreds of JVM round trips; a Column
+    is an unresolved expression, so the same object can serve any number of
+    DataFrames.  Keyed by the active SparkContext, so a restarted session
+    never sees stale JVM objects.
+    """
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kw):
+        plain = all(isinstance(a, (str, int, float)) for a in (*args, *kw.values()))
+        if not plain:
+            return fn(*args, **kw)
+        key = (id(SparkContext._active_spark_context), args, tuple(sorted(kw.items())))
+        col = cache.get(key)
+        if col is None:
+            col = cache[key] = fn(*args, **kw)
+        return col
+
+    return wrapper
+
+
 def bit_split(precision: int) -> tuple[int, int]:
     """(longitude bits, latitude bits) of a geohash with ``precision`` chars."""
     if not 1 <= precision <= MAX_PRECISION:
@@ -51,6 +79,7 @@ def bit_split(precision: int) -> tuple[int, int]:
     return (bits + 1) // 2, bits // 2
 
 
+@_memo
 def valid_coordinates(lat, lng) -> Column:
     """TRUE when both are non-null and inside [-90,90] x [-180,180] (NaN is out)."""
     lat, lng = _c(lat), _c(lng)
@@ -75,12 +104,14 @@ def _axis_index(v: Column, lo: float, hi: float, bits: int) -> Column:
     return F.least(F.greatest(idx, F.lit(0)), F.lit((1 << bits) - 1))
 
 
+@_memo
 def lat_index(lat, precision: int = 4) -> Column:
     """Latitude band index (0 = southmost) at ``precision``."""
     _, nt = bit_split(precision)
     return _axis_index(_c(lat), -90.0, 90.0, nt)
 
 
+@_memo
 def lng_index(lng, precision: int = 4) -> Column:
     """Longitude band index (0 = at -180) at ``precision``."""
     nl, _ = bit_split(precision)
@@ -92,6 +123,7 @@ def pack(lat_idx, lng_idx, precision: int = 4) -> Column:
     return F.shiftleft(_c(lat_idx), nl).bitwiseOR(_c(lng_idx))
 
 
+@_memo
 def cell_id(lat, lng, precision: int = 4) -> Column:
     """Packed geohash cell as ``bigint``; NULL for null / out-of-range / NaN input."""
     lat, lng = _c(lat), _c(lng)
@@ -117,14 +149,16 @@ def _spread10(i: int) -> int:
     return out
 
 
-# 1024-entry spread table, built by rule; a SQL array literal is one JVM call to build
-_SPREAD_SQL = "array(" + ", ".join(f"{_spread10(i)}L" for i in range(1024)) + ")"
+# 1024-entry spread table, built by rule.  A numpy array becomes one array
+# Literal node (a Python list would be 1024 child expressions to analyse).
+_SPREAD = np.array([_spread10(i) for i in range(1024)], dtype=np.int64)
+_SPREAD_SQL = "array(" + ", ".join(f"{int(v)}L" for v in _SPREAD) + ")"  # for the SQL function
 _CONV_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"  # digit set of conv(..., 32)
 
 
 def _spread(x: Column, bits: int) -> Column:
     """Low ``bits`` bits of ``x`` moved to the even bit positions (10-bit table lookups)."""
-    table = F.expr(_SPREAD_SQL)
+    table = F.lit(_SPREAD)
     out = None
     for j in range(0, bits, 10):
         # never a NULL index: on a literal array it is read as -1 (the last element)
@@ -158,6 +192,7 @@ def _text(lat_i: Column, lng_i: Column, precision: int) -> Column:
     return _code_text(_morton(lat_i, lng_i, precision), precision)
 
 
+@_memo
 def cell_to_geohash(cell, precision: int = 4) -> Column:
     """Text geohash of a packed cell id of the given precision (NULL for NULL).
 
@@ -169,6 +204,7 @@ def cell_to_geohash(cell, precision: int = 4) -> Column:
     return _code_text(code + cell * F.lit(0), precision)
 
 
+@_memo
 def geohash(lat, lng, precision: int = 4) -> Column:
     """Geohash text of (lat, lng); NULL when either is null or out of range.
 
@@ -193,13 +229,13 @@ def _compact8(i: int) -> int:
     return sum(((i >> (2 * k)) & 1) << k for k in range(4))
 
 
-# 256-entry compaction table, built by rule
-_COMPACT_SQL = "array(" + ", ".join(f"{_compact8(i)}L" for i in range(256)) + ")"
+# 256-entry compaction table, built by rule (one array Literal, see _SPREAD)
+_COMPACT = np.array([_compact8(i) for i in range(256)], dtype=np.int64)
 
 
 def _gather_even(x: Column, out_bits: int) -> Column:
     """Even-position bits of ``x`` gathered into an ``out_bits``-bit value (8-bit lookups)."""
-    table = F.expr(_COMPACT_SQL)
+    table = F.lit(_COMPACT)
     out = None
     for j in range(0, 2 * out_bits, 8):
         chunk = F.coalesce((F.shiftright(x, j) if j else x).bitwiseAND(F.lit(255)), F.lit(0).cast("long"))
@@ -231,6 +267,7 @@ def _parse(gh) -> dict:
                 lng_idx=_gather_even(lng_src, _FULL_BITS))
 
 
+@_memo
 def geohash_to_cell(gh, precision: int = 4) -> Column:
     """Packed cell id of a geohash string of exactly ``precision`` chars (else NULL)."""
     p = _parse(gh)
@@ -238,6 +275,7 @@ def geohash_to_cell(gh, precision: int = 4) -> Column:
     return pack(p["lat_idx"], p["lng_idx"], precision) + guard
 
 
+@_memo
 def decode(gh) -> Column:
     """Centre of the geohash cell as ``struct<lat double, lng double>``.
 
@@ -260,6 +298,7 @@ def _let(value: Column, fn) -> Column:
     return F.element_at(F.transform(F.array(value), fn), 1)
 
 
+@_memo
 def neighbours(gh) -> Column:
     """Adjacent cells as ``map<string,string>`` keyed n, ne, e, se, s, sw, w, nw.
 
@@ -323,6 +362,7 @@ def explode_neighbours(df, gh_col: str = "geohash", direction: str = "direction"
     return out.where(F.col(neighbour).isNotNull())
 
 
+@_memo
 def neighbour_cells(cell, precision: int = 4) -> Column:
     """Array of the packed ids of the (up to 8) neighbours of ``cell``."""
     nl, nt = bit_split(precision)

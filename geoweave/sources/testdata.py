@@ -16,8 +16,17 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The benchmark table (read-only files, so the reader's DataFrame is reused per session)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark.sparkContext), path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
