@@ -46,8 +46,14 @@ def top_cells(df: DataFrame, k: int = 10, precision: int = 4) -> DataFrame:
     return g.orderBy(F.col("count").desc(), F.col("geohash").asc_nulls_first()).limit(k)
 
 
-def date_range(df: DataFrame, column: str = "wthr_date") -> DataFrame:
-    return df.agg(F.min(column).alias("min_date"), F.max(column).alias("max_date"))
+def date_range(df: DataFrame, column: str = "wthr_date", iso_date: bool = True) -> DataFrame:
+    """Earliest and latest date.  ISO ``yyyy-MM-dd`` strings are compared as DATE
+    (fixed-width buffers keep a hash aggregate) and returned as text."""
+    if not iso_date:
+        return df.agg(F.min(column).alias("min_date"), F.max(column).alias("max_date"))
+    d = F.try_to_date(F.col(column), "yyyy-MM-dd")
+    return df.agg(F.date_format(F.min(d), "yyyy-MM-dd").alias("min_date"),
+                  F.date_format(F.max(d), "yyyy-MM-dd").alias("max_date"))
 
 
 def cell_counts(df: DataFrame, precision: int = 4, extra: dict | None = None) -> DataFrame:
@@ -71,18 +77,23 @@ def pipeline_summary(places: DataFrame, observations: DataFrame, precision: int
     """The run report in long form: (metric, value).
 
     Each source is scanned once into per-cell counts (at most 32**precision
-    rows each); a null-safe full outer join of the two and one aggregation
-    give every figure.  Distinct geohash counts count the NULL geohash as a
+    rows each); a full outer join of the two on the cell (co-partitioned by
+    the aggregations, so no further shuffle) and one aggregation give every
+    figure.  Distinct geohash counts count the NULL geohash as a
     value and it matches itself in the overlap (set semantics), but a place
     without a cell never counts as enriched.
     """
     pc = cell_counts(places, precision, {"nulls": F.count_if(is_null()), "invalid": F.count_if(is_invalid())})
     oc = cell_counts(observations, precision).withColumnRenamed("n", "obs_n")
-    j = pc.join(oc, pc[en.CELL].eqNullSafe(oc[en.CELL]), "full_outer") \
-          .select(F.coalesce(pc[en.CELL], oc[en.CELL]).alias("cell"), "n", "nulls", "invalid", "obs_n")
+    # plain equality keeps the aggregations' hash partitioning (a null-safe key
+    # would re-shuffle both sides); the NULL cell, which never joins, is
+    # matched by hand below
+    j = pc.join(oc, en.CELL, "full_outer")
     both = F.col("n").isNotNull() & F.col("obs_n").isNotNull()
-    hit = both & F.col("cell").isNotNull()
-    matched = F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0))
+    null_cell = F.col(en.CELL).isNull()
+    null_on_both = (F.max(F.when(null_cell & F.col("n").isNotNull(), 1).otherwise(0)) *
+                    F.max(F.when(null_cell & F.col("obs_n").isNotNull(), 1).otherwise(0)))
+    matched = F.coalesce(F.sum(F.when(both, F.col("n"))), F.lit(0))
     total = F.coalesce(F.sum("n"), F.lit(0))
     figures = [
         ("places_total", total),
@@ -91,7 +102,7 @@ def pipeline_summary(places: DataFrame, observations: DataFrame, precision: int
         ("invalid_coordinates", F.coalesce(F.sum("invalid"), F.lit(0))),
         ("place_geohashes", F.count("n")),
         ("observation_geohashes", F.count("obs_n")),
-        ("matching_geohashes", F.count_if(both)),
+        ("matching_geohashes", F.count_if(both) + null_on_both),
         ("enriched_total", total),
         ("matched", matched),
         ("unmatched", total - matched),

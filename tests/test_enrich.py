@@ -129,3 +129,12 @@ def test_dedupe_rows_whole_row(spark):
     df = spark.createDataFrame([(1, 5, "a"), (1, 2, "b"), (2, 9, "c")], "k int, o long, v string")
     got = {r.k: r.v for r in dd.dedupe_rows(df, "k", "o").collect()}
     assert got == {1: "b", 2: "c"}
+
+
+def test_summary_null_cell_on_both_sides(spark, places):
+    obs = spark.createDataFrame([(1, None, None, 1.0, "2024-01-01"), (2, 40.71, -74.01, 2.0, "2024-01-02")],
+                                "event_id long, lat double, lng double, avg_tmpr_c double, wthr_date string")
+    s = {r.metric: r.value for r in rp.pipeline_summary(places, obs).collect()}
+    # NULL geohash is on both sides: it counts in the overlap, never as an enriched match
+    assert s["matching_geohashes"] == 2 and s["matched"] == 1 and s["observation_geohashes"] == 2
+    assert rp.date_range(obs).first() == ("2024-01-01", "2024-01-02")

@@ -111,3 +111,15 @@ def test_oracle_sample_sf0001(spark, name):
     s = rows_of(E.queries()[name](spark, sf).toPandas())
     d = rows_of(con.execute(E.oracle_sql()[name]).df())
     assert s == d
+
+
+def test_no_risky_operators_in_any_registered_plan(spark):
+    """No Cartesian product, nested-loop join, sort-based aggregation or Python node anywhere."""
+    import __spark_entry__ as E
+    from scripts.plan_lint import profile
+    flagged = {}
+    for name, fn in E.queries().items():
+        red = profile(fn(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString())["red"]
+        if red:
+            flagged[name] = red
+    assert flagged == {}
