@@ -37,7 +37,7 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
 
 
 class CowTable:
-    """A versioned table under ``root``: ``root/v=<n>`` snapshots plus a pointer.
+    """A versioned table under ``root``: ``root/v=<n>`` snapshots plus an append-only commit log.
 
     ``root`` must be on storage every executor sees (e.g. under
     ``spark.checkpoint.dir``).  Bucketing is kept by hash-partitioning each
@@ -58,8 +58,9 @@ class CowTable:
     @classmethod
     def open(cls, spark: SparkSession, root: str, **kw) -> "CowTable":
         """Existing table at ``root``, on its latest committed snapshot."""
-        row = spark.read.text(f"{root.rstrip('/')}/_latest").first()
-        return cls(spark, root, version=int(row[0]), **kw)
+        commits = spark.read.text(f"{root.rstrip('/')}/_commits")
+        latest = commits.agg(F.max(F.col("value").cast("int"))).first()[0]
+        return cls(spark, root, version=int(latest), **kw)
 
     def _path(self, v: int) -> str:
         return f"{self.root}/v={v:06d}"
@@ -75,8 +76,10 @@ class CowTable:
         if self.bucket_col and self.buckets:
             out = out.repartition(self.buckets, self.bucket_col).sortWithinPartitions(self.bucket_col)
         out.write.mode("overwrite").format(self.fmt).save(self._path(nxt))
+        # commit marker, append-only: nothing is deleted, so a crash at any point
+        # leaves the table on the last snapshot whose marker was written
         self.spark.createDataFrame([(str(nxt),)], "value string").coalesce(1) \
-            .write.mode("overwrite").text(f"{self.root}/_latest")
+            .write.mode("append").text(f"{self.root}/_commits")
         self.version = nxt
         return self
 

@@ -60,3 +60,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in base:
         os.makedirs(base, exist_ok=True)
     return f"{base}/geoweave/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
+               target_partition_bytes: int = 256 << 20) -> dict:
+    """Scan and shuffle sizing for a job reading ``input_bytes`` on a given cluster.
+
+    Scans split at ``target_partition_bytes``; the initial shuffle partition
+    count is an upper bound (input / target, at least 2x the cores) that AQE
+    coalesces down to the advisory size after each map stage, and AQE splits
+    a shuffle partition past twice that size in joins.  With the
+    pre-aggregated shuffles of this library the real shuffle volume is far
+    below the input size; the bound only has to keep a wide stage from
+    producing oversized partitions.
+    """
+    cores = max(1, executors * cores_per_executor)
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }

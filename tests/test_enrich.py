@@ -138,3 +138,25 @@ def test_summary_null_cell_on_both_sides(spark, places):
     # NULL geohash is on both sides: it counts in the overlap, never as an enriched match
     assert s["matching_geohashes"] == 2 and s["matched"] == 1 and s["observation_geohashes"] == 2
     assert rp.date_range(obs).first() == ("2024-01-01", "2024-01-02")
+
+
+def test_fine_precision_uses_counted_broadcast(spark):
+    from geoweave.operators import sizing
+    from geoweave.sources import testdata as td
+    sf = "/root/testdata/sf0.001"
+    p, o = td.places(spark, sf), td.observations(spark, sf)
+    a = en.enrich(p, o, precision=6, reduce=True)
+    b = en.enrich(p, o, precision=6, reduce=False)
+    assert a.agg(checksum(a.columns)).first()[0] == b.agg(checksum(b.columns)).first()[0]
+    cells = en.place_cells(p, 6)
+    assert sizing.at_most(cells, 10 ** 6) and not sizing.at_most(cells, 3)
+    obs = en.add_cell(o, 6)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only the explicit hint may broadcast
+    try:
+        small = obs.join(sizing.broadcast_if_small(cells, 10 ** 6), en.CELL, "left_semi")
+        large = obs.join(sizing.broadcast_if_small(cells, 3), en.CELL, "left_semi")
+        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

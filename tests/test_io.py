@@ -141,3 +141,33 @@ def test_synth_observations_deterministic(spark, places):
     assert 20 <= r[0] and r[1] <= 100
     assert a.where("geohash IS NULL").count() == 0
     assert list(a.columns) == [f.name for f in schemas.SYNTH_OBSERVATIONS.fields]
+
+
+def test_avro_format_argument(spark, places, tmp_path):
+    import pytest
+    try:
+        sk.write_partitioned(places, str(tmp_path / "avro"), ("country",), fmt="avro")
+    except Exception as e:  # the Avro data source is not on every classpath
+        if "avro" in str(e).lower():
+            pytest.skip("Avro data source not available")
+        raise
+    back = spark.read.format("avro").load(str(tmp_path / "avro")).where("country = 'US'")
+    assert back.count() == 2
+
+
+def test_sql_values_into_bucketed_catalog_table(spark, tmp_path):
+    spark.sql(f"CREATE TABLE my_emp_sql (id INT, name STRING, salary INT) USING orc "
+              f"CLUSTERED BY (id) INTO 5 BUCKETS LOCATION '{tmp_path / 'my_emp_sql'}'")
+    spark.sql("INSERT INTO my_emp_sql VALUES (1, 'John', 10000), (2, 'Sara', 12000), (3, 'Adam', 8000)")
+    spark.sql("INSERT INTO my_emp_sql VALUES (4, 'Alex', 13000)")
+    assert spark.table("my_emp_sql").count() == 4
+    desc = {r.col_name: r.data_type for r in cat.describe_table(spark, "my_emp_sql").collect()}
+    assert desc.get("Num Buckets") == "5" and desc.get("Type") == "EXTERNAL"
+    cat.drop_table(spark, "my_emp_sql")
+
+
+def test_scale_conf():
+    from geoweave.session import scale_conf
+    c = scale_conf(100 << 40, executors=1000, cores_per_executor=4)
+    assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert scale_conf(1 << 20, 2, 4)["spark.sql.shuffle.partitions"] == "16"
