@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas
+from ..operators.sizing import broadcast_if_small
 
 CTRL_A = "\u0001"
 
@@ -61,27 +62,70 @@ def write_delimited(df: DataFrame, path: str, sep: str = CTRL_A, null_value: str
     df.select(line.alias("value")).write.mode(mode).text(path)
 
 
+def _ordered_text(parts: str, order: str, value: str) -> Column:
+    """Join the ``value`` fields of an array of structs in ``order`` with newlines."""
+    return F.array_join(F.transform(F.sort_array(F.col(parts)), lambda x: x[value]), "\n")
+
+
 def repair_multiline(spark: SparkSession, path: str, schema: StructType, key_pattern: str = r"\d+",
                      sep: str = CTRL_A, null_value: str = "null") -> DataFrame:
     """Re-assemble records whose text fields hold raw line breaks.
 
-    A new record starts only where a line begins with ``key_pattern``
-    followed by the separator; other line breaks belong to the previous
-    record's text.  Each file is one task (``wholetext``), so the unit of
-    work is a file: writers should bound file size (``maxRecordsPerFile``).
+    A new record starts only at a line that begins with ``key_pattern``
+    followed by the separator; any other line continues the record before
+    it.  Files are read as ordinary splittable text (``\n`` only, so a CR of
+    an embedded CR/LF stays in the text), and lines are ordered by (file,
+    split start, position in split):
+
+    * a window per split fills each line's record-start id forward; records
+      whose start is in the same split are grouped right there (the window's
+      partitioning already satisfies the grouping, no extra shuffle);
+    * lines before the first start of a split continue the last record of an
+      earlier split of the same file; that id comes from a window over a
+      one-row-per-split summary, and these fragments (at most one per split)
+      are appended to their record by a join on the record id.
+
+    Lines are shuffled once (by split, for the window) and pieces once (by
+    record); a second, cheap scan only builds the per-split summary.
+
+    No file is ever held whole in one task; a group is one record.  Lines
+    before the first record of a file are kept as a record of their own.
     """
-    raw = spark.read.text(path, wholetext=True)  # the keyword: .text() would reset an .option()
-    # only the writer's final line break goes; a break that ends a text field stays
-    body = F.regexp_replace(F.col("value"), r"\n\z", "")
-    rec = F.explode(F.split(body, f"\n(?={key_pattern}{sep})"))
-    lines = raw.select(rec.alias("line")).where(F.col("line") != "")
-    parts = F.split(F.col("line"), sep, len(schema.fields))
+    start_re = f"^{key_pattern}{sep}"
+    raw = (spark.read.option("lineSep", "\n").text(path)
+           .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("_f"),
+                   F.col("_metadata.file_block_start").alias("_b"),
+                   F.monotonically_increasing_id().alias("_i")))
+    raw = raw.withColumn("_s", F.col("line").rlike(start_re))
+    # per split: the last record start (a small summary; partial aggregation only)
+    last_start = raw.groupBy("_f", "_b").agg(F.max(F.when(F.col("_s"), F.col("_i"))).alias("_last"))
+    before = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last_start.select("_f", "_b", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+
+    # lines -> record start within the split (window per split: the one shuffle of lines)
+    in_split = Window.partitionBy("_f", "_b").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+    lines = raw.withColumn("_rec", F.last(F.when(F.col("_s"), F.col("_i")), ignorenulls=True).over(in_split))
+    # one piece per record-in-split, plus at most one leading fragment (_rec NULL) per split;
+    # the grouping reuses the window's partitioning
+    pieces = (lines.groupBy("_f", "_b", "_rec")
+              .agg(F.collect_list(F.struct("_i", "line")).alias("_p"))
+              .select("_f", "_b", "_rec", _ordered_text("_p", "_i", "line").alias("_text")))
+    # a fragment belongs to the last start of an earlier split; one with no earlier
+    # start in its file stays a record of its own (keyed by its split)
+    keyed = pieces.join(broadcast_if_small(carry), ["_f", "_b"], "left") \
+        .select("_f", F.coalesce("_rec", "_carry").alias("_key"),
+                F.when(F.col("_rec").isNull() & F.col("_carry").isNull(), F.col("_b")).alias("_orphan"),
+                F.struct("_b", "_text").alias("_piece"))
+    records = (keyed.groupBy("_f", "_key", "_orphan").agg(F.collect_list("_piece").alias("_p"))
+               .select(_ordered_text("_p", "_b", "_text").alias("rec")))
+
+    parts = F.split(F.col("rec"), sep, len(schema.fields))
     cols = []
     for i, f in enumerate(schema.fields):
-        v = parts.getItem(i)
+        v = F.get(parts, i)  # a short (malformed) record gives NULLs, as PERMISSIVE parsing would
         v = F.when(v == F.lit(null_value), F.lit(None)).otherwise(v)
         cols.append(v.try_cast(f.dataType).alias(f.name))
-    return lines.select(*cols)
+    return records.select(*cols)
 
 
 def read_orc(spark: SparkSession, path: str) -> DataFrame:

@@ -171,3 +171,30 @@ def test_scale_conf():
     c = scale_conf(100 << 40, executors=1000, cores_per_executor=4)
     assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert scale_conf(1 << 20, 2, 4)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_repair_multiline_across_splits(spark, tmp_path):
+    """Records that span split boundaries (tiny splits force many) come back whole and exact."""
+    from geoweave.sources import testdata as td
+    cols = ["doc_id", "lang", "source", "n_chars", "text"]
+    docs = td.table(spark, "/root/testdata/sf0.001", "documents").select(*cols)
+    d = str(tmp_path / "docs")
+    src.write_delimited(docs.coalesce(2), d)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(16 << 10))
+    try:
+        raw = spark.read.option("lineSep", "\n").text(d)
+        assert raw.select("_metadata.file_block_start").distinct().count() > 10  # really split
+        fixed = src.repair_multiline(spark, d, docs.schema)
+        assert fixed.count() == docs.count()
+        assert fixed.exceptAll(docs).count() == 0 and docs.exceptAll(fixed).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_repair_keeps_leading_fragment(spark, tmp_path):
+    d = str(tmp_path / "lead")
+    _write(d, ["stray text", A.join(["7", "x"]), "more x"])
+    from pyspark.sql.types import _parse_datatype_string
+    got = sorted(src.repair_multiline(spark, d, _parse_datatype_string("k int, v string")).collect(), key=str)
+    assert (7, "x\nmore x") in [tuple(r) for r in got] and len(got) == 2
