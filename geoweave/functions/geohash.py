@@ -16,8 +16,10 @@ The text is made from the geohash integer (the two indexes interleaved by
 10-bit lookups in a spread table) with ``conv`` to base 32 and
 ``translate`` to the geohash alphabet, so an encode reads each index once
 per 10 bits and the expression stays small enough for whole-stage codegen
-however it is nested.  Decoding locates each character once and reads its
-bits from two 32-entry arrays.
+however it is nested.  Decoding reverses it (``translate`` + ``conv``) and
+gathers alternate bits by 8-bit table lookups.  NULL is carried by
+arithmetic (``+ when(valid, 0)``), not by a CASE around the work, so shared
+parts stay eligible for common-subexpression elimination.
 """
 
 from __future__ import annotations
@@ -401,14 +403,15 @@ def sql_geohash_expr(lat: str, lng: str, precision: int = 4, spread_fn: str = "g
     la, lo_ = index(lat, -90.0, 90.0, nt), index(lng, -180.0, 180.0, nl)
     code = (f"(({spread(lo_, nl)} << 1) | {spread(la, nt)})" if nl == nt
             else f"({spread(lo_, nl)} | ({spread(la, nt)} << 1))")
-    text = f"translate(lpad(conv(CAST({code} AS STRING), 10, 32), {precision}, '0'), '{_CONV_DIGITS}', '{BASE32}')"
-    return f"CASE WHEN {lat} BETWEEN -90 AND 90 AND {lng} BETWEEN -180 AND 180 THEN {text} END"
+    guard = f"CASE WHEN {lat} BETWEEN -90 AND 90 AND {lng} BETWEEN -180 AND 180 THEN 0L END"
+    return (f"translate(lpad(conv(CAST({code} + {guard} AS STRING), 10, 32), {precision}, '0'), "
+            f"'{_CONV_DIGITS}', '{BASE32}')")
 
 
 def register_sql_functions(spark, precision: int = 4, name: str = "geohash") -> None:
     """``CREATE TEMPORARY FUNCTION <name>(lat, lng)`` returning the geohash text."""
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION gw_spread10(x BIGINT) RETURNS BIGINT "
-              f"RETURN element_at({_SPREAD_SQL}, CAST(x + 1 AS INT))")
+              f"RETURN element_at({_SPREAD_SQL}, CAST(coalesce(x, 0) + 1 AS INT))")
     body = sql_geohash_expr("lat", "lng", precision)
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(lat DOUBLE, lng DOUBLE) "
               f"RETURNS STRING RETURN {body}")
