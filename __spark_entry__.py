@@ -551,8 +551,8 @@ def _synth_sql() -> str:
     lat = f"round(least(greatest(lat + {uni(s + 1, -0.1, 0.1)}, -90.0), 90.0), 6)"
     lng = f"round(least(greatest(lng + {uni(s + 2, -0.1, 0.1)}, -180.0), 180.0), 6)"
     return _q(f""", d AS (
-  SELECT p.*, r.draw FROM places p, range(1, 5) AS r(draw)
-  WHERE p.lat BETWEEN -90 AND 90 AND p.lng BETWEEN -180 AND 180),
+  SELECT *, unnest(range(1, 5)) AS draw FROM places
+  WHERE lat BETWEEN -90 AND 90 AND lng BETWEEN -180 AND 180),
 s AS (
   SELECT {lat} AS lat, {lng} AS lng,
          round({uni(s + 3, -10.0, 35.0, 450)}, 1) AS temperature_c,
@@ -571,7 +571,9 @@ SELECT lat, lng, {_d_geohash('lat', 'lng')} AS geohash, temperature_c, humidity_
 
 def oracle_sql() -> dict[str, str]:
     first_cols = ["lat", "lng", "avg_tmpr_f", "avg_tmpr_c", "wthr_date", "year", "month", "day"]
-    dirs = "('n', 1, 0), ('ne', 1, 1), ('e', 0, 1), ('se', -1, 1), ('s', -1, 0), ('sw', -1, -1), ('w', 0, -1), ('nw', 1, -1)"
+    offsets = [("n", 1, 0), ("ne", 1, 1), ("e", 0, 1), ("se", -1, 1),
+               ("s", -1, 0), ("sw", -1, -1), ("w", 0, -1), ("nw", 1, -1)]
+    dirs = ", ".join(f"{{'direction': '{k}', 'dlat': {a}, 'dlng': {b}}}" for k, a, b in offsets)
     places_all = _q(f"SELECT {_PLACE_COLS} FROM places")
     return {
         "enrich_left_join": _q(f"SELECT {_ENR} FROM enriched"),
@@ -651,9 +653,9 @@ def oracle_sql() -> dict[str, str]:
         "geohash_neighbors": _q(f""", g AS (
               SELECT DISTINCT geohash, {_d_band('geohash', 'lat')} AS ti, {_d_band('geohash', 'lng')} AS li
               FROM pg WHERE geohash IS NOT NULL),
-            d(direction, dlat, dlng) AS (VALUES {dirs}),
-            nb AS (SELECT g.geohash, d.direction, g.ti + d.dlat AS ti2, ((g.li + d.dlng) % 1024 + 1024) % 1024 AS li2
-                   FROM g JOIN d ON true)
+            fan AS (SELECT geohash, ti, li, unnest([{dirs}]) AS d FROM g),
+            nb AS (SELECT geohash, d.direction AS direction, ti + d.dlat AS ti2,
+                          ((li + d.dlng) % 1024 + 1024) % 1024 AS li2 FROM fan)
             SELECT geohash, direction, {_d_text('ti2', 'li2', 4)} AS neighbour
             FROM nb WHERE ti2 >= 0 AND ti2 < 1024"""),
         "scan_csv_typed": places_all,
