@@ -7,7 +7,7 @@ Here "first" means: the value of ``c`` on the row with the smallest
 the plan stays a partial + final HashAggregate, so a key holding a third
 of all rows is pre-combined on the map side before any shuffle.
 
-As in the reference, each column's first value may come from a different
+As in the original job, each column's first value may come from a different
 row.
 """
 

@@ -1,6 +1,6 @@
 """Fill missing coordinates from a (city, country) lookup table.
 
-The reference calls a web geocoder in a driver loop, one request per
+The original job calls a web geocoder in a driver loop, one request per
 second.  Here the lookup is a table: known coordinates per (city,
 country), optionally extended by a caller-supplied resolver that runs in
 ``mapInPandas`` over the keys not yet in the table (so reruns make no
@@ -49,7 +49,7 @@ def fill_coordinates(df: DataFrame, lookup: DataFrame, repair_invalid: bool = Fa
     """Fill NULL lat / lng from ``lookup`` (columns city, country, lookup_lat, lookup_lng).
 
     Each coordinate is filled on its own (``coalesce``), as in the
-    reference.  By default an out-of-range value is kept (reference
+    original job.  By default an out-of-range value is kept (original
     behaviour); ``repair_invalid=True`` nulls it first so it is filled too.
     The lookup is broadcast only after its row count is checked.
     """
@@ -76,7 +76,7 @@ def coords_from_json(body: str | Column) -> Column:
 
 def resolve_missing(keys: DataFrame, lookup: DataFrame | None,
                     resolver: Callable[[pd.DataFrame], pd.DataFrame],
-                    batch_partitions: int | None = None) -> DataFrame:
+                    batch_partitions: int | None = None, on_error: str = "null") -> DataFrame:
     """New lookup rows for keys the table does not know yet.
 
     ``resolver`` takes a pandas frame (city, country) and returns (city,
@@ -84,7 +84,13 @@ def resolve_missing(keys: DataFrame, lookup: DataFrame | None,
     the executors, only for keys absent from ``lookup`` (anti-join), so a
     rerun after the rows were appended calls nothing.  ``batch_partitions``
     bounds the concurrent callers (e.g. to respect an API rate limit).
+    ``on_error="null"`` turns a failing batch into NULL coordinates for its
+    keys (a failed lookup is "no coordinates", not a failed job); filter
+    those out before appending if they should be retried on the next run.
+    ``on_error="raise"`` lets the exception fail the task.
     """
+    if on_error not in ("null", "raise"):
+        raise ValueError("on_error must be 'null' or 'raise'")
     todo = keys.select("city", "country")
     if lookup is not None:
         todo = todo.join(lookup.select("city", "country"), ["city", "country"], "left_anti")
@@ -93,8 +99,15 @@ def resolve_missing(keys: DataFrame, lookup: DataFrame | None,
 
     def run(batches):
         for pdf in batches:
-            if len(pdf):
+            if not len(pdf):
+                continue
+            try:
                 out = resolver(pdf[["city", "country"]].copy())
-                yield out[["city", "country", "lookup_lat", "lookup_lng"]]
+            except Exception:
+                if on_error == "raise":
+                    raise
+                out = pdf[["city", "country"]].assign(lookup_lat=None, lookup_lng=None)
+            yield out[["city", "country", "lookup_lat", "lookup_lng"]].astype(
+                {"lookup_lat": "float64", "lookup_lng": "float64"})
 
     return todo.mapInPandas(run, schema=schemas.LOOKUP)

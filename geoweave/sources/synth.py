@@ -1,6 +1,6 @@
 """Synthetic observations around the places of a table.
 
-The reference generator loops on the driver, unseeded.  Here every place
+The original generator loops on the driver, unseeded.  Here every place
 with valid coordinates anchors ``per_place`` observations, fanned out with
 ``sequence`` + ``explode`` inside the tasks; all "random" values are
 deterministic integer hashes of (place id, draw number, seed), so a rerun

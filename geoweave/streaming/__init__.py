@@ -1,6 +1,6 @@
 """Streaming: intentionally empty.
 
-The reference has no stream source, watermark, window or state; its
+The original job has no stream source, watermark, window or state; its
 "real-time feeds" exist only as future ideas.  Nothing is built here, so
 no streaming operator is claimed.  The batch operators are plain
 ``DataFrame -> DataFrame`` functions and would apply unchanged inside

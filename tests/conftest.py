@@ -50,7 +50,7 @@ def places_csv(spark, places, tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def obs_test_shape(spark):
-    """Observations in the reference test shape (geohash column present), with an order key."""
+    """Observations in the original test shape (geohash column present), with an order key."""
     rows = [(i,) + r for i, r in enumerate(OBS_ROWS)]
     return spark.createDataFrame(rows, "event_id long, lat double, lng double, geohash string, "
                                        "temperature_c double, humidity_pct long, pressure_mb double, "

@@ -1,4 +1,4 @@
-"""Geohash column functions: reference vectors, edges, properties."""
+"""Geohash column functions: known vectors, edges, properties."""
 
 import math
 
@@ -13,7 +13,7 @@ ALPHA = "0123456789bcdefghjkmnpqrstuvwxyz"
 
 
 def bisect_encode(lat, lng, p):
-    """Plain bisection encoder used only as a test reference."""
+    """Plain bisection encoder used only as a test oracle."""
     lat = min(max(lat, -90 + 1e-9), 90 - 1e-9)
     lng = min(max(lng, -180 + 1e-9), 180 - 1e-9)
     lo_t, hi_t, lo_l, hi_l = -90.0, 90.0, -180.0, 180.0

@@ -62,3 +62,16 @@ def test_lookup_from_places_uses_valid_rows(places):
     got = {(r.city, r.country): (r.lookup_lat, r.lookup_lng) for r in lk.lookup_from_places(places).collect()}
     assert ("Barcelona", "ES") not in got and ("Chicago", "US") not in got
     assert got[("Paris", "FR")] == (48.8566, 2.3522)
+
+
+def test_resolver_error_gives_null_coordinates(spark):
+    import pytest
+    keys = spark.createDataFrame([("Atlantis", "XX")], "city string, country string")
+
+    def broken(pdf):
+        raise ConnectionError("service down")
+
+    rows = lk.resolve_missing(keys, None, broken).collect()
+    assert [(r.city, r.lookup_lat, r.lookup_lng) for r in rows] == [("Atlantis", None, None)]
+    with pytest.raises(Exception):
+        lk.resolve_missing(keys, None, broken, on_error="raise").collect()
