@@ -160,3 +160,20 @@ def test_fine_precision_uses_counted_broadcast(spark):
         assert "BroadcastHashJoin" not in large._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hot_cell_is_combined_before_the_shuffle(spark):
+    """A cell holding a third of all rows crosses the shuffle as at most one row per map task."""
+    from scripts.plan_lint import shuffle_records
+    n, tasks = 240_000, 8
+    hot = F.col("id") % 3 == 0
+    obs = spark.range(0, n, numPartitions=tasks).select(
+        F.col("id").alias("event_id"),
+        F.when(hot, F.lit(40.71)).otherwise(F.lit(30.0) + (F.col("id") * 6007 % 800) / 100).alias("lat"),
+        F.when(hot, F.lit(-74.01)).otherwise(F.lit(-10.0) + (F.col("id") * 6011 % 997) / 100).alias("lng"),
+        (F.col("id") % 40).cast("double").alias("avg_tmpr_c"), F.lit("2024-01-01").alias("wthr_date"),
+    ).withColumn("avg_tmpr_f", F.col("avg_tmpr_c") * 2)
+    r = en.reduce_observations(obs)
+    cells = len(r.collect())
+    written = shuffle_records(r)
+    assert written and sum(written) <= tasks * cells and sum(written) < n // 10
