@@ -198,3 +198,16 @@ def test_repair_keeps_leading_fragment(spark, tmp_path):
     from pyspark.sql.types import _parse_datatype_string
     got = sorted(src.repair_multiline(spark, d, _parse_datatype_string("k int, v string")).collect(), key=str)
     assert (7, "x\nmore x") in [tuple(r) for r in got] and len(got) == 2
+
+
+def test_describe_after_drop_fails(spark, places, tmp_path):
+    import pytest
+    from pyspark.errors import AnalysisException
+    path = str(tmp_path / "offices_t")
+    places.write.parquet(path)
+    cat.create_external_table(spark, "offices_t", path, schemas.PLACES)
+    assert any(r.col_name == "Location" for r in cat.describe_table(spark, "offices_t").collect())
+    cat.drop_table(spark, "offices_t")
+    with pytest.raises(AnalysisException):
+        cat.describe_table(spark, "offices_t").collect()
+    assert spark.read.parquet(path).count() == 5  # external: data kept
