@@ -27,10 +27,11 @@ from __future__ import annotations
 import functools
 
 import numpy as np
-from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..session import context_key
+
 # The geohash base-32 alphabet (no a, i, l, o).
 BASE32 = "0123456789bcdefghjkmnpqrstuvwxyz"
 
@@ -54,8 +55,8 @@ def _memo(fn):
 
     Building these expressions costs hundreds of JVM round trips; a Column
     is an unresolved expression, so the same object can serve any number of
-    DataFrames.  Keyed by the active SparkContext, so a restarted session
-    never sees stale JVM objects.
+    DataFrames.  Keyed by the active SparkContext object, so a restarted
+    session never sees stale JVM objects.
     """
     cache: dict = {}
 
@@ -64,7 +65,7 @@ def _memo(fn):
         plain = all(isinstance(a, (str, int, float)) for a in (*args, *kw.values()))
         if not plain:
             return fn(*args, **kw)
-        key = (id(SparkContext._active_spark_context), args, tuple(sorted(kw.items())))
+        key = (context_key(), args, tuple(sorted(kw.items())))
         col = cache.get(key)
         if col is None:
             col = cache[key] = fn(*args, **kw)

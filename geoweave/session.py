@@ -18,6 +18,18 @@ DEFAULT_CONF = {
 }
 
 
+def context_key(sc=None) -> str:
+    """A key unique to one SparkContext object (ids can be reused after a stop)."""
+    from pyspark import SparkContext
+    sc = sc or SparkContext._active_spark_context
+    if sc is None:
+        return "none"
+    key = getattr(sc, "_geoweave_key", None)
+    if key is None:
+        key = sc._geoweave_key = uuid.uuid4().hex
+    return key
+
+
 def get_session(master: str | None = None, app_name: str = "geoweave",
                 shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with AQE on.

@@ -112,7 +112,9 @@ def repair_multiline(spark: SparkSession, path: str, schema: StructType, key_pat
               .select("_f", "_b", "_rec", _ordered_text("_p", "_i", "line").alias("_text")))
     # a fragment belongs to the last start of an earlier split; one with no earlier
     # start in its file stays a record of its own (keyed by its split)
-    keyed = pieces.join(broadcast_if_small(carry), ["_f", "_b"], "left") \
+    # one carry row per (file, split): bounded by input files + input partitions (metadata only)
+    bound = len(raw.inputFiles()) + raw.rdd.getNumPartitions()
+    keyed = pieces.join(broadcast_if_small(carry, proven_rows=bound), ["_f", "_b"], "left") \
         .select("_f", F.coalesce("_rec", "_carry").alias("_key"),
                 F.when(F.col("_rec").isNull() & F.col("_carry").isNull(), F.col("_b")).alias("_orphan"),
                 F.struct("_b", "_text").alias("_piece"))

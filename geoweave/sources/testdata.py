@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import context_key
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -22,7 +24,7 @@ _TABLES: dict = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The benchmark table (read-only files, so the reader's DataFrame is reused per session)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark.sparkContext), path)
+    key = (context_key(spark.sparkContext), path)
     df = _TABLES.get(key)
     if df is None:
         df = _TABLES[key] = spark.read.parquet(path)
