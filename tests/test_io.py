@@ -211,3 +211,26 @@ def test_describe_after_drop_fails(spark, places, tmp_path):
     with pytest.raises(AnalysisException):
         cat.describe_table(spark, "offices_t").collect()
     assert spark.read.parquet(path).count() == 5  # external: data kept
+
+
+def test_malformed_lines_are_quarantined(spark, tmp_path):
+    from pyspark.sql.types import _parse_datatype_string
+    d = str(tmp_path / "pay")
+    _write(d, [A.join(["103", "HQ336336", "2004-10-19", "6066.78"]),
+               A.join(["oops", "JM555205", "2003-06-05", "14571.44"])])
+    df = src.read_delimited(spark, d, schemas.PAYMENTS, corrupt_column="_corrupt").cache()
+    rows = {r.check_number: r for r in df.collect()}
+    assert rows["HQ336336"]._corrupt is None and str(rows["HQ336336"].amount) == "6066.78"
+    assert rows["JM555205"].customer_number is None and rows["JM555205"]._corrupt.startswith("oops")
+    assert str(rows["HQ336336"].payment_date) == "2004-10-19"
+
+
+def test_dynamic_overwrite_replaces_only_written_partitions(spark, places, tmp_path):
+    out = str(tmp_path / "dyn")
+    sk.write_partitioned(places, out, ("country",))
+    changed = places.where("country = 'US'").withColumn("franchise_name", F.lit("renamed"))
+    sk.write_partitioned(changed, out, ("country",), mode="overwrite")
+    back = spark.read.parquet(out)
+    assert back.count() == 5
+    assert {r.franchise_name for r in back.where("country = 'US'").collect()} == {"renamed"}
+    assert back.where("country = 'FR'").first().franchise_name == "Test Bistro"
