@@ -21,7 +21,6 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from geoweave import schemas  # noqa: E402
 from geoweave.functions import geohash as gh  # noqa: E402
-from geoweave.operators import dedupe as dd  # noqa: E402
 from geoweave.operators import enrich as en  # noqa: E402
 from geoweave.operators import lookup as lk  # noqa: E402
 from geoweave.operators import mutate as mu  # noqa: E402
@@ -343,6 +342,30 @@ def q_input_lineage(spark, sf):
 
 # ------------------------------------------------------- HiveQL-style queries
 
+def q_inline_values(spark, sf):
+    """Inline rows (SQL VALUES) as a small dimension joined to a full table."""
+    view = f"orders_{uuid.uuid4().hex[:8]}"
+    td.table(spark, sf, "orders").createOrReplaceTempView(view)
+    return spark.sql(f"""
+        SELECT o.o_orderpriority, u.urgency, count(*) AS orders_count
+        FROM {view} o
+        LEFT JOIN (VALUES ('1-URGENT', 'high'), ('2-HIGH', 'high'), ('3-MEDIUM', 'normal'),
+                          ('4-NOT SPECIFIED', 'normal'), ('5-LOW', 'low')) AS u(priority, urgency)
+          ON o.o_orderpriority = u.priority
+        GROUP BY o.o_orderpriority, u.urgency""")
+
+
+def q_insert_values(spark, sf):
+    """INSERT ... SELECT from a table, then INSERT ... VALUES, into an external catalog table."""
+    name, view = f"suppliers_{uuid.uuid4().hex[:8]}", f"supplier_{uuid.uuid4().hex[:8]}"
+    td.table(spark, sf, "supplier").createOrReplaceTempView(view)
+    spark.sql(f"CREATE TABLE {name} (s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE) "
+              f"USING parquet LOCATION '{scratch_path(spark, name)}'")
+    spark.sql(f"INSERT INTO {name} SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM {view}")
+    spark.sql(f"INSERT INTO {name} VALUES (-1, 'Supplier#new-1', 3, 10.5), (-2, 'Supplier#new-2', NULL, NULL)")
+    return spark.table(name)
+
+
 def q_select_star_limit(spark, sf):
     return tb.head(td.table(spark, sf, "supplier"), 10, ["s_suppkey"])
 
@@ -679,6 +702,15 @@ def oracle_sql() -> dict[str, str]:
         "filter_partition_eq": _q(f"SELECT {_PLACE_COLS} FROM places WHERE country = 'NATION_3'"),
         "input_lineage": _q("SELECT country, count(*) AS rows, true AS has_files FROM places "
                             "WHERE country IN ('NATION_3', 'NATION_7') GROUP BY country"),
+        "inline_values": """SELECT o.o_orderpriority, u.urgency, count(*) AS orders_count
+            FROM orders o
+            LEFT JOIN (VALUES ('1-URGENT', 'high'), ('2-HIGH', 'high'), ('3-MEDIUM', 'normal'),
+                              ('4-NOT SPECIFIED', 'normal'), ('5-LOW', 'low')) AS u(priority, urgency)
+              ON o.o_orderpriority = u.priority
+            GROUP BY o.o_orderpriority, u.urgency""",
+        "insert_values": """SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier
+            UNION ALL SELECT -1, 'Supplier#new-1', 3, 10.5
+            UNION ALL SELECT -2, 'Supplier#new-2', NULL, NULL""",
         "select_star_limit": "SELECT * FROM supplier ORDER BY s_suppkey LIMIT 10",
         "project_between_sort": "SELECT s_suppkey, s_name, s_acctbal FROM supplier "
                                 "WHERE s_acctbal BETWEEN 1000 AND 6000 ORDER BY s_name DESC, s_suppkey LIMIT 5",
