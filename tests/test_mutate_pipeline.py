@@ -123,3 +123,19 @@ def test_no_risky_operators_in_any_registered_plan(spark):
         if red:
             flagged[name] = red
     assert flagged == {}
+
+
+def test_cli_no_geocode_and_lookup_path(spark, places_csv, obs_real_shape, tmp_path, capsys):
+    weather = str(tmp_path / "w")
+    obs_real_shape.write.parquet(weather)
+    out1, out2, lookup = str(tmp_path / "o1"), str(tmp_path / "o2"), str(tmp_path / "lookup")
+    spark.createDataFrame([("Chicago", "US", 41.88, -87.63)], schemas.LOOKUP).write.parquet(lookup)
+    assert cli.main(["--restaurant-path", places_csv, "--weather-path", weather, "--output-path", out1,
+                     "--no-geocode"]) == 0
+    assert spark.read.parquet(out1).where("id = 4").first().lat is None
+    assert cli.main(["--restaurant-path", places_csv, "--weather-path", weather, "--output-path", out2,
+                     "--lookup-path", lookup]) == 0
+    r = spark.read.parquet(out2).where("id = 4").first()
+    assert (r.lat, r.lng, r.geohash) == (41.88, -87.63, "dp3w")
+    last = [x for x in capsys.readouterr().out.splitlines() if x.startswith("{")][-1]
+    assert json.loads(last)["matched"] == 4  # the filled Chicago place now meets the Chicago observation
