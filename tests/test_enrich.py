@@ -177,3 +177,30 @@ def test_hot_cell_is_combined_before_the_shuffle(spark):
     cells = len(r.collect())
     written = shuffle_records(r)
     assert written and sum(written) <= tasks * cells and sum(written) < n // 10
+
+
+def test_dedupe_matches_brute_force(spark):
+    """first-non-null-by-order and averages equal a plain pandas computation on random data."""
+    import random
+
+    import pandas as pd
+    rnd = random.Random(11)
+    order = list(range(3000))
+    rnd.shuffle(order)
+    rows = []
+    for o in order:
+        k = 0 if rnd.random() < 0.35 else rnd.randrange(40)  # key 0 holds about a third of the rows
+        v = None if rnd.random() < 0.3 else rnd.uniform(-5, 5)
+        s = None if rnd.random() < 0.2 else f"2024-02-{rnd.randrange(1, 29):02d}"
+        rows.append((k, o, v, s))
+    df = spark.createDataFrame(rows, "k int, o long, v double, s string").repartition(6)
+    first = {r.k: (r.v, r.s) for r in dd.dedupe_first(df, "k", "o", ["v", "s"], date_columns=("s",)).collect()}
+    avg = {r.k: (r.f_s, r.f_v) for r in
+           dd.dedupe_avg(df, "k", "o", ["v"], ["s"], prefix="f_", date_columns=("s",)).collect()}
+    pdf = pd.DataFrame(rows, columns=["k", "o", "v", "s"]).sort_values("o")
+    for k, g in pdf.groupby("k"):
+        v, s = g["v"].dropna(), g["s"].dropna()
+        exp_v, exp_s = (v.iloc[0] if len(v) else None), (s.iloc[0] if len(s) else None)
+        assert first[k] == (exp_v, exp_s)
+        assert avg[k][0] == exp_s
+        assert (avg[k][1] is None and not len(v)) or abs(avg[k][1] - v.mean()) < 1e-9
