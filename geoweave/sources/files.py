@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -13,8 +15,14 @@ CTRL_A = "\u0001"
 
 
 def read_places(spark: SparkSession, path: str, schema: StructType = schemas.PLACES) -> DataFrame:
-    """CSV with header and an explicit schema (no inference job)."""
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """CSV with header and an explicit schema (no inference job).
+
+    ``enforceSchema=false`` checks the header names against the schema, so
+    a file with reordered or renamed columns fails instead of loading
+    values into the wrong columns.
+    """
+    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+            .option("mode", "PERMISSIVE").csv(path))
 
 
 def read_csv_strings(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
@@ -91,7 +99,8 @@ def repair_multiline(spark: SparkSession, path: str, schema: StructType, key_pat
     No file is ever held whole in one task; a group is one record.  Lines
     before the first record of a file are kept as a record of their own.
     """
-    start_re = f"^{key_pattern}{sep}"
+    sep_re = re.escape(sep)  # split() and rlike() take regular expressions
+    start_re = f"^{key_pattern}{sep_re}"
     raw = (spark.read.option("lineSep", "\n").text(path)
            .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("_f"),
                    F.col("_metadata.file_block_start").alias("_b"),
@@ -121,7 +130,7 @@ def repair_multiline(spark: SparkSession, path: str, schema: StructType, key_pat
     records = (keyed.groupBy("_f", "_key", "_orphan").agg(F.collect_list("_piece").alias("_p"))
                .select(_ordered_text("_p", "_b", "_text").alias("rec")))
 
-    parts = F.split(F.col("rec"), sep, len(schema.fields))
+    parts = F.split(F.col("rec"), sep_re, len(schema.fields))
     cols = []
     for i, f in enumerate(schema.fields):
         v = F.get(parts, i)  # a short (malformed) record gives NULLs, as PERMISSIVE parsing would

@@ -234,3 +234,21 @@ def test_dynamic_overwrite_replaces_only_written_partitions(spark, places, tmp_p
     assert back.count() == 5
     assert {r.franchise_name for r in back.where("country = 'US'").collect()} == {"renamed"}
     assert back.where("country = 'FR'").first().franchise_name == "Test Bistro"
+
+
+def test_repair_with_regex_special_separator(spark, tmp_path):
+    from pyspark.sql.types import _parse_datatype_string
+    d = str(tmp_path / "pipe")
+    _write(d, ["1|a|first\nline", "2|b|x|y"])
+    got = {r.k: r for r in src.repair_multiline(spark, d, _parse_datatype_string("k int, c string, t string"),
+                                                sep="|").collect()}
+    assert got[1].t == "first\nline" and got[2].t == "x|y"
+
+
+def test_places_header_is_checked(spark, tmp_path):
+    import pytest
+    p = tmp_path / "swapped.csv"
+    p.write_text("id,franchise_id,franchise_name,restaurant_franchise_id,country,city,lng,lat\n"
+                 "1,10,Cafe,100,US,NY,-74.0,40.7\n")
+    with pytest.raises(Exception):
+        src.read_places(spark, str(p)).collect()
