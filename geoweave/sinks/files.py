@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,8 +102,12 @@ def input_lineage(df: DataFrame, partition_col: str = "country") -> DataFrame:
     value, files, rows.
     """
     path = F.col("_metadata.file_path")
-    part = F.regexp_extract(path, f"{partition_col}=([^/]*)", 1)
-    return (df.select(path.alias("file_path"), F.url_decode(part).alias(partition_col))
+    if partition_col in df.columns:  # the value Spark itself read from the directory name
+        part = F.col(partition_col)
+    else:  # parse the path, decoding percent-escapes; protect '+', which url_decode reads as a space
+        raw = F.regexp_extract(path, f"{re.escape(partition_col)}=([^/]*)", 1)
+        part = F.url_decode(F.regexp_replace(raw, r"\+", "%2B"))
+    return (df.select(path.alias("file_path"), part.alias(partition_col))
             .groupBy(partition_col).agg(F.countDistinct("file_path").alias("files"),
                                         F.count(F.lit(1)).alias("rows")))
 
