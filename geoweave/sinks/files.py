@@ -104,9 +104,11 @@ def input_lineage(df: DataFrame, partition_col: str = "country") -> DataFrame:
     path = F.col("_metadata.file_path")
     if partition_col in df.columns:  # the value Spark itself read from the directory name
         part = F.col(partition_col)
-    else:  # parse the path, decoding percent-escapes; protect '+', which url_decode reads as a space
+    else:  # parse the path: undo the URI encoding, then the directory-name escaping
         raw = F.regexp_extract(path, f"{re.escape(partition_col)}=([^/]*)", 1)
-        part = F.url_decode(F.regexp_replace(raw, r"\+", "%2B"))
+        part = raw
+        for _ in range(2):  # protect '+', which url_decode would read as a space
+            part = F.url_decode(F.regexp_replace(part, r"\+", "%2B"))
     return (df.select(path.alias("file_path"), part.alias(partition_col))
             .groupBy(partition_col).agg(F.countDistinct("file_path").alias("files"),
                                         F.count(F.lit(1)).alias("rows")))
