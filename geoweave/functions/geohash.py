@@ -225,6 +225,7 @@ def geohash(lat, lng, precision: int = 4) -> Column:
 # ---------------------------------------------------------------- decode ---
 
 _VALID_RE = "^[0-9b-hjkmnp-z]{1,12}$"
+_VALID_RE_ANY_CASE = "^(?i)[0-9b-hjkmnp-z]{1,12}$"
 
 
 def _compact8(i: int) -> int:
@@ -272,9 +273,14 @@ def _parse(gh) -> dict:
 
 @_memo
 def geohash_to_cell(gh, precision: int = 4) -> Column:
-    """Packed cell id of a geohash string of exactly ``precision`` chars (else NULL)."""
-    p = _parse(gh)
-    guard = F.when(p["ok"] & (p["n"] == F.lit(precision)), F.lit(0).cast("long"))
+    """Packed cell id at ``precision`` of a geohash string.
+
+    A longer (finer) geohash is cut to its first ``precision`` characters,
+    which is the enclosing cell; a shorter or invalid one gives NULL.
+    """
+    g = _c(gh)
+    p = _parse(F.substr(g, F.lit(1), F.lit(precision)))
+    guard = F.when(p["ok"] & (p["n"] == F.lit(precision)) & g.rlike(_VALID_RE_ANY_CASE), F.lit(0).cast("long"))
     return pack(p["lat_idx"], p["lng_idx"], precision) + guard
 
 
