@@ -24,6 +24,8 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--output-path", required=True, help="output Parquet, partitioned by country")
     p.add_argument("--no-geocode", action="store_true", help="skip the coordinate fill")
     p.add_argument("--lookup-path", default=None, help="persisted (city, country) coordinate table")
+    p.add_argument("--repair-invalid", action="store_true",
+                   help="also replace out-of-range coordinates from the lookup (default: only NULLs)")
     p.add_argument("--precision", type=int, default=4)
     p.add_argument("--dedupe", choices=["avg", "first"], default="avg")
     p.add_argument("--order-key", default="event_id")
@@ -45,7 +47,8 @@ def main(argv=None) -> int:
         synth.write.mode("overwrite").parquet(a.weather_path)
     cfg = EnrichConfig(places_path=a.restaurant_path, observations_path=a.weather_path,
                        output_path=a.output_path, fill_coordinates=not a.no_geocode,
-                       lookup_path=a.lookup_path, geohash_precision=a.precision, dedupe=a.dedupe,
+                       lookup_path=a.lookup_path, repair_invalid=a.repair_invalid,
+                       geohash_precision=a.precision, dedupe=a.dedupe,
                        order_key=a.order_key)
     res = run(spark, cfg)
     print(json.dumps({"weather_joined": res.weather_joined, **{k: int(v) for k, v in res.metrics.items()}}))

@@ -139,3 +139,8 @@ def test_cli_no_geocode_and_lookup_path(spark, places_csv, obs_real_shape, tmp_p
     assert (r.lat, r.lng, r.geohash) == (41.88, -87.63, "dp3w")
     last = [x for x in capsys.readouterr().out.splitlines() if x.startswith("{")][-1]
     assert json.loads(last)["matched"] == 4  # the filled Chicago place now meets the Chicago observation
+    out3 = str(tmp_path / "o3")
+    spark.createDataFrame([("Barcelona", "ES", 41.39, 2.17)], schemas.LOOKUP).write.mode("append").parquet(lookup)
+    assert cli.main(["--restaurant-path", places_csv, "--weather-path", weather, "--output-path", out3,
+                     "--lookup-path", lookup, "--repair-invalid"]) == 0
+    assert spark.read.parquet(out3).where("id = 5").first().lat == 41.39
