@@ -25,6 +25,7 @@ class EnrichConfig:
     repair_invalid: bool = False
     partition_columns: tuple = ("country",)
     write_mode: str = "overwrite"
+    max_records_per_file: int | None = None  # bound output file size
     app_name: str = "geoweave-enrich"
 
 

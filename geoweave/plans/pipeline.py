@@ -76,6 +76,7 @@ def run(spark: SparkSession, cfg: EnrichConfig, places: DataFrame | None = None,
     if probe:
         metrics.append(F.count_if(F.col(probe).isNotNull()).alias("matched"))
     observed = enriched.observe(obs, *metrics)
-    write_partitioned(observed, cfg.output_path, cfg.partition_columns, cfg.write_mode)
+    write_partitioned(observed, cfg.output_path, cfg.partition_columns, cfg.write_mode,
+                      max_records_per_file=cfg.max_records_per_file)
     out = spark.read.parquet(cfg.output_path)
     return RunResult(output=out.select(*enriched.columns), weather_joined=joined, metrics=dict(obs.get))

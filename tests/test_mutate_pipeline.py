@@ -48,6 +48,15 @@ def test_pipeline_end_to_end(spark, places_csv, obs_real_shape, tmp_path):
     assert sorted(map(tuple, res2.output.collect()), key=repr) == first
 
 
+def test_pipeline_bounds_file_size(spark, places_csv, obs_real_shape, tmp_path):
+    out = str(tmp_path / "small_files")
+    cfg = EnrichConfig(places_path=places_csv, observations_path="unused", output_path=out,
+                       max_records_per_file=1)
+    run(spark, cfg, observations=obs_real_shape)
+    us = [f for f in os.listdir(os.path.join(out, "country=US")) if f.endswith(".parquet")]
+    assert len(us) == 2  # two US rows, at most one per file
+
+
 def test_pipeline_fill_from_lookup_table(spark, places_csv, obs_real_shape, tmp_path):
     lookup = spark.createDataFrame([("Chicago", "US", 41.88, -87.63)], schemas.LOOKUP)
     cfg = EnrichConfig(places_path=places_csv, observations_path="unused", output_path=str(tmp_path / "o"))
