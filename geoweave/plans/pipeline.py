@@ -70,11 +70,15 @@ def build(spark: SparkSession, cfg: EnrichConfig, places: DataFrame | None = Non
 def run(spark: SparkSession, cfg: EnrichConfig, places: DataFrame | None = None,
         observations: DataFrame | None = None, lookup: DataFrame | None = None) -> RunResult:
     enriched, joined = build(spark, cfg, places, observations, lookup)
-    probe = "weather_avg_tmpr_c" if "weather_avg_tmpr_c" in enriched.columns else None
+    # a row is matched when any observation column came through (works for every observation shape)
+    weather = [c for c in enriched.columns if c.startswith("weather_")]
     obs = Observation("run")
     metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(is_valid()).alias("valid_coordinates")]
-    if probe:
-        metrics.append(F.count_if(F.col(probe).isNotNull()).alias("matched"))
+    if weather:
+        hit = F.lit(False)
+        for c in weather:
+            hit = hit | F.col(c).isNotNull()
+        metrics.append(F.count_if(hit).alias("matched"))
     observed = enriched.observe(obs, *metrics)
     write_partitioned(observed, cfg.output_path, cfg.partition_columns, cfg.write_mode,
                       max_records_per_file=cfg.max_records_per_file)

@@ -89,7 +89,7 @@ def test_cli_generate_and_run(spark, places_csv, tmp_path, capsys):
     assert rc == 0
     line = [x for x in capsys.readouterr().out.splitlines() if x.startswith("{")][-1]
     m = json.loads(line)
-    assert m["weather_joined"] and m["rows"] == 5 and m["valid_coordinates"] == 3
+    assert m["weather_joined"] and m["rows"] == 5 and m["valid_coordinates"] == 3 and m["matched"] == 3
     out_df = spark.read.parquet(out)
     assert "weather_temperature_c" in out_df.columns and out_df.where("weather_condition IS NOT NULL").count() == 3
 
