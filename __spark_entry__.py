@@ -397,7 +397,7 @@ def q_mutation_chain(spark, sf):
     s = td.table(spark, sf, "supplier")
     low = F.coalesce(F.col("s_acctbal") < 5000, F.lit(False))
     t = mu.CowTable.create(spark, scratch_path(spark, "my_emp"), s.where(low), fmt="orc",
-                           bucket_col="s_suppkey", buckets=5)
+                           bucket_col="s_suppkey", buckets=5, table=f"my_emp_{uuid.uuid4().hex[:8]}")
     t.update(F.col("s_nationkey") == 3, {"s_acctbal": 9000.0})
     t.insert(s.where(~low))
     t.delete(F.col("s_nationkey") == 7)

@@ -40,15 +40,21 @@ class CowTable:
     """A versioned table under ``root``: ``root/v=<n>`` snapshots plus an append-only commit log.
 
     ``root`` must be on storage every executor sees (e.g. under
-    ``spark.checkpoint.dir``).  Bucketing is kept by hash-partitioning each
-    snapshot on ``bucket_col`` into ``buckets`` files.
+    ``spark.checkpoint.dir``).  Without ``table``, bucketing is approximated
+    by hash-partitioning each snapshot on ``bucket_col`` into ``buckets``
+    files.  With ``table``, a catalog table of that name follows the
+    snapshots: every snapshot is written with ``bucketBy``/``sortBy`` (a real
+    bucket spec, usable for bucket joins), the table is created ``LIKE`` the
+    first one and re-pointed with ``ALTER TABLE ... SET LOCATION``, and
+    inserts go through ``insertInto`` so buckets are kept.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "orc", bucket_col: str | None = None,
-                 buckets: int | None = None, version: int = 0):
+                 buckets: int | None = None, version: int = 0, table: str | None = None):
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
         self.bucket_col, self.buckets = bucket_col, buckets
         self.version = version
+        self.table = table
 
     @classmethod
     def create(cls, spark: SparkSession, root: str, rows: DataFrame, **kw) -> "CowTable":
@@ -65,17 +71,38 @@ class CowTable:
     def _path(self, v: int) -> str:
         return f"{self.root}/v={v:06d}"
 
+    def _bucketed(self) -> bool:
+        return bool(self.bucket_col and self.buckets)
+
     def read(self) -> DataFrame:
         if self.version == 0:
             raise ValueError(f"table at {self.root} has no snapshot yet")
+        if self.table:
+            return self.spark.table(self.table)
         return self.spark.read.format(self.fmt).load(self._path(self.version))
 
-    def _commit(self, df: DataFrame) -> "CowTable":
-        nxt = self.version + 1
+    def _write_snapshot(self, df: DataFrame, path: str) -> None:
+        if self.table:
+            staging = f"{self.table}__v{self.version + 1}"
+            w = df.write.mode("overwrite").format(self.fmt).option("path", path)
+            if self._bucketed():
+                w = w.bucketBy(self.buckets, self.bucket_col).sortBy(self.bucket_col)
+            w.saveAsTable(staging)
+            if self.version == 0:
+                self.spark.sql(f"CREATE TABLE {self.table} LIKE {staging} LOCATION '{path}'")
+            else:
+                self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{path}'")
+                self.spark.catalog.refreshTable(self.table)
+            self.spark.sql(f"DROP TABLE {staging}")  # external: the snapshot files stay
+            return
         out = df
-        if self.bucket_col and self.buckets:
+        if self._bucketed():
             out = out.repartition(self.buckets, self.bucket_col).sortWithinPartitions(self.bucket_col)
-        out.write.mode("overwrite").format(self.fmt).save(self._path(nxt))
+        out.write.mode("overwrite").format(self.fmt).save(path)
+
+    def _commit(self, df: DataFrame) -> "CowTable":
+        nxt = self.version + 1
+        self._write_snapshot(df, self._path(nxt))
         # commit marker, append-only: nothing is deleted, so a crash at any point
         # leaves the table on the last snapshot whose marker was written
         self.spark.createDataFrame([(str(nxt),)], "value string").coalesce(1) \
@@ -87,7 +114,10 @@ class CowTable:
         """``INSERT INTO``: new files appended to the current snapshot, nothing rewritten."""
         cur = self.read()
         typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in cur.schema.fields])
-        if self.bucket_col and self.buckets:
+        if self.table:
+            typed.write.insertInto(self.table)
+            return self
+        if self._bucketed():
             typed = typed.repartition(self.buckets, self.bucket_col).sortWithinPartitions(self.bucket_col)
         typed.write.mode("append").format(self.fmt).save(self._path(self.version))
         return self

@@ -153,3 +153,17 @@ def test_cli_no_geocode_and_lookup_path(spark, places_csv, obs_real_shape, tmp_p
     assert cli.main(["--restaurant-path", places_csv, "--weather-path", weather, "--output-path", out3,
                      "--lookup-path", lookup, "--repair-invalid"]) == 0
     assert spark.read.parquet(out3).where("id = 5").first().lat == 41.39
+
+
+def test_mutation_chain_on_bucketed_catalog_table(spark, tmp_path):
+    first = spark.createDataFrame([(1, "John", 10000), (2, "Sara", 12000), (3, "Adam", 8000)], schemas.MY_EMP)
+    t = mu.CowTable.create(spark, str(tmp_path / "my_emp_cat"), first, fmt="orc", bucket_col="id", buckets=5,
+                           table="my_emp_cat")
+    t.update(F.col("name") == "Adam", {"salary": 9000})
+    t.insert(spark.createDataFrame([(4, "Alex", 13000)], schemas.MY_EMP))
+    t.delete(F.col("name") == "John")
+    got = sorted(tuple(r) for r in spark.table("my_emp_cat").collect())
+    assert got == [(2, "Sara", 12000), (3, "Adam", 9000), (4, "Alex", 13000)]
+    desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED my_emp_cat").collect()}
+    assert desc.get("Num Buckets") == "5" and desc.get("Location", "").endswith("v=000003")
+    spark.sql("DROP TABLE my_emp_cat")
