@@ -204,3 +204,23 @@ def test_dedupe_matches_brute_force(spark):
         assert first[k] == (exp_v, exp_s)
         assert avg[k][0] == exp_s
         assert (avg[k][1] is None and not len(v)) or abs(avg[k][1] - v.mean()) < 1e-9
+
+
+def test_quality_classes_partition_every_row(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    coord = st.one_of(st.none(), st.floats(allow_nan=True, allow_infinity=True),
+                      st.sampled_from([90.0, -90.0, 180.0, -180.0, 90.0000001, -180.0000001]))
+
+    @settings(max_examples=4, deadline=None)
+    @given(st.lists(st.tuples(coord, coord), min_size=1, max_size=80))
+    def check(pts):
+        df = spark.createDataFrame(pts, "lat double, lng double")
+        s = dq.quality_summary(df).first()
+        assert s.valid_records + s.null_records + s.invalid_records == s.total_records == len(pts)
+        exp_valid = sum(1 for a, b in pts if a is not None and b is not None and a == a and b == b
+                        and -90 <= a <= 90 and -180 <= b <= 180)
+        assert s.valid_records == exp_valid
+        assert s.null_records == sum(1 for a, b in pts if a is None or b is None)
+
+    check()
