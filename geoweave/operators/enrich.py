@@ -80,8 +80,8 @@ def reduce_observations(observations: DataFrame, precision: int = 4, order_key:
         bound = 32 ** precision if precision_bound else None
         obs = obs.join(broadcast_if_small(keep_cells, BROADCAST_MAX_ROWS, bound), CELL, "left_semi")
     if mode == "avg":
-        return dd.dedupe_avg(obs, CELL, order_key, list(avg_columns), list(first_columns), prefix,
-                             date_columns)
+        firsts = [c for c in first_columns if c in observations.columns]  # optional in a shape
+        return dd.dedupe_avg(obs, CELL, order_key, list(avg_columns), firsts, prefix, date_columns)
     if mode == "first":
         cols = columns if columns is not None else [
             c for c in observations.columns if c not in (order_key, "geohash", ORDER)]

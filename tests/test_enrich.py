@@ -224,3 +224,9 @@ def test_quality_classes_partition_every_row(spark):
         assert s.null_records == sum(1 for a, b in pts if a is None or b is None)
 
     check()
+
+
+def test_avg_mode_without_date_column(spark, places, obs_real_shape):
+    out = en.enrich(places, obs_real_shape.drop("wthr_date")).collect()
+    r = {x.id: x for x in out}
+    assert len(out) == 5 and r[1].weather_avg_tmpr_c == 22.5 and "weather_wthr_date" not in out[0].asDict()
