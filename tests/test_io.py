@@ -264,3 +264,9 @@ def test_input_lineage_special_partition_values(spark, places, tmp_path):
     assert got == expected and ("A+B C", 2) in got  # '+' and blanks survive
     only_files = back.select("id")  # partition column pruned away: parse the path instead
     assert {(r.country, r.rows) for r in sk.input_lineage(only_files).collect()} == expected
+
+
+def test_roundtrip_with_special_partition_values(spark, places, tmp_path):
+    odd = places.withColumn("country", F.when(F.col("id") <= 2, F.lit("A+B C")).otherwise(F.lit("x/y")))
+    v = sk.verify_roundtrip(spark, odd, str(tmp_path / "odd_rt"), ("country",)).first()
+    assert v.rows_match and v.checksum_match
