@@ -230,3 +230,19 @@ def test_avg_mode_without_date_column(spark, places, obs_real_shape):
     out = en.enrich(places, obs_real_shape.drop("wthr_date")).collect()
     r = {x.id: x for x in out}
     assert len(out) == 5 and r[1].weather_avg_tmpr_c == 22.5 and "weather_wthr_date" not in out[0].asDict()
+
+
+def test_golden_figures_sf001(spark):
+    """Figures recorded for the sf0.01 tables in the survey's probe."""
+    from geoweave.sources import testdata as td
+    sf = "/root/testdata/sf0.01"
+    p, o = td.places(spark, sf), td.observations(spark, sf)
+    s = dq.quality_summary(p).first()
+    assert (s.total_records, s.null_records, s.invalid_records) == (1500, 150, 80)
+    e = en.enrich(p, o)
+    assert e.count() == 1500
+    assert e.where("geohash IS NULL").count() == 230
+    assert rp.join_stats(e).first().matched_records == 1030
+    kept = en.add_cell(o).join(en.place_cells(p), en.CELL, "left_semi").count()
+    assert kept == 7032
+    assert p.select("city", "country").distinct().count() == 861
