@@ -270,3 +270,23 @@ def test_roundtrip_with_special_partition_values(spark, places, tmp_path):
     odd = places.withColumn("country", F.when(F.col("id") <= 2, F.lit("A+B C")).otherwise(F.lit("x/y")))
     v = sk.verify_roundtrip(spark, odd, str(tmp_path / "odd_rt"), ("country",)).first()
     assert v.rows_match and v.checksum_match
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    a = spark.range(0, 2000).select(F.col("id"), (F.col("id") % 7).alias("x"))
+    b = spark.range(0, 2000).select(F.col("id"), (F.col("id") % 11).alias("y"))
+    sk.save_bucketed(a, "bkt_a", str(tmp_path / "bkt_a"), "id", 5, "parquet")
+    sk.save_bucketed(b, "bkt_b", str(tmp_path / "bkt_b"), "id", 5, "parquet")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("bkt_a").join(spark.table("bkt_b"), "id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan  # co-located by the bucket spec
+        assert j.count() == 2000
+        agg = spark.table("bkt_a").groupBy("id").count()
+        assert "Exchange" not in agg._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        cat.drop_table(spark, "bkt_a")
+        cat.drop_table(spark, "bkt_b")
