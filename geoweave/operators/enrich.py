@@ -30,14 +30,42 @@ CELL = "_cell"
 ORDER = "_order"
 
 
+def cell_column(precision: int) -> str:
+    """Name of a stored cell id of this precision (see :func:`bucket_observations`)."""
+    return f"_cell_p{precision}"
+
+
 def add_cell(df: DataFrame, precision: int = 4, lat: str = "lat", lng: str = "lng",
              geohash_col: str = "geohash") -> DataFrame:
-    """Add the packed cell id; reuse an existing geohash column when present."""
+    """Add the packed cell id.
+
+    Reuses, in this order, a stored cell id of the same precision (a bucketed
+    table keeps its bucketing through the alias), an existing geohash
+    column, or computes it from lat / lng.
+    """
+    stored = cell_column(precision)
+    if stored in df.columns:
+        return df.withColumn(CELL, F.col(stored))
     if geohash_col in df.columns:
         return df.withColumn(CELL, geohash_to_cell(geohash_col, precision))
     return df.withColumn(CELL, cell_id(lat, lng, precision))
 
 
+def bucket_observations(observations: DataFrame, table: str, path: str, precision: int = 4,
+                        buckets: int = 200, fmt: str = "parquet") -> DataFrame:
+    """Store observations bucketed (and sorted) by their cell id, once.
+
+    Every later reduction by cell on this table reads bucket by bucket with
+    no shuffle: the one expensive exchange is paid at ingest, not on every
+    enrichment run.  Pick ``buckets`` so a bucket is a few hundred MB.
+    """
+    from ..sinks.files import save_bucketed
+    stored = cell_column(precision)
+    with_cell = observations.withColumn(stored, cell_id("lat", "lng", precision))
+    save_bucketed(with_cell, table, path, stored, buckets, fmt)
+    return observations.sparkSession.table(table)
+
+
 def add_geohash(df: DataFrame, precision: int = 4, lat: str = "lat", lng: str = "lng",
                 out: str = "geohash") -> DataFrame:
     """Add the geohash text column unless the frame already has one."""
@@ -71,7 +99,8 @@ def reduce_observations(observations: DataFrame, precision: int = 4, order_key:
     if order_key is None or order_key not in observations.columns:
         # content-defined order: deterministic across reruns and partitionings,
         # still a bigint so the aggregation stays hash-based
-        observations = observations.withColumn(ORDER, F.xxhash64(*observations.columns))
+        content = [c for c in observations.columns if not c.startswith("_cell_p")]
+        observations = observations.withColumn(ORDER, F.xxhash64(*content))
         order_key = ORDER
     if mode == "avg" and not set(avg_columns) <= set(observations.columns):
         mode = "first"  # another observation shape: first value of every column
@@ -84,7 +113,8 @@ def reduce_observations(observations: DataFrame, precision: int = 4, order_key:
         return dd.dedupe_avg(obs, CELL, order_key, list(avg_columns), firsts, prefix, date_columns)
     if mode == "first":
         cols = columns if columns is not None else [
-            c for c in observations.columns if c not in (order_key, "geohash", ORDER)]
+            c for c in observations.columns if c not in (order_key, "geohash", ORDER)
+            and not c.startswith("_cell_p")]
         return dd.dedupe_first(obs, CELL, order_key, cols, prefix, date_columns)
     raise ValueError(f"mode must be 'avg' or 'first', got {mode!r}")
 

@@ -246,3 +246,19 @@ def test_golden_figures_sf001(spark):
     kept = en.add_cell(o).join(en.place_cells(p), en.CELL, "left_semi").count()
     assert kept == 7032
     assert p.select("city", "country").distinct().count() == 861
+
+
+def test_bucketed_observations_reduce_without_shuffle(spark, places, tmp_path):
+    from geoweave.sources import testdata as td
+    o = td.observations(spark, "/root/testdata/sf0.001")
+    t = en.bucket_observations(o, "obs_by_cell", str(tmp_path / "obs_by_cell"), precision=4, buckets=8)
+    r = en.reduce_observations(t, keep_cells=None)
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "HashAggregate" in plan
+    a = sorted(map(tuple, r.select(*sorted(r.columns)).collect()))
+    b = sorted(map(tuple, en.reduce_observations(o).select(*sorted(r.columns)).collect()))
+    assert a == b
+    p = td.places(spark, "/root/testdata/sf0.001")
+    e1, e2 = en.enrich(p, t), en.enrich(p, o)
+    assert e1.exceptAll(e2).count() == 0 and e2.exceptAll(e1).count() == 0
+    spark.sql("DROP TABLE obs_by_cell")
