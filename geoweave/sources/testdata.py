@@ -31,6 +31,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def _reuse(fn):
+    """Reuse a view's DataFrame (an immutable plan) per session and data folder."""
+    cache: dict = {}
+
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (context_key(spark.sparkContext), sf_dir.rstrip("/"))
+        if key not in cache:
+            cache[key] = fn(spark, sf_dir)
+        return cache[key]
+
+    wrapper.__doc__, wrapper.__name__ = fn.__doc__, fn.__name__
+    return wrapper
+
+
+@_reuse
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places with (city, country, lat, lng); 10% null and ~6% out-of-range coordinates."""
     c = table(spark, sf_dir, "customer")
@@ -51,6 +66,7 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
                     lat.alias("lat"), lng.alias("lng")))
 
 
+@_reuse
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Observations in the real weather shape plus ``event_id`` (unique order key)."""
     e = table(spark, sf_dir, "events")
