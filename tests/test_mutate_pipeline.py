@@ -167,3 +167,21 @@ def test_mutation_chain_on_bucketed_catalog_table(spark, tmp_path):
     desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED my_emp_cat").collect()}
     assert desc.get("Num Buckets") == "5" and desc.get("Location", "").endswith("v=000003")
     spark.sql("DROP TABLE my_emp_cat")
+
+
+def test_step_by_step_job(spark, places_csv, obs_real_shape, tmp_path):
+    from geoweave.plans.job import EnrichJob
+    weather = str(tmp_path / "w")
+    obs_real_shape.write.parquet(weather)
+    job = EnrichJob(spark, EnrichConfig(places_path=places_csv, observations_path=weather,
+                                        output_path=str(tmp_path / "out")))
+    places = job.read_places()
+    assert places.count() == 5 and job.needs_repair(places).count() == 2
+    filled = job.fill_coordinates(places)
+    with_gh = job.add_geohash(filled)
+    assert with_gh.where("id = 1").first().geohash == "dr5r"
+    out = job.enrich(with_gh, job.read_observations())
+    assert out.count() == 5
+    job.write(out)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+    assert job.run().output.count() == 5
