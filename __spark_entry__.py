@@ -48,16 +48,16 @@ def _round(df: DataFrame, cols, digits: int = 6) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def P(spark, sf):
+def _places(spark, sf):
     return td.places(spark, sf)
 
 
-def O(spark, sf):
+def _obs(spark, sf):
     return td.observations(spark, sf)
 
 
 def _enriched(spark, sf):
-    return en.enrich(P(spark, sf), O(spark, sf))
+    return en.enrich(_places(spark, sf), _obs(spark, sf))
 
 
 def _with_geohash(df, precision=4):
@@ -65,16 +65,16 @@ def _with_geohash(df, precision=4):
 
 
 def _lookup(spark, sf):
-    return lk.lookup_from_places(P(spark, sf))
+    return lk.lookup_from_places(_places(spark, sf))
 
 
 def _filled(spark, sf):
-    return lk.fill_coordinates(P(spark, sf), _lookup(spark, sf))
+    return lk.fill_coordinates(_places(spark, sf), _lookup(spark, sf))
 
 
 def _places_by_country(spark, sf, name):
     path = scratch_path(spark, name)
-    sk.write_partitioned(P(spark, sf), path, ("country",))
+    sk.write_partitioned(_places(spark, sf), path, ("country",))
     return path
 
 
@@ -86,9 +86,9 @@ def q_enrich_left_join(spark, sf):
 
 def q_pipeline_full(spark, sf):
     csv = scratch_path(spark, "places_csv")
-    P(spark, sf).write.option("header", True).csv(csv)
+    _places(spark, sf).write.option("header", True).csv(csv)
     cfg = EnrichConfig(places_path=csv, observations_path="(given)", output_path=scratch_path(spark, "enriched"))
-    res = run_pipeline(spark, cfg, observations=O(spark, sf))
+    res = run_pipeline(spark, cfg, observations=_obs(spark, sf))
     return _round(res.output.select(*ENRICHED_COLS), AVG)
 
 
@@ -97,19 +97,19 @@ def q_enrich_unmatched(spark, sf):
 
 
 def q_dedupe_avg(spark, sf):
-    r = en.reduce_observations(O(spark, sf))
+    r = en.reduce_observations(_obs(spark, sf))
     return _round(r.select(gh.cell_to_geohash(en.CELL).alias("geohash"), "weather_lat", "weather_lng",
                            "weather_wthr_date", "weather_avg_tmpr_f", "weather_avg_tmpr_c"), AVG)
 
 
 def q_dedupe_first_prefixed(spark, sf):
     cols = ["lat", "lng", "avg_tmpr_f", "avg_tmpr_c", "wthr_date", "year", "month", "day"]
-    r = en.reduce_observations(O(spark, sf), mode="first", columns=cols)
+    r = en.reduce_observations(_obs(spark, sf), mode="first", columns=cols)
     return r.select(gh.cell_to_geohash(en.CELL).alias("geohash"), *[f"weather_{c}" for c in cols])
 
 
 def q_key_overlap(spark, sf):
-    return rp.matching_cells(P(spark, sf), O(spark, sf))
+    return rp.matching_cells(_places(spark, sf), _obs(spark, sf))
 
 
 def q_join_stats(spark, sf):
@@ -126,69 +126,69 @@ def q_avg_temp_by_country(spark, sf):
 
 
 def q_pipeline_summary(spark, sf):
-    return rp.pipeline_summary(P(spark, sf), O(spark, sf))
+    return rp.pipeline_summary(_places(spark, sf), _obs(spark, sf))
 
 
 def q_dedupe_ratio(spark, sf):
-    return rp.dedupe_ratio(O(spark, sf))
+    return rp.dedupe_ratio(_obs(spark, sf))
 
 
 def q_top_cells(spark, sf):
-    return rp.top_cells(O(spark, sf), 10)
+    return rp.top_cells(_obs(spark, sf), 10)
 
 
 def q_date_range(spark, sf):
-    return rp.date_range(O(spark, sf))
+    return rp.date_range(_obs(spark, sf))
 
 
 # ----------------------------------------------------------------- quality
 
 def q_dq_null_or_invalid(spark, sf):
-    return dq.null_or_invalid(P(spark, sf))
+    return dq.null_or_invalid(_places(spark, sf))
 
 
 def q_dq_null_only(spark, sf):
-    return dq.null_only(P(spark, sf))
+    return dq.null_only(_places(spark, sf))
 
 
 def q_dq_invalid_only(spark, sf):
-    return dq.invalid_only(P(spark, sf))
+    return dq.invalid_only(_places(spark, sf))
 
 
 def q_dq_valid(spark, sf):
-    return dq.valid_only(P(spark, sf))
+    return dq.valid_only(_places(spark, sf))
 
 
 def q_dq_summary(spark, sf):
-    return dq.quality_summary(P(spark, sf))
+    return dq.quality_summary(_places(spark, sf))
 
 
 def q_null_count_stats(spark, sf):
-    return dq.null_count_stats(_with_geohash(P(spark, sf)), "geohash")
+    return dq.null_count_stats(_with_geohash(_places(spark, sf)), "geohash")
 
 
 def q_describe_columns(spark, sf):
-    return dq.describe_columns(P(spark, sf), ["lat", "lng"])
+    return dq.describe_columns(_places(spark, sf), ["lat", "lng"])
 
 
 def q_distinct_locations(spark, sf):
-    return P(spark, sf).select("city", "country").distinct()
+    return _places(spark, sf).select("city", "country").distinct()
 
 
 def q_distinct_count_with_null(spark, sf):
-    return dq.distinct_count_with_null(_with_geohash(P(spark, sf)), "geohash")
+    return dq.distinct_count_with_null(_with_geohash(_places(spark, sf)), "geohash")
 
 
 def q_row_counts(spark, sf):
-    p = P(spark, sf).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("places").alias("source"), "rows")
-    o = O(spark, sf).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("observations").alias("source"), "rows")
+    p = _places(spark, sf).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("places").alias("source"), "rows")
+    o = _obs(spark, sf).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("observations").alias("source"), "rows")
     return p.unionAll(o)
 
 
 # ----------------------------------------------------------- lookup / fill
 
 def q_lookup_keys(spark, sf):
-    return lk.lookup_keys(P(spark, sf))
+    return lk.lookup_keys(_places(spark, sf))
 
 
 def q_fill_coordinates(spark, sf):
@@ -208,29 +208,29 @@ def q_json_extract(spark, sf):
 # ------------------------------------------------------------------ geohash
 
 def q_geohash_encode(spark, sf):
-    return _with_geohash(P(spark, sf)).select("id", "lat", "lng", "geohash")
+    return _with_geohash(_places(spark, sf)).select("id", "lat", "lng", "geohash")
 
 
 def q_geohash_sql_function(spark, sf):
     gh.register_sql_functions(spark, 4, "geohash4")
     view = f"places_{uuid.uuid4().hex[:8]}"
-    P(spark, sf).createOrReplaceTempView(view)
+    _places(spark, sf).createOrReplaceTempView(view)
     return spark.sql(f"SELECT id, lat, lng, geohash4(lat, lng) AS geohash FROM {view}")
 
 
 def q_geohash_precision6(spark, sf):
-    return O(spark, sf).select("event_id", gh.geohash("lat", "lng", 6).alias("geohash6"),
+    return _obs(spark, sf).select("event_id", gh.geohash("lat", "lng", 6).alias("geohash6"),
                                gh.geohash("lat", "lng", 8).alias("geohash8"))
 
 
 def q_geohash_decode(spark, sf):
-    g = rp.cells_with_text(O(spark, sf)).select("geohash")
+    g = rp.cells_with_text(_obs(spark, sf)).select("geohash")
     d = gh.decode("geohash")
     return g.select("geohash", d.lat.alias("center_lat"), d.lng.alias("center_lng"))
 
 
 def q_geohash_neighbors(spark, sf):
-    g = _with_geohash(P(spark, sf)).select("geohash").where("geohash IS NOT NULL").distinct()
+    g = _with_geohash(_places(spark, sf)).select("geohash").where("geohash IS NOT NULL").distinct()
     return gh.explode_neighbours(g, "geohash")
 
 
@@ -238,30 +238,30 @@ def q_geohash_neighbors(spark, sf):
 
 def q_scan_csv_typed(spark, sf):
     path = scratch_path(spark, "places_csv")
-    P(spark, sf).write.option("header", True).csv(path)
+    _places(spark, sf).write.option("header", True).csv(path)
     return src.read_places(spark, path)
 
 
 def q_cast_columns(spark, sf):
     path = scratch_path(spark, "places_csv")
-    P(spark, sf).write.option("header", True).csv(path)
+    _places(spark, sf).write.option("header", True).csv(path)
     return src.cast_columns(src.read_csv_strings(spark, path), schemas.PLACES)
 
 
 def q_scan_parquet(spark, sf):
-    return O(spark, sf)
+    return _obs(spark, sf)
 
 
 def q_scan_partitioned(spark, sf):
     path = scratch_path(spark, "obs_by_day")
-    sk.write_partitioned(O(spark, sf), path, ("year", "month", "day"))
+    sk.write_partitioned(_obs(spark, sf), path, ("year", "month", "day"))
     df = src.read_observations(spark, path)
     return df.where(F.col("day").between(10, 12)).select(*OBS_COLS)
 
 
 def q_scan_delimited_ctrl_a(spark, sf):
     path = scratch_path(spark, "places_ctrl_a")
-    src.write_delimited(P(spark, sf), path)
+    src.write_delimited(_places(spark, sf), path)
     return src.read_delimited(spark, path, schemas.PLACES)
 
 
@@ -275,7 +275,7 @@ def q_repair_multiline_records(spark, sf):
 
 def q_scan_orc(spark, sf):
     path = scratch_path(spark, "places_orc")
-    P(spark, sf).write.orc(path)
+    _places(spark, sf).write.orc(path)
     return src.read_orc(spark, path)
 
 
@@ -292,36 +292,36 @@ def q_ingest_append(spark, sf):
 
 def q_write_partitioned_roundtrip(spark, sf):
     path = scratch_path(spark, "obs_by_month")
-    sk.write_partitioned(O(spark, sf), path, ("year", "month"))
+    sk.write_partitioned(_obs(spark, sf), path, ("year", "month"))
     return spark.read.parquet(path).select(*OBS_COLS)
 
 
 def q_append_mode(spark, sf):
     path = scratch_path(spark, "places_append")
     north = F.coalesce(F.col("lat") > 35, F.lit(False))
-    sk.write_partitioned(P(spark, sf).where(north), path, (), mode="overwrite")
-    sk.write_partitioned(P(spark, sf).where(~north), path, (), mode="append")
+    sk.write_partitioned(_places(spark, sf).where(north), path, (), mode="overwrite")
+    sk.write_partitioned(_places(spark, sf).where(~north), path, (), mode="append")
     return spark.read.parquet(path)
 
 
 def q_dynamic_partition_insert(spark, sf):
     path = scratch_path(spark, "cust_country")
-    sk.insert_dynamic_partitions(P(spark, sf), path, "country")
+    sk.insert_dynamic_partitions(_places(spark, sf), path, "country")
     return spark.read.parquet(path).select(*PLACE_COLS)
 
 
 def q_bucketed_table(spark, sf):
     name = f"places_bucketed_{uuid.uuid4().hex[:8]}"
-    sk.save_bucketed(P(spark, sf), name, scratch_path(spark, name), "id", 5, "orc")
+    sk.save_bucketed(_places(spark, sf), name, scratch_path(spark, name), "id", 5, "orc")
     return spark.table(name)
 
 
 def q_verify_roundtrip(spark, sf):
-    return sk.verify_roundtrip(spark, P(spark, sf), scratch_path(spark, "verify"), ("country",))
+    return sk.verify_roundtrip(spark, _places(spark, sf), scratch_path(spark, "verify"), ("country",))
 
 
 def q_idempotent_rerun(spark, sf):
-    return sk.idempotent_rerun(spark, P(spark, sf), scratch_path(spark, "rerun"), ("country",))
+    return sk.idempotent_rerun(spark, _places(spark, sf), scratch_path(spark, "rerun"), ("country",))
 
 
 def q_partition_inventory(spark, sf):
@@ -380,17 +380,17 @@ def q_group_count_sorted(spark, sf):
 
 
 def q_group_count(spark, sf):
-    return tb.group_count(P(spark, sf), "country", alias="customers_n")
+    return tb.group_count(_places(spark, sf), "country", alias="customers_n")
 
 
 # ---------------------------------------------------------------- mutations
 
 def q_update_where(spark, sf):
-    return mu.update_where(P(spark, sf), F.col("lat") > 35, {"lat": 0.0})
+    return mu.update_where(_places(spark, sf), F.col("lat") > 35, {"lat": 0.0})
 
 
 def q_delete_where(spark, sf):
-    return mu.delete_where(P(spark, sf), F.col("lat") > 35)
+    return mu.delete_where(_places(spark, sf), F.col("lat") > 35)
 
 
 def q_mutation_chain(spark, sf):
@@ -408,7 +408,7 @@ def q_mutation_chain(spark, sf):
 
 def _external_places(spark, sf):
     path = scratch_path(spark, "places_table")
-    P(spark, sf).write.parquet(path)
+    _places(spark, sf).write.parquet(path)
     name = f"places_ext_{uuid.uuid4().hex[:8]}"
     cat.create_external_table(spark, name, path, schemas.PLACES, "parquet")
     return name
@@ -427,7 +427,7 @@ def q_table_schema(spark, sf):
 
 
 def q_synth_observations(spark, sf):
-    return synth_observations(P(spark, sf), per_place=4, seed=7)
+    return synth_observations(_places(spark, sf), per_place=4, seed=7)
 
 
 # ---------------------------------------------------------------- contract
