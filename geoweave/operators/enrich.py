@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geohash import cell_id, cell_to_geohash, geohash_to_cell
+from ..functions.geohash import cell_id, cell_to_geohash, geohash_to_cell, valid_coordinates
 from . import dedupe as dd
 from .sizing import BROADCAST_MAX_ROWS, broadcast_if_small
 
@@ -74,10 +74,17 @@ def add_geohash(df: DataFrame, precision: int = 4, lat: str = "lat", lng: str =
     return df.withColumn(out, cell_to_geohash(cell_id(lat, lng, precision), precision))
 
 
+def _cell_from_coordinates(df: DataFrame, precision: int) -> bool:
+    return cell_column(precision) not in df.columns and "geohash" not in df.columns
+
+
 def place_cells(places: DataFrame, precision: int = 4) -> DataFrame:
     """Distinct non-null cells of the places (a set bounded by 32**precision)."""
-    return add_cell(places.select(*[c for c in ("lat", "lng", "geohash") if c in places.columns]),
-                    precision).select(CELL).where(F.col(CELL).isNotNull()).distinct()
+    cols = [c for c in ("lat", "lng", "geohash", cell_column(precision)) if c in places.columns]
+    src = places.select(*cols)
+    if _cell_from_coordinates(src, precision):
+        src = src.where(valid_coordinates("lat", "lng"))  # pushable range predicates
+    return add_cell(src, precision).select(CELL).where(F.col(CELL).isNotNull()).distinct()
 
 
 def reduce_observations(observations: DataFrame, precision: int = 4, order_key: str = "event_id",
@@ -104,7 +111,12 @@ def reduce_observations(observations: DataFrame, precision: int = 4, order_key:
         order_key = ORDER
     if mode == "avg" and not set(avg_columns) <= set(observations.columns):
         mode = "first"  # another observation shape: first value of every column
-    obs = add_cell(observations, precision).where(F.col(CELL).isNotNull())
+    source = observations
+    if _cell_from_coordinates(observations, precision):
+        # plain range predicates reach the Parquet reader (row-group skipping); the
+        # inferred isnotnull(cell) alone is rewritten into a form that is not pushed
+        source = observations.where(valid_coordinates("lat", "lng"))
+    obs = add_cell(source, precision).where(F.col(CELL).isNotNull())
     if keep_cells is not None:
         bound = 32 ** precision if precision_bound else None
         obs = obs.join(broadcast_if_small(keep_cells, BROADCAST_MAX_ROWS, bound), CELL, "left_semi")

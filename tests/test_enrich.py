@@ -262,3 +262,14 @@ def test_bucketed_observations_reduce_without_shuffle(spark, places, tmp_path):
     e1, e2 = en.enrich(p, t), en.enrich(p, o)
     assert e1.exceptAll(e2).count() == 0 and e2.exceptAll(e1).count() == 0
     spark.sql("DROP TABLE obs_by_cell")
+
+
+def test_validity_filter_reaches_the_parquet_scan(spark, places, obs_real_shape, tmp_path):
+    path = str(tmp_path / "obs_parquet")
+    obs_real_shape.withColumn("unused_wide", F.lit("x" * 50)).write.parquet(path)
+    e = en.enrich(places, spark.read.parquet(path))
+    plan = e._jdf.queryExecution().executedPlan().toString()
+    scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "avg_tmpr_c" in ln][0]
+    pushed = scan[scan.index("PushedFilters"):]
+    assert "GreaterThanOrEqual(lat,-90.0)" in pushed and "IsNotNull(lng)" in pushed  # reaches the reader
+    assert "unused_wide" not in scan  # column pruned from ReadSchema
