@@ -27,9 +27,13 @@ def is_invalid(lat: str = "lat", lng: str = "lng") -> Column:
     return ~is_null(lat, lng) & ~is_valid(lat, lng)
 
 
+# The filters below use the bare range predicates (a NULL result drops the row
+# in WHERE anyway): wrapped in coalesce(..., false) they would not reach the
+# Parquet reader as pushed filters.
+
 def null_or_invalid(df: DataFrame, lat: str = "lat", lng: str = "lng") -> DataFrame:
     """Rows needing repair: a null coordinate or one outside the bounds."""
-    return df.where(~is_valid(lat, lng))
+    return df.where(is_null(lat, lng) | ~valid_coordinates(lat, lng))
 
 
 def null_only(df: DataFrame, lat: str = "lat", lng: str = "lng") -> DataFrame:
@@ -37,11 +41,11 @@ def null_only(df: DataFrame, lat: str = "lat", lng: str = "lng") -> DataFrame:
 
 
 def invalid_only(df: DataFrame, lat: str = "lat", lng: str = "lng") -> DataFrame:
-    return df.where(is_invalid(lat, lng))
+    return df.where(F.col(lat).isNotNull() & F.col(lng).isNotNull() & ~valid_coordinates(lat, lng))
 
 
 def valid_only(df: DataFrame, lat: str = "lat", lng: str = "lng") -> DataFrame:
-    return df.where(is_valid(lat, lng))
+    return df.where(valid_coordinates(lat, lng))
 
 
 def quality_summary(df: DataFrame, lat: str = "lat", lng: str = "lng") -> DataFrame:

@@ -273,3 +273,16 @@ def test_validity_filter_reaches_the_parquet_scan(spark, places, obs_real_shape,
     pushed = scan[scan.index("PushedFilters"):]
     assert "GreaterThanOrEqual(lat,-90.0)" in pushed and "IsNotNull(lng)" in pushed  # reaches the reader
     assert "unused_wide" not in scan  # column pruned from ReadSchema
+
+
+def test_pushed_quality_filters_keep_nan_rows(spark, tmp_path):
+    """NaN is out of range; pushed range filters must not let row-group stats skip it."""
+    from geoweave import schemas
+    rows = [(i, 10, "a", 1, "US", "NY", float("nan") if i == 3 else 30.0 + i, -74.0) for i in range(6)]
+    path = str(tmp_path / "nan_places")
+    spark.createDataFrame(rows, schemas.PLACES).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert [r.id for r in dq.null_or_invalid(df).collect()] == [3]
+    assert [r.id for r in dq.invalid_only(df).collect()] == [3]
+    assert sorted(r.id for r in dq.valid_only(df).collect()) == [0, 1, 2, 4, 5]
+    assert "GreaterThan(lat,90.0)" in dq.invalid_only(df)._jdf.queryExecution().executedPlan().toString()
