@@ -168,3 +168,12 @@ def test_geohash_to_cell_uses_prefix_of_finer_geohash(spark):
     df = spark.createDataFrame([("dr5reg",), ("dr5r",), ("dr5",), ("dr5r!x",), ("DR5REG",)], "g string")
     got = [r.c for r in df.select(G.geohash_to_cell("g", 4).alias("c")).collect()]
     assert got[0] == got[1] == got[4] == 761133 and got[2] is None and got[3] is None
+
+
+def test_neighbour_cells_match_text_neighbours(spark):
+    df = spark.createDataFrame([(40.7128, -74.006), (89.99, 0.0), (0.0, 179.99)], "lat double, lng double")
+    rows = df.select(G.geohash("lat", "lng", 5).alias("g"), G.cell_id("lat", "lng", 5).alias("c")) \
+             .select("g", F.transform(G.neighbour_cells("c", 5), lambda x: G.cell_to_geohash(x, 5)).alias("nb"),
+                     G.neighbours("g").alias("m")).collect()
+    for r in rows:
+        assert sorted(r.nb) == sorted(r.m.values())
