@@ -9,6 +9,8 @@ Plan shape (checked with ``explain``)::
       -> Exchange hashpartitioning(cell)                        only partials move
       -> final HashAggregate(cell)
     places -> cell id -> left join on the bigint cell           [R7]
+              (per-cell table broadcast when its size is proven:
+               <= 32**precision rows of fixed-width values)
 
 The distinct place cells are bounded by ``32 ** precision`` (about 1M at
 precision 4), which is what licenses the broadcast; for finer precisions
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampType
 
 from ..functions.geohash import cell_id, cell_to_geohash, geohash_to_cell, valid_coordinates
 from . import dedupe as dd
@@ -146,9 +149,23 @@ def enrich(places: DataFrame, observations: DataFrame, precision: int = 4, order
     keep = place_cells(places, precision) if reduce else None
     right = reduce_observations(observations, precision, order_key, mode, avg_columns, first_columns,
                                 columns, prefix, keep_cells=keep, date_columns=date_columns)
+    if _bounded_per_cell(right, precision, prefix, date_columns):
+        # at most 32**precision rows of fixed-width values: broadcasting it means the
+        # (possibly huge) places side is never shuffled
+        right = F.broadcast(right)
     return left.join(right, CELL, "left").drop(CELL)
 
 
+def _bounded_per_cell(right: DataFrame, precision: int, prefix: str, date_columns) -> bool:
+    """True when the per-cell table has a proven size bound: few enough rows and no
+    column of unbounded width (numbers, booleans, or the 10-character ISO dates)."""
+    if 32 ** precision > BROADCAST_MAX_ROWS:
+        return False
+    dates = {f"{prefix}{c}" for c in date_columns}
+    fixed = (NumericType, BooleanType, DateType, TimestampType)
+    return all(isinstance(f.dataType, fixed) or f.name in dates for f in right.schema.fields)
+
+
 def key_overlap(left: DataFrame, right: DataFrame, left_key: str = "geohash",
                 right_key: str | None = None) -> DataFrame:
     """Distinct keys present on both sides (NULL matches NULL, as in set intersection)."""

@@ -286,3 +286,24 @@ def test_pushed_quality_filters_keep_nan_rows(spark, tmp_path):
     assert [r.id for r in dq.invalid_only(df).collect()] == [3]
     assert sorted(r.id for r in dq.valid_only(df).collect()) == [0, 1, 2, 4, 5]
     assert "GreaterThan(lat,90.0)" in dq.invalid_only(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_per_cell_table_is_broadcast_only_when_bounded(spark):
+    import re
+    from geoweave.sources import testdata as td
+    sf = "/root/testdata/sf0.001"
+    p, o = td.places(spark, sf), td.observations(spark, sf)
+    bhj = re.compile(r"BroadcastHashJoin \[_cell#\d+L\], \[_cell#\d+L\], LeftOuter")
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only explicit hints broadcast
+    try:
+        assert bhj.search(plan(en.enrich(p, o)))  # proven bound: broadcast, places not shuffled
+        free_text = en.enrich(p, o.withColumn("note", F.lit("free text")), mode="first", columns=["lat", "note"])
+        assert "LeftOuter" in plan(free_text) and not bhj.search(plan(free_text))
+        assert not bhj.search(plan(en.enrich(p, o, precision=6)))  # 32**6 rows: no bound
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
