@@ -21,6 +21,8 @@ def parse(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(description="Enrich places with per-geohash observations")
     p.add_argument("--restaurant-path", required=True, help="places CSV (header)")
     p.add_argument("--weather-path", required=True, help="observations Parquet")
+    p.add_argument("--weather-table", default=None,
+                   help="read observations from this catalog table instead (e.g. bucketed by cell)")
     p.add_argument("--output-path", required=True, help="output Parquet, partitioned by country")
     p.add_argument("--no-geocode", action="store_true", help="skip the coordinate fill")
     p.add_argument("--lookup-path", default=None, help="persisted (city, country) coordinate table")
@@ -48,6 +50,7 @@ def main(argv=None) -> int:
     cfg = EnrichConfig(places_path=a.restaurant_path, observations_path=a.weather_path,
                        output_path=a.output_path, fill_coordinates=not a.no_geocode,
                        lookup_path=a.lookup_path, repair_invalid=a.repair_invalid,
+                       observations_table=a.weather_table,
                        geohash_precision=a.precision, dedupe=a.dedupe,
                        order_key=a.order_key)
     res = run(spark, cfg)

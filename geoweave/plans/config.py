@@ -22,6 +22,7 @@ class EnrichConfig:
     order_key: str = "event_id"
     fill_coordinates: bool = True
     lookup_path: str | None = None  # persisted (city, country, lookup_lat, lookup_lng) table
+    observations_table: str | None = None  # catalog table (e.g. bucketed by cell) instead of the path
     repair_invalid: bool = False
     partition_columns: tuple = ("country",)
     write_mode: str = "overwrite"

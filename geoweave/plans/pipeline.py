@@ -55,6 +55,8 @@ def build(spark: SparkSession, cfg: EnrichConfig, places: DataFrame | None = Non
     if lookup is None and cfg.lookup_path:
         lookup = spark.read.parquet(cfg.lookup_path)
     places = prepare_places(places, cfg, lookup)
+    if observations is None and cfg.observations_table:
+        observations = spark.table(cfg.observations_table)  # keeps a bucket spec
     if observations is None:
         try:
             observations = src.read_observations(spark, cfg.observations_path)

@@ -185,3 +185,13 @@ def test_step_by_step_job(spark, places_csv, obs_real_shape, tmp_path):
     job.write(out)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 5
     assert job.run().output.count() == 5
+
+
+def test_pipeline_reads_bucketed_observation_table(spark, places_csv, obs_real_shape, tmp_path):
+    from geoweave.operators import enrich as en
+    en.bucket_observations(obs_real_shape, "obs_cells_cli", str(tmp_path / "obs_cells"), precision=4, buckets=4)
+    out = str(tmp_path / "o")
+    rc = cli.main(["--restaurant-path", places_csv, "--weather-path", "unused", "--weather-table", "obs_cells_cli",
+                   "--output-path", out])
+    assert rc == 0 and spark.read.parquet(out).where("weather_avg_tmpr_c IS NOT NULL").count() == 3
+    spark.sql("DROP TABLE obs_cells_cli")
