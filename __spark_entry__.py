@@ -65,7 +65,21 @@ def _with_geohash(df, precision=4):
 
 
 def _lookup(spark, sf):
-    return lk.lookup_from_places(_places(spark, sf))
+    """Stand-in for the geocoder: one row per distinct (city, country) of the places.
+
+    A geocoder answers for any city, so this table covers every key, with
+    coordinates from a fixed arithmetic rule on the city and nation numbers.
+    (The city means of the places cannot serve here: in this data a city
+    either has all its coordinates or none.)
+    """
+    city_n = F.substring("city", 5, 10).try_cast("int")
+    nation_n = F.substring("country", 8, 10).try_cast("int")
+    keys = _places(spark, sf).where(lk.has_key()).select("city", "country").distinct()
+    return keys.select("city", "country",
+                       (F.lit(30.0) + ((city_n * 37 + nation_n * 11) % 1000).cast("double") / 100)
+                       .alias("lookup_lat"),
+                       (F.lit(-10.0) + ((city_n * 53 + nation_n * 7) % 997).cast("double") / 100)
+                       .alias("lookup_lng"))
 
 
 def _filled(spark, sf):
@@ -88,7 +102,7 @@ def q_pipeline_full(spark, sf):
     csv = scratch_path(spark, "places_csv")
     _places(spark, sf).write.option("header", True).csv(csv)
     cfg = EnrichConfig(places_path=csv, observations_path="(given)", output_path=scratch_path(spark, "enriched"))
-    res = run_pipeline(spark, cfg, observations=_obs(spark, sf))
+    res = run_pipeline(spark, cfg, observations=_obs(spark, sf), lookup=_lookup(spark, sf))
     return _round(res.output.select(*ENRICHED_COLS), AVG)
 
 
@@ -532,11 +546,13 @@ w AS ({_W}),
 enriched AS (SELECT pg.*, w.weather_lat, w.weather_lng, w.weather_wthr_date,
                     w.weather_avg_tmpr_f, w.weather_avg_tmpr_c
              FROM pg LEFT JOIN w ON pg.geohash = w.wg),
-lookup AS (SELECT city, country, round(avg(lat), 6) AS lookup_lat, round(avg(lng), 6) AS lookup_lng
-           FROM places
-           WHERE lat BETWEEN -90 AND 90 AND lng BETWEEN -180 AND 180
-             AND city IS NOT NULL AND city <> '' AND country IS NOT NULL AND country <> ''
-           GROUP BY city, country),
+lookup AS (SELECT city, country,
+                  30 + CAST((TRY_CAST(substr(city, 5, 10) AS INTEGER) * 37
+                             + TRY_CAST(substr(country, 8, 10) AS INTEGER) * 11) % 1000 AS DOUBLE) / 100 AS lookup_lat,
+                  -10 + CAST((TRY_CAST(substr(city, 5, 10) AS INTEGER) * 53
+                              + TRY_CAST(substr(country, 8, 10) AS INTEGER) * 7) % 997 AS DOUBLE) / 100 AS lookup_lng
+           FROM (SELECT DISTINCT city, country FROM places
+                 WHERE city IS NOT NULL AND city <> '' AND country IS NOT NULL AND country <> '')),
 filled AS (SELECT p.id, p.franchise_id, p.franchise_name, p.restaurant_franchise_id, p.country, p.city,
                   coalesce(p.lat, l.lookup_lat) AS lat, coalesce(p.lng, l.lookup_lng) AS lng
            FROM places p LEFT JOIN lookup l ON p.city = l.city AND p.country = l.country),
