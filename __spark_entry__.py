@@ -29,7 +29,7 @@ from geoweave.operators import tables as tb  # noqa: E402
 from geoweave.plans import catalog as cat  # noqa: E402
 from geoweave.plans import report as rp  # noqa: E402
 from geoweave.plans.config import EnrichConfig  # noqa: E402
-from geoweave.plans.pipeline import run as run_pipeline  # noqa: E402
+from geoweave.plans.runner import run as run_job  # noqa: E402
 from geoweave.sinks import files as sk  # noqa: E402
 from geoweave.session import scratch_path  # noqa: E402
 from geoweave.sources import files as src  # noqa: E402
@@ -92,17 +92,17 @@ def _places_by_country(spark, sf, name):
     return path
 
 
-# ------------------------------------------------------------- core pipeline
+# ------------------------------------------------------------- core enrichment
 
 def q_enrich_left_join(spark, sf):
     return _round(_enriched(spark, sf), AVG)
 
 
-def q_pipeline_full(spark, sf):
+def q_enrich_job(spark, sf):
     csv = scratch_path(spark, "places_csv")
     _places(spark, sf).write.option("header", True).csv(csv)
     cfg = EnrichConfig(places_path=csv, observations_path="(given)", output_path=scratch_path(spark, "enriched"))
-    res = run_pipeline(spark, cfg, observations=_obs(spark, sf), lookup=_lookup(spark, sf))
+    res = run_job(spark, cfg, observations=_obs(spark, sf), lookup=_lookup(spark, sf))
     return _round(res.output.select(*ENRICHED_COLS), AVG)
 
 
@@ -139,8 +139,8 @@ def q_avg_temp_by_country(spark, sf):
                                 "record_count", "avg_temperature_c")
 
 
-def q_pipeline_summary(spark, sf):
-    return rp.pipeline_summary(_places(spark, sf), _obs(spark, sf))
+def q_run_summary(spark, sf):
+    return rp.run_summary(_places(spark, sf), _obs(spark, sf))
 
 
 def q_dedupe_ratio(spark, sf):
@@ -616,7 +616,7 @@ def oracle_sql() -> dict[str, str]:
     places_all = _q(f"SELECT {_PLACE_COLS} FROM places")
     return {
         "enrich_left_join": _q(f"SELECT {_ENR} FROM enriched"),
-        "pipeline_full": _q(f"SELECT {_ENR} FROM fenriched"),
+        "enrich_job": _q(f"SELECT {_ENR} FROM fenriched"),
         "enrich_unmatched": _q(f"SELECT {_PLACE_COLS}, geohash FROM enriched WHERE weather_avg_tmpr_c IS NULL"),
         "dedupe_avg": _q("SELECT wg AS geohash, weather_lat, weather_lng, weather_wthr_date, "
                          "round(weather_avg_tmpr_f, 6) AS weather_avg_tmpr_f, "
@@ -633,7 +633,7 @@ def oracle_sql() -> dict[str, str]:
         "avg_temp_by_country": _q("""SELECT country, count(*) AS record_count,
             round(avg(weather_avg_tmpr_c), 6) AS avg_temperature_c
             FROM enriched WHERE weather_avg_tmpr_c IS NOT NULL GROUP BY country"""),
-        "pipeline_summary": _q(f"""
+        "run_summary": _q(f"""
             SELECT 'places_total' AS metric, count(*) AS value FROM places
             UNION ALL SELECT 'observations_total', count(*) FROM obs
             UNION ALL SELECT 'null_coordinates', count(*) FILTER (WHERE {_NULL}) FROM places

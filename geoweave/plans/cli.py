@@ -14,7 +14,7 @@ from ..session import get_session
 from ..sources.files import read_places
 from ..sources.synth import synth_observations
 from .config import EnrichConfig
-from .pipeline import run
+from .runner import run
 
 
 def parse(argv=None) -> argparse.Namespace:

@@ -2,7 +2,7 @@
 
 Each method is one step of the job as a ``DataFrame -> DataFrame``
 function bound to an :class:`EnrichConfig`; nothing runs until a write
-or an action.  ``run()`` is the whole job (see ``plans.pipeline``).
+or an action.  ``run()`` is the whole job (see ``plans.runner``).
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from ..operators import lookup as lk
 from ..operators import quality as dq
 from ..sinks.files import write_partitioned
 from ..sources import files as src
-from . import pipeline
+from . import runner
 from .config import EnrichConfig
 
 
@@ -55,6 +55,6 @@ class EnrichJob:
         write_partitioned(df, path or self.cfg.output_path, self.cfg.partition_columns,
                           mode or self.cfg.write_mode, max_records_per_file=self.cfg.max_records_per_file)
 
-    def run(self, **kw) -> pipeline.RunResult:
+    def run(self, **kw) -> runner.RunResult:
         """The whole job: read, fill, geohash, reduce + join, write, read back."""
-        return pipeline.run(self.spark, self.cfg, **kw)
+        return runner.run(self.spark, self.cfg, **kw)

@@ -73,7 +73,7 @@ def matching_cells(places: DataFrame, observations: DataFrame, precision: int =
     return a.intersect(b).select(cell_to_geohash(en.CELL, precision).alias("geohash"))
 
 
-def pipeline_summary(places: DataFrame, observations: DataFrame, precision: int = 4) -> DataFrame:
+def run_summary(places: DataFrame, observations: DataFrame, precision: int = 4) -> DataFrame:
     """The run report in long form: (metric, value).
 
     Each source is scanned once into per-cell counts (at most 32**precision

@@ -118,7 +118,7 @@ def test_reports(places, obs_real_shape):
     e = en.enrich(places, obs_real_shape)
     s = rp.join_stats(e).first()
     assert (s.total_records, s.matched_records, s.unmatched_records, s.matched_pct) == (5, 3, 2, 60.0)
-    summary = {r.metric: r.value for r in rp.pipeline_summary(places, obs_real_shape).collect()}
+    summary = {r.metric: r.value for r in rp.run_summary(places, obs_real_shape).collect()}
     assert summary["places_total"] == 5 and summary["matched"] == 3 and summary["matching_geohashes"] == 3
     assert summary["place_geohashes"] == 4  # three cells + NULL
     t = rp.top_cells(obs_real_shape, 2).collect()
@@ -134,7 +134,7 @@ def test_dedupe_rows_whole_row(spark):
 def test_summary_null_cell_on_both_sides(spark, places):
     obs = spark.createDataFrame([(1, None, None, 1.0, "2024-01-01"), (2, 40.71, -74.01, 2.0, "2024-01-02")],
                                 "event_id long, lat double, lng double, avg_tmpr_c double, wthr_date string")
-    s = {r.metric: r.value for r in rp.pipeline_summary(places, obs).collect()}
+    s = {r.metric: r.value for r in rp.run_summary(places, obs).collect()}
     # NULL geohash is on both sides: it counts in the overlap, never as an enriched match
     assert s["matching_geohashes"] == 2 and s["matched"] == 1 and s["observation_geohashes"] == 2
     assert rp.date_range(obs).first() == ("2024-01-01", "2024-01-02")

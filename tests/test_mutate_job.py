@@ -1,4 +1,4 @@
-"""Copy-on-write mutations, the full pipeline, the CLI and the driver contract."""
+"""Copy-on-write mutations, the full job, the CLI and the driver contract."""
 
 import json
 import os
@@ -11,7 +11,7 @@ from geoweave import schemas
 from geoweave.operators import mutate as mu
 from geoweave.plans import cli
 from geoweave.plans.config import EnrichConfig
-from geoweave.plans.pipeline import run
+from geoweave.plans.runner import run
 
 
 def test_update_delete_null_predicate(spark):
@@ -34,7 +34,7 @@ def test_mutation_chain_end_state(spark, tmp_path):
     assert sorted(tuple(r) for r in again.read().collect()) == got
 
 
-def test_pipeline_end_to_end(spark, places_csv, obs_real_shape, tmp_path):
+def test_job_end_to_end(spark, places_csv, obs_real_shape, tmp_path):
     out = str(tmp_path / "enriched")
     cfg = EnrichConfig(places_path=places_csv, observations_path="unused", output_path=out)
     res = run(spark, cfg, observations=obs_real_shape)
@@ -48,7 +48,7 @@ def test_pipeline_end_to_end(spark, places_csv, obs_real_shape, tmp_path):
     assert sorted(map(tuple, res2.output.collect()), key=repr) == first
 
 
-def test_pipeline_bounds_file_size(spark, places_csv, obs_real_shape, tmp_path):
+def test_job_bounds_file_size(spark, places_csv, obs_real_shape, tmp_path):
     out = str(tmp_path / "small_files")
     cfg = EnrichConfig(places_path=places_csv, observations_path="unused", output_path=out,
                        max_records_per_file=1)
@@ -57,7 +57,7 @@ def test_pipeline_bounds_file_size(spark, places_csv, obs_real_shape, tmp_path):
     assert len(us) == 2  # two US rows, at most one per file
 
 
-def test_pipeline_fill_from_lookup_table(spark, places_csv, obs_real_shape, tmp_path):
+def test_job_fill_from_lookup_table(spark, places_csv, obs_real_shape, tmp_path):
     lookup = spark.createDataFrame([("Chicago", "US", 41.88, -87.63)], schemas.LOOKUP)
     cfg = EnrichConfig(places_path=places_csv, observations_path="unused", output_path=str(tmp_path / "o"))
     res = run(spark, cfg, observations=obs_real_shape, lookup=lookup)
@@ -65,14 +65,14 @@ def test_pipeline_fill_from_lookup_table(spark, places_csv, obs_real_shape, tmp_
     assert r.lat == 41.88 and r.geohash is not None
 
 
-def test_pipeline_missing_weather_degrades(spark, places_csv, tmp_path):
+def test_job_missing_weather_degrades(spark, places_csv, tmp_path):
     cfg = EnrichConfig(places_path=places_csv, observations_path=str(tmp_path / "nope"),
                        output_path=str(tmp_path / "o2"))
     res = run(spark, cfg)
     assert not res.weather_joined and res.output.count() == 5 and "geohash" in res.output.columns
 
 
-def test_pipeline_other_errors_surface(spark, places_csv, tmp_path):
+def test_job_other_errors_surface(spark, places_csv, tmp_path):
     bad = str(tmp_path / "bad_obs")
     os.makedirs(bad)
     with open(os.path.join(bad, "x.parquet"), "w") as f:
@@ -103,7 +103,7 @@ def test_entry_and_contract(spark):
     assert set(q) - set(o) == {"describe_table", "show_create", "table_schema"}
 
 
-ORACLE_SAMPLE = ["enrich_left_join", "pipeline_full", "dedupe_first_prefixed", "pipeline_summary",
+ORACLE_SAMPLE = ["enrich_left_join", "enrich_job", "dedupe_first_prefixed", "run_summary",
                  "geohash_neighbors", "geohash_decode", "repair_multiline_records", "mutation_chain",
                  "synth_observations", "key_overlap", "dq_summary", "verify_roundtrip"]
 
@@ -187,7 +187,7 @@ def test_step_by_step_job(spark, places_csv, obs_real_shape, tmp_path):
     assert job.run().output.count() == 5
 
 
-def test_pipeline_reads_bucketed_observation_table(spark, places_csv, obs_real_shape, tmp_path):
+def test_job_reads_bucketed_observation_table(spark, places_csv, obs_real_shape, tmp_path):
     from geoweave.operators import enrich as en
     en.bucket_observations(obs_real_shape, "obs_cells_cli", str(tmp_path / "obs_cells"), precision=4, buckets=4)
     out = str(tmp_path / "o")
