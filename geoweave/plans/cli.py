@@ -14,7 +14,7 @@ from ..session import get_session
 from ..sources.files import read_places
 from ..sources.synth import synth_observations
 from .config import EnrichConfig
-from .runner import run
+from .runner import build, run
 
 
 def parse(argv=None) -> argparse.Namespace:
@@ -34,6 +34,7 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--generate-weather", action="store_true",
                    help="write synthetic observations near the places to --weather-path first")
     p.add_argument("--weather-records", type=int, default=1000, help="about this many synthetic rows")
+    p.add_argument("--explain", action="store_true", help="print the formatted physical plan to stderr first")
     p.add_argument("--master", default=None)
     return p.parse_args(argv)
 
@@ -53,6 +54,12 @@ def main(argv=None) -> int:
                        observations_table=a.weather_table,
                        geohash_precision=a.precision, dedupe=a.dedupe,
                        order_key=a.order_key)
+    if a.explain:
+        import contextlib
+        import sys
+        enriched, _ = build(spark, cfg)
+        with contextlib.redirect_stdout(sys.stderr):
+            enriched.explain("formatted")
     res = run(spark, cfg)
     print(json.dumps({"weather_joined": res.weather_joined, **{k: int(v) for k, v in res.metrics.items()}}))
     return 0

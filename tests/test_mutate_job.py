@@ -195,3 +195,12 @@ def test_job_reads_bucketed_observation_table(spark, places_csv, obs_real_shape,
                    "--output-path", out])
     assert rc == 0 and spark.read.parquet(out).where("weather_avg_tmpr_c IS NOT NULL").count() == 3
     spark.sql("DROP TABLE obs_cells_cli")
+
+
+def test_cli_explain_goes_to_stderr(spark, places_csv, obs_real_shape, tmp_path, capsys):
+    weather = str(tmp_path / "w")
+    obs_real_shape.write.parquet(weather)
+    assert cli.main(["--restaurant-path", places_csv, "--weather-path", weather,
+                     "--output-path", str(tmp_path / "o"), "--explain"]) == 0
+    captured = capsys.readouterr()
+    assert "Physical Plan" in captured.err and captured.out.strip().splitlines()[-1].startswith("{")
