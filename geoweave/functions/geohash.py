@@ -36,7 +36,6 @@ from ..session import context_key
 BASE32 = "0123456789bcdefghjkmnpqrstuvwxyz"
 
 MAX_PRECISION = 12  # 60 bits, fits a signed long
-_EPS = 1e-9  # inputs on a bound are pulled this far inside, so poles and +-180 encode
 _FULL_BITS = 30  # bits per axis at MAX_PRECISION
 
 # Neighbour offsets by direction: (d_lat_index, d_lng_index).
@@ -97,12 +96,13 @@ def _axis_index(v: Column, lo: float, hi: float, bits: int) -> Column:
     doubles for up to 30 bits, so the estimate is checked against its own
     lower and upper edge and moved by one where needed.
     """
-    clamped = F.greatest(F.least(v, F.lit(hi - _EPS)), F.lit(lo + _EPS))
-    est = F.floor((clamped - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(1 << bits))).cast("long")
+    # no pre-clamp needed: the final clamp to [0, 2^bits - 1] puts the poles and
+    # +-180 in the outermost bands, as the 1e-9 pull-inside of the original did
+    est = F.floor((v - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(1 << bits))).cast("long")
     width = (hi - lo) / (1 << bits)
     lower = F.lit(lo) + est.cast("double") * F.lit(width)
-    idx = (F.when(clamped < lower, est - F.lit(1))
-           .when(clamped >= lower + F.lit(width), est + F.lit(1))
+    idx = (F.when(v < lower, est - F.lit(1))
+           .when(v >= lower + F.lit(width), est + F.lit(1))
            .otherwise(est))
     return F.least(F.greatest(idx, F.lit(0)), F.lit((1 << bits) - 1))
 
@@ -394,13 +394,12 @@ def sql_geohash_expr(lat: str, lng: str, precision: int = 4, spread_fn: str = "g
     nl, nt = bit_split(precision)
 
     def index(v: str, lo: float, hi: float, bits: int) -> str:
-        clamped = f"greatest(least({v}, CAST({hi - _EPS!r} AS DOUBLE)), CAST({lo + _EPS!r} AS DOUBLE))"
-        est = (f"CAST(floor(({clamped} - CAST({lo!r} AS DOUBLE)) / CAST({hi - lo!r} AS DOUBLE)"
+        est = (f"CAST(floor(({v} - CAST({lo!r} AS DOUBLE)) / CAST({hi - lo!r} AS DOUBLE)"
                f" * CAST({float(1 << bits)!r} AS DOUBLE)) AS BIGINT)")
         width = (hi - lo) / (1 << bits)
         lower = f"(CAST({lo!r} AS DOUBLE) + CAST({est} AS DOUBLE) * CAST({width!r} AS DOUBLE))"
-        idx = (f"CASE WHEN {clamped} < {lower} THEN {est} - 1 "
-               f"WHEN {clamped} >= {lower} + CAST({width!r} AS DOUBLE) THEN {est} + 1 ELSE {est} END")
+        idx = (f"CASE WHEN {v} < {lower} THEN {est} - 1 "
+               f"WHEN {v} >= {lower} + CAST({width!r} AS DOUBLE) THEN {est} + 1 ELSE {est} END")
         return f"least(greatest({idx}, 0), {(1 << bits) - 1})"
 
     def spread(x: str, bits: int) -> str:
