@@ -1,7 +1 @@
-"""Column functions (native Spark expressions, no UDF)."""
-
-from .geohash import (cell_id, cell_to_geohash, decode, explode_neighbours, geohash, geohash_to_cell,
-                      neighbour_cells, neighbours, register_sql_functions, valid_coordinates)
-
-__all__ = ["cell_id", "cell_to_geohash", "decode", "explode_neighbours", "geohash", "geohash_to_cell",
-           "neighbour_cells", "neighbours", "register_sql_functions", "valid_coordinates"]
+"""Column functions (native Spark expressions, no UDF): see ``geoweave.functions.geohash``."""
