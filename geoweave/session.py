@@ -15,11 +15,6 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.ui.enabled": "false",
-    # let the JIT compile large generated methods: a whole-stage method over 8000
-    # bytes of bytecode otherwise runs interpreted, 10x slower (seen on a
-    # skewed enrichment stage before its expressions were slimmed)
-    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
-    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
@@ -103,5 +98,8 @@ def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        # let the JIT compile large generated methods: a whole-stage method over
+        # 8000 bytes of bytecode otherwise runs interpreted, ~10x slower.  Merge
+        # with any JVM options already in use rather than replacing them.
         "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
     }
