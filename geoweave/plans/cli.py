@@ -11,7 +11,8 @@ import json
 import math
 
 from ..session import get_session
-from ..sources.files import read_places
+from ..operators.enrich import bucket_observations
+from ..sources.files import read_observations, read_places
 from ..sources.synth import synth_observations
 from .config import EnrichConfig
 from .runner import build, run
@@ -34,6 +35,10 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--generate-weather", action="store_true",
                    help="write synthetic observations near the places to --weather-path first")
     p.add_argument("--weather-records", type=int, default=1000, help="about this many synthetic rows")
+    p.add_argument("--bucket-into", default=None,
+                   help="first write the observations as a table bucketed by cell (then read from it)")
+    p.add_argument("--bucket-path", default=None, help="storage path of the --bucket-into table")
+    p.add_argument("--buckets", type=int, default=200, help="number of buckets for --bucket-into")
     p.add_argument("--explain", action="store_true", help="print the formatted physical plan to stderr first")
     p.add_argument("--master", default=None)
     return p.parse_args(argv)
@@ -48,6 +53,12 @@ def main(argv=None) -> int:
         synth = synth_observations(places, per_place=max(1, math.ceil(a.weather_records / n)),
                                    precision=a.precision)
         synth.write.mode("overwrite").parquet(a.weather_path)
+    if a.bucket_into:
+        if not a.bucket_path:
+            raise SystemExit("--bucket-into needs --bucket-path")
+        bucket_observations(read_observations(spark, a.weather_path), a.bucket_into, a.bucket_path,
+                            precision=a.precision, buckets=a.buckets)
+        a.weather_table = a.bucket_into
     cfg = EnrichConfig(places_path=a.restaurant_path, observations_path=a.weather_path,
                        output_path=a.output_path, fill_coordinates=not a.no_geocode,
                        lookup_path=a.lookup_path, repair_invalid=a.repair_invalid,

@@ -205,3 +205,14 @@ def test_cli_explain_goes_to_stderr(spark, places_csv, obs_real_shape, tmp_path,
                      "--output-path", str(tmp_path / "o"), "--explain"]) == 0
     captured = capsys.readouterr()
     assert "Physical Plan" in captured.err and captured.out.strip().splitlines()[-1].startswith("{")
+
+
+def test_cli_bucket_into_then_run(spark, places_csv, obs_real_shape, tmp_path):
+    weather, out = str(tmp_path / "w"), str(tmp_path / "o")
+    obs_real_shape.write.parquet(weather)
+    assert cli.main(["--restaurant-path", places_csv, "--weather-path", weather, "--output-path", out,
+                     "--bucket-into", "obs_bucketed_cli", "--bucket-path", str(tmp_path / "b"), "--buckets", "4"]) == 0
+    assert spark.read.parquet(out).where("weather_avg_tmpr_c IS NOT NULL").count() == 3
+    desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED obs_bucketed_cli").collect()}
+    assert desc.get("Num Buckets") == "4"
+    spark.sql("DROP TABLE obs_bucketed_cli")
