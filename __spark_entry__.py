@@ -9,6 +9,8 @@ geohash text, not the packed cell id of the Spark side.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 import uuid
@@ -451,8 +453,29 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_enrich_left_join(spark, SMOKE_DIR)
 
 
+def _llm():
+    """The queries module of the training-data subpackage, or None where that package is not installed.
+
+    Only its absence is tolerated: an error inside it is raised.
+    """
+    if importlib.util.find_spec("geoweave.llm") is None:
+        return None
+    return importlib.import_module("geoweave.llm.queries")
+
+
+def _pipeline():
+    if importlib.util.find_spec("geoweave.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+        return None
+    return importlib.import_module("corpus_pipeline")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}
+    found = {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}
+    if llm := _llm():
+        found |= llm.QUERIES
+    if pipeline := _pipeline():
+        found["pipeline"] = pipeline.run
+    return found
 
 
 # ===================================================================== oracle
@@ -609,6 +632,16 @@ SELECT lat, lng, {_d_geohash('lat', 'lng')} AS geohash, temperature_c, humidity_
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _own_oracle_sql()
+    if llm := _llm():
+        found |= llm.ORACLE_SQL
+    pipeline = _pipeline()
+    if pipeline and pipeline.ORACLE_SQL:
+        found["pipeline"] = pipeline.ORACLE_SQL
+    return found
+
+
+def _own_oracle_sql() -> dict[str, str]:
     first_cols = ["lat", "lng", "avg_tmpr_f", "avg_tmpr_c", "wthr_date", "year", "month", "day"]
     offsets = [("n", 1, 0), ("ne", 1, 1), ("e", 0, 1), ("se", -1, 1),
                ("s", -1, 0), ("sw", -1, -1), ("w", 0, -1), ("nw", 1, -1)]

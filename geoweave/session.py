@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -58,7 +57,8 @@ def shared_dir(spark: SparkSession) -> str:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(d)
         return d.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store)")
     d = tempfile.mkdtemp(prefix="geoweave-ckpt-")
     spark.conf.set("spark.checkpoint.dir", d)
@@ -68,10 +68,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder for one job's output."""
-    base = shared_dir(spark)
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
-    return f"{base}/geoweave/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{shared_dir(spark)}/geoweave/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def scale_conf(input_bytes: int, executors: int, cores_per_executor: int,
