@@ -11,9 +11,12 @@
    and confirmed on the full shingle sets.
 4. Components by large-star / small-star.
 5. Buckets that still hold several components are searched in full, as blocks
-   of signatures, for pairs between different components; hits are confirmed
-   the same way.  So no pair that shares a band and reaches the threshold is
-   lost to the star, yet copies already tied together are never paired again.
+   of signatures, for members of different components that look alike; these
+   tie the components into families.  Inside a family every member outside the
+   largest component is compared with all members on full sets, in blocks.  So
+   no pair that shares a band and reaches the threshold is lost to the star,
+   yet copies already tied together are never paired again, and only edges that
+   tie something leave a block.
 """
 
 from __future__ import annotations
@@ -140,33 +143,88 @@ def _confirm(percent: int):
     return run
 
 
-def _between(limit: float, block: int):
-    """Screen all pairs of different components inside one group, ``block`` rows at a time.
+class _Union:
+    """Union-find over 0 .. n - 1."""
 
-    Rows carry ``side`` 0 or 1; a group of one side is searched within itself.
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def root(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _pairs(a, b) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _sides(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    side = t.column("side").to_numpy()
+    return np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+
+
+def _families(limit: float):
+    """Members of one bucket that look alike across components, tied to one of them each.
+
+    Rows carry ``side`` 0 or 1; a group of side 0 only is searched within itself.
     """
     def run(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(list(group))
         rep, comp = t.column("rep").to_numpy(), t.column("comp").to_numpy()
-        side = t.column("side").to_numpy()
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint8).reshape(len(rep), -1)
-        left, right = (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
-        if len(right) == 0:
+        left, right = _sides(t)
+        if t.column("lo")[0].as_py() == t.column("hi")[0].as_py():
             right = left
-        if len(left) == 0:
-            left = right
-        out_a, out_b = [], []
-        for i in left:
-            for j in range(0, len(right), block):
-                js = right[j:j + block]
-                js = js[comp[js] != comp[i]]
-                if len(js):
-                    js = js[_likeness(sig[js], sig[i][None, :]) >= limit]
-                    out_a.append(np.minimum(rep[js], rep[i]))
-                    out_b.append(np.maximum(rep[js], rep[i]))
-        a = np.concatenate(out_a) if out_a else np.empty(0, np.int64)
-        b = np.concatenate(out_b) if out_b else np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        tied = _Union(len(rep))
+        for i in left.tolist():
+            js = right[comp[right] != comp[i]]
+            for j in js[_likeness(sig[js], sig[i][None, :]) >= limit].tolist() if len(js) else ():
+                tied.join(i, j)
+        root = np.array([tied.root(i) for i in range(len(rep))], int)
+        at = np.flatnonzero(root != np.arange(len(rep)))
+        yield _pairs(rep[root[at]], rep[at])
+    return run
+
+
+def _exact_links(percent: int):
+    """Links between components inside one family: rows of side 0 against rows of side 1 on full sets.
+
+    The sets of side 1 are numbered into one array, so all its intersections
+    with a row of side 0 are one pass over that array.  Of the links found, as
+    many are returned as tie the components together.
+    """
+    def run(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(list(group))
+        rep, comps = t.column("rep").to_numpy(), t.column("comp").to_numpy()
+        comp = np.unique(comps, return_inverse=True)[1]
+        left, right = _sides(t)
+        sets = [np.frombuffer(x.as_buffer(), "<u8") for x in t.column("s").combine_chunks()]
+        out_a, out_b, tied = [], [], _Union(len(rep))
+        if len(left) and len(right):
+            known, codes = np.unique(np.concatenate([sets[j] for j in right]), return_inverse=True)
+            sizes = np.array([len(sets[j]) for j in right])
+            starts = np.cumsum(sizes) - sizes
+            mark = np.zeros(len(known), np.int32)
+            for i in left.tolist():
+                at = np.searchsorted(known, sets[i])
+                at[at == len(known)] = 0
+                at = at[known[at] == sets[i]]
+                mark[at] = 1
+                both = np.add.reduceat(mark[codes], starts)
+                mark[at] = 0
+                near = right[(100 * both >= percent * (len(sets[i]) + sizes - both)) & (comp[right] != comp[i])]
+                for j in near.tolist():
+                    if tied.join(int(comp[i]), int(comp[j])):
+                        out_a.append(int(rep[i]))
+                        out_b.append(int(rep[j]))
+        yield _pairs(out_a, out_b)
     return run
 
 
@@ -208,8 +266,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     star = shared.where("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     links = _checked(base, reps, star, words, percent, limit)
     labels = connected_components(links)
-    rest = _unsettled(shared, reps, labels, limit, bucket_block)
-    more = _checked(base, reps, rest, words, percent, None)
+    families = connected_components(_alike(shared, reps, labels, limit, bucket_block))
+    more = _settled(base, s, families, labels, words, percent)
     if not more.isEmpty():
         labels = connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
                                       .union(more.select("a", "b")))
@@ -221,34 +279,34 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
-def _checked(base: DataFrame, reps: DataFrame, pairs: DataFrame, words: int, percent: int,
-             limit: float | None) -> DataFrame:
-    """Pairs (a, b) that pass the signature screen (unless already screened) and the exact test, staged."""
-    if limit is not None:
-        left, right = (reps.select(F.col("rep").alias(k), F.col("sig").alias("sig_" + k)) for k in "ab")
-        pairs = pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b") \
-            .mapInArrow(_screen(limit), "a long, b long")
-    pairs = staged(pairs.distinct(), "minhash-pairs")
+def _sets_of(base: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """Shingle sets ``(doc_id, s)`` of the documents in ``wanted(doc_id)``."""
+    return base.join(wanted, "doc_id", "semi").mapInArrow(_set_maker(words), "doc_id long, s binary").where(F.length("s") > 0)
+
+
+def _checked(base: DataFrame, reps: DataFrame, pairs: DataFrame, words: int, percent: int, limit: float) -> DataFrame:
+    """Pairs (a, b) that pass the signature screen and then the exact test, staged."""
+    left, right = (reps.select(F.col("rep").alias(k), F.col("sig").alias("sig_" + k)) for k in "ab")
+    pairs = staged(pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b")
+                   .mapInArrow(_screen(limit), "a long, b long").distinct(), "minhash-pairs")
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = staged(base.join(wanted, "doc_id", "semi").mapInArrow(_set_maker(words), "doc_id long, s binary")
-                  .where(F.length("s") > 0), "minhash-sets")
+    sets = staged(_sets_of(base, wanted, words), "minhash-sets")
     return staged(pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("s_a")), "a")
                   .join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("s_b")), "b")
                   .select("a", "b", "s_a", "s_b").mapInArrow(_confirm(percent), "a long, b long").distinct(),
                   "minhash-links")
 
 
-def _unsettled(shared: DataFrame, reps: DataFrame, labels: DataFrame, limit: float, block: int) -> DataFrame:
-    """Screened pairs of different components that share a bucket.
+def _alike(shared: DataFrame, reps: DataFrame, labels: DataFrame, limit: float, block: int) -> DataFrame:
+    """Edges that tie members of different components which share a bucket and look alike by signature.
 
-    A bucket larger than ``block`` is cut into hashed blocks and every pair of
-    blocks is a group of its own, so no task holds more than two blocks.
+    At most one edge per row of a bucket.  A bucket larger than ``block`` is
+    cut into hashed blocks and every pair of blocks is a group of its own, so
+    no task holds more than two blocks.
     """
     m = shared.join(labels, shared["rep"] == labels["node"], "left") \
         .select("key", "rep", F.coalesce("component", "rep").alias("comp"))
     m = staged(m.distinct(), "minhash-members")
-    # members of a bucket's smallest component that the star has already met are still needed: another
-    # component may link to any of them
     mixed = m.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")) \
         .where("lo < hi").select("key", F.ceil(F.col("n") / block).cast("int").alias("cuts"))
     x = m.join(mixed, "key").withColumn("cut", F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int"))
@@ -256,4 +314,40 @@ def _unsettled(shared: DataFrame, reps: DataFrame, labels: DataFrame, limit: flo
     x = x.select("key", F.least("cut", "other").alias("lo"), F.greatest("cut", "other").alias("hi"),
                  (F.col("cut") > F.col("other")).cast("int").alias("side"), "rep", "comp")
     x = x.join(reps.select("rep", "sig"), "rep")
-    return x.groupBy("key", "lo", "hi").applyInArrow(_between(limit, block), "a long, b long")
+    return x.groupBy("key", "lo", "hi").applyInArrow(_families(limit), "a long, b long")
+
+
+def _settled(base: DataFrame, s: DataFrame, families: DataFrame, labels: DataFrame, words: int, percent: int,
+             rows: int = 512, shingles: int = 500_000) -> DataFrame:
+    """Links between the components of each family, staged.
+
+    Members outside the family's largest component are compared with all
+    members, in blocks of about ``rows`` rows and ``shingles`` shingles.
+    """
+    n = s.groupBy(F.col("doc_id").alias("node")).agg(F.max("n_shingles").alias("n"))
+    m = families.distinct().withColumnRenamed("component", "family").join(labels.distinct(), "node", "left") \
+        .join(n, "node").select("family", F.col("node").alias("rep"), F.coalesce("component", "node").alias("comp"), "n")
+    m = staged(m, "minhash-family")
+    parts = m.groupBy("family", "comp").agg(F.count("*").alias("n_rows"), F.sum("n").alias("n_shingles"))
+
+    def cut(n_rows, n_shingles):
+        return F.greatest(F.lit(1), F.ceil(n_rows / rows), F.ceil(n_shingles / shingles)).cast("int")
+    plan = parts.groupBy("family").agg(
+        F.max_by("comp", F.struct("n_rows", "comp")).alias("largest"), F.count("*").alias("comps"),
+        cut(F.sum("n_rows"), F.sum("n_shingles")).alias("all_cuts"),
+        cut(F.sum("n_rows") - F.max("n_rows"), F.sum("n_shingles") - F.max("n_shingles")).alias("own_cuts")) \
+        .where("comps > 1").drop("comps")
+    x = m.join(plan, "family")
+
+    def dealt(rows_, own: str, other: str, side: int):
+        return rows_.select("family", F.pmod(F.xxhash64("rep"), F.col(own)).cast("int").alias("_own"),
+                            F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("_other"),
+                            F.lit(side).alias("side"), "rep", "comp")
+    first = dealt(x.where("comp != largest"), "own_cuts", "all_cuts", 0) \
+        .select("family", F.col("_own").alias("lo"), F.col("_other").alias("hi"), "side", "rep", "comp")
+    second = dealt(x, "all_cuts", "own_cuts", 1) \
+        .select("family", F.col("_other").alias("lo"), F.col("_own").alias("hi"), "side", "rep", "comp")
+    sets = staged(_sets_of(base, x.select(F.col("rep").alias("doc_id")).distinct(), words), "minhash-sets")
+    y = first.union(second).join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    return staged(y.groupBy("family", "lo", "hi").applyInArrow(_exact_links(percent), "a long, b long").distinct(),
+                  "minhash-links")
