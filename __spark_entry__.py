@@ -28,7 +28,6 @@ from geoweave.operators import lookup as lk  # noqa: E402
 from geoweave.operators import mutate as mu  # noqa: E402
 from geoweave.operators import quality as dq  # noqa: E402
 from geoweave.operators import tables as tb  # noqa: E402
-from geoweave.plans import catalog as cat  # noqa: E402
 from geoweave.plans import report as rp  # noqa: E402
 from geoweave.plans.config import EnrichConfig  # noqa: E402
 from geoweave.plans.runner import run as run_job  # noqa: E402
@@ -36,7 +35,7 @@ from geoweave.sinks import files as sk  # noqa: E402
 from geoweave.session import scratch_path  # noqa: E402
 from geoweave.sources import files as src  # noqa: E402
 from geoweave.sources import testdata as td  # noqa: E402
-from geoweave.sources.synth import synth_observations  # noqa: E402
+from geoweave.sources.synth import CONDITIONS, WIND_DIRECTIONS, synth_observations  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AVG = {"weather_avg_tmpr_f", "weather_avg_tmpr_c"}
@@ -89,11 +88,27 @@ def _filled(spark, sf):
 
 
 def _places_by_country(spark, sf, name):
+    """Places in one file per country."""
     path = scratch_path(spark, name)
-    sk.write_partitioned(_places(spark, sf), path, ("country",))
+    sk.write_partitioned(_places(spark, sf).repartition(8, "country"), path, ("country",), rebalance=False)
     return path
 
 
+def _real_shape(spark, sf):
+    """Observations as the real weather files hold them: without a unique key."""
+    return _obs(spark, sf).drop("event_id")
+
+
+def _text_shape(spark, sf):
+    """Observations in the generator's shape, with text columns and gaps, from the events."""
+    k = F.col("event_id")
+    pick = [F.array(*[F.lit(x) for x in v]) for v in (CONDITIONS, WIND_DIRECTIONS)]
+    return _obs(spark, sf).select(
+        k, "lat", "lng", F.when(k % 5 != 0, F.element_at(pick[0], (k % 7 + 1).cast("int"))).alias("condition"),
+        F.when(k % 3 != 0, F.element_at(pick[1], (k % 8 + 1).cast("int"))).alias("wind_direction"),
+        F.concat(F.lit("City"), (k % 50).cast("string")).alias("city"), F.col("avg_tmpr_c").alias("temperature_c"))
+
+
 # ------------------------------------------------------------- core enrichment
 
 def q_enrich_left_join(spark, sf):
@@ -108,6 +123,39 @@ def q_enrich_job(spark, sf):
     return _round(res.output.select(*ENRICHED_COLS), AVG)
 
 
+def q_job_without_lookup(spark, sf):
+    csv = scratch_path(spark, "places_csv")
+    _places(spark, sf).write.option("header", True).csv(csv)
+    cfg = EnrichConfig(places_path=csv, observations_path="(given)", output_path=scratch_path(spark, "enriched"))
+    return _round(run_job(spark, cfg, observations=_obs(spark, sf)).output.select(*ENRICHED_COLS), AVG)
+
+
+def q_enrich_real_shape(spark, sf):
+    return _round(en.enrich(_places(spark, sf), _real_shape(spark, sf)), AVG)
+
+
+def q_dedupe_real_shape(spark, sf):
+    r = en.reduce_observations(_real_shape(spark, sf))
+    return _round(r.select(gh.cell_to_geohash(en.CELL).alias("geohash"), "weather_lat", "weather_lng",
+                           "weather_wthr_date", "weather_avg_tmpr_f", "weather_avg_tmpr_c"), AVG)
+
+
+def q_dedupe_text_dates(spark, sf):
+    """Dates in more than one text form: the winning row's text comes through as it is."""
+    k = F.col("event_id")
+    iso = F.col("wthr_date")
+    us = F.concat_ws("/", F.substring(iso, 6, 2), F.substring(iso, 9, 2), F.substring(iso, 1, 4))
+    mixed = _obs(spark, sf).withColumn("wthr_date", F.when(k % 3 == 0, us).when(k % 7 == 0, F.lit(None)).otherwise(iso))
+    r = en.reduce_observations(mixed)
+    return r.select(gh.cell_to_geohash(en.CELL).alias("geohash"), "weather_wthr_date")
+
+
+def q_dedupe_first_text(spark, sf):
+    cols = ["condition", "wind_direction", "city", "temperature_c"]
+    r = en.reduce_observations(_text_shape(spark, sf), mode="first", columns=cols)
+    return r.select(gh.cell_to_geohash(en.CELL).alias("geohash"), *[f"weather_{c}" for c in cols])
+
+
 def q_enrich_unmatched(spark, sf):
     return rp.unmatched(_enriched(spark, sf)).select(*PLACE_COLS, "geohash")
 
@@ -215,6 +263,25 @@ def q_fill_remaining_nulls(spark, sf):
     return dq.remaining_nulls(_filled(spark, sf))
 
 
+def q_fill_duplicate_keys(spark, sf):
+    """A lookup that holds its keys twice (a repeated append) fills as one that holds them once."""
+    lookup = _lookup(spark, sf)
+    again = lookup.withColumn("lookup_lng", F.col("lookup_lng") + 1)
+    return lk.fill_coordinates(_places(spark, sf), lookup.unionByName(again).unionByName(lookup))
+
+
+def q_lookup_from_places(spark, sf):
+    return lk.lookup_from_places(_places(spark, sf))
+
+
+def q_json_path_array(spark, sf):
+    """Geocoder answers (one per observation, some without a result): the first result's coordinates."""
+    o = _obs(spark, sf)
+    body = F.to_json(F.struct(F.array(F.struct(F.struct("lat", "lng").alias("geometry"))).alias("results")))
+    o = o.select("event_id", F.when(F.col("event_id") % 10 == 0, F.lit('{"results":[]}')).otherwise(body).alias("body"))
+    return o.select("event_id", lk.coords_from_json("body").alias("c")).select("event_id", "c.lat", "c.lng")
+
+
 def q_json_extract(spark, sf):
     e = td.table(spark, sf, "events")
     return e.select("event_id", F.get_json_object("props", "$.k").try_cast("int").alias("k"),
@@ -341,8 +408,7 @@ def q_idempotent_rerun(spark, sf):
 
 
 def q_partition_inventory(spark, sf):
-    inv = sk.partition_inventory(spark, _places_by_country(spark, sf, "inventory"), "country")
-    return inv.select("country", "rows", (F.col("files") >= 1).alias("has_files"))
+    return sk.partition_inventory(spark, _places_by_country(spark, sf, "inventory"), "country")
 
 
 def q_filter_partition_eq(spark, sf):
@@ -353,7 +419,23 @@ def q_filter_partition_eq(spark, sf):
 def q_input_lineage(spark, sf):
     path = _places_by_country(spark, sf, "lineage")
     df = spark.read.parquet(path).where(F.col("country").isin("NATION_3", "NATION_7"))
-    return sk.input_lineage(df, "country").select("country", "rows", (F.col("files") >= 1).alias("has_files"))
+    return sk.input_lineage(df, "country").select("country", "rows", "files")
+
+
+def q_overwrite_replaces_all(spark, sf):
+    """A second overwrite with fewer countries leaves none of the first one's partitions."""
+    path, p = scratch_path(spark, "overwrite"), _places(spark, sf)
+    sk.write_partitioned(p, path, ("country",))
+    sk.write_partitioned(p.where("country NOT IN ('NATION_3', 'NATION_4')"), path, ("country",))
+    return sk.read_back(spark, p, path)
+
+
+def q_partition_value_types(spark, sf):
+    """Partition values such as 007 come back as the text they were."""
+    path = scratch_path(spark, "codes")
+    p = _places(spark, sf).select("id", "city", F.lpad(F.col("franchise_id").cast("string"), 3, "0").alias("code"))
+    sk.write_partitioned(p, path, ("code",))
+    return sk.read_back(spark, p, path)
 
 
 # ------------------------------------------------------- HiveQL-style queries
@@ -420,26 +502,13 @@ def q_mutation_chain(spark, sf):
     return t.read()
 
 
-# ------------------------------------------------------------------ catalog
-
-def _external_places(spark, sf):
-    path = scratch_path(spark, "places_table")
-    _places(spark, sf).write.parquet(path)
-    name = f"places_ext_{uuid.uuid4().hex[:8]}"
-    cat.create_external_table(spark, name, path, schemas.PLACES, "parquet")
-    return name
-
-
-def q_describe_table(spark, sf):
-    return cat.describe_table(spark, _external_places(spark, sf))
-
-
-def q_show_create(spark, sf):
-    return cat.show_create(spark, _external_places(spark, sf))
-
-
-def q_table_schema(spark, sf):
-    return cat.schema_frame(spark, spark.table(_external_places(spark, sf)))
+def q_update_partitioned(spark, sf):
+    """UPDATE and DELETE that rewrite only the partitions they touch."""
+    t = mu.CowTable.create(spark, scratch_path(spark, "places_cow"), _places(spark, sf), fmt="parquet",
+                           partition_col="country")
+    t.update((F.col("country") == "NATION_3") & (F.col("id") % 2 == 0), {"city": "moved"})
+    t.delete((F.col("country") == "NATION_7") & (F.col("lat") > 35))
+    return t.read().select(*PLACE_COLS)
 
 
 def q_synth_observations(spark, sf):
@@ -469,8 +538,12 @@ def _pipeline():
     return importlib.import_module("corpus_pipeline")
 
 
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}
+    found = own_queries()
     if llm := _llm():
         found |= llm.QUERIES
     if pipeline := _pipeline():
@@ -485,14 +558,13 @@ _EPS = 1e-9
 
 
 def _d_index(v: str, lo: float, hi: float, bits: int) -> str:
-    """Band index by floor, corrected against the exact band edges (bisection semantics)."""
+    """Band index by bisection, one halving of the interval per bit."""
     c = f"greatest(least({v}, CAST({hi - _EPS!r} AS DOUBLE)), CAST({lo + _EPS!r} AS DOUBLE))"
-    est = (f"CAST(floor(({c} - CAST({lo!r} AS DOUBLE)) / CAST({hi - lo!r} AS DOUBLE) * "
-           f"CAST({float(2 ** bits)!r} AS DOUBLE)) AS BIGINT)")
-    width = (hi - lo) / 2 ** bits
-    lower = f"(CAST({lo!r} AS DOUBLE) + CAST({est} AS DOUBLE) * CAST({width!r} AS DOUBLE))"
-    return (f"least(greatest(CASE WHEN {c} < {lower} THEN {est} - 1 "
-            f"WHEN {c} >= {lower} + CAST({width!r} AS DOUBLE) THEN {est} + 1 ELSE {est} END, 0), {2 ** bits - 1})")
+    first = f"{{'lo': CAST({lo!r} AS DOUBLE), 'hi': CAST({hi!r} AS DOUBLE), 'i': CAST(0 AS BIGINT)}}"
+    steps = ", ".join([first] * (bits + 1))  # a start, and one element per step (its value is not used)
+    mid = "((s.lo + s.hi) / 2)"
+    return (f"list_reduce([{steps}], lambda s, step: CASE WHEN {c} >= {mid} "
+            f"THEN {{'lo': {mid}, 'hi': s.hi, 'i': s.i * 2 + 1}} ELSE {{'lo': s.lo, 'hi': {mid}, 'i': s.i * 2}} END).i")
 
 
 def _d_text(ti: str, li: str, p: int) -> str:
@@ -585,6 +657,18 @@ fenriched AS (SELECT fg.*, w.weather_lat, w.weather_lng, w.weather_wthr_date,
               FROM fg LEFT JOIN w ON fg.geohash = w.wg)
 """
 
+# the reduction of observations without a key: ordered by date, latitude, longitude, then the averages' columns
+_RW = """ranked AS (SELECT *, row_number() OVER (PARTITION BY geohash ORDER BY wthr_date NULLS FIRST, lat NULLS FIRST,
+              lng NULLS FIRST, avg_tmpr_c NULLS FIRST, avg_tmpr_f NULLS FIRST) AS rn
+            FROM (SELECT geohash, lat, lng, wthr_date, avg_tmpr_c, avg_tmpr_f FROM og WHERE geohash IS NOT NULL)),
+rw AS (SELECT geohash AS wg, arg_min(lat, rn) FILTER (WHERE lat IS NOT NULL) AS weather_lat,
+              arg_min(lng, rn) FILTER (WHERE lng IS NOT NULL) AS weather_lng,
+              arg_min(wthr_date, rn) FILTER (WHERE wthr_date IS NOT NULL) AS weather_wthr_date,
+              avg(avg_tmpr_f) AS weather_avg_tmpr_f, avg(avg_tmpr_c) AS weather_avg_tmpr_c
+       FROM ranked GROUP BY geohash)"""
+_RW_COLS = ("weather_lat, weather_lng, weather_wthr_date, round(weather_avg_tmpr_f, 6) AS weather_avg_tmpr_f, "
+            "round(weather_avg_tmpr_c, 6) AS weather_avg_tmpr_c")
+
 _PLACE_COLS = ", ".join(PLACE_COLS)
 _ENR = (f"{_PLACE_COLS}, geohash, weather_lat, weather_lng, weather_wthr_date, "
         "round(weather_avg_tmpr_f, 6) AS weather_avg_tmpr_f, round(weather_avg_tmpr_c, 6) AS weather_avg_tmpr_c")
@@ -604,7 +688,9 @@ def _first_cols(cols):
 
 def _synth_sql() -> str:
     def draw(salt, modulus):
-        return f"(((id % 1000003) * 7919 + (draw % 100003) * 104729 + CAST({salt} AS BIGINT) * 15485863) % {modulus})"
+        text = f"substr(md5(concat_ws('|', CAST(id AS VARCHAR), CAST(draw AS VARCHAR), '{salt}')), 1, 8)"
+        value = " + ".join(f"(instr('0123456789abcdef', substr({text}, {i + 1}, 1)) - 1) * {16 ** (7 - i)}" for i in range(8))
+        return f"(CAST({value} AS BIGINT) % {modulus})"
 
     def uni(salt, lo, hi, steps=10000):
         return f"({lo!r} + CAST({draw(salt, steps + 1)} AS DOUBLE) * {(hi - lo) / steps!r})"
@@ -621,9 +707,8 @@ s AS (
          CAST(20 + {draw(s + 4, 81)} AS INTEGER) AS humidity_pct,
          round({uni(s + 5, 980.0, 1030.0, 500)}, 1) AS pressure_mb,
          round({uni(s + 6, 0.0, 50.0, 500)}, 1) AS wind_speed_kmh,
-         ['N', 'NE', 'E', 'SE', 'S', 'SW', 'W', 'NW'][{draw(s + 7, 8)} + 1] AS wind_direction,
-         ['Sunny', 'Cloudy', 'Rainy', 'Partly Cloudy', 'Foggy', 'Snowy', 'Windy'][{draw(s + 8, 7)} + 1]
-             AS condition,
+         {WIND_DIRECTIONS!r}[{draw(s + 7, 8)} + 1] AS wind_direction,
+         {CONDITIONS!r}[{draw(s + 8, 7)} + 1] AS condition,
          strftime(DATE '2024-01-01' + CAST({draw(s + 9, 366)} AS INTEGER), '%Y-%m-%d') AS observation_date,
          city, country
   FROM d)
@@ -632,7 +717,7 @@ SELECT lat, lng, {_d_geohash('lat', 'lng')} AS geohash, temperature_c, humidity_
 
 
 def oracle_sql() -> dict[str, str]:
-    found = _own_oracle_sql()
+    found = own_oracle_sql()
     if llm := _llm():
         found |= llm.ORACLE_SQL
     pipeline = _pipeline()
@@ -641,7 +726,7 @@ def oracle_sql() -> dict[str, str]:
     return found
 
 
-def _own_oracle_sql() -> dict[str, str]:
+def own_oracle_sql() -> dict[str, str]:
     first_cols = ["lat", "lng", "avg_tmpr_f", "avg_tmpr_c", "wthr_date", "year", "month", "day"]
     offsets = [("n", 1, 0), ("ne", 1, 1), ("e", 0, 1), ("se", -1, 1),
                ("s", -1, 0), ("sw", -1, -1), ("w", 0, -1), ("nw", 1, -1)]
@@ -650,7 +735,7 @@ def _own_oracle_sql() -> dict[str, str]:
     return {
         "enrich_left_join": _q(f"SELECT {_ENR} FROM enriched"),
         "enrich_job": _q(f"SELECT {_ENR} FROM fenriched"),
-        "enrich_unmatched": _q(f"SELECT {_PLACE_COLS}, geohash FROM enriched WHERE weather_avg_tmpr_c IS NULL"),
+        "enrich_unmatched": _q(f"SELECT {_PLACE_COLS}, geohash FROM enriched WHERE weather_lat IS NULL"),
         "dedupe_avg": _q("SELECT wg AS geohash, weather_lat, weather_lng, weather_wthr_date, "
                          "round(weather_avg_tmpr_f, 6) AS weather_avg_tmpr_f, "
                          "round(weather_avg_tmpr_c, 6) AS weather_avg_tmpr_c FROM w"),
@@ -658,14 +743,14 @@ def _own_oracle_sql() -> dict[str, str]:
                                     "WHERE geohash IS NOT NULL GROUP BY geohash"),
         "key_overlap": _q("SELECT geohash FROM pg INTERSECT SELECT geohash FROM og"),
         "join_stats": _q("""SELECT count(*) AS total_records,
-            count(*) FILTER (WHERE weather_avg_tmpr_c IS NOT NULL) AS matched_records,
-            count(*) FILTER (WHERE weather_avg_tmpr_c IS NULL) AS unmatched_records,
-            round(CAST(count(*) FILTER (WHERE weather_avg_tmpr_c IS NOT NULL) AS DOUBLE) * 100 / count(*), 1)
+            count(*) FILTER (WHERE weather_lat IS NOT NULL) AS matched_records,
+            count(*) FILTER (WHERE weather_lat IS NULL) AS unmatched_records,
+            round(CAST(count(*) FILTER (WHERE weather_lat IS NOT NULL) AS DOUBLE) * 100 / count(*), 1)
               AS matched_pct FROM enriched"""),
         "records_by_country": _q("SELECT country, count(*) AS records FROM enriched GROUP BY country"),
         "avg_temp_by_country": _q("""SELECT country, count(*) AS record_count,
             round(avg(weather_avg_tmpr_c), 6) AS avg_temperature_c
-            FROM enriched WHERE weather_avg_tmpr_c IS NOT NULL GROUP BY country"""),
+            FROM enriched WHERE weather_lat IS NOT NULL GROUP BY country"""),
         "run_summary": _q(f"""
             SELECT 'places_total' AS metric, count(*) AS value FROM places
             UNION ALL SELECT 'observations_total', count(*) FROM obs
@@ -676,8 +761,8 @@ def _own_oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'matching_geohashes', count(*) FROM
                 (SELECT geohash FROM pg INTERSECT SELECT geohash FROM og)
             UNION ALL SELECT 'enriched_total', count(*) FROM enriched
-            UNION ALL SELECT 'matched', count(*) FILTER (WHERE weather_avg_tmpr_c IS NOT NULL) FROM enriched
-            UNION ALL SELECT 'unmatched', count(*) FILTER (WHERE weather_avg_tmpr_c IS NULL) FROM enriched"""),
+            UNION ALL SELECT 'matched', count(*) FILTER (WHERE weather_lat IS NOT NULL) FROM enriched
+            UNION ALL SELECT 'unmatched', count(*) FILTER (WHERE weather_lat IS NULL) FROM enriched"""),
         "dedupe_ratio": _q("SELECT count(*) AS rows_before, count(DISTINCT geohash) AS rows_after "
                            "FROM og WHERE geohash IS NOT NULL"),
         "top_cells": _q("SELECT geohash, count(*) AS count FROM og GROUP BY geohash "
@@ -747,9 +832,9 @@ def _own_oracle_sql() -> dict[str, str]:
                                "true AS checksum_match FROM places"),
         "idempotent_rerun": _q("SELECT count(*) AS rows_first, count(*) AS rows_second, true AS same_rows, "
                                "true AS same_checksum FROM places"),
-        "partition_inventory": _q("SELECT country, count(*) AS rows, true AS has_files FROM places GROUP BY country"),
+        "partition_inventory": _q("SELECT country, count(*) AS rows, CAST(1 AS BIGINT) AS files FROM places GROUP BY country"),
         "filter_partition_eq": _q(f"SELECT {_PLACE_COLS} FROM places WHERE country = 'NATION_3'"),
-        "input_lineage": _q("SELECT country, count(*) AS rows, true AS has_files FROM places "
+        "input_lineage": _q("SELECT country, count(*) AS rows, CAST(1 AS BIGINT) AS files FROM places "
                             "WHERE country IN ('NATION_3', 'NATION_7') GROUP BY country"),
         "inline_values": """SELECT o.o_orderpriority, u.urgency, count(*) AS orders_count
             FROM orders o
@@ -769,6 +854,31 @@ def _own_oracle_sql() -> dict[str, str]:
         "update_where": _q("SELECT id, franchise_id, franchise_name, restaurant_franchise_id, country, city, "
                            "CASE WHEN coalesce(lat > 35, false) THEN 0.0 ELSE lat END AS lat, lng FROM places"),
         "delete_where": _q(f"SELECT {_PLACE_COLS} FROM places WHERE NOT coalesce(lat > 35, false)"),
+        "job_without_lookup": _q(f"SELECT {_ENR} FROM enriched"),
+        "enrich_real_shape": _q(f""", {_RW} SELECT {_PLACE_COLS}, geohash, {_RW_COLS} FROM pg
+            LEFT JOIN rw ON pg.geohash = rw.wg"""),
+        "dedupe_real_shape": _q(f", {_RW} SELECT wg AS geohash, {_RW_COLS} FROM rw"),
+        "dedupe_text_dates": _q("""SELECT geohash, arg_min(d, event_id) FILTER (WHERE d IS NOT NULL) AS weather_wthr_date
+            FROM (SELECT geohash, event_id, CASE
+                    WHEN event_id % 3 = 0 THEN concat(substr(wthr_date, 6, 2), '/', substr(wthr_date, 9, 2), '/', substr(wthr_date, 1, 4))
+                    WHEN event_id % 7 = 0 THEN NULL ELSE wthr_date END AS d FROM og)
+            WHERE geohash IS NOT NULL GROUP BY geohash"""),
+        "dedupe_first_text": _q(f"""SELECT geohash, {_first_cols(["condition", "wind_direction", "city", "temperature_c"])}
+            FROM (SELECT geohash, event_id, avg_tmpr_c AS temperature_c, concat('City', CAST(event_id % 50 AS VARCHAR)) AS city,
+                         CASE WHEN event_id % 5 <> 0 THEN {CONDITIONS!r}[event_id % 7 + 1] END AS condition,
+                         CASE WHEN event_id % 3 <> 0 THEN {WIND_DIRECTIONS!r}[event_id % 8 + 1] END AS wind_direction
+                  FROM og) WHERE geohash IS NOT NULL GROUP BY geohash"""),
+        "fill_duplicate_keys": _q(f"SELECT {_PLACE_COLS} FROM filled"),
+        "lookup_from_places": _q(f"""SELECT city, country, round(avg(lat), 6) AS lookup_lat, round(avg(lng), 6) AS lookup_lng
+            FROM places WHERE {_VALID} AND city IS NOT NULL AND city <> '' AND country IS NOT NULL AND country <> ''
+            GROUP BY city, country"""),
+        "json_path_array": _q("""SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN lat END AS lat,
+            CASE WHEN event_id % 10 <> 0 THEN lng END AS lng FROM obs"""),
+        "overwrite_replaces_all": _q(f"SELECT {_PLACE_COLS} FROM places WHERE country NOT IN ('NATION_3', 'NATION_4')"),
+        "partition_value_types": _q("SELECT id, city, lpad(CAST(franchise_id AS VARCHAR), 3, '0') AS code FROM places"),
+        "update_partitioned": _q("""SELECT id, franchise_id, franchise_name, restaurant_franchise_id, country,
+            CASE WHEN country = 'NATION_3' AND id % 2 = 0 THEN 'moved' ELSE city END AS city, lat, lng FROM places
+            WHERE NOT coalesce(country = 'NATION_7' AND lat > 35, false)"""),
         "mutation_chain": """
             SELECT s_suppkey, s_name, s_nationkey,
                    CASE WHEN s_acctbal < 5000 AND s_nationkey = 3 THEN 9000.0 ELSE s_acctbal END AS s_acctbal

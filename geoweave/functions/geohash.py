@@ -272,13 +272,20 @@ def _parse(gh) -> dict:
 
 
 @_memo
-def geohash_to_cell(gh, precision: int = 4) -> Column:
-    """Packed cell id at ``precision`` of a geohash string.
+def geohash_to_cell(gh, precision: int = 4, fit: str = "exact") -> Column:
+    """Packed cell id at ``precision`` of a geohash string; NULL for invalid text.
 
-    A longer (finer) geohash is cut to its first ``precision`` characters,
-    which is the enclosing cell; a shorter or invalid one gives NULL.
+    A valid geohash of another length stops the job (``fit="exact"``).  With
+    ``fit="prefix"`` a finer one is taken as its enclosing cell, its first
+    ``precision`` characters, and a coarser one gives NULL.
     """
+    if fit not in ("exact", "prefix"):
+        raise ValueError("fit must be 'exact' or 'prefix'")
     g = _c(gh)
+    if fit == "exact":
+        odd = g.rlike(_VALID_RE_ANY_CASE) & (F.length(g) != F.lit(precision))
+        g = F.when(odd, F.raise_error(F.concat(F.lit(f"a stored geohash does not have {precision} characters: "), g))
+                   .cast("string")).otherwise(g)
     p = _parse(F.substr(g, F.lit(1), F.lit(precision)))
     guard = F.when(p["ok"] & (p["n"] == F.lit(precision)) & g.rlike(_VALID_RE_ANY_CASE), F.lit(0).cast("long"))
     return pack(p["lat_idx"], p["lng_idx"], precision) + guard

@@ -2,61 +2,78 @@
 
 ``first(c, ignorenulls=True)`` depends on row order, so reruns can differ.
 Here "first" means: the value of ``c`` on the row with the smallest
-``order_key`` among rows where ``c`` is not NULL, computed with
-``min_by``.  With a unique ``bigint`` order key this is a total order and
-the plan stays a partial + final HashAggregate, so a key holding a third
-of all rows is pre-combined on the map side before any shuffle.
-
-As in the original job, each column's first value may come from a different
-row.
+``order_key`` among rows where ``c`` is not NULL.  As in the original job,
+each column's first value may come from a different row.
+
+Fixed-width columns use ``min_by`` (a partial + final HashAggregate, so a key
+holding a third of all rows is combined on the map side).  A text column in
+such an aggregation would make Spark sort the whole input, so for text only
+the smallest order key per column is aggregated, and the winning rows are
+fetched by a second, filtered pass: at most one row per key and text column
+leaves it.  Values are taken as they are; no date format is assumed.
+
+A composite order (a struct, for data without a unique key) can only be
+aggregated by sorting; it is still combined on the map side.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DataType, DateType, NumericType, TimestampType
 
+_FIXED = (NumericType, BooleanType, DateType, TimestampType)
 
-DATE_FORMAT = "yyyy-MM-dd"
 
+def is_fixed_width(kind: DataType) -> bool:
+    return isinstance(kind, _FIXED)
 
-def first_by(column: str, order_key: Column | str, as_date: bool = False) -> Column:
-    """First non-null value of ``column`` by ``order_key``.
 
-    ``as_date=True`` is for ISO ``yyyy-MM-dd`` strings: they are aggregated
-    as DATE (a fixed-width buffer, so the aggregation stays a
-    HashAggregate; a string buffer forces a sort-based aggregation) and
-    written back as text.
-    """
+def first_by(column: str, order_key: Column | str) -> Column:
+    """First non-null value of ``column`` by ``order_key``."""
     c = F.col(column)
     order = F.col(order_key) if isinstance(order_key, str) else order_key
-    if as_date:
-        return F.date_format(F.min_by(F.try_to_date(c, DATE_FORMAT), F.when(c.isNotNull(), order)),
-                             DATE_FORMAT)
     return F.min_by(c, F.when(c.isNotNull(), order))
 
 
+def _reduce(df: DataFrame, key: str, order_key: str, first_columns: list[str], averages: list[str], prefix: str,
+            null_keys: bool) -> DataFrame:
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    text = [c for c in first_columns if not is_fixed_width(kinds[c])] if is_fixed_width(kinds[order_key]) else []
+    aggs = [first_by(c, order_key).alias(f"{prefix}{c}") for c in first_columns if c not in text]
+    aggs += [F.avg(c).alias(f"{prefix}{c}") for c in averages]
+    names = [f"{prefix}{c}" for c in [*first_columns, *averages]]
+    if not text:
+        return df.groupBy(key).agg(*aggs).select(key, *names)
+    order = F.col(order_key)
+    best = df.groupBy(key).agg(*aggs, *[F.min(F.when(F.col(c).isNotNull(), order)).alias(f"_o{i}")
+                                        for i, c in enumerate(text)])
+    wanted = best.select(F.col(key).alias("_key"), *[f"_o{i}" for i in range(len(text))])
+    same = F.col(key).eqNullSafe(F.col("_key")) if null_keys else F.col(key) == F.col("_key")
+    hit = F.lit(False)
+    for i in range(len(text)):
+        hit = hit | F.coalesce(order == F.col(f"_o{i}"), F.lit(False))
+    rows = df.select(key, order_key, *[c for c in text if c not in (key, order_key)]).join(wanted, same).where(hit)
+    # one value per key and column, or several if the order key ties: the smallest text is taken
+    got = rows.groupBy("_key").agg(*[
+        F.array_min(F.collect_list(F.when(order == F.col(f"_o{i}"), F.col(c)))).alias(f"{prefix}{c}")
+        for i, c in enumerate(text)])
+    same = best[key].eqNullSafe(got["_key"]) if null_keys else best[key] == got["_key"]
+    return best.join(got, same, "left").select(best[key], *names)
+
+
 def dedupe_first(df: DataFrame, key: str, order_key: str, columns: list[str] | None = None,
-                 prefix: str = "", date_columns=()) -> DataFrame:
-    """One row per ``key``; every other column is its first non-null value."""
+                 prefix: str = "", null_keys: bool = True) -> DataFrame:
+    """One row per ``key``; every other column is its first non-null value.
+
+    ``null_keys=False`` says that the key is never NULL, which lets a table
+    bucketed on the key be reduced without a shuffle.
+    """
     cols = columns if columns is not None else [c for c in df.columns if c not in (key, order_key)]
-    return df.groupBy(key).agg(*[first_by(c, order_key, c in date_columns).alias(f"{prefix}{c}")
-                                 for c in cols])
+    return _reduce(df, key, order_key, cols, [], prefix, null_keys)
 
 
 def dedupe_avg(df: DataFrame, key: str, order_key: str, avg_columns: list[str],
-               first_columns: list[str], prefix: str = "", date_columns=()) -> DataFrame:
+               first_columns: list[str], prefix: str = "", null_keys: bool = True) -> DataFrame:
     """One row per ``key``: averages for ``avg_columns``, first values for the rest."""
-    aggs = [first_by(c, order_key, c in date_columns).alias(f"{prefix}{c}") for c in first_columns]
-    aggs += [F.avg(c).alias(f"{prefix}{c}") for c in avg_columns]
-    return df.groupBy(key).agg(*aggs)
-
-
-def dedupe_rows(df: DataFrame, key: str, order_key: str) -> DataFrame:
-    """Whole first row per key (all columns from one row), via ``min_by`` on a struct.
-
-    Plans as SortAggregate (struct buffer) but still combines map-side.
-    """
-    others = [c for c in df.columns if c != key]
-    first_row = F.min_by(F.struct(*others), F.col(order_key)).alias("_row")
-    return df.groupBy(key).agg(first_row).select(key, "_row.*")
+    return _reduce(df, key, order_key, first_columns, avg_columns, prefix, null_keys)

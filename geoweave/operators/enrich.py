@@ -10,24 +10,23 @@ Plan shape (checked with ``explain``)::
       -> final HashAggregate(cell)
     places -> cell id -> left join on the bigint cell           [R7]
               (per-cell table broadcast when its size is proven:
-               <= 32**precision rows of fixed-width values)
+               32**precision rows of fixed-width values within the byte limit)
 
 The distinct place cells are bounded by ``32 ** precision`` (about 1M at
-precision 4), which is what licenses the broadcast; for finer precisions
-the count is checked and, beyond the limit, the semi-join is dropped (the
-pre-aggregated shuffle is already small).  A cell that holds a third of
-all observations is folded to one row per map task before the shuffle.
+precision 4), which is what licenses the broadcast; at finer precisions, and
+for per-cell tables with text columns, adaptive execution decides from real
+sizes.  A cell that holds a third of all observations is folded to one row
+per map task before the shuffle.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampType
 
 from ..functions.geohash import cell_id, cell_to_geohash, geohash_to_cell, valid_coordinates
 from . import dedupe as dd
-from .sizing import BROADCAST_MAX_ROWS, broadcast_if_small
+from .sizing import broadcast_if_bounded
 
 CELL = "_cell"
 ORDER = "_order"
@@ -39,18 +38,19 @@ def cell_column(precision: int) -> str:
 
 
 def add_cell(df: DataFrame, precision: int = 4, lat: str = "lat", lng: str = "lng",
-             geohash_col: str = "geohash") -> DataFrame:
+             geohash_col: str = "geohash", fit: str = "exact") -> DataFrame:
     """Add the packed cell id.
 
     Reuses, in this order, a stored cell id of the same precision (a bucketed
     table keeps its bucketing through the alias), an existing geohash
-    column, or computes it from lat / lng.
+    column, or computes it from lat / lng.  A stored geohash of another
+    length than ``precision`` fails the job unless ``fit="prefix"``.
     """
     stored = cell_column(precision)
     if stored in df.columns:
         return df.withColumn(CELL, F.col(stored))
     if geohash_col in df.columns:
-        return df.withColumn(CELL, geohash_to_cell(geohash_col, precision))
+        return df.withColumn(CELL, geohash_to_cell(geohash_col, precision, fit))
     return df.withColumn(CELL, cell_id(lat, lng, precision))
 
 
@@ -60,7 +60,9 @@ def bucket_observations(observations: DataFrame, table: str, path: str, precisio
 
     Every later reduction by cell on this table reads bucket by bucket with
     no shuffle: the one expensive exchange is paid at ingest, not on every
-    enrichment run.  Pick ``buckets`` so a bucket is a few hundred MB.
+    enrichment run.  Rows are dealt to the buckets before the write, so there
+    is one file per bucket (or several of bounded size for a hot cell), not
+    one per task and bucket.  Choose ``buckets`` from the data volume.
     """
     from ..sinks.files import save_bucketed
     stored = cell_column(precision)
@@ -90,30 +92,45 @@ def place_cells(places: DataFrame, precision: int = 4) -> DataFrame:
     return add_cell(src, precision).select(CELL).where(F.col(CELL).isNotNull()).distinct()
 
 
+def content_order(observations: DataFrame, used: list[str], lead=("wthr_date", "observation_date", "lat", "lng")):
+    """A total order for rows without a unique key: date, latitude, longitude, then the other used columns.
+
+    Rows that tie agree in every used column, so any of them gives the same
+    result; only columns that are read anyway take part.
+    """
+    first = [c for c in lead if c in observations.columns]
+    rest = sorted(c for c in used if c not in first)
+    return F.struct(*[F.col(c) for c in [*first, *rest]])
+
+
 def reduce_observations(observations: DataFrame, precision: int = 4, order_key: str = "event_id",
                         mode: str = "avg", avg_columns=("avg_tmpr_f", "avg_tmpr_c"),
                         first_columns=("lat", "lng", "wthr_date"), columns: list[str] | None = None,
-                        prefix: str = "weather_", keep_cells: DataFrame | None = None,
-                        precision_bound: bool = True, date_columns=("wthr_date",)) -> DataFrame:
+                        prefix: str = "weather_", keep_cells: DataFrame | None = None) -> DataFrame:
     """One deterministic row per cell, keyed by ``_cell``.
 
     ``mode="avg"`` averages ``avg_columns`` and takes first values of
     ``first_columns``; ``mode="first"`` takes the first non-null value of
     every column (or of ``columns``).  ``keep_cells`` restricts the
     observations to those cells before aggregating (semi-join reduction).
-    ``date_columns`` are ISO date strings aggregated as DATE (keeps a
-    HashAggregate).  Without ``order_key`` in the data, "first" follows a
-    content hash of the row; without the average columns, ``avg`` falls
-    back to ``first``.
+    Without ``order_key`` in the data (the real weather shape has none),
+    "first" follows :func:`content_order`.  Without the average columns,
+    ``avg`` falls back to ``first``.
     """
-    if order_key is None or order_key not in observations.columns:
-        # content-defined order: deterministic across reruns and partitionings,
-        # still a bigint so the aggregation stays hash-based
-        content = [c for c in observations.columns if not c.startswith("_cell_p")]
-        observations = observations.withColumn(ORDER, F.xxhash64(*content))
-        order_key = ORDER
+    if mode not in ("avg", "first"):
+        raise ValueError(f"mode must be 'avg' or 'first', got {mode!r}")
     if mode == "avg" and not set(avg_columns) <= set(observations.columns):
         mode = "first"  # another observation shape: first value of every column
+    if mode == "avg":
+        averages = list(avg_columns)
+        firsts = [c for c in first_columns if c in observations.columns]  # optional in a shape
+    else:
+        averages = []
+        firsts = columns if columns is not None else [
+            c for c in observations.columns if c not in (order_key, "geohash") and not c.startswith("_cell_p")]
+    if order_key is None or order_key not in observations.columns:
+        observations = observations.withColumn(ORDER, content_order(observations, [*firsts, *averages]))
+        order_key = ORDER
     source = observations
     if _cell_from_coordinates(observations, precision):
         # plain range predicates reach the Parquet reader (row-group skipping); the
@@ -121,23 +138,16 @@ def reduce_observations(observations: DataFrame, precision: int = 4, order_key:
         source = observations.where(valid_coordinates("lat", "lng"))
     obs = add_cell(source, precision).where(F.col(CELL).isNotNull())
     if keep_cells is not None:
-        bound = 32 ** precision if precision_bound else None
-        obs = obs.join(broadcast_if_small(keep_cells, BROADCAST_MAX_ROWS, bound), CELL, "left_semi")
+        obs = obs.join(broadcast_if_bounded(keep_cells, 32 ** precision), CELL, "left_semi")
     if mode == "avg":
-        firsts = [c for c in first_columns if c in observations.columns]  # optional in a shape
-        return dd.dedupe_avg(obs, CELL, order_key, list(avg_columns), firsts, prefix, date_columns)
-    if mode == "first":
-        cols = columns if columns is not None else [
-            c for c in observations.columns if c not in (order_key, "geohash", ORDER)
-            and not c.startswith("_cell_p")]
-        return dd.dedupe_first(obs, CELL, order_key, cols, prefix, date_columns)
-    raise ValueError(f"mode must be 'avg' or 'first', got {mode!r}")
+        return dd.dedupe_avg(obs, CELL, order_key, averages, firsts, prefix, null_keys=False)
+    return dd.dedupe_first(obs, CELL, order_key, firsts, prefix, null_keys=False)
 
 
 def enrich(places: DataFrame, observations: DataFrame, precision: int = 4, order_key: str = "event_id",
            mode: str = "avg", avg_columns=("avg_tmpr_f", "avg_tmpr_c"),
            first_columns=("lat", "lng", "wthr_date"), columns: list[str] | None = None,
-           prefix: str = "weather_", reduce: bool = True, date_columns=("wthr_date",)) -> DataFrame:
+           prefix: str = "weather_", reduce: bool = True) -> DataFrame:
     """Places left-joined with per-cell observations; row count = places row count.
 
     Output: all place columns, ``geohash`` and the prefixed observation
@@ -148,26 +158,7 @@ def enrich(places: DataFrame, observations: DataFrame, precision: int = 4, order
         left = left.withColumn("geohash", cell_to_geohash(CELL, precision))
     keep = place_cells(places, precision) if reduce else None
     right = reduce_observations(observations, precision, order_key, mode, avg_columns, first_columns,
-                                columns, prefix, keep_cells=keep, date_columns=date_columns)
-    if _bounded_per_cell(right, precision, prefix, date_columns):
-        # at most 32**precision rows of fixed-width values: broadcasting it means the
-        # (possibly huge) places side is never shuffled
-        right = F.broadcast(right)
-    return left.join(right, CELL, "left").drop(CELL)
-
-
-def _bounded_per_cell(right: DataFrame, precision: int, prefix: str, date_columns) -> bool:
-    """True when the per-cell table has a proven size bound: few enough rows and no
-    column of unbounded width (numbers, booleans, or the 10-character ISO dates)."""
-    if 32 ** precision > BROADCAST_MAX_ROWS:
-        return False
-    dates = {f"{prefix}{c}" for c in date_columns}
-    fixed = (NumericType, BooleanType, DateType, TimestampType)
-    return all(isinstance(f.dataType, fixed) or f.name in dates for f in right.schema.fields)
-
-
-def key_overlap(left: DataFrame, right: DataFrame, left_key: str = "geohash",
-                right_key: str | None = None) -> DataFrame:
-    """Distinct keys present on both sides (NULL matches NULL, as in set intersection)."""
-    right_key = right_key or left_key
-    return left.select(F.col(left_key).alias("key")).intersect(right.select(F.col(right_key).alias("key")))
+                                columns, prefix, keep_cells=keep)
+    # when its bytes are proven (32**precision rows of fixed-width values), broadcasting the
+    # per-cell table means the (possibly huge) places side is never shuffled
+    return left.join(broadcast_if_bounded(right, 32 ** precision), CELL, "left").drop(CELL)

@@ -4,7 +4,7 @@ The original job calls a web geocoder in a driver loop, one request per
 second.  Here the lookup is a table: known coordinates per (city,
 country), optionally extended by a caller-supplied resolver that runs in
 ``mapInPandas`` over the keys not yet in the table (so reruns make no
-calls), then a broadcast left join and ``coalesce``.
+calls), then a left join and ``coalesce``.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from .quality import is_null, is_valid
-from .sizing import broadcast_if_small
 
 
 def lookup_key_text(city: str = "city", country: str = "country") -> Column:
@@ -44,14 +43,24 @@ def lookup_from_places(places: DataFrame, digits: int = 6) -> DataFrame:
                  F.round(F.avg("lng"), digits).alias("lookup_lng")))
 
 
-def fill_coordinates(df: DataFrame, lookup: DataFrame, repair_invalid: bool = False,
-                     max_broadcast_rows: int = 1 << 20) -> DataFrame:
+def one_per_key(lookup: DataFrame) -> DataFrame:
+    """One row per (city, country): its smallest known coordinate pair, so a repeated append changes nothing."""
+    known = F.col("lookup_lat").isNotNull() & F.col("lookup_lng").isNotNull()
+    # the pair stays together: the smallest latitude, then the smallest longitude on it
+    lat = lookup.where(known).groupBy("city", "country").agg(F.min("lookup_lat").alias("lookup_lat"))
+    return lookup.where(known).join(lat, ["city", "country", "lookup_lat"]) \
+        .groupBy("city", "country", "lookup_lat").agg(F.min("lookup_lng").alias("lookup_lng")) \
+        .select("city", "country", "lookup_lat", "lookup_lng")
+
+
+def fill_coordinates(df: DataFrame, lookup: DataFrame, repair_invalid: bool = False) -> DataFrame:
     """Fill NULL lat / lng from ``lookup`` (columns city, country, lookup_lat, lookup_lng).
 
     Each coordinate is filled on its own (``coalesce``), as in the
     original job.  By default an out-of-range value is kept (original
     behaviour); ``repair_invalid=True`` nulls it first so it is filled too.
-    The lookup is broadcast only after its row count is checked.
+    The lookup is reduced to one row per key first, so the row count never
+    changes; the optimizer and adaptive execution choose the join from sizes.
     """
     cols = df.columns
     base = df
@@ -59,8 +68,7 @@ def fill_coordinates(df: DataFrame, lookup: DataFrame, repair_invalid: bool = Fa
         bad = ~is_valid()
         base = base.withColumn("lat", F.when(bad, None).otherwise(F.col("lat"))) \
                    .withColumn("lng", F.when(bad, None).otherwise(F.col("lng")))
-    lk = lookup.select("city", "country", "lookup_lat", "lookup_lng")
-    joined = base.join(broadcast_if_small(lk, max_broadcast_rows), ["city", "country"], "left")
+    joined = base.join(one_per_key(lookup), ["city", "country"], "left")
     out = [F.coalesce(F.col("lat"), F.col("lookup_lat")).alias("lat") if c == "lat" else
            F.coalesce(F.col("lng"), F.col("lookup_lng")).alias("lng") if c == "lng" else F.col(c)
            for c in cols]
@@ -76,7 +84,7 @@ def coords_from_json(body: str | Column) -> Column:
 
 def resolve_missing(keys: DataFrame, lookup: DataFrame | None,
                     resolver: Callable[[pd.DataFrame], pd.DataFrame],
-                    batch_partitions: int | None = None, on_error: str = "null") -> DataFrame:
+                    batch_partitions: int | None = None, on_error: str = "raise") -> DataFrame:
     """New lookup rows for keys the table does not know yet.
 
     ``resolver`` takes a pandas frame (city, country) and returns (city,
@@ -84,10 +92,10 @@ def resolve_missing(keys: DataFrame, lookup: DataFrame | None,
     the executors, only for keys absent from ``lookup`` (anti-join), so a
     rerun after the rows were appended calls nothing.  ``batch_partitions``
     bounds the concurrent callers (e.g. to respect an API rate limit).
-    ``on_error="null"`` turns a failing batch into NULL coordinates for its
-    keys (a failed lookup is "no coordinates", not a failed job); filter
-    those out before appending if they should be retried on the next run.
-    ``on_error="raise"`` lets the exception fail the task.
+    An exception fails the job.  ``on_error="null"`` turns failed *requests*
+    (``OSError``, which covers connection and time-out errors, and
+    ``ValueError`` from an answer that cannot be parsed) into NULL coordinates
+    for the keys of the batch; other exceptions still fail.
     """
     if on_error not in ("null", "raise"):
         raise ValueError("on_error must be 'null' or 'raise'")
@@ -103,7 +111,7 @@ def resolve_missing(keys: DataFrame, lookup: DataFrame | None,
                 continue
             try:
                 out = resolver(pdf[["city", "country"]].copy())
-            except Exception:
+            except (OSError, ValueError):
                 if on_error == "raise":
                     raise
                 out = pdf[["city", "country"]].assign(lookup_lat=None, lookup_lng=None)
@@ -111,3 +119,22 @@ def resolve_missing(keys: DataFrame, lookup: DataFrame | None,
                 {"lookup_lat": "float64", "lookup_lng": "float64"})
 
     return todo.mapInPandas(run, schema=schemas.LOOKUP)
+
+
+def extend_lookup(spark, keys: DataFrame, path: str, resolver: Callable[[pd.DataFrame], pd.DataFrame],
+                  batch_partitions: int | None = None, on_error: str = "raise") -> DataFrame:
+    """Resolve the keys that the table at ``path`` does not hold, append them, return the table.
+
+    Only keys with coordinates are appended, so a rerun asks again for the
+    ones without an answer and for nothing else.  The table is made on first use.
+    """
+    from pyspark.errors import AnalysisException
+    try:
+        known = spark.read.schema(schemas.LOOKUP).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
+            raise
+        known = None
+    new = resolve_missing(keys, known, resolver, batch_partitions, on_error)
+    new.where(F.col("lookup_lat").isNotNull() & F.col("lookup_lng").isNotNull()).write.mode("append").parquet(path)
+    return spark.read.schema(schemas.LOOKUP).parquet(path)

@@ -1,13 +1,18 @@
 """UPDATE / DELETE / INSERT as copy-on-write over file tables.
 
-Spark's file tables have no row-level UPDATE or DELETE.  An UPDATE or
-DELETE writes a new full snapshot next to the old one and the table then
-points at it; an INSERT only appends files to the current snapshot.  The
-old snapshot is never rewritten in place (Spark refuses to overwrite a
-path it is reading), a failed write leaves the table on the previous
-version, and each snapshot cuts the lineage of the chain.  File-level
-copy-on-write (rewriting only the files that hold matching rows) needs a
-table format such as Delta or Iceberg, which is not on this classpath.
+Spark's file tables have no row-level UPDATE or DELETE.  Here a table is a
+list of folders, named by a commit log.  A change writes its new rows into a
+fresh, uniquely named snapshot folder and then commits a new list; folders are
+never written twice, so a failed write leaves the table on its last commit and
+a reader of an older version is not disturbed.  With a partition column only
+the partitions that hold matching rows are rewritten; the folders of all other
+partitions are carried over as they are.
+
+A commit is one marker file per version, created only if it does not exist
+yet.  Of two writers that start from the same version one commits and the
+other fails with :class:`CommitConflict`; nothing is lost silently.  (The
+guarantee is the storage's: creating a file exclusively is atomic on HDFS and
+local disks; an object store needs a committer with the same property.)
 
 SQL semantics: a row is changed or removed only where the predicate is
 TRUE; a NULL predicate leaves the row alone.
@@ -15,8 +20,16 @@ TRUE; a NULL predicate leaves the row alone.
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+
+class CommitConflict(RuntimeError):
+    """Another writer committed the version this one was about to write."""
 
 
 def _true(condition: Column) -> Column:
@@ -37,93 +50,136 @@ def delete_where(df: DataFrame, condition: Column) -> DataFrame:
 
 
 class CowTable:
-    """A versioned table under ``root``: ``root/v=<n>`` snapshots plus an append-only commit log.
+    """A versioned table under ``root``: ``root/snap=<id>`` folders and ``root/_commits/<version>`` markers.
 
     ``root`` must be on storage every executor sees (e.g. under
-    ``spark.checkpoint.dir``).  Without ``table``, bucketing is approximated
-    by hash-partitioning each snapshot on ``bucket_col`` into ``buckets``
-    files.  With ``table``, a catalog table of that name follows the
-    snapshots: every snapshot is written with ``bucketBy``/``sortBy`` (a real
-    bucket spec, usable for bucket joins), the table is created ``LIKE`` the
-    first one and re-pointed with ``ALTER TABLE ... SET LOCATION``, and
-    inserts go through ``insertInto`` so buckets are kept.
+    ``spark.checkpoint.dir``).  ``partition_col`` lays every snapshot out in
+    partition folders and limits rewrites to the partitions touched.
+    ``bucket_col`` and ``buckets`` hash-partition each snapshot into that many
+    sorted files.  With ``table``, a catalog table of that name follows the
+    commits: snapshots are written with ``bucketBy``/``sortBy`` (a real bucket
+    spec, usable for bucket joins) and the table is pointed at the snapshot
+    *after* its marker is committed; inserts into such a table append through
+    the catalog.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "orc", bucket_col: str | None = None,
-                 buckets: int | None = None, version: int = 0, table: str | None = None):
+                 buckets: int | None = None, table: str | None = None, partition_col: str | None = None):
+        if table and partition_col:
+            raise ValueError("a catalog table here is bucketed, not partitioned")
         self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
         self.bucket_col, self.buckets = bucket_col, buckets
-        self.version = version
-        self.table = table
+        self.partition_col, self.table = partition_col, table
+        self.version, self.folders, self.schema = 0, [], None
 
     @classmethod
     def create(cls, spark: SparkSession, root: str, rows: DataFrame, **kw) -> "CowTable":
         """New table whose first snapshot is ``rows`` (``CREATE TABLE`` + first ``INSERT``)."""
-        return cls(spark, root, **kw)._commit(rows)
+        t = cls(spark, root, **kw)
+        t.schema = rows.schema
+        t._commit(t._write(rows))
+        return t
 
     @classmethod
     def open(cls, spark: SparkSession, root: str, **kw) -> "CowTable":
-        """Existing table at ``root``, on its latest committed snapshot."""
-        commits = spark.read.text(f"{root.rstrip('/')}/_commits")
-        latest = commits.agg(F.max(F.col("value").cast("int"))).first()[0]
-        return cls(spark, root, version=int(latest), **kw)
-
-    def _path(self, v: int) -> str:
-        return f"{self.root}/v={v:06d}"
+        """Existing table at ``root``, on its latest committed version."""
+        t = cls(spark, root, **kw)
+        last = spark.read.text(f"{t.root}/_commits").agg(F.max_by("value", F.get_json_object("value", "$.version").cast("int"))) \
+            .first()[0]
+        commit = json.loads(last)
+        t.version, t.folders = commit["version"], commit["folders"]
+        t.schema = StructType.fromJson(commit["schema"])
+        return t
 
     def _bucketed(self) -> bool:
         return bool(self.bucket_col and self.buckets)
 
+    def _load(self, folders: list[str]) -> DataFrame:
+        """Rows of some folders, with the types they were written with."""
+        if not folders:
+            return self.spark.createDataFrame([], self.schema)
+        schema = StructType([*self.schema.fields, StructField("snap", StringType())])
+        return self.spark.read.schema(schema).format(self.fmt).option("basePath", self.root) \
+            .load([f"{self.root}/{f}" for f in folders])
+
     def read(self) -> DataFrame:
         if self.version == 0:
             raise ValueError(f"table at {self.root} has no snapshot yet")
         if self.table:
             return self.spark.table(self.table)
-        return self.spark.read.format(self.fmt).load(self._path(self.version))
+        return self._load(self.folders).select(*self.schema.names)
 
-    def _write_snapshot(self, df: DataFrame, path: str) -> None:
+    def _write(self, df: DataFrame) -> list[str]:
+        """Write ``df`` as a new snapshot; the folders that hold it, relative to ``root``."""
+        name = f"snap={uuid.uuid4().hex[:12]}"
+        path = f"{self.root}/{name}"
         if self.table:
-            staging = f"{self.table}__v{self.version + 1}"
-            w = df.write.mode("overwrite").format(self.fmt).option("path", path)
+            staging = f"{self.table}__{name[5:]}"
+            w = df.write.format(self.fmt).option("path", path)
             if self._bucketed():
                 w = w.bucketBy(self.buckets, self.bucket_col).sortBy(self.bucket_col)
             w.saveAsTable(staging)
             if self.version == 0:
                 self.spark.sql(f"CREATE TABLE {self.table} LIKE {staging} LOCATION '{path}'")
-            else:
-                self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{path}'")
-                self.spark.catalog.refreshTable(self.table)
             self.spark.sql(f"DROP TABLE {staging}")  # external: the snapshot files stay
-            return
-        out = df
+            return [name]
         if self._bucketed():
-            out = out.repartition(self.buckets, self.bucket_col).sortWithinPartitions(self.bucket_col)
-        out.write.mode("overwrite").format(self.fmt).save(path)
-
-    def _commit(self, df: DataFrame) -> "CowTable":
-        nxt = self.version + 1
-        self._write_snapshot(df, self._path(nxt))
-        # commit marker, append-only: nothing is deleted, so a crash at any point
-        # leaves the table on the last snapshot whose marker was written
-        self.spark.createDataFrame([(str(nxt),)], "value string").coalesce(1) \
-            .write.mode("append").text(f"{self.root}/_commits")
-        self.version = nxt
+            df = df.repartition(self.buckets, self.bucket_col).sortWithinPartitions(self.bucket_col)
+        w = df.write.format(self.fmt)
+        if self.partition_col:
+            w = w.partitionBy(self.partition_col)
+        w.save(path)
+        return self._folders_of(self._load([name])) if self.partition_col else [name]
+
+    def _folder(self) -> Column:
+        """Folder of a row's file relative to ``root``, as the reader takes it."""
+        inside = F.regexp_extract(F.col("_metadata.file_path"), "(snap=[0-9a-f]{12}(/[^/]+)*)/[^/]+$", 1)
+        return F.url_decode(F.regexp_replace(inside, r"\+", "%2B"))
+
+    def _folders_of(self, df: DataFrame) -> list[str]:
+        """Distinct folders of the rows: at most one per partition and commit."""
+        return sorted(r[0] for r in df.select(self._folder().alias("f")).distinct().collect())
+
+    def _commit(self, folders: list[str]) -> "CowTable":
+        version = self.version + 1
+        content = json.dumps({"version": version, "folders": folders, "schema": self.schema.jsonValue()})
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_commits/{version:09d}")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        try:
+            out = fs.create(path, False)
+        except Exception as e:
+            if "exist" not in str(e):
+                raise
+            raise CommitConflict(f"version {version} of {self.root} is already committed") from e
+        out.write(bytearray((content + "\n").encode()))
+        out.close()
+        if self.table and version > 1:
+            self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{self.root}/{folders[0]}'")
+            self.spark.catalog.refreshTable(self.table)
+        self.version, self.folders = version, folders
         return self
 
     def insert(self, rows: DataFrame) -> "CowTable":
-        """``INSERT INTO``: new files appended to the current snapshot, nothing rewritten."""
-        cur = self.read()
-        typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in cur.schema.fields])
+        """``INSERT INTO``: the new rows are a snapshot of their own, nothing is rewritten."""
+        typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
         if self.table:
             typed.write.insertInto(self.table)
             return self
-        if self._bucketed():
-            typed = typed.repartition(self.buckets, self.bucket_col).sortWithinPartitions(self.bucket_col)
-        typed.write.mode("append").format(self.fmt).save(self._path(self.version))
-        return self
+        return self._commit([*self.folders, *self._write(typed)])
+
+    def _rewrite(self, condition: Column, change) -> "CowTable":
+        if not self.partition_col:
+            return self._commit(self._write(change(self.read())))
+        own = self._load(self.folders)
+        touched = self._folders_of(own.where(_true(condition)))
+        if not touched:
+            return self
+        rows = self._load(touched).select(*self.schema.names)
+        return self._commit([f for f in self.folders if f not in set(touched)] + self._write(change(rows)))
 
     def update(self, condition: Column, assignments: dict) -> "CowTable":
-        return self._commit(update_where(self.read(), condition, assignments))
+        return self._rewrite(condition, lambda df: update_where(df, condition, assignments))
 
     def delete(self, condition: Column) -> "CowTable":
-        return self._commit(delete_where(self.read(), condition))
+        return self._rewrite(condition, lambda df: delete_where(df, condition))

@@ -1,30 +1,29 @@
-"""Size checks that gate broadcasts."""
+"""Size bounds that license broadcasts.
+
+A broadcast hint is given only where the size is known from the domain; all
+other joins are left to the optimizer and to adaptive execution, which decide
+on real sizes.  Nothing is counted while a plan is built.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side may hold at most this many rows.
-BROADCAST_MAX_ROWS = 1 << 20
+from .dedupe import is_fixed_width
 
+# A broadcast side may take at most this many bytes.
+BROADCAST_MAX_BYTES = 256 << 20
 
-def at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def row_bytes(df: DataFrame) -> int | None:
+    """Bytes of an in-memory row, or None if a column has no fixed width."""
+    if not all(is_fixed_width(f.dataType) for f in df.schema.fields):
+        return None
+    return 8 + 16 * len(df.columns)  # a null bitmap, and up to 16 bytes a value (decimals)
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       proven_rows: int | None = None) -> DataFrame:
-    """Hint a broadcast only when the row count is bounded.
 
-    ``proven_rows`` is a bound known from the domain (e.g. the number of
-    geohash cells at a precision); otherwise the rows are counted up to
-    ``max_rows + 1``.  Beyond the bound no hint is given and the join stays
-    a shuffle join (AQE may still switch it at run time from real sizes).
-    """
-    if proven_rows is not None and proven_rows <= max_rows:
-        return F.broadcast(df)
-    if at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
+def broadcast_if_bounded(df: DataFrame, max_rows: int, limit: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint a broadcast when ``max_rows`` rows of this schema are proven to fit ``limit`` bytes."""
+    width = row_bytes(df)
+    return F.broadcast(df) if width is not None and width * max_rows <= limit else df

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import argparse
 import json
-import math
 
 from ..session import get_session
 from ..operators.enrich import bucket_observations
@@ -27,6 +26,8 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--output-path", required=True, help="output Parquet, partitioned by country")
     p.add_argument("--no-geocode", action="store_true", help="skip the coordinate fill")
     p.add_argument("--lookup-path", default=None, help="persisted (city, country) coordinate table")
+    p.add_argument("--fill-from-places", action="store_true",
+                   help="without a lookup table: fill from the mean of a city's known places")
     p.add_argument("--repair-invalid", action="store_true",
                    help="also replace out-of-range coordinates from the lookup (default: only NULLs)")
     p.add_argument("--precision", type=int, default=4)
@@ -34,7 +35,7 @@ def parse(argv=None) -> argparse.Namespace:
     p.add_argument("--order-key", default="event_id")
     p.add_argument("--generate-weather", action="store_true",
                    help="write synthetic observations near the places to --weather-path first")
-    p.add_argument("--weather-records", type=int, default=1000, help="about this many synthetic rows")
+    p.add_argument("--weather-records", type=int, default=1000, help="this many synthetic rows")
     p.add_argument("--bucket-into", default=None,
                    help="first write the observations as a table bucketed by cell (then read from it)")
     p.add_argument("--bucket-path", default=None, help="storage path of the --bucket-into table")
@@ -48,9 +49,7 @@ def main(argv=None) -> int:
     a = parse(argv)
     spark = get_session(a.master, "geoweave-enrich")
     if a.generate_weather:
-        places = read_places(spark, a.restaurant_path)
-        n = max(1, places.count())
-        synth = synth_observations(places, per_place=max(1, math.ceil(a.weather_records / n)),
+        synth = synth_observations(read_places(spark, a.restaurant_path), records=a.weather_records,
                                    precision=a.precision)
         synth.write.mode("overwrite").parquet(a.weather_path)
     if a.bucket_into:
@@ -61,7 +60,7 @@ def main(argv=None) -> int:
         a.weather_table = a.bucket_into
     cfg = EnrichConfig(places_path=a.restaurant_path, observations_path=a.weather_path,
                        output_path=a.output_path, fill_coordinates=not a.no_geocode,
-                       lookup_path=a.lookup_path, repair_invalid=a.repair_invalid,
+                       lookup_path=a.lookup_path, fill_from_places=a.fill_from_places, repair_invalid=a.repair_invalid,
                        observations_table=a.weather_table,
                        geohash_precision=a.precision, dedupe=a.dedupe,
                        order_key=a.order_key)

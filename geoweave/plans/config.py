@@ -23,6 +23,7 @@ class EnrichConfig:
     fill_coordinates: bool = True
     lookup_path: str | None = None  # persisted (city, country, lookup_lat, lookup_lng) table
     observations_table: str | None = None  # catalog table (e.g. bucketed by cell) instead of the path
+    fill_from_places: bool = False  # without a lookup: use the mean of a city's known places
     repair_invalid: bool = False
     partition_columns: tuple = ("country",)
     write_mode: str = "overwrite"

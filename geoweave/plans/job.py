@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import enrich as en
-from ..operators import lookup as lk
 from ..operators import quality as dq
 from ..sinks.files import write_partitioned
 from ..sources import files as src
@@ -34,12 +33,9 @@ class EnrichJob:
         """Rows with a NULL or out-of-range coordinate."""
         return dq.null_or_invalid(places)
 
-    def fill_coordinates(self, places: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
-        """Fill missing coordinates from a lookup table (default: the places' own city means)."""
-        if lookup is None:
-            lookup = (self.spark.read.parquet(self.cfg.lookup_path) if self.cfg.lookup_path
-                      else lk.lookup_from_places(places))
-        return lk.fill_coordinates(places, lookup, repair_invalid=self.cfg.repair_invalid)
+    def fill_coordinates(self, places: DataFrame, lookup: DataFrame | None = None, resolver=None) -> DataFrame:
+        """Fill missing coordinates as the full job does (lookup table, resolver; else unchanged)."""
+        return runner.prepare_places(self.spark, places, self.cfg, lookup, resolver)
 
     def add_geohash(self, df: DataFrame) -> DataFrame:
         """Geohash text column (kept if already present)."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geohash import cell_to_geohash
@@ -10,21 +10,34 @@ from ..operators import enrich as en
 from ..operators.quality import is_invalid, is_null
 
 
-def join_stats(enriched: DataFrame, probe: str = "weather_avg_tmpr_c") -> DataFrame:
-    """total, matched (probe column not NULL), unmatched, matched_pct."""
-    m = F.col(probe).isNotNull()
+def has_match(enriched: DataFrame, prefix: str = "weather_") -> Column:
+    """Whether an observation was joined: some observation column came through.
+
+    An observation that has a cell has coordinates, so this is "the place's
+    cell holds an observation", also where all its temperatures are NULL.
+    """
+    hit = F.lit(False)
+    for c in enriched.columns:
+        if c.startswith(prefix):
+            hit = hit | F.col(c).isNotNull()
+    return hit
+
+
+def join_stats(enriched: DataFrame) -> DataFrame:
+    """total, matched (see :func:`has_match`), unmatched, matched_pct."""
+    m = has_match(enriched)
     s = enriched.agg(F.count(F.lit(1)).alias("total_records"), F.count_if(m).alias("matched_records"),
                      F.count_if(~m).alias("unmatched_records"))
     return s.withColumn("matched_pct", F.round(F.try_divide(F.col("matched_records") * 100.0,
                                                             F.col("total_records")), 1))
 
 
-def matched(enriched: DataFrame, probe: str = "weather_avg_tmpr_c") -> DataFrame:
-    return enriched.where(F.col(probe).isNotNull())
+def matched(enriched: DataFrame) -> DataFrame:
+    return enriched.where(has_match(enriched))
 
 
-def unmatched(enriched: DataFrame, probe: str = "weather_avg_tmpr_c") -> DataFrame:
-    return enriched.where(F.col(probe).isNull())
+def unmatched(enriched: DataFrame) -> DataFrame:
+    return enriched.where(~has_match(enriched))
 
 
 def cells_with_text(df: DataFrame, precision: int = 4) -> DataFrame:
@@ -46,14 +59,9 @@ def top_cells(df: DataFrame, k: int = 10, precision: int = 4) -> DataFrame:
     return g.orderBy(F.col("count").desc(), F.col("geohash").asc_nulls_first()).limit(k)
 
 
-def date_range(df: DataFrame, column: str = "wthr_date", iso_date: bool = True) -> DataFrame:
-    """Earliest and latest date.  ISO ``yyyy-MM-dd`` strings are compared as DATE
-    (fixed-width buffers keep a hash aggregate) and returned as text."""
-    if not iso_date:
-        return df.agg(F.min(column).alias("min_date"), F.max(column).alias("max_date"))
-    d = F.try_to_date(F.col(column), "yyyy-MM-dd")
-    return df.agg(F.date_format(F.min(d), "yyyy-MM-dd").alias("min_date"),
-                  F.date_format(F.max(d), "yyyy-MM-dd").alias("max_date"))
+def date_range(df: DataFrame, column: str = "wthr_date") -> DataFrame:
+    """Earliest and latest value of a date column as it is stored (text compares as text)."""
+    return df.agg(F.min(column).alias("min_date"), F.max(column).alias("max_date"))
 
 
 def cell_counts(df: DataFrame, precision: int = 4, extra: dict | None = None) -> DataFrame:
@@ -67,10 +75,14 @@ def cell_counts(df: DataFrame, precision: int = 4, extra: dict | None = None) ->
 
 
 def matching_cells(places: DataFrame, observations: DataFrame, precision: int = 4) -> DataFrame:
-    """Geohashes present on both sides (set intersection on the bigint cell; NULL is a member)."""
-    a = en.add_cell(places, precision).select(en.CELL)
-    b = en.add_cell(observations, precision).select(en.CELL)
-    return a.intersect(b).select(cell_to_geohash(en.CELL, precision).alias("geohash"))
+    """Geohashes present on both sides (set intersection on the bigint cell; NULL is a member).
+
+    Both sides are reduced to their distinct cells (at most ``32**precision +
+    1`` rows, combined map-side) before anything is joined.
+    """
+    a = en.add_cell(places, precision).select(en.CELL).distinct()
+    b = en.add_cell(observations, precision).select(F.col(en.CELL).alias("_other")).distinct()
+    return a.join(b, F.col(en.CELL).eqNullSafe(F.col("_other")), "left_semi").select(cell_to_geohash(en.CELL, precision).alias("geohash"))
 
 
 def run_summary(places: DataFrame, observations: DataFrame, precision: int = 4) -> DataFrame:

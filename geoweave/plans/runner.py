@@ -19,6 +19,7 @@ from ..operators import lookup as lk
 from ..operators.quality import is_valid
 from ..sinks.files import write_partitioned
 from ..sources import files as src
+from . import report as rp
 from .config import EnrichConfig
 
 
@@ -39,22 +40,32 @@ def _is_missing_path(e: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in (e.getCondition() or "") or "Path does not exist" in str(e)
 
 
-def prepare_places(places: DataFrame, cfg: EnrichConfig, lookup: DataFrame | None = None) -> DataFrame:
-    """Coordinate fill (if enabled) from the lookup table or, lacking one, from the places."""
+def prepare_places(spark: SparkSession, places: DataFrame, cfg: EnrichConfig, lookup: DataFrame | None = None,
+                   resolver=None) -> DataFrame:
+    """Coordinate fill (if enabled) from the lookup table; without one, places stay as they are.
+
+    With a ``resolver`` and a ``lookup_path``, keys that the table does not
+    hold are resolved and appended to it first (see ``lookup.extend_lookup``).
+    City means stand in for a lookup only if ``fill_from_places`` asks for it.
+    """
     if not cfg.fill_coordinates:
         return places
-    if lookup is None:
+    if lookup is None and cfg.lookup_path:
+        if resolver is not None:
+            lookup = lk.extend_lookup(spark, lk.lookup_keys(places), cfg.lookup_path, resolver)
+        else:
+            lookup = spark.read.schema(schemas.LOOKUP).parquet(cfg.lookup_path)
+    if lookup is None and cfg.fill_from_places:
         lookup = lk.lookup_from_places(places)
-    return lk.fill_coordinates(places, lookup, repair_invalid=cfg.repair_invalid)
+    return places if lookup is None else lk.fill_coordinates(places, lookup, repair_invalid=cfg.repair_invalid)
 
 
 def build(spark: SparkSession, cfg: EnrichConfig, places: DataFrame | None = None,
-          observations: DataFrame | None = None, lookup: DataFrame | None = None) -> tuple[DataFrame, bool]:
+          observations: DataFrame | None = None, lookup: DataFrame | None = None,
+          resolver=None) -> tuple[DataFrame, bool]:
     """The enriched plan (lazy) and whether observations were found."""
     places = places if places is not None else read_places(spark, cfg)
-    if lookup is None and cfg.lookup_path:
-        lookup = spark.read.parquet(cfg.lookup_path)
-    places = prepare_places(places, cfg, lookup)
+    places = prepare_places(spark, places, cfg, lookup, resolver)
     if observations is None and cfg.observations_table:
         observations = spark.table(cfg.observations_table)  # keeps a bucket spec
     if observations is None:
@@ -70,19 +81,13 @@ def build(spark: SparkSession, cfg: EnrichConfig, places: DataFrame | None = Non
 
 
 def run(spark: SparkSession, cfg: EnrichConfig, places: DataFrame | None = None,
-        observations: DataFrame | None = None, lookup: DataFrame | None = None) -> RunResult:
-    enriched, joined = build(spark, cfg, places, observations, lookup)
-    # a row is matched when any observation column came through (works for every observation shape)
-    weather = [c for c in enriched.columns if c.startswith("weather_")]
+        observations: DataFrame | None = None, lookup: DataFrame | None = None, resolver=None) -> RunResult:
+    enriched, joined = build(spark, cfg, places, observations, lookup, resolver)
     obs = Observation("run")
     metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(is_valid()).alias("valid_coordinates")]
-    if weather:
-        hit = F.lit(False)
-        for c in weather:
-            hit = hit | F.col(c).isNotNull()
-        metrics.append(F.count_if(hit).alias("matched"))
-    observed = enriched.observe(obs, *metrics)
-    write_partitioned(observed, cfg.output_path, cfg.partition_columns, cfg.write_mode,
-                      max_records_per_file=cfg.max_records_per_file)
-    out = spark.read.parquet(cfg.output_path)
+    if any(c.startswith("weather_") for c in enriched.columns):
+        metrics.append(F.count_if(rp.has_match(enriched)).alias("matched"))
+    write_partitioned(enriched, cfg.output_path, cfg.partition_columns, cfg.write_mode,
+                      max_records_per_file=cfg.max_records_per_file, observe=(obs, metrics))
+    out = spark.read.schema(enriched.schema).parquet(cfg.output_path)  # written types, also of partition values
     return RunResult(output=out.select(*enriched.columns), weather_joined=joined, metrics=dict(obs.get))

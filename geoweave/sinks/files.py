@@ -14,8 +14,9 @@ def checksum(columns: list[str]) -> Column:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols=("country",), mode: str = "overwrite",
-                      fmt: str = "parquet", compression: str = "snappy", dynamic_overwrite: bool = True,
-                      max_records_per_file: int | None = None, rebalance: bool = True) -> None:
+                      fmt: str = "parquet", compression: str = "snappy", dynamic_overwrite: bool = False,
+                      max_records_per_file: int | None = None, rebalance: bool = True,
+                      observe: tuple[Observation, list[Column]] | None = None) -> None:
     """Write ``df`` as Hive-style partition directories.
 
     ``rebalance=True`` (an AQE-aware repartition on the partition columns)
@@ -24,13 +25,18 @@ def write_partitioned(df: DataFrame, path: str, partition_cols=("country",), mod
     costs one shuffle of the output.  ``rebalance=False`` writes without a
     shuffle, sorting each task's rows by the partition columns (one open file
     per task at a time, but up to tasks x partitions files).
-    ``dynamic_overwrite`` replaces only the partitions being written.
+    ``overwrite`` replaces the whole output; with ``dynamic_overwrite`` only
+    the partitions being written (for partial reruns).  ``observe`` collects
+    metrics of the rows directly below the write, after the shuffle, so tasks
+    that are run again are not counted twice.
     """
     cols = list(partition_cols)
     if rebalance:
         out = df.hint("rebalance", *cols) if cols else df.hint("rebalance")
     else:
         out = df.sortWithinPartitions(*cols) if cols else df
+    if observe:
+        out = out.observe(observe[0], *observe[1])
     w = out.write.mode(mode).format(fmt).option("compression", compression)
     if dynamic_overwrite and mode == "overwrite" and cols:
         w = w.option("partitionOverwriteMode", "dynamic")
@@ -41,17 +47,17 @@ def write_partitioned(df: DataFrame, path: str, partition_cols=("country",), mod
     w.save(path)
 
 
-def _read_back(spark: SparkSession, df: DataFrame, path: str, fmt: str) -> DataFrame:
-    back = spark.read.format(fmt).load(path)
-    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+def read_back(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """The written table with the written types: partition values are not guessed from their text."""
+    return spark.read.schema(df.schema).format(fmt).load(path).select(*df.columns)
 
 
 def write_observed(df: DataFrame, path: str, partition_cols=("country",), mode: str = "overwrite",
                    fmt: str = "parquet") -> dict:
     """Write and collect (rows, checksum) of what was written in the same job."""
     obs = Observation("written")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), checksum(df.columns).alias("checksum"))
-    write_partitioned(observed, path, partition_cols, mode, fmt)
+    write_partitioned(df, path, partition_cols, mode, fmt, observe=(
+        obs, [F.count(F.lit(1)).alias("rows"), checksum(df.columns).alias("checksum")]))
     return obs.get
 
 
@@ -62,7 +68,7 @@ def verify_roundtrip(spark: SparkSession, df: DataFrame, path: str, partition_co
     One row: rows_written, rows_read, rows_match, checksum_match.
     """
     w = write_observed(df, path, partition_cols, "overwrite", fmt)
-    back = _read_back(spark, df, path, fmt)
+    back = read_back(spark, df, path, fmt)
     r = back.agg(F.count(F.lit(1)).alias("rows_read"), checksum(df.columns).alias("c"))
     return r.select(F.lit(w["rows"]).cast("long").alias("rows_written"), "rows_read",
                     (F.col("rows_read") == F.lit(w["rows"])).alias("rows_match"),
@@ -80,7 +86,7 @@ def idempotent_rerun(spark: SparkSession, df: DataFrame, path: str, partition_co
     """
     first = write_observed(df, path, partition_cols, "overwrite", fmt)
     second = write_observed(df, path, partition_cols, "overwrite", fmt)
-    back = _read_back(spark, df, path, fmt).agg(F.count(F.lit(1)).alias("rows_second"),
+    back = read_back(spark, df, path, fmt).agg(F.count(F.lit(1)).alias("rows_second"),
                                                 checksum(df.columns).alias("c"))
     c1, c2 = first["checksum"] or 0, second["checksum"] or 0
     return back.select(F.lit(first["rows"]).cast("long").alias("rows_first"), "rows_second",
@@ -118,13 +124,18 @@ def input_lineage(df: DataFrame, partition_col: str = "country") -> DataFrame:
 
 
 def save_bucketed(df: DataFrame, table: str, path: str, bucket_col: str = "id", buckets: int = 5,
-                  fmt: str = "orc", mode: str = "overwrite") -> None:
+                  fmt: str = "orc", mode: str = "overwrite", max_records_per_file: int | None = None) -> None:
     """Catalog table bucketed (and sorted) on ``bucket_col``; external at ``path``.
 
     Joins and aggregations on the bucket column between tables with the
-    same bucketing skip the shuffle.
+    same bucketing skip the shuffle.  Rows are dealt to their buckets first
+    (the same hash), so every bucket is one file and not one per task;
+    ``max_records_per_file`` splits the file of a hot bucket.
     """
-    (df.write.mode(mode).format(fmt).bucketBy(buckets, bucket_col).sortBy(bucket_col)
+    w = df.repartition(buckets, bucket_col).write
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
+    (w.mode(mode).format(fmt).bucketBy(buckets, bucket_col).sortBy(bucket_col)
      .option("path", path).saveAsTable(table))
 
 
@@ -139,4 +150,4 @@ def insert_dynamic_partitions(df: DataFrame, path: str, partition_col: str = "co
     src = df
     if limit is not None:
         src = src.orderBy(*(order_by or df.columns)).limit(limit)
-    write_partitioned(src, path, (partition_col,), mode="append", fmt=fmt, dynamic_overwrite=False)
+    write_partitioned(src, path, (partition_col,), mode="append", fmt=fmt)

@@ -3,26 +3,31 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas
-from ..operators.sizing import broadcast_if_small
 
 CTRL_A = "\u0001"
 
 
 def read_places(spark: SparkSession, path: str, schema: StructType = schemas.PLACES) -> DataFrame:
-    """CSV with header and an explicit schema (no inference job).
+    """CSV with a header: columns are taken by name and coerced to ``schema``.
 
-    ``enforceSchema=false`` checks the header names against the schema, so
-    a file with reordered or renamed columns fails instead of loading
-    values into the wrong columns.
+    Reordered and extra columns are fine, a missing one fails.  Values are
+    read as text (no inference pass; only the header line is looked at while
+    the plan is built) and a bad value becomes NULL.  All files must have the
+    same header: ``enforceSchema=false`` fails on one that differs.
     """
-    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-            .option("mode", "PERMISSIVE").csv(path))
+    raw = spark.read.option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path)
+    missing = [f.name for f in schema.fields if f.name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return cast_columns(raw, schema)
 
 
 def read_csv_strings(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
@@ -70,9 +75,43 @@ def write_delimited(df: DataFrame, path: str, sep: str = CTRL_A, null_value: str
     df.select(line.alias("value")).write.mode(mode).text(path)
 
 
-def _ordered_text(parts: str, order: str, value: str) -> Column:
-    """Join the ``value`` fields of an array of structs in ``order`` with newlines."""
-    return F.array_join(F.transform(F.sort_array(F.col(parts)), lambda x: x[value]), "\n")
+#: Kinds of pieces of a split: a whole record, lines before its first record, its last record.
+_WHOLE, _LEADING, _LAST = 0, 1, 2
+
+
+def _assemble(start: str):
+    """Lines (line, file, split start) in file order -> pieces (file, split start, kind, text)."""
+    starts = re.compile(start).match
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, begun = None, [], False
+        out: list[tuple] = []
+
+        def put(kind):
+            if held:
+                out.append((*at, kind, "\n".join(held)))
+                held.clear()
+
+        for batch in batches:
+            for line, f, b in zip(*(c.to_pylist() for c in batch.columns)):
+                if (f, b) != at:
+                    put(_LAST if begun else _LEADING)
+                    at, begun = (f, b), False
+                if starts(line):
+                    put(_WHOLE if begun else _LEADING)
+                    begun = True
+                held.append(line)
+            yield _pieces(out)
+            out.clear()
+        put(_LAST if begun else _LEADING)
+        yield _pieces(out)
+    return run
+
+
+def _pieces(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [(), (), (), ()]
+    kinds = (pa.string(), pa.int64(), pa.int32(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["f", "b", "kind", "text"])
 
 
 def repair_multiline(spark: SparkSession, path: str, schema: StructType, key_pattern: str = r"\d+",
@@ -82,53 +121,34 @@ def repair_multiline(spark: SparkSession, path: str, schema: StructType, key_pat
     A new record starts only at a line that begins with ``key_pattern``
     followed by the separator; any other line continues the record before
     it.  Files are read as ordinary splittable text (``\n`` only, so a CR of
-    an embedded CR/LF stays in the text), and lines are ordered by (file,
-    split start, position in split):
-
-    * a window per split fills each line's record-start id forward; records
-      whose start is in the same split are grouped right there (the window's
-      partitioning already satisfies the grouping, no extra shuffle);
-    * lines before the first start of a split continue the last record of an
-      earlier split of the same file; that id comes from a window over a
-      one-row-per-split summary, and these fragments (at most one per split)
-      are appended to their record by a join on the record id.
-
-    Lines are shuffled once (by split, for the window) and pieces once (by
-    record); a second, cheap scan only builds the per-split summary.
-
-    No file is ever held whole in one task; a group is one record.  Lines
-    before the first record of a file are kept as a record of their own.
+    an embedded CR/LF stays in the text).  A task reads the lines of its
+    splits in order and puts records together as they stream by; what it holds
+    is one record.
+
+    Only the ends of a split can be unfinished: the lines before its first
+    record, and its last record.  These (at most two pieces per split) are
+    ordered by file and split start and joined; every other record goes
+    straight on, so no text is shuffled but at split borders.  Lines before
+    the first record of a file are kept as a record of their own; a file in
+    which no line starts a record stops the job (the pattern does not fit).
     """
-    sep_re = re.escape(sep)  # split() and rlike() take regular expressions
-    start_re = f"^{key_pattern}{sep_re}"
-    raw = (spark.read.option("lineSep", "\n").text(path)
-           .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("_f"),
-                   F.col("_metadata.file_block_start").alias("_b"),
-                   F.monotonically_increasing_id().alias("_i")))
-    raw = raw.withColumn("_s", F.col("line").rlike(start_re))
-    # per split: the last record start (a small summary; partial aggregation only)
-    last_start = raw.groupBy("_f", "_b").agg(F.max(F.when(F.col("_s"), F.col("_i"))).alias("_last"))
-    before = Window.partitionBy("_f").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = last_start.select("_f", "_b", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
-
-    # lines -> record start within the split (window per split: the one shuffle of lines)
-    in_split = Window.partitionBy("_f", "_b").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
-    lines = raw.withColumn("_rec", F.last(F.when(F.col("_s"), F.col("_i")), ignorenulls=True).over(in_split))
-    # one piece per record-in-split, plus at most one leading fragment (_rec NULL) per split;
-    # the grouping reuses the window's partitioning
-    pieces = (lines.groupBy("_f", "_b", "_rec")
-              .agg(F.collect_list(F.struct("_i", "line")).alias("_p"))
-              .select("_f", "_b", "_rec", _ordered_text("_p", "_i", "line").alias("_text")))
-    # a fragment belongs to the last start of an earlier split; one with no earlier
-    # start in its file stays a record of its own (keyed by its split)
-    # one carry row per (file, split): bounded by input files + input partitions (metadata only)
-    bound = len(raw.inputFiles()) + raw.rdd.getNumPartitions()
-    keyed = pieces.join(broadcast_if_small(carry, proven_rows=bound), ["_f", "_b"], "left") \
-        .select("_f", F.coalesce("_rec", "_carry").alias("_key"),
-                F.when(F.col("_rec").isNull() & F.col("_carry").isNull(), F.col("_b")).alias("_orphan"),
-                F.struct("_b", "_text").alias("_piece"))
-    records = (keyed.groupBy("_f", "_key", "_orphan").agg(F.collect_list("_piece").alias("_p"))
-               .select(_ordered_text("_p", "_b", "_text").alias("rec")))
+    sep_re = re.escape(sep)  # split() takes a regular expression
+    lines = (spark.read.option("lineSep", "\n").text(path)
+             .select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("f"),
+                     F.col("_metadata.file_block_start").alias("b")))
+    pieces = lines.mapInArrow(_assemble(f"{key_pattern}{sep_re}"), "f string, b long, kind int, text string")
+    whole = pieces.where(F.col("kind") == _WHOLE).select(F.col("text").alias("rec"))
+    ends = pieces.where(F.col("kind") != _WHOLE)
+    so_far = Window.partitionBy("f").orderBy("b", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    ends = ends.withColumn("nth", F.sum((F.col("kind") == _LAST).cast("int")).over(so_far)) \
+        .withColumn("starts", F.sum((F.col("kind") == _LAST).cast("int")).over(Window.partitionBy("f")))
+    joined = ends.groupBy("f", "nth").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("b", "kind", "text"))), lambda x: x["text"]), "\n").alias("rec"),
+        F.min("starts").alias("starts"))
+    joined = joined.select(F.when(F.col("starts") == 0, F.raise_error(F.concat(
+        F.lit("no line starts a record (key pattern and separator do not fit): "), F.col("f"))).cast("string"))
+        .otherwise(F.col("rec")).alias("rec"))
+    records = whole.unionAll(joined)
 
     parts = F.split(F.col("rec"), sep_re, len(schema.fields))
     cols = []

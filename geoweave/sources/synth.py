@@ -2,9 +2,9 @@
 
 The original generator loops on the driver, unseeded.  Here every place
 with valid coordinates anchors ``per_place`` observations, fanned out with
-``sequence`` + ``explode`` inside the tasks; all "random" values are
-deterministic integer hashes of (place id, draw number, seed), so a rerun
-or a retried task writes the same rows.
+``sequence`` + ``explode`` inside the tasks; all "random" values are taken
+from the MD5 of (place id, draw number, salt), so they are independent of each
+other, and a rerun or a retried task writes the same rows.
 """
 
 from __future__ import annotations
@@ -20,9 +20,9 @@ CONDITIONS = ["Sunny", "Cloudy", "Rainy", "Partly Cloudy", "Foggy", "Snowy", "Wi
 
 
 def _draw(key: Column, i: Column, salt: int, modulus: int) -> Column:
-    """Deterministic integer in [0, modulus) from (key, i, salt); overflow-free."""
-    a = F.pmod(key, F.lit(1000003)) * 7919 + F.pmod(i, F.lit(100003)) * 104729 + salt * 15485863
-    return F.pmod(a, F.lit(modulus))
+    """Deterministic integer in [0, modulus): 32 bits of the MD5 of (key, i, salt)."""
+    digest = F.md5(F.concat_ws("|", key.cast("string"), i.cast("string"), F.lit(str(salt))).cast("binary"))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(modulus))
 
 
 def _uniform(key: Column, i: Column, salt: int, lo: float, hi: float, steps: int = 10000) -> Column:
@@ -30,10 +30,23 @@ def _uniform(key: Column, i: Column, salt: int, lo: float, hi: float, steps: int
 
 
 def synth_observations(places: DataFrame, per_place: int = 4, seed: int = 0, precision: int = 4,
-                       jitter_deg: float = 0.1, start_date: str = "2024-01-01", days: int = 366) -> DataFrame:
-    """``per_place`` jittered weather rows per valid place, in the generator's schema."""
+                       jitter_deg: float = 0.1, start_date: str = "2024-01-01", days: int = 366,
+                       records: int | None = None) -> DataFrame:
+    """``per_place`` jittered weather rows per valid place, in the generator's schema.
+
+    With ``records`` exactly that many rows, dealt evenly: every place gets
+    the same number and the first places by id one more (none, and no rows,
+    without a valid place).  This counts the places while the plan is built.
+    """
     base = places.where(valid_coordinates("lat", "lng")).select("id", "lat", "lng", "city", "country")
-    draws = base.select("*", F.explode(F.sequence(F.lit(1), F.lit(per_place))).alias("draw"))
+    rest = 0
+    if records is not None:
+        n = base.count()
+        per_place, rest = divmod(records, n) if n else (0, 0)
+    draws = base.select("*", F.explode(F.sequence(F.lit(1), F.lit(per_place))).alias("draw")) if per_place else \
+        base.limit(0).select("*", F.lit(1).alias("draw"))
+    if rest:
+        draws = draws.unionAll(base.orderBy("id", "lat", "lng").limit(rest).select("*", F.lit(per_place + 1).alias("draw")))
     k, i = F.col("id"), F.col("draw")
     s = seed * 31
     lat = F.least(F.greatest(F.col("lat") + _uniform(k, i, s + 1, -jitter_deg, jitter_deg), F.lit(-90.0)), F.lit(90.0))

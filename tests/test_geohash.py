@@ -166,7 +166,7 @@ def test_math_of_band_width():
 
 def test_geohash_to_cell_uses_prefix_of_finer_geohash(spark):
     df = spark.createDataFrame([("dr5reg",), ("dr5r",), ("dr5",), ("dr5r!x",), ("DR5REG",)], "g string")
-    got = [r.c for r in df.select(G.geohash_to_cell("g", 4).alias("c")).collect()]
+    got = [r.c for r in df.select(G.geohash_to_cell("g", 4, fit="prefix").alias("c")).collect()]
     assert got[0] == got[1] == got[4] == 761133 and got[2] is None and got[3] is None
 
 

@@ -51,20 +51,20 @@ def test_ctrl_a_literal_null_quotes_and_blanks(spark, tmp_path):
 
 def test_repair_multiline_records(spark, tmp_path):
     d = str(tmp_path / "products")
-    lines = [A.join(["S10_1678", "Bike", "Motorcycles", "features a\r\nworking kickstand", "7933"]),
-             A.join(["S10_1949", "Car", "Classic Cars", 'one "inch', "7305"]),
-             A.join(["S12_1099", "Ford", "Classic Cars", "line one\nline two\nline three\n", "68"])]
+    lines = [A.join(["P7_204", "Tandem", "Cycles", "folds flat\r\nand has a basket", "412"]),
+             A.join(["P7_311", "Minibus", "Vans", 'half "scale', "96"]),
+             A.join(["P9_118", "Camper", "Vans", "line one\nline two\nline three\n", "17"])]
     _write(d, lines)
     schema = schemas.PRODUCTS.__class__(schemas.PRODUCTS.fields[:3] + [schemas.PRODUCTS.fields[5],
                                                                         schemas.PRODUCTS.fields[6]])
     naive = src.read_delimited(spark, d, schema)
     assert naive.count() > 3  # physical lines, not records
-    fixed = src.repair_multiline(spark, d, schema, key_pattern=r"S\d+_\d+")
+    fixed = src.repair_multiline(spark, d, schema, key_pattern=r"P\d+_\d+")
     got = {r.product_code: r for r in fixed.collect()}
     assert len(got) == 3
-    assert got["S10_1678"].product_description == "features a\r\nworking kickstand"
-    assert got["S12_1099"].product_description == "line one\nline two\nline three\n"
-    assert got["S10_1949"].quantity_in_stock == 7305
+    assert got["P7_204"].product_description == "folds flat\r\nand has a basket"
+    assert got["P9_118"].product_description == "line one\nline two\nline three\n"
+    assert got["P7_311"].quantity_in_stock == 96
 
 
 def test_ctrl_a_roundtrip_with_nulls(spark, places, tmp_path):
@@ -79,19 +79,19 @@ def test_partitioned_write_verify_and_rerun(spark, places, tmp_path):
     v = sk.verify_roundtrip(spark, places, out, ("country",)).first()
     assert v.rows_written == v.rows_read == 5 and v.rows_match and v.checksum_match
     assert sorted(x for x in os.listdir(out) if x.startswith("country=")) == \
-        ["country=ES", "country=FR", "country=GB", "country=US"]
+        ["country=DK", "country=NL", "country=NO", "country=PT"]
     r = sk.idempotent_rerun(spark, places, str(tmp_path / "rerun"), ("country",)).first()
     assert r.same_rows and r.same_checksum
     inv = {x.country: (x.rows, x.files) for x in sk.partition_inventory(spark, out).collect()}
-    assert inv["US"][0] == 2 and all(f >= 1 for _, f in inv.values())
+    assert inv["PT"][0] == 2 and all(f >= 1 for _, f in inv.values())
 
 
 def test_input_lineage_is_pruned(spark, places, tmp_path):
     out = str(tmp_path / "lin")
     sk.write_partitioned(places, out, ("country",))
-    df = spark.read.parquet(out).where(F.col("country") == "US")
+    df = spark.read.parquet(out).where(F.col("country") == "PT")
     lin = sk.input_lineage(df).collect()
-    assert [(r.country, r.rows) for r in lin] == [("US", 2)]
+    assert [(r.country, r.rows) for r in lin] == [("PT", 2)]
     assert "PartitionFilters: [isnotnull(country" in df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -137,9 +137,14 @@ def test_synth_observations_deterministic(spark, places):
     b = synth_observations(places.repartition(3), per_place=10, seed=1)
     assert a.count() == 30 and a.exceptAll(b).count() == 0
     r = a.agg(F.min("humidity_pct"), F.max("humidity_pct"), F.countDistinct("condition"),
-              F.max(F.abs(F.col("lat") - 40.7128))).first()
+              F.max(F.abs(F.col("lat") - 41.15))).first()
     assert 20 <= r[0] and r[1] <= 100
     assert a.where("geohash IS NULL").count() == 0
+    near = places.select("id", F.col("lat").alias("plat"), F.col("lng").alias("plng"), "city")
+    tied = a.join(near, "city").select((F.col("lat") - F.col("plat")).alias("dy"), (F.col("lng") - F.col("plng")).alias("dx"))
+    assert tied.select(F.countDistinct(F.round(F.col("dx") - F.col("dy"), 4))).first()[0] > 20  # independent draws
+    assert synth_observations(places, records=7).count() == 7 and synth_observations(places, records=2).count() == 2
+    assert synth_observations(places.where("false"), records=5).count() == 0
     assert list(a.columns) == [f.name for f in schemas.SYNTH_OBSERVATIONS.fields]
 
 
@@ -151,7 +156,7 @@ def test_avro_format_argument(spark, places, tmp_path):
         if "avro" in str(e).lower():
             pytest.skip("Avro data source not available")
         raise
-    back = spark.read.format("avro").load(str(tmp_path / "avro")).where("country = 'US'")
+    back = spark.read.format("avro").load(str(tmp_path / "avro")).where("country = 'PT'")
     assert back.count() == 2
 
 
@@ -192,6 +197,63 @@ def test_repair_multiline_across_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_repair_shuffles_only_split_borders(spark, tmp_path):
+    from geoweave.sources import testdata as td
+    from scripts.plan_lint import shuffle_records
+    docs = td.table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "lang", "source", "n_chars", "text")
+    d = str(tmp_path / "docs_border")
+    src.write_delimited(docs.coalesce(2), d)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(32 << 10))
+    try:
+        splits = spark.read.text(d).select("_metadata.file_path", "_metadata.file_block_start").distinct().count()
+        fixed = src.repair_multiline(spark, d, docs.schema)
+        assert len(fixed.collect()) == docs.count() and sum(shuffle_records(fixed)) <= 4 * splits
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_repair_fails_if_no_line_fits(spark, tmp_path):
+    import pytest
+    from pyspark.sql.types import _parse_datatype_string
+    d = str(tmp_path / "nofit")
+    _write(d, ["a|b", "c|d"])
+    with pytest.raises(Exception, match="no line starts a record"):
+        src.repair_multiline(spark, d, _parse_datatype_string("k int, v string")).collect()
+
+
+def test_all_six_delimited_schemas(spark, tmp_path):
+    rows = {
+        "CUSTOMERS": (["17", "Acme Oy", "Aho", "Ida", "09 1", "Katu 1", "null", "Turku", "null", "20100", "Finland", "358", "1500.50"], 13),
+        "EMPLOYEES": (["5", "Berg", "Nils", "x12", "nb@example.com", "2", "null", "Clerk"], 8),
+        "OFFICES": (["2", "Turku", "09 2", "Katu 2", "null", "null", "Finland", "20100", "north"], 9),
+        "ORDERDETAILS": (["100", "P7_204", "3", "12.34", "1"], 5),
+        "PAYMENTS": (["17", "CH77", "2021-02-03", "99.90"], 4),
+        "PRODUCTS": (["P7_204", "Tandem", "Cycles", "1:8", "Acme Oy", "folds", "412", "5.05", "9.99"], 9)}
+    for name, (values, n) in rows.items():
+        d = str(tmp_path / name)
+        _write(d, [A.join(values)])
+        df = src.read_delimited(spark, d, getattr(schemas, name))
+        got = df.first()
+        assert len(df.columns) == n == len(values)
+        assert [None if v == "null" else v for v in values] == [None if g is None else str(g) for g in got]
+
+
+def test_bucketed_write_has_one_file_per_bucket(spark, tmp_path):
+    df = spark.range(0, 5000, numPartitions=40).withColumn("x", F.col("id") % 97)
+    sk.save_bucketed(df, "bkt_files", str(tmp_path / "bkt_files"), "x", 20, "parquet")
+    assert len([f for f in os.listdir(tmp_path / "bkt_files") if f.endswith(".parquet")]) <= 20
+    assert spark.table("bkt_files").count() == 5000
+    cat.drop_table(spark, "bkt_files")
+
+
+def test_managed_table(spark, places):
+    places.write.mode("overwrite").saveAsTable("places_managed")
+    desc = {r.col_name: r.data_type for r in cat.describe_table(spark, "places_managed").collect()}
+    assert desc.get("Type") == "MANAGED" and spark.table("places_managed").count() == 5
+    cat.drop_table(spark, "places_managed")
+
+
 def test_repair_keeps_leading_fragment(spark, tmp_path):
     d = str(tmp_path / "lead")
     _write(d, ["stray text", A.join(["7", "x"]), "more x"])
@@ -228,12 +290,12 @@ def test_malformed_lines_are_quarantined(spark, tmp_path):
 def test_dynamic_overwrite_replaces_only_written_partitions(spark, places, tmp_path):
     out = str(tmp_path / "dyn")
     sk.write_partitioned(places, out, ("country",))
-    changed = places.where("country = 'US'").withColumn("franchise_name", F.lit("renamed"))
-    sk.write_partitioned(changed, out, ("country",), mode="overwrite")
+    changed = places.where("country = 'PT'").withColumn("franchise_name", F.lit("renamed"))
+    sk.write_partitioned(changed, out, ("country",), mode="overwrite", dynamic_overwrite=True)
     back = spark.read.parquet(out)
     assert back.count() == 5
-    assert {r.franchise_name for r in back.where("country = 'US'").collect()} == {"renamed"}
-    assert back.where("country = 'FR'").first().franchise_name == "Test Bistro"
+    assert {r.franchise_name for r in back.where("country = 'PT'").collect()} == {"renamed"}
+    assert back.where("country = 'NL'").first().franchise_name == "Canal Kitchen"
 
 
 def test_repair_with_regex_special_separator(spark, tmp_path):
@@ -245,13 +307,21 @@ def test_repair_with_regex_special_separator(spark, tmp_path):
     assert got[1].t == "first\nline" and got[2].t == "x|y"
 
 
-def test_places_header_is_checked(spark, tmp_path):
+def test_places_are_read_by_header_name(spark, tmp_path):
     import pytest
     p = tmp_path / "swapped.csv"
     p.write_text("id,franchise_id,franchise_name,restaurant_franchise_id,country,city,lng,lat\n"
                  "1,10,Cafe,100,US,NY,-74.0,40.7\n")
-    with pytest.raises(Exception):
-        src.read_places(spark, str(p)).collect()
+    r = src.read_places(spark, str(p)).first()
+    assert (r.lat, r.lng, r.id) == (40.7, -74.0, 1)
+    more = tmp_path / "more.csv"
+    more.write_text("note,city,id,franchise_id,franchise_name,restaurant_franchise_id,country,lng,lat\nx,NY,1,bad,Cafe,100,US,-74.0,40.7\n")
+    r = src.read_places(spark, str(more)).first()
+    assert (r.city, r.lat, r.franchise_id) == ("NY", 40.7, None) and "note" not in r.asDict()
+    less = tmp_path / "less.csv"
+    less.write_text("id,city\n1,NY\n")
+    with pytest.raises(ValueError):
+        src.read_places(spark, str(less))
 
 
 def test_input_lineage_special_partition_values(spark, places, tmp_path):
