@@ -3,6 +3,8 @@
 Rows with equal texts are one atomic group; groups stand in the order of their
 smallest doc_id.  The smallest shard capacity for which a greedy pass needs at
 most ``shards`` shards is found by binary search, and the order is cut there.
+A group larger than the capacity has a shard of its own, so one large group of
+copies sets the largest shard and does not empty the others.
 
 The driver never holds the groups.  It works on sums over ranges of the order
 (a bounded number), where a greedy pass gives a lower and an upper bound of
@@ -35,15 +37,26 @@ class Range:
 
 
 def _steps(ends: list[int], ranges: list[Range], capacity: int, shards: int) -> tuple[list[int], list[int]]:
-    """Lower and upper bounds (in bytes of the order) of the greedy cuts for one capacity."""
-    low, high = [0], [0]
+    """Lower and upper bounds (in bytes of the order) of the greedy cuts for one capacity.
+
+    A shard takes groups while they fit; a group larger than the capacity has
+    a shard of its own.
+    """
+    low, high, n = [0], [0], len(ends)
     for _ in range(shards):
         k = bisect_right(ends, low[-1] + capacity)
-        low.append(max(low[-1], ends[k - 1] if k else 0))
+        at = ends[k - 1] if k else 0
+        if at <= low[-1] and k < n and ranges[k].single:
+            at = ends[k]
+        low.append(max(low[-1], at))
         t = high[-1] + capacity
         k = bisect_right(ends, t)
         at = ends[k - 1] if k else 0
-        high.append(max(high[-1], at if k == len(ends) or ranges[k].single else t))
+        if k < n and not ranges[k].single:  # a cut may lie inside; a large group in it may end as late as it does
+            at = t if ranges[k].size <= capacity else ends[k]
+        elif k < n and at <= high[-1]:
+            at = ends[k]
+        high.append(max(high[-1], at))
     return low, high
 
 
@@ -59,7 +72,7 @@ def _least(holds, low: int, high: int) -> int:
 
 
 def minimax_cuts(count_ranges, total: int, largest: int, span: int, shards: int, fan: int = 4096) -> tuple[int, list[int]]:
-    """The optimal capacity, and the places in the order where shards 1, 2, ... start.
+    """The smallest feasible capacity, and the places in the order where shards 1, 2, ... start.
 
     ``count_ranges(wanted, old_width, width)`` returns ``Range`` objects of
     ``width`` for the ranges of ``old_width`` that start at the ``wanted``
@@ -69,7 +82,7 @@ def minimax_cuts(count_ranges, total: int, largest: int, span: int, shards: int,
     while width * fan < span:
         width *= 2
     ranges = sorted(count_ranges(None, None, width), key=lambda r: r.start)
-    low, high = max(-(-total // shards), largest), max(-(-total // shards), largest) + largest
+    low, high = 1, -(-total // shards) + largest
     while True:
         ends, at = [], 0
         for r in ranges:
