@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geoweave.llm import language, minhash, packing, quality
-from geoweave.llm.common import fresh, staged, table
+from geoweave.llm.common import fresh, small_batches, staged, table
 
 #: A cosine of unrelated profiles is within a few times 1 / sqrt(dims) = 0.03 of 0.
 LEAST_COSINE = 0.1
@@ -22,6 +22,7 @@ LEAST_QUALITY = 0.3
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without letters and texts unlike any learned language."""
+    small_batches(spark)
     profiles = language.train(docs, held_out_fold=None)
     lang, cos = fresh(docs.columns, "lang_pred"), fresh(docs.columns, "score")
     judged = language.predict(docs, profiles, out=(lang, cos), keep_text=True)
@@ -30,6 +31,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts that the classifier scores below LEAST_QUALITY, and texts without words."""
+    small_batches(spark)
     model = quality.train(docs, table(spark, sf_dir, "labels"), held_out_fold=None)
     score = fresh(docs.columns, "score")
     judged = quality.score(docs, model, out=score, keep_text=True)
@@ -41,6 +43,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Rows that share a doc_id are one document; rows without one all stay.
     """
+    small_batches(spark)
     kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
     nth = fresh(docs.columns, "nth")
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
@@ -49,6 +52,8 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Best-two-fit packing into sequences of 1024 tokens."""
+    small_batches(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -12,6 +12,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Have this session hand rows to Python in Arrow batches of at most ``rows`` rows.
+
+    Batches are counted in rows; a thousand documents of a usual length are a
+    few megabytes, so two tasks with their workers stay far below an
+    executor's memory.  A setting of the application, not of an operator.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back.
 
