@@ -37,6 +37,9 @@ _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(
 #: Below the threshold by this much, a signature estimate rules a pair out (over five standard deviations
 #: at 300 minima).
 SLACK = 0.12
+#: The first pass (stars) tests only pairs whose estimate nearly reaches the threshold; what it leaves out is
+#: found by the second, which uses SLACK.
+STAR_SLACK = 0.02
 
 
 def shingle_set(text: str | None, words_per_shingle: int) -> np.ndarray:
@@ -264,7 +267,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
         .where("centre < last").select("key", "centre")
     shared = staged(members.join(centres, "key"), "minhash-shared")
     star = shared.where("rep != centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
-    links = _checked(base, reps, star, words, percent, limit)
+    links = _checked(base, reps, star, words, percent, percent / 100 - STAR_SLACK)
     labels = connected_components(links)
     families = connected_components(_alike(shared, reps, labels, limit, bucket_block))
     more = _settled(base, s, families, labels, words, percent)
