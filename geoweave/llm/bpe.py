@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 #: Texts that must keep their case: characters that lower-casing and composing may treat in another
 #: order, and what could be an added token.
@@ -40,70 +41,102 @@ def _as_large(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
+#: Texts are cut into words so many bytes at a time.
+_PIECE_BYTES = 2 << 20
+
+
 class _Blocks:
-    """Blocks of documents: (doc ids, words per document, word numbers, distinct words)."""
+    """Blocks of documents: (name, doc ids, words per document, word numbers, distinct words)."""
 
     def __init__(self, block_bytes: int, fold_case: bool):
         self.block_bytes, self.fold_case = block_bytes, fold_case
 
-    def _cut(self, batches: Iterator[pa.RecordBatch]):
-        ids, texts, size = [], [], 0
+    def _split(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Words per text, word numbers and distinct words of a few texts (an array that is no slice)."""
+        if self.fold_case:
+            texts = pc.if_else(pc.match_substring_regex(texts, _KEEP_CASE), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(texts)
+        # leading or trailing white space leaves empty words: they encode to nothing
+        lens = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype("<u4")
+        coded = pc.dictionary_encode(split.flatten())
+        return lens, coded.indices.to_numpy(zero_copy_only=False).astype("<u4"), coded.dictionary
+
+    @staticmethod
+    def _joined(parts: list):
+        """One block from its parts: their words are numbered again, together."""
+        ids = [i for part in parts for i in part[0]]
+        lens = np.concatenate([part[1] for part in parts])
+        coded = pc.dictionary_encode(pa.concat_arrays([part[3] for part in parts]))
+        new = coded.indices.to_numpy(zero_copy_only=False).astype("<u4")
+        first = np.cumsum([0, *(len(part[3]) for part in parts)])
+        codes = np.concatenate([new[at:at + len(part[3])][part[2]] for at, part in zip(first, parts)])
+        # frequent words get small numbers, which pack better
+        order = np.argsort(-np.bincount(codes, minlength=len(coded.dictionary)), kind="stable")
+        words, rank = coded.dictionary.take(pa.array(order)), np.empty(len(order), "<u4")
+        rank[order] = np.arange(len(order))
+        codes = rank[codes]
+        name = xxhash.xxh64(repr(ids).encode())
+        for x in (*(b for b in words.buffers() if b is not None), codes):
+            name.update(x)
+        return name.intdigest() - (1 << 63), ids, lens, codes, words
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]):
+        parts, size = [], 0
         for batch in batches:
             column = _as_large(batch.column(1))
             at, sizes = 0, np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
             while at < len(column):
                 before = sizes[at - 1] if at else 0
-                end = min(len(column), int(np.searchsorted(sizes, before + self.block_bytes - size)) + 1)
-                ids.append(batch.column(0).slice(at, end - at))
-                texts.append(column.slice(at, end - at))
+                room = min(_PIECE_BYTES, self.block_bytes - size)
+                end = min(len(column), int(np.searchsorted(sizes, before + room)) + 1)
+                parts.append((batch.column(0).slice(at, end - at).to_pylist(), *self._split(column.take(pa.array(range(at, end))))))  # copied: lower-casing a slice misplaces its offsets
                 size += int(sizes[end - 1] - before)
                 at = end
                 if size >= self.block_bytes:
-                    yield pa.concat_arrays(ids), pa.concat_arrays(texts)
-                    ids, texts, size = [], [], 0
-        if ids:
-            yield pa.concat_arrays(ids), pa.concat_arrays(texts)
-
-    def __call__(self, batches: Iterator[pa.RecordBatch]):
-        for ids, texts in self._cut(batches):
-            if self.fold_case:
-                keep = pc.match_substring_regex(texts, _KEEP_CASE)
-                texts = pc.if_else(keep, texts, pc.ascii_lower(texts))
-            split = pc.ascii_split_whitespace(texts)
-            # leading or trailing white space leaves empty words: they encode to nothing
-            lens = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype("<u4")
-            coded = pc.dictionary_encode(split.flatten())
-            codes = coded.indices.to_numpy(zero_copy_only=False).astype("<u4")
-            words = coded.dictionary
-            name = xxhash.xxh64(b"".join(x.to_pybytes() for x in words.buffers() if x is not None)
-                                + codes.tobytes() + repr(ids.to_pylist()).encode()).intdigest() - (1 << 63)
-            yield name, ids, lens, codes, words
+                    yield self._joined(parts)
+                    parts, size = [], 0
+                    pa.default_memory_pool().release_unused()
+        if parts:
+            yield self._joined(parts)
 
 
 def _words(blocks: _Blocks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, _, _, words in blocks(batches):
-            for at in range(0, len(words), 50_000):
-                part = words.slice(at, 50_000)
+            for at in range(0, len(words), 20_000):
+                part = words.take(pa.array(range(at, min(len(words), at + 20_000))))
                 yield pa.RecordBatch.from_arrays(
                     [part.cast(pa.string()), pa.array(np.full(len(part), name)),
                      pa.array(np.arange(at, at + len(part), dtype=np.int32))], names=["word", "block", "code"])
     return run
 
 
-def _positions(blocks: _Blocks):
+#: What blocks are put together from: part 0 rows bring ids of words (codes, id counts, ids), later parts
+#: documents (word numbers, words per document).
+_PARTS = "block long, part int, n_words long, doc_ids array<long>, codes binary, counts binary, ids binary"
+_PART_TYPES = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary())
+
+
+def _part_rows(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(_PART_TYPES)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, _PART_TYPES)],
+                                      names=[f.split()[0] for f in _PARTS.split(", ")])
+
+
+def _positions(blocks: _Blocks, docs: int = 500):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, ids, lens, codes, words in blocks(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name], pa.int64()), pa.array([len(words)], pa.int64()),
-                 pa.array([ids.to_pylist()], pa.list_(pa.int64())), pa.array([_packed(lens)], pa.binary()),
-                 pa.array([_packed(codes)], pa.binary())], names=["block", "n_words", "ids", "lens", "codes"])
+            ends = np.cumsum(lens, dtype=np.int64)
+            for part, at in enumerate(range(0, len(ids), docs), 1):
+                to = min(len(ids), at + docs)
+                own = codes[int(ends[at - 1]) if at else 0:int(ends[to - 1])]
+                yield _part_rows([(name, part, len(words), ids[at:to], _packed(own), _packed(lens[at:to]), None)])
     return run
 
 
 def _packed(x: np.ndarray) -> bytes:
     """Unsigned 32-bit numbers, byte plane by byte plane, compressed."""
-    return zlib.compress(np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+    return zlib.compress(np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 6)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
@@ -112,10 +145,10 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def _encode_words(path: str):
-    """Rows (word, block, code) sorted by word -> per batch and block: codes, id counts, ids.
+    """Rows (word, block, code) sorted by word -> per run of rows and block: codes, id counts, ids.
 
-    A distinct word is encoded once; the last word of a batch is remembered
-    for its continuation in the next.
+    A distinct word is encoded once; the last word of a run of rows is
+    remembered for its continuation in the next.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from tokenizers import Tokenizer
@@ -123,9 +156,7 @@ def _encode_words(path: str):
         tok.no_padding()
         tok.no_truncation()
         last, last_ids = None, None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in _runs(batches, 40_000):
             coded = pc.dictionary_encode(batch.column(0))
             words = coded.dictionary.to_pylist()
             skip = int(words[0] == last)
@@ -138,57 +169,95 @@ def _encode_words(path: str):
             codes = batch.column(2).to_numpy(zero_copy_only=False)
             order = np.argsort(blocks, kind="stable")
             edges = np.flatnonzero(np.diff(blocks[order], prepend=blocks[order[0]] - 1))
-            out = [[], [], [], []]
-            for at in np.split(order, edges[1:]):
-                own = which[at]
-                for column, x in zip(out, (blocks[at[0]], _packed(codes[at]), _packed(n[own]),
-                                           _packed(np.concatenate([ids[k] for k in own])))):
-                    column.append(x)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])],
-                names=["block", "codes", "counts", "ids"])
+            yield _part_rows([(int(blocks[at[0]]), 0, None, None, _packed(codes[at]), _packed(n[which[at]]),
+                               _packed(np.concatenate([ids[k] for k in which[at]]))) for at in np.split(order, edges[1:])])
     return run
 
 
+def _runs(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at least ``rows`` (but for the last)."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """The concatenation of ``range(s, s + n)``."""
     ends = np.cumsum(lens)
     return np.repeat(starts - ends + lens, lens) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def _join_back(seq: pa.Table, packs: pa.Table) -> pa.Table:
-    """Ids of a block's documents from its positions and its encoded words."""
-    n_words = int(seq.column("n_words")[0].as_py()) if seq.num_rows else 0
-    parts = {k: [_unpacked(x.as_py()) for x in packs.column(k)] for k in ("codes", "counts", "ids")}
-    codes, counts, ids = (np.concatenate(parts[k]) if parts[k] else np.empty(0, "<u4") for k in ("codes", "counts", "ids"))
-    order = np.argsort(codes, kind="stable")
-    order = order[np.diff(codes[order].astype(np.int64), prepend=-1) != 0]  # equal blocks send their words twice
-    if len(order) != n_words:
-        raise RuntimeError(f"a block of {n_words} words got the ids of {len(order)}; is the input deterministic?")
-    lens = counts[order].astype(np.int64)
-    starts = (np.cumsum(counts.astype(np.int64)) - counts)[order]
-    out = []
-    for k in range(seq.num_rows):
-        at = 0
-        where = _unpacked(seq.column("codes")[k].as_py())
-        batch_ids, batch_lists = [], []
-        for doc_id, n in zip(seq.column("ids")[k].as_py(), _unpacked(seq.column("lens")[k].as_py()).tolist()):
-            own = where[at:at + n]
-            at += n
-            batch_ids.append(doc_id)
-            batch_lists.append(ids[_ranges(starts[own], lens[own])].astype(np.int32))
-            if len(batch_ids) == 256:
-                out.append(_id_batch(batch_ids, batch_lists))
-                batch_ids, batch_lists = [], []
-        out.append(_id_batch(batch_ids, batch_lists))
-    return pa.Table.from_batches(out or [_id_batch([], [])])
-
-
-def _id_batch(doc_ids: list, lists: list[np.ndarray]) -> pa.RecordBatch:
+class _Words:
+    """Encoded words of one block, gathered from its part 0 rows."""
+
+    def __init__(self):
+        self.parts, self.n = ([], [], []), None
+
+    def add(self, *packed: bytes) -> None:
+        for part, x in zip(self.parts, packed):
+            part.append(_unpacked(x))
+
+    def settle(self, n_words: int) -> None:
+        codes, counts, ids = (np.concatenate(x) if x else np.empty(0, "<u4") for x in self.parts)
+        order = np.argsort(codes, kind="stable")
+        order = order[np.diff(codes[order].astype(np.int64), prepend=-1) != 0]  # equal blocks send their words twice
+        if len(order) != n_words:
+            raise RuntimeError(f"a block of {n_words} words got the ids of {len(order)}; is the input deterministic?")
+        self.lens = counts[order].astype(np.int64)
+        self.starts = (np.cumsum(counts.astype(np.int64)) - counts)[order]
+        self.ids, self.parts, self.n = ids, ([], [], []), n_words
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        return self.ids[_ranges(self.starts[codes], self.lens[codes])].astype(np.int32)
+
+
+def _join_back(pieces_of_ids):
+    """Rows sorted by (block, part) -> ids of the block's documents, from its words and their positions.
+
+    With a broadcast id-to-piece table the decoded texts are joined on as
+    well.  A block's encoded words are held, its documents stream by.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_id = None if pieces_of_ids is None else _by_id(pieces_of_ids.value)
+        block, words = None, _Words()
+        for batch in batches:
+            columns = [batch.column(i) for i in range(7)]
+            for k, (name, part) in enumerate(zip(columns[0].to_pylist(), columns[1].to_pylist())):
+                if name != block:
+                    block, words = name, _Words()
+                if part == 0:
+                    words.add(*(c[k].as_py() for c in columns[4:]))
+                    continue
+                if words.n is None:
+                    words.settle(columns[2][k].as_py())
+                codes, at, lists, ids = _unpacked(columns[4][k].as_py()), 0, [], columns[3][k].as_py()
+                for n in _unpacked(columns[5][k].as_py()).tolist():
+                    lists.append(words.of(codes[at:at + n]))
+                    at += n
+                for at in range(0, len(ids), 100):
+                    yield _id_batch(ids[at:at + 100], lists[at:at + 100], by_id)
+    return run
+
+
+def _by_id(table: dict[int, str]) -> np.ndarray:
+    out = np.full(max(table, default=0) + 1, None, object)
+    out[list(table)] = list(table.values())
+    return out
+
+
+def _id_batch(doc_ids: list, lists: list[np.ndarray], by_id: np.ndarray | None) -> pa.RecordBatch:
     offsets = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
     values = np.concatenate(lists) if lists else np.empty(0, np.int32)
-    return pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))],
-                                      names=["doc_id", "ids"])
+    columns = [pa.array(doc_ids, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))]
+    if by_id is not None:
+        columns.append(pa.array([" ".join(by_id[x].tolist()) for x in lists], pa.string()))
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][:len(columns)])
 
 
 def _folds_case(path: str) -> bool:
@@ -206,10 +275,13 @@ def check_tokenizer(path: str) -> None:
         raise ValueError("this tokenizer gives ids to white space; its texts can't be encoded word by word")
 
 
-def encode(docs: DataFrame, tokenizer_path: str, block_bytes: int = 12 << 20, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, tokenizer_path: str, block_bytes: int = 32 << 20, id_col: str = "doc_id",
+           text_col: str = "text", decoded: bool = False) -> DataFrame:
     """``(doc_id, ids array<int>)`` per row of ``docs``: the ids of its whole text.
 
+    With ``decoded`` also a column of that name: the ids decoded again (see
+    :func:`decode`), joined on where the ids are put together.
+
     As ``Tokenizer.encode(text, add_special_tokens=False)`` without truncation
     and padding; added tokens written in a text are recognised.  The tokenizer
     must drop white space.  Null and blank texts have no ids.  Rows with equal
@@ -221,10 +293,11 @@ def encode(docs: DataFrame, tokenizer_path: str, block_bytes: int = 12 << 20, id
     blocks = _Blocks(block_bytes, _folds_case(tokenizer_path))
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     words = d.mapInArrow(_words(blocks), "word string, block long, code int")
-    packs = words.repartition("word").sortWithinPartitions("word") \
-        .mapInArrow(_encode_words(tokenizer_path), "block long, codes binary, counts binary, ids binary")
-    seq = d.mapInArrow(_positions(blocks), "block long, n_words long, ids array<long>, lens binary, codes binary")
-    return seq.groupBy("block").cogroup(packs.groupBy("block")).applyInArrow(_join_back, "doc_id long, ids array<int>")
+    packs = words.repartition("word").sortWithinPartitions("word").mapInArrow(_encode_words(tokenizer_path), _PARTS)
+    table = _shared_pieces(d.sparkSession, tokenizer_path) if decoded else None
+    return d.mapInArrow(_positions(blocks), _PARTS).unionAll(packs) \
+        .repartition("block").sortWithinPartitions("block", "part") \
+        .mapInArrow(_join_back(table), "doc_id long, ids array<int>" + ", decoded string" * decoded)
 
 
 def pieces(spark, tokenizer_path: str) -> DataFrame:
@@ -234,6 +307,14 @@ def pieces(spark, tokenizer_path: str) -> DataFrame:
     return spark.createDataFrame(sorted((i, p) for p, i in vocab.items()), "id int, piece string")
 
 
+def _shared_pieces(spark, tokenizer_path: str):
+    """The id-to-piece table as a broadcast; its size is that of the vocabulary."""
+    with open(tokenizer_path, encoding="utf-8") as f:
+        if json.load(f).get("decoder") is not None:
+            raise ValueError("only tokenizers without a decoder of their own are supported")
+    return spark.sparkContext.broadcast({r["id"]: r["piece"] for r in pieces(spark, tokenizer_path).collect()})
+
+
 def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", out: str = "text") -> DataFrame:
     """``encoded`` plus ``out``: the pieces of its ids joined by one space.
 
@@ -242,18 +323,11 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", out: s
     whatever the corpus, so every task joins it map-side by id.  Null id lists
     decode to null, empty ones to the empty text.
     """
-    with open(tokenizer_path, encoding="utf-8") as f:
-        if json.load(f).get("decoder") is not None:
-            raise ValueError("only tokenizers without a decoder of their own are supported")
-    table = {r["id"]: r["piece"] for r in pieces(encoded.sparkSession, tokenizer_path).collect()}
-    shared = encoded.sparkSession.sparkContext.broadcast(table)
-    from pyspark.sql.types import StringType, StructField, StructType
+    shared = _shared_pieces(encoded.sparkSession, tokenizer_path)
     at = encoded.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        by_id = np.full(max(own, default=0) + 1, None, object)
-        by_id[list(own)] = list(own.values())
+        by_id = _by_id(shared.value)
         for batch in batches:
             column = batch.column(at)
             flat = pc.list_flatten(column).to_numpy(zero_copy_only=False)

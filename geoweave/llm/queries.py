@@ -10,32 +10,37 @@ from pyspark.sql import functions as F
 
 from geoweave.llm import (
     bpe, embeddings, fingerprints, htmltext, language, licenses, minhash, packing, quality, sharding)
-from geoweave.llm.common import fold_of, table
+from geoweave.llm.common import fold_of, small_batches, table
 
 #: Score from which a document counts as good.
 GOOD = 0.3
 
 
+def _documents(spark, sf_dir, *columns):
+    small_batches(spark)
+    return table(spark, sf_dir, "documents").select(*columns)
+
+
 def op1_license_digests(spark, sf_dir):
-    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return licenses.scan(_documents(spark, sf_dir, "doc_id", "text"))
 
 
 def op2_bpe_round_trip(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    return bpe.decode(encoded, path).select(
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    return bpe.encode(docs, path, decoded=True).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"))
+        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op3_best_two_fit_packing(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _documents(spark, sf_dir, "doc_id", "text")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op4_nb_svm_quality(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _documents(spark, sf_dir, "doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     rows = docs.select("doc_id", (fold_of(F.col("doc_id"), 5) == 0).alias("held_out"), "text")
     return quality.score(rows, model).withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
@@ -46,26 +51,27 @@ def op5_nn_descent_near_dedup(spark, sf_dir):
 
 
 def op6_minimax_shards(spark, sf_dir):
-    return sharding.shard_by_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return sharding.shard_by_bytes(_documents(spark, sf_dir, "doc_id", "text"))
 
 
 def op7_minhash_near_dedup(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = _documents(spark, sf_dir, "doc_id", "text")
     return minhash.near_duplicates(docs, words=3, percent=85)
 
 
 def op8_hyperdimensional_language(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = _documents(spark, sf_dir, "doc_id", "text", "lang")
     profiles = language.train(docs)
     rows = docs.select("doc_id", (fold_of(F.col("doc_id"), 4) == 2).alias("held_out"), "text")
     return language.predict(rows, profiles)
 
 
 def op9_prefix_hash_fingerprints(spark, sf_dir):
-    return fingerprints.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return fingerprints.fingerprints(_documents(spark, sf_dir, "doc_id", "text"))
 
 
 def op10_boosted_html_text(spark, sf_dir):
+    small_batches(spark)
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return htmltext.extract(pages, htmltext.train(pages))
 

@@ -39,7 +39,23 @@ def test_nasty_texts_in_blocks_of_any_size(spark, nasty, empty, block_bytes):
     assert sorted(((r.doc_id, list(r.ids)) for r in out), key=repr) == sorted(want, key=repr)
     texts = {(r.doc_id, tuple(r.ids)): r.text for r in out}
     assert all(texts[i, tuple(x)] == tok.decode(x, skip_special_tokens=False) for i, x in want)
-    assert bpe.encode(empty, PATH).collect() == []
+    both = bpe.encode(docs, PATH, block_bytes=block_bytes, decoded=True).collect()
+    assert {(r.doc_id, tuple(r.ids)): r.decoded for r in both} == texts and len(both) == len(out)
+    assert bpe.encode(empty, PATH, decoded=True).collect() == []
+
+
+def test_blocks_hold_the_words_of_every_slice(real_docs):
+    import pyarrow as pa
+    rows = [r["text"] for r in real_docs]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int64()), pa.array(rows, pa.string())], names=["doc_id", "text"])
+    seen = {}
+    for _, ids, lens, codes, words in bpe._Blocks(100_000, True)([batch.slice(0, 50), batch.slice(50)]):
+        words.validate(full=True)
+        known, at = words.to_pylist(), 0
+        for i, n in zip(ids, lens.tolist()):
+            seen[i] = [known[c] for c in codes[at:at + n] if known[c]]
+            at += n
+    assert seen == {i: "".join(c.lower() if c.isascii() else c for c in t).split() for i, t in enumerate(rows)}
 
 
 def test_tokenizers_that_keep_white_space_are_refused():
