@@ -191,7 +191,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, held_ou
     if held_out_fold is not None:
         lab = lab.where(fold_of(F.col("doc_id"), folds) != held_out_fold)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = d.join(lab, "doc_id").select("text", "label", "doc_id")
+    # labels grow with the corpus: joined by a shuffle at every size, never by a broadcast that stops working
+    rows = d.join(lab.hint("merge"), "doc_id").select("text", "label", "doc_id")
     counts = np.zeros((2, DIM), np.int64)
     # at most 2 * DIM rows whatever the input
     for cls, feature, n in rows.select("text", "label").mapInArrow(_counter, "cls long, feature long, n long") \
