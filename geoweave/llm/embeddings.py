@@ -7,12 +7,15 @@
    have it as a neighbour) are compared with each other, and every node keeps
    its best.  A list that is saturated with near-duplicates is enlarged.
    Rounds stop when hardly any list changes.
-4. Recall is audited: a bounded sample of vectors is compared with all; while
+4. Every near-duplicate met in any round, also one that a list has no place
+   for, is confirmed on the full vectors if it joins two components.
+5. Nodes whose lists are full of near-duplicates are searched again with lists
+   that take partners of other components only, until no components join.
+6. Recall is audited: a bounded sample of vectors is compared with all; while
    too few of its links lie inside the components found, lists grow and
    rounds go on.
-5. Edges are confirmed on the full vectors, components are formed, and inside
-   a component every pair is compared in blocks, so links beyond a list's end
-   count as well.  Only counts leave these blocks, never pairs.
+7. Inside a component every pair is compared in blocks, so links beyond a
+   list's end count as well.  Only counts leave these blocks, never pairs.
 
 The graph is refined on vectors rounded to bytes; every decision about a link
 is made on double-precision cosines.
@@ -75,15 +78,15 @@ def _signs(tables: int, bits: int, seed: int):
                 above = (_unit_rows(batch.column(2).take(pa.array(at))) @ planes[d] > 0).reshape(len(at), tables, bits)
                 codes[at] = above.astype(np.int64) @ (1 << np.arange(bits, dtype=np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes.tolist(), pa.list_(pa.int64()))],
-                                             names=["rep", "dim", "q", "codes"])
+                                             names=["rep", "dim", "q", "part", "codes"])
     return run
 
 
 def _local_join(width: int, keep: int, every_pair: bool):
-    """Rows sorted by ``width`` key columns, then (rep, q, kth, fresh): best partners inside each key.
+    """Rows sorted by ``width`` key columns, then (rep, q, kth, fresh, part): best partners inside each key.
 
-    Emits (a, b, sim) when b would enter a's list; unless ``every_pair``, one
-    of the two must be a fresh neighbour.  A key's rows are few (hashed into
+    Emits (a, b, sim) when b is of another part and would enter a's list;
+    unless ``every_pair``, one of the two must be a fresh neighbour.  A key's rows are few (hashed into
     blocks beforehand) and are carried over batch borders.
     """
     def best(rows: pa.RecordBatch):
@@ -92,7 +95,8 @@ def _local_join(width: int, keep: int, every_pair: bool):
         fresh = rows.column(width + 3).to_numpy(zero_copy_only=False)
         x = _unit_rows(rows.column(width + 1))
         sim = x @ x.T
-        np.fill_diagonal(sim, -2)
+        part = rows.column(width + 4).to_numpy(zero_copy_only=False)
+        sim[part[:, None] == part[None, :]] = -2
         if not every_pair:
             sim[~(fresh[:, None] | fresh[None, :])] = -2
         k = min(keep, len(rep) - 1)
@@ -196,11 +200,12 @@ def _blocked(rows: DataFrame, keys: list[str], size: int, salt: int) -> DataFram
 
 def _first_graph(small: DataFrame, n: int, k: int, tables: int, block: int, threshold: float, seed: int) -> DataFrame:
     bits = max(1, int(np.ceil(np.log2(max(2, n / block)))))
-    rows = small.mapInArrow(_signs(tables, bits, seed), "rep long, dim int, q binary, codes array<long>") \
-        .select("rep", "dim", "q", F.posexplode("codes").alias("t", "code"))
+    rows = small.mapInArrow(_signs(tables, bits, seed),
+                            "rep long, dim int, q binary, part long, codes array<long>") \
+        .select("rep", "dim", "q", "part", F.posexplode("codes").alias("t", "code"))
     rows = _blocked(rows, ["t", "dim", "code"], block, seed)
     return _joined(rows.select(F.col("t").cast("long").alias("t"), F.col("dim").cast("long").alias("dim"), "code", "block",
-                               "rep", "q", F.lit(-2.0).alias("kth"), F.lit(True).alias("fresh")), 4, k, True) \
+                               "rep", "q", F.lit(-2.0).alias("kth"), F.lit(True).alias("fresh"), "part"), 4, k, True) \
         .withColumn("fresh", F.lit(True))
 
 
@@ -210,10 +215,14 @@ def _joined(rows: DataFrame, width: int, k: int, every_pair: bool) -> DataFrame:
         _local_join(width, 2 * k, every_pair), "a long, b long, sim double")
 
 
-def _descend(graph: DataFrame, small: DataFrame, k: int, block: int, threshold: float, round_: int) -> DataFrame:
-    """One round: compare the neighbours (either way) of every node that has a fresh one."""
-    both = graph.select(F.col("a").alias("u"), F.col("b").alias("rep"), "fresh") \
-        .union(graph.select(F.col("b").alias("u"), F.col("a").alias("rep"), "fresh")) \
+def _descend(graph: DataFrame, small: DataFrame, k: int, block: int, threshold: float, round_: int,
+             paths: DataFrame | None = None) -> DataFrame:
+    """One round: compare the neighbours (either way, along ``paths`` too) of every node that has a fresh one."""
+    edges = graph.select("a", "b", "fresh")
+    if paths is not None:
+        edges = edges.unionByName(paths.select("a", "b", F.lit(False).alias("fresh")))
+    both = edges.select(F.col("a").alias("u"), F.col("b").alias("rep"), "fresh") \
+        .union(edges.select(F.col("b").alias("u"), F.col("a").alias("rep"), "fresh")) \
         .groupBy("u", "rep").agg(F.max("fresh").alias("fresh"))
     active = both.where("fresh").select("u").distinct()
     both = both.join(active, "u", "semi")
@@ -221,11 +230,37 @@ def _descend(graph: DataFrame, small: DataFrame, k: int, block: int, threshold:
     kth = graph.where(F.col("nth") == k).select(F.col("a").alias("rep"), F.col("sim").alias("kth"))
     # lists of a saturated node take any near-duplicate, so its bar is at most the threshold
     rows = _blocked(both, ["u"], block, round_) \
-        .join(small.select("rep", "q"), "rep").join(kth, "rep", "left") \
+        .join(small.select("rep", "q", "part"), "rep").join(kth, "rep", "left") \
         .select("u", F.col("block").cast("long").alias("block"), "rep", "q",
-                F.least(F.coalesce("kth", F.lit(-2.0)), F.lit(threshold - ROUNDING)).alias("kth"), "fresh")
-    found = _joined(rows, 2, k, False).withColumn("fresh", F.lit(True))
-    return _best_of(graph.select("a", "b", "sim", F.lit(False).alias("fresh")).unionByName(found), k, threshold)
+                F.least(F.coalesce("kth", F.lit(-2.0)), F.lit(threshold - ROUNDING)).alias("kth"), "fresh", "part")
+    return _joined(rows, 2, k, False).withColumn("fresh", F.lit(True))
+
+
+class _Search:
+    """Lists of best partners, and every near-duplicate met on the way (``near``), also where a list has no place."""
+
+    def __init__(self, small: DataFrame, n: int, block: int, threshold: float, paths: DataFrame | None = None):
+        self.small, self.n, self.block, self.threshold, self.paths = small, n, block, threshold, paths
+        self.graph, self.near, self.done = None, None, 0
+
+    def _take(self, found: DataFrame, k: int):
+        found = staged(found, "nn-found")
+        near = found.where(F.col("sim") >= self.threshold - ROUNDING) \
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        self.near = near if self.near is None else self.near.unionByName(near)
+        if self.graph is not None:
+            found = self.graph.select("a", "b", "sim", F.lit(False).alias("fresh")).unionByName(found)
+        self.graph = staged(_best_of(found, k, self.threshold), "nn-graph")
+
+    def blocks(self, k: int, tables: int, seed: int):
+        self._take(_first_graph(self.small, self.n, k, tables, self.block, self.threshold, seed), k)
+
+    def descend(self, k: int, rounds: int):
+        for _ in range(rounds):
+            self._take(_descend(self.graph, self.small, k, self.block, self.threshold, self.done, self.paths), k)
+            self.done += 1
+            if self.graph.where("fresh").count() < 0.002 * k * self.n:
+                break
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, k: int = 8, tables: int = 4, block: int = 48,
@@ -254,27 +289,27 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, k: int = 8,
     reps = staged(usable.join(classes.select("class", F.col("rep").alias("vec_id"), "size"), ["class", "vec_id"])
                   .dropDuplicates(["vec_id"]).select(F.col("vec_id").alias("rep"), "dim", "size", "unit", "q"), "nn-reps")
     n = reps.count()
-    small = reps.select("rep", "dim", "q")
-    graph = staged(_best_of(_first_graph(small, n, k, tables, block, threshold, seed), k, threshold), "nn-graph")
+    small = reps.select("rep", "dim", "q", F.col("rep").alias("part"))
     truth = _audit_links(reps, audit_rows, threshold)
-    done = 0
+    labels = reps.select("rep", F.col("rep").alias("component"))
+    search = _Search(small, n, block, threshold)
     while True:
-        for _ in range(rounds):
-            graph = staged(_descend(graph, small, k, block, threshold, done), "nn-graph")
-            done += 1
-            if graph.where("fresh").count() < 0.002 * k * n:
-                break
-        links = _confirmed(graph, reps, threshold)
-        labels = staged(connected_components(links).distinct(), "nn-labels")
+        # after the first time: more tables of blocks join the graph
+        search.blocks(k, tables, seed + search.done)
+        search.descend(k, rounds)
+        near = search.graph.where((F.col("sim") >= threshold - ROUNDING) & (F.col("nth") <= k)).select("a", "b")
+        labels, _ = _merged(labels, near, reps, threshold)
+        labels, _ = _merged(labels, search.near, reps, threshold)
+        labels = _across(search.graph, small, labels, reps, k, tables, block, threshold, rounds, seed + search.done)
         recall = _recall(truth, labels)
-        if recall >= target_recall or done >= 4 * rounds:
+        if report is not None:
+            report |= {"recall": recall, "rounds": search.done, "list": k}
+        if recall >= target_recall or search.done >= 4 * rounds:
             break
-        # enlarge the lists: another table of blocks joins the graph and every list grows by half
         k += k // 2
-        more = _first_graph(small, n, k, tables, block, threshold, seed + done)
-        graph = staged(_best_of(graph.select("a", "b", "sim", F.lit(False).alias("fresh")).unionByName(more), k, threshold), "nn-graph")
-    if report is not None:
-        report |= {"recall": recall, "rounds": done, "list": k}
+    # components of one vector have no links to count
+    labels = labels.where("rep != component").union(
+        labels.where("rep != component").select("component", "component").distinct()).toDF("node", "component")
     counts = _component_links(reps, labels, threshold, count_block)
     member = classes.join(labels, F.col("rep") == F.col("node"), "left").join(counts.withColumnRenamed("rep", "_rep"), F.col("rep") == F.col("_rep"), "left") \
         .select("class", F.coalesce("component", "rep").alias("component"), (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n"))
@@ -284,14 +319,50 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, k: int = 8,
         .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
-def _confirmed(graph: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    near = graph.where(F.col("sim") >= threshold - ROUNDING) \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _confirmed(near: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     return near.join(reps.select(F.col("rep").alias("a"), F.col("unit").alias("x")), "a") \
         .join(reps.select(F.col("rep").alias("b"), F.col("unit").alias("y")), "b").select("a", "b", "x", "y") \
         .mapInArrow(_confirm(threshold), "a long, b long")
 
 
+def _merged(labels: DataFrame, near: DataFrame, reps: DataFrame, threshold: float) -> tuple[DataFrame, bool]:
+    """``labels`` (rep, component) with the components joined that a confirmed pair of ``near`` links; whether any are."""
+    x, y = (labels.select(F.col("rep").alias(c), F.col("component").alias("c" + c)) for c in "ab")
+    apart = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct() \
+        .join(x, "a").join(y, "b").where("ca != cb")
+    links = staged(_confirmed(apart.select("a", "b"), reps, threshold).join(x, "a").join(y, "b")
+                   .select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct(), "nn-links")
+    if links.isEmpty():
+        return labels, False
+    to = connected_components(links).distinct().withColumnRenamed("component", "to")
+    return staged(labels.join(to, F.col("component") == F.col("node"), "left")
+                  .select("rep", F.coalesce("to", "component").alias("component")), "nn-labels"), True
+
+
+def _across(graph: DataFrame, small: DataFrame, labels: DataFrame, reps: DataFrame, k: int, tables: int, block: int,
+            threshold: float, rounds: int, seed: int) -> DataFrame:
+    """``labels`` after a search for links between components.
+
+    A list with fewer than k near-duplicates has lost none for want of place.
+    Nodes with more get new lists that take partners of other components only,
+    refined along both kinds of lists, until no components join any more.
+    """
+    full = graph.where((F.col("nth") == k) & (F.col("sim") >= threshold - ROUNDING)).select(F.col("a").alias("rep"))
+    full = staged(small.drop("part").join(full, "rep", "semi"), "nn-full")
+    paths = graph.where(F.col("nth") <= k)
+    n, joined = full.count(), True
+    while joined:
+        nodes = full.join(labels.withColumnRenamed("component", "part"), "rep").select("rep", "dim", "q", "part")
+        if nodes.select("part").distinct().count() < 2:
+            break
+        search = _Search(staged(nodes, "nn-nodes"), n, block, threshold, paths)
+        seed += 101
+        search.blocks(k, tables, seed)
+        search.descend(k, rounds)
+        labels, joined = _merged(labels, search.near, reps, threshold)
+    return labels
+
+
 def _component_links(reps: DataFrame, labels: DataFrame, threshold: float, block: int) -> DataFrame:
     """Exact number of links of every vector in a component, by blocks against blocks."""
     m = labels.join(reps, F.col("node") == F.col("rep")).select("component", "rep", "size", "unit", "dim")
@@ -316,7 +387,7 @@ def _audit_links(reps: DataFrame, rows: int, threshold: float) -> DataFrame:
 
 def _recall(truth: DataFrame, labels: DataFrame) -> float:
     """Share of the audited links whose ends lie in one component (1.0 if there are none)."""
-    x, y = (labels.select(F.col("node").alias(c), F.col("component").alias("c" + c)) for c in "ab")
+    x, y = (labels.select(F.col("rep").alias(c), F.col("component").alias("c" + c)) for c in "ab")
     found, total = truth.join(x, "a", "left").join(y, "b", "left") \
         .agg(F.sum(F.coalesce((F.col("ca") == F.col("cb")).cast("int"), F.lit(0))), F.count("*")).first()
     return found / total if total else 1.0

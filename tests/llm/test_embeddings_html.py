@@ -58,6 +58,21 @@ def test_equals_brute_force(spark, noise):
         assert sum(g for g, _ in got.values()) >= 0.97 * sum(w for w, _ in want.values())
 
 
+def _tight_groups(sizes, dims=32, between=0.965):
+    """Groups whose centres are at cosine ``between``, every pair across them a link too."""
+    r = np.random.default_rng(5)
+    u, v = np.linalg.qr(r.normal(size=(dims, 2)))[0].T
+    centres = [u, between * u + math.sqrt(1 - between * between) * v]
+    x = [c + 0.005 * r.normal(size=dims) for c, size in zip(centres, sizes) for _ in range(size)]
+    return [(i, [float(np.float32(a)) for a in w]) for i, w in enumerate(x)]
+
+
+def test_links_between_large_tight_groups(spark):
+    rows = _tight_groups([300, 300])
+    out = embeddings.near_duplicates(spark.createDataFrame([(i, v, 1) for i, v in rows], SCHEMA), audit_rows=0).collect()
+    assert {(r.n_links, r.component_id) for r in out} == {(599, 0)} and sum(r.kept for r in out) == 1
+
+
 def test_unusable_vectors_ties_and_repeats(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [1.0, None]), (6, [nan, 1.0]),
