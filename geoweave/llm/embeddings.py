@@ -13,7 +13,7 @@
    that take partners of other components only, until no components join.
 6. Recall is audited: a bounded sample of vectors is compared with all; while
    too few of its links lie inside the components found, lists grow and
-   rounds go on.
+   rounds go on.  A recall that stays too low is an error.
 7. Inside a component every pair is compared in blocks, so links beyond a
    list's end count as well.  Only counts leave these blocks, never pairs.
 
@@ -36,6 +36,8 @@ from geoweave.llm.components import connected_components
 
 #: Rounding to bytes moves a cosine by less than this.
 ROUNDING = 0.02
+#: Chance that two vectors at the threshold share their signs in some table of the first graph.
+MEET = 0.99
 
 
 def _prepared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,9 +200,15 @@ def _blocked(rows: DataFrame, keys: list[str], size: int, salt: int) -> DataFram
             F.pmod(F.xxhash64("rep", F.lit(salt)), F.ceil(F.col("_n") / size)))).drop("_n")
 
 
+def _tables(bits: int, threshold: float, least: int) -> int:
+    """So many tables that a pair at the threshold shares its ``bits`` signs in one of them with probability MEET."""
+    alike = min(0.999, (1 - np.arccos(np.clip(threshold, -1, 1)) / np.pi) ** bits)
+    return max(least, int(np.ceil(np.log(1 - MEET) / np.log(1 - alike))))
+
+
 def _first_graph(small: DataFrame, n: int, k: int, tables: int, block: int, threshold: float, seed: int) -> DataFrame:
     bits = max(1, int(np.ceil(np.log2(max(2, n / block)))))
-    rows = small.mapInArrow(_signs(tables, bits, seed),
+    rows = small.mapInArrow(_signs(_tables(bits, threshold, tables), bits, seed),
                             "rep long, dim int, q binary, part long, codes array<long>") \
         .select("rep", "dim", "q", "part", F.posexplode("codes").alias("t", "code"))
     rows = _blocked(rows, ["t", "dim", "code"], block, seed)
@@ -279,7 +287,9 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, k: int = 8,
     (labels) are ignored.
 
     Only the sample of ``audit_rows`` vectors for the audit is bounded; every
-    row is indexed and searched.  The recall it measures is put in ``report``.
+    row is indexed and searched.  The recall it measures (see ``_recall``) is
+    put in ``report``; if it stays below ``target_recall``, RuntimeError is
+    raised.  ``tables`` is the least number of tables of the first graph.
     """
     spark = embeddings.sparkSession
     base = staged(embeddings.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("x"))
@@ -301,11 +311,14 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, k: int = 8,
         labels, _ = _merged(labels, near, reps, threshold)
         labels, _ = _merged(labels, search.near, reps, threshold)
         labels = _across(search.graph, small, labels, reps, k, tables, block, threshold, rounds, seed + search.done)
-        recall = _recall(truth, labels)
+        recall = _recall(truth, labels, k)
         if report is not None:
             report |= {"recall": recall, "rounds": search.done, "list": k}
-        if recall >= target_recall or search.done >= 4 * rounds:
+        if recall >= target_recall:
             break
+        if search.done >= 4 * rounds:
+            raise RuntimeError(f"recall of links is {recall:.4f} after {search.done} rounds with lists of {k}, "
+                               f"target {target_recall}")
         k += k // 2
     # components of one vector have no links to count
     labels = labels.where("rep != component").union(
@@ -385,9 +398,14 @@ def _audit_links(reps: DataFrame, rows: int, threshold: float) -> DataFrame:
     return staged(reps.select("rep", "dim", "unit").mapInArrow(_brute(shared, threshold), "a long, b long"), "nn-audit")
 
 
-def _recall(truth: DataFrame, labels: DataFrame) -> float:
-    """Share of the audited links whose ends lie in one component (1.0 if there are none)."""
+def _recall(truth: DataFrame, labels: DataFrame, few: int) -> float:
+    """Mean share of an audited vector's links whose ends lie in one component (1.0 if there are none).
+
+    Taken over all audited vectors with links, and over those with at most
+    ``few``, so that large groups do not hide the others; the lower one counts.
+    """
     x, y = (labels.select(F.col("rep").alias(c), F.col("component").alias("c" + c)) for c in "ab")
-    found, total = truth.join(x, "a", "left").join(y, "b", "left") \
-        .agg(F.sum(F.coalesce((F.col("ca") == F.col("cb")).cast("int"), F.lit(0))), F.count("*")).first()
-    return found / total if total else 1.0
+    share = truth.join(x, "a").join(y, "b").groupBy("a") \
+        .agg(F.avg((F.col("ca") == F.col("cb")).cast("int")).alias("share"), F.count("*").alias("n"))
+    means = share.agg(F.avg("share"), F.avg(F.when(F.col("n") <= few, F.col("share")))).first()
+    return min((m for m in means if m is not None), default=1.0)

@@ -73,6 +73,21 @@ def test_links_between_large_tight_groups(spark):
     assert {(r.n_links, r.component_id) for r in out} == {(599, 0)} and sum(r.kept for r in out) == 1
 
 
+def test_recall_is_a_mean_over_vectors_and_a_low_one_is_an_error(spark, monkeypatch):
+    clique = [(a, b) for a in range(20) for b in range(20) if a != b]
+    truth = spark.createDataFrame(clique + [(30, 31), (32, 33)], "a long, b long")
+    labels = spark.createDataFrame([(i, 0) for i in range(20)] + [(i, i) for i in range(30, 34)], "rep long, component long")
+    assert embeddings._recall(truth, labels, 8) == 0.0  # 380 of 382 links found, but none of the vectors with one
+    monkeypatch.setattr(embeddings, "_recall", lambda *_: 0.5)
+    with pytest.raises(RuntimeError, match="recall"):
+        embeddings.near_duplicates(spark.createDataFrame([(0, [1.0, 0.0], 1), (1, [1.0, 0.01], 1)], SCHEMA), rounds=1)
+
+
+def test_tables_keep_the_chance_of_meeting():
+    for bits in (1, 4, 13, 15, 24):
+        assert (1 - (1 - math.acos(0.95) / math.pi) ** bits) ** embeddings._tables(bits, 0.95, 4) <= 0.01
+
+
 def test_unusable_vectors_ties_and_repeats(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [1.0, None]), (6, [nan, 1.0]),
