@@ -36,7 +36,7 @@ PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no text of the page at all.
-HIDDEN = frozenset("head script style noscript template svg math iframe object select option button textarea title "
+HIDDEN = frozenset("head script style noscript template svg iframe object select option button textarea title "
                    "canvas audio video datalist".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 BLOCK = frozenset("html body address article aside blockquote center dd details dialog dir div dl dt fieldset "
@@ -102,10 +102,53 @@ def _tokens(attrs: str) -> tuple[int, int]:
     return mask, truth
 
 
+def _raw_end(source: str, tag: str, at: int) -> int:
+    found = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(source, at)
+    return found.end() if found else len(source)
+
+
+def _hidden_end(source: str, tag: str, at: int, around: set[str]) -> int | None:
+    """Where a hidden element ends whose content starts at ``at``; None if it is never closed.
+
+    That is so if the page or a block ``around`` it ends first.  A head also
+    ends where the body or its first block begins.
+    """
+    nested, inside = 1, {}
+    while m := TOKEN.search(source, at):
+        at = m.end()
+        name = (m["name"] or m["name2"] or "").lower()
+        attrs = m["attrs"] or m["attrs2"] or ""
+        if m["end"] or m["end2"]:
+            if name == tag:
+                nested -= 1
+                if nested == 0:
+                    return at
+            elif inside.get(name):
+                inside[name] -= 1
+            elif name in around and tag != "head":
+                return None
+        elif not name or attrs.endswith("/") or name in VOID:
+            continue
+        elif tag == "head" and name in BLOCK - {"html"}:
+            return m.start()
+        elif name == tag:
+            nested += 1
+        elif name in HIDDEN and name in RAW:
+            at = _raw_end(source, name, at)
+        elif name in BLOCK:
+            inside[name] = inside.get(name, 0) + 1
+    return None
+
+
 def parse(source: str | None) -> Page:
-    """Elements and text of a page, with the usual repairs of unclosed and misnested tags."""
-    page, stack, skip = Page(), [], None
+    """Elements and text of a page, with the usual repairs of unclosed and misnested tags.
+
+    The tag of a hidden element that is never closed is ignored, so that what
+    follows it stays.
+    """
+    page, stack = Page(), []
     source = source or ""
+    last_end: dict[str, int] = {}  # where the last end tag of a hidden element is
 
     def open_(tag, attrs):
         at, up = len(page.tag), stack[-1] if stack else -1
@@ -155,36 +198,29 @@ def parse(source: str | None) -> Page:
     at = 0
     while at < len(source):
         m = TOKEN.search(source, at)
-        if skip is None:
-            text(source[at:m.start() if m else len(source)])
+        text(source[at:m.start() if m else len(source)])
         if m is None:
             break
         at = m.end()
         tag = (m["name"] or m["name2"] or "").lower()
         if not tag:
-            if m[0].startswith("<![CDATA[") and skip is None:
+            if m[0].startswith("<![CDATA["):
                 text(m[0][9:].removesuffix("]]>"))
             continue
         ending, attrs = bool(m["end"] or m["end2"]), m["attrs"] or m["attrs2"] or ""
         if m["name"] is None and not m[0].endswith(">"):
             break  # the page ends inside a tag
         if tag in HIDDEN:
-            if skip is None and not ending and not attrs.endswith("/"):
+            if not ending and not attrs.endswith("/"):
                 if tag in RAW:
-                    found = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(source, at)
-                    at = found.end() if found else len(source)
-                else:
-                    skip = [tag, 1]
-            elif skip and skip[0] == tag:
-                skip[1] += -1 if ending else 1
-                if skip[1] == 0:
-                    skip = None
+                    at = _raw_end(source, tag, at)
+                    continue
+                if tag not in last_end:
+                    last_end[tag] = max((e.start() for e in re.finditer(rf"</{tag}\b", source, re.I)), default=-1)
+                if tag == "head" or last_end[tag] >= at:
+                    end = _hidden_end(source, tag, at, {page.tag[k] for k in stack} & BLOCK)
+                    at = at if end is None else end
             continue
-        if skip is not None:
-            if skip[0] == "head" and (tag == "body" and not ending or tag in BLOCK - {"html"} and not ending):
-                skip = None  # a head that is never closed
-            else:
-                continue
         if tag in ("html", "body"):
             if not ending and attrs:
                 k = 0 if tag == "html" else 1

@@ -147,6 +147,21 @@ def test_parsing_rules(model):
     assert ht.extract_pages([page], model) == ["\n\n".join(want)]
 
 
+def _all_text(source):
+    page = ht.parse(source)
+    return ht.blocks(page, np.ones(len(page.tag), bool))
+
+
+@pytest.mark.parametrize("tag", ["button", "svg", "noscript", "object", "canvas", "select", "video", "template"])
+def test_unclosed_and_nested_hidden_elements(tag):
+    for page in (f"<{tag}>x<article><p>Main text</p></article>", f"<article><{tag}><p>Main text</p></article><p>More</p>",
+                 f"<nav><{tag}>x</nav><p>Main text</p><{tag}>y</{tag}>", f"<p>a<{tag}><{tag}/></{tag}></p><p>Main text</p>",
+                 f"<{tag}><script>'</{tag}>'</script>x</{tag}><p>Main text</p>"):
+        assert "Main text" in _all_text(page)
+    assert _all_text(f"<div>a <{tag}>x <{tag}>y</{tag}><p>z</p></{tag}>b</div>") == "a b"
+    assert _all_text("<p>So <math><mi>x</mi> = 1</math> holds</p>") == "So x = 1 holds"
+
+
 def test_odd_pages(spark, model):
     sources = ["", None, "   ", "plain text,  no\nmarkup &lt;x&gt;", "<p>unclosed <b>markup", "<<>< <p>", "<div" * 50, "<p>" + "a " * 200_000 + "</p>",
                "<html><body></body></html>", "</p></div>", "<script>only()</script>", "<p class='x", "<![CDATA[ data ]]>", "<div>" * 3000 + "deep"]
