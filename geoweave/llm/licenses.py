@@ -128,14 +128,17 @@ def digest(text: Column) -> Column:
     return F.sha2(canonical(text), 256)
 
 
-def known_digests(spark: SparkSession) -> DataFrame:
-    """One row per distinct canonical digest of the known texts: (known_digest, license)."""
+def known_digests(spark: SparkSession, more: DataFrame | None = None) -> DataFrame:
+    """One row per distinct canonical digest of the known texts and of ``more``: (known_digest, license)."""
     rows = F.explode(F.array(*[F.struct(F.lit(k).alias("license"), F.lit(t).alias("text")) for k, t in KNOWN]))
-    return spark.range(1).select(rows.alias("r")) \
-        .groupBy(digest(F.col("r.text")).alias("known_digest")).agg(F.min("r.license").alias("license"))
+    texts = spark.range(1).select(rows.alias("r")).select("r.license", "r.text")
+    if more is not None:
+        more = more.select(F.col("license").cast("string"), F.col("text").cast("string"))
+        texts = texts.unionByName(more.where((canonical(F.col("text")) != "") & F.col("license").isNotNull()))
+    return texts.groupBy(digest(F.col("text")).alias("known_digest")).agg(F.min("license").alias("license"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", more: DataFrame | None = None) -> DataFrame:
     """Per row: doc_id, text_digest, license, line_licenses, n_license_lines.
 
     ``license`` is the known licence that the whole text is (null: none),
@@ -144,9 +147,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     are.  Null texts have a null digest and no licence; empty ones have the
     digest of nothing and no licence.  Repeated rows are returned as often as
     they occur, each with its own count.  An empty table gives no rows; other
-    columns are ignored.  Only the known digests, a fixed list, are broadcast.
+    columns are ignored.
+
+    ``more`` (license, text) holds known licences besides ``KNOWN``, such as
+    the full texts of the Apache and GNU licences.  The built-in list is
+    broadcast; with ``more``, Spark chooses the join.
     """
-    known = F.broadcast(known_digests(docs.sparkSession))
+    known = known_digests(docs.sparkSession, more)
+    known = F.broadcast(known) if more is None else known
     text = F.col(text_col).cast("string")
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
     lines = d.select("doc_id", F.xxhash64("text").alias("_text"),

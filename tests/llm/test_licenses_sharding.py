@@ -36,6 +36,15 @@ def test_license_texts_in_other_spellings(spark, nasty, empty):
     assert licenses.scan(empty).collect() == []
 
 
+def test_more_known_licenses(spark):
+    long = "The House License\n\nYou may use it.\n" + "And so on. " * 50
+    more = spark.createDataFrame([("House-1.0", long), ("none", " \n"), (None, "x"), ("nothing", None)], "license string, text string")
+    docs = spark.createDataFrame([(1, long.upper()), (2, licenses.KNOWN[2][1]), (3, ""), (4, "a\nthe house licence\n"), (5, "x")],
+                                 "doc_id long, text string")
+    got = {r.doc_id: (r.license, r.line_licenses) for r in licenses.scan(docs, more=more).collect()}
+    assert got == {1: ("House-1.0", ""), 2: ("MIT", ""), 3: (None, ""), 4: (None, ""), 5: (None, "")}
+
+
 def test_license_plan_has_no_python(spark, sf):
     for name in ("op1_license_digests", "op6_minimax_shards"):
         plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
