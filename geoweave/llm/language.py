@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from geoweave.llm.common import fold_of, text_first
 
@@ -134,14 +134,15 @@ def _learner(n: int, dims: int, seed: int):
     return run
 
 
-def _judge(shared, first: int, out: tuple[str, str]):
+def _judge(shared, first: int, out: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p: Profiles = pickle.loads(shared.value)
         letters, vectors = Letters(), GramVectors(p.n, p.dims, p.seed)
         for batch in batches:
-            names, scores = [], []
+            names, scores, sizes = [], [], []
             for text in batch.column(0):
                 keys, counts = letters.grams(text.as_py(), p.n)
+                sizes.append(len(keys))
                 if len(keys) == 0 or not p.languages:
                     names.append(UNKNOWN), scores.append(0.0)
                     continue
@@ -151,8 +152,9 @@ def _judge(shared, first: int, out: tuple[str, str]):
                 best = int(np.argmax(cos))
                 names.append(p.languages[best])
                 scores.append(min(1.0, max(0.0, float(cos[best]))))
+            judged = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sizes, pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[first:], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                [*batch.columns[first:], *judged[:len(out)]],
                 names=[*batch.schema.names[first:], *out])
     return run
 
@@ -177,10 +179,12 @@ def train(docs: DataFrame, n: int = 3, dims: int = 1024, seed: int = 7, held_out
     return Profiles(languages, unit, n, dims, seed)
 
 
-def predict(docs: DataFrame, profiles: Profiles, text_col: str = "text", out: tuple[str, str] = ("lang_pred", "score"),
+def predict(docs: DataFrame, profiles: Profiles, text_col: str = "text", out: tuple[str, ...] = ("lang_pred", "score"),
             keep_text: bool = False) -> DataFrame:
     """``docs`` (without its text unless ``keep_text``) plus the language and its cosine, cut to 0..1.
 
+    A third name in ``out`` adds the number of distinct n-grams.
+
     The language is a learned one, or ``und`` with score 0 when the text is
     null or has no letter (or nothing was learned).  Equal cosines go to the
     language first in order.  The names in ``out`` must not be columns of
@@ -189,5 +193,6 @@ def predict(docs: DataFrame, profiles: Profiles, text_col: str = "text", out: tu
     """
     d, kept = text_first(docs, text_col, keep_text)
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(profiles))  # languages * dims doubles
-    schema = StructType([*kept, StructField(out[0], StringType()), StructField(out[1], DoubleType())])
+    kinds = (StringType(), DoubleType(), LongType())
+    schema = StructType([*kept, *(StructField(name, kind) for name, kind in zip(out, kinds))])
     return d.mapInArrow(_judge(shared, len(d.columns) - len(kept), tuple(out)), schema)

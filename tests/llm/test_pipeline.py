@@ -57,6 +57,15 @@ def test_stages_keep_their_columns_and_odd_rows_do_not_crash(spark, sf, nasty, e
     assert not left & {(0, ""), (1, None), (2, " \n\t "), (3, "!!!")} and (5, "One two three") in left
 
 
+def test_short_labelled_documents_stay(spark, sf, real_docs):
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in real_docs]
+    short = [(-1, "Avec.", "fr"), (-2, "A.", "en"), (-3, "A.\nAll rights reserved.", "en"), (-4, "Edrere.", "es")]
+    far = [(-5, "".join(chr(0x4E00 + 37 * i) for i in range(400)), None), (-6, "...", "en")]
+    docs = spark.createDataFrame(rows + short + far, "doc_id long, text string, lang string")
+    left = {r.doc_id for r in cp.known_language(spark, docs, sf).collect()}
+    assert {-1, -2, -3, -4} <= left and not left & {-5, -6}
+
+
 def test_one_document_of_each_group_stays(spark, sf, nasty):
     out = [r.doc_id for r in cp.one_of_each_group(spark, nasty, sf).collect()]
     assert out.count(5) == 1 and 40 not in out       # repeated row once, copy gone
