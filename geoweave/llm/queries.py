@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from geoweave.llm import (
-    bpe, embeddings, fingerprints, htmltext, language, licenses, minhash, packing, quality, sharding)
+    bpe, centroids, embeddings, fingerprints, htmltext, language, licenses, minhash, packing, quality, sharding, urlfilter,
+    vectorcodes)
 from geoweave.llm.common import fold_of, small_batches, table
 
 #: Score from which a document counts as good.
@@ -76,10 +77,24 @@ def op10_boosted_html_text(spark, sf_dir):
     return htmltext.extract(pages, htmltext.train(pages))
 
 
+def op11_laesa_centroids(spark, sf_dir):
+    return centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op12_gnat_vector_codes(spark, sf_dir):
+    return vectorcodes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def op13_association_url_filter(spark, sf_dir):
+    return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_digests, op2_bpe_round_trip, op3_best_two_fit_packing, op4_nb_svm_quality, op5_nn_descent_near_dedup,
     op6_minimax_shards, op7_minhash_near_dedup, op8_hyperdimensional_language, op9_prefix_hash_fingerprints,
-    op10_boosted_html_text)}
+    op10_boosted_html_text, op11_laesa_centroids, op12_gnat_vector_codes, op13_association_url_filter)}
 
 #: The other operators learn, hash or pack in ways SQL cannot express; tests hold them against brute force.
-ORACLE_SQL: dict[str, str] = {"op1_license_digests": licenses.oracle()}
+ORACLE_SQL: dict[str, str] = {
+    "op1_license_digests": licenses.oracle(), "op11_laesa_centroids": centroids.oracle(),
+    "op12_gnat_vector_codes": vectorcodes.oracle(), "op13_association_url_filter": urlfilter.oracle()}
