@@ -15,6 +15,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -28,6 +29,7 @@ from geoweave.operators import lookup as lk  # noqa: E402
 from geoweave.operators import mutate as mu  # noqa: E402
 from geoweave.operators import quality as dq  # noqa: E402
 from geoweave.operators import tables as tb  # noqa: E402
+from geoweave.operators.state import CellState  # noqa: E402
 from geoweave.plans import report as rp  # noqa: E402
 from geoweave.plans.config import EnrichConfig  # noqa: E402
 from geoweave.plans.runner import run as run_job  # noqa: E402
@@ -134,6 +136,16 @@ def q_enrich_real_shape(spark, sf):
     return _round(en.enrich(_places(spark, sf), _real_shape(spark, sf)), AVG)
 
 
+def q_enrich_incremental(spark, sf):
+    """Observations come in two deliveries; the second run reads only the files of the second."""
+    src_path, root = scratch_path(spark, "obs_deliveries"), scratch_path(spark, "cell_state")
+    early = F.col("event_id") % 3 == 0
+    for part in (_obs(spark, sf).where(early), _obs(spark, sf).where(~early)):
+        part.write.mode("append").partitionBy("year", "month").parquet(src_path)
+        CellState(spark, root).advance(src_path)
+    return _round(en.join_cells(_places(spark, sf), CellState(spark, root).reduced()), AVG)
+
+
 def q_dedupe_real_shape(spark, sf):
     r = en.reduce_observations(_real_shape(spark, sf))
     return _round(r.select(gh.cell_to_geohash(en.CELL).alias("geohash"), "weather_lat", "weather_lng",
@@ -373,6 +385,92 @@ def q_ingest_append(spark, sf):
     return src.ingest_files(spark, staging, table)
 
 
+def q_ingest_twice(spark, sf):
+    """Two deliveries into one folder, and a load after each and once more: every file is loaded once."""
+    o = td.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    first = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    folder, table = scratch_path(spark, "orders_deliveries"), scratch_path(spark, "orders_loaded")
+    for part in (o.where(first), o.where(~first), None):
+        if part is not None:
+            part.write.mode("append").parquet(folder)
+        src.ingest_new(spark, folder, table)
+    return src.read_ingested(spark, table)
+
+
+def q_scan_delimited_quarantine(spark, sf):
+    """Lines that do not fit the schema are kept beside the rows: every seventh payment has a broken amount."""
+    o = td.table(spark, sf, "orders")
+    amount = F.when(F.col("o_orderkey") % 7 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("decimal(10,2)").cast("string"))
+    path = scratch_path(spark, "payments_ctrl_a")
+    src.write_delimited(o.select(F.col("o_custkey").cast("string"), F.concat(F.lit("C"), F.col("o_orderkey").cast("string")),
+                                 F.date_format("o_orderdate", "yyyy-MM-dd"), amount).toDF(*schemas.PAYMENTS.names), path)
+    r = src.read_delimited(spark, path, schemas.PAYMENTS, corrupt_column="broken")
+    return r.select("customer_number", "check_number", F.col("payment_date").cast("string").alias("payment_date"), F.col("amount").cast("double").alias("amount"),
+                    F.replace("broken", F.lit(src.CTRL_A), F.lit("|")).alias("broken"))
+
+
+def _sales_table(spark, df, schema, name):
+    """``df`` written as raw control-A text and read back with ``schema``."""
+    path = scratch_path(spark, name)
+    src.write_delimited(df.toDF(*schema.names), path)
+    return src.read_delimited(spark, path, schema)
+
+
+def q_scan_order_details(spark, sf):
+    li = td.table(spark, sf, "lineitem")
+    rows = li.select("l_orderkey", F.concat(F.lit("S"), F.col("l_partkey").cast("string")), F.col("l_quantity").cast("int"),
+                     F.col("l_extendedprice").cast("decimal(10,2)"), "l_linenumber")
+    return _sales_table(spark, rows, schemas.ORDERDETAILS, "orderdetails").withColumn("price_each", F.col("price_each").cast("double"))
+
+
+def q_scan_products(spark, sf):
+    p = td.table(spark, sf, "part")
+    price = F.col("p_retailprice").cast("decimal(10,2)")
+    rows = p.select(F.concat(F.lit("S"), F.col("p_partkey").cast("string")), "p_name", "p_type", F.lit(None).cast("string").alias("scale"),
+                    "p_brand", F.lit('say "hi"').alias("description"), "p_size", price.alias("buy"), price.alias("msrp"))
+    return _sales_table(spark, rows, schemas.PRODUCTS, "products").select(
+        "product_code", "product_name", "product_line", "product_scale", "product_vendor", "product_description", "quantity_in_stock",
+        F.col("buy_price").cast("double").alias("buy_price"))
+
+
+def q_scan_offices(spark, sf):
+    s = td.table(spark, sf, "supplier")
+    rows = s.select("s_suppkey", "s_name", F.lit('+47 "55"').alias("phone"), F.col("s_nationkey").cast("string"), F.lit(None).cast("string").alias("line2"),
+                    F.lit(None).cast("string").alias("state"), F.lit("Norway  ").alias("land"), F.lit("00100"), F.lit("EMEA"))
+    return _sales_table(spark, rows, schemas.OFFICES, "offices")
+
+
+def q_scan_employees(spark, sf):
+    c = td.table(spark, sf, "customer")
+    boss = F.when(F.col("c_custkey") % 10 > 0, F.col("c_custkey") - F.col("c_custkey") % 10)
+    rows = c.select("c_custkey", "c_name", "c_mktsegment", F.concat(F.lit("x"), F.col("c_nationkey").cast("string")),
+                    F.concat(F.col("c_name"), F.lit("@example.com")), "c_nationkey", boss.cast("int"), F.lit("Sales Rep"))
+    return _sales_table(spark, rows, schemas.EMPLOYEES, "employees")
+
+
+def q_geohash_when_absent(spark, sf):
+    """Observations that carry a geohash keep it, others get theirs."""
+    own = _obs(spark, sf).where("event_id % 2 = 0").withColumn("geohash", F.lit("kept"))
+    other = _obs(spark, sf).where("event_id % 2 = 1")
+    return en.add_geohash(own).select("event_id", "geohash").unionAll(en.add_geohash(other).select("event_id", "geohash"))
+
+
+def q_lookup_attempts(spark, sf):
+    """Three runs against a geocoder that does not know every city; what has no answer is asked again after a week."""
+    def geocoder(keys):
+        n = keys["city"].str[4:].astype(int)
+        return keys.assign(lookup_lat=(40.0 + n / 100).where(n % 20 == 0), lookup_lng=(-5.0 - n / 100).where(n % 20 == 0))
+    table, attempts = scratch_path(spark, "lookup"), scratch_path(spark, "attempts")
+    keys = lk.lookup_keys(_places(spark, sf))
+    for day in (1, 2, 9):
+        lk.extend_lookup(spark, keys, table, geocoder, attempts_path=attempts, retry_after=timedelta(days=7),
+                         now=datetime(2024, 1, day, tzinfo=timezone.utc))
+    asked = spark.read.schema(schemas.ATTEMPTS).parquet(attempts).groupBy("city", "country").agg(
+        F.count(F.lit(1)).alias("questions"), F.count_if(F.col("outcome") == "found").alias("answers"))
+    known = spark.read.schema(schemas.LOOKUP).parquet(table)
+    return asked.join(known, ["city", "country"], "left")
+
+
 def q_write_partitioned_roundtrip(spark, sf):
     path = scratch_path(spark, "obs_by_month")
     sk.write_partitioned(_obs(spark, sf), path, ("year", "month"))
@@ -393,6 +491,53 @@ def q_dynamic_partition_insert(spark, sf):
     return spark.read.parquet(path).select(*PLACE_COLS)
 
 
+def q_append_rerun(spark, sf):
+    """Two runs append their places; each is run twice, the first time with rows that the second time drops."""
+    path = scratch_path(spark, "places_runs")
+    north = F.coalesce(F.col("lat") > 35, F.lit(False))
+    for run_id, rows in (("north", _places(spark, sf)), ("rest", _places(spark, sf).where(~north)),
+                         ("north", _places(spark, sf).where(north)), ("rest", _places(spark, sf).where(~north))):
+        sk.append_run(rows, path, run_id, ("country",))
+    return sk.read_back(spark, _places(spark, sf), path)
+
+
+def q_insert_limited(spark, sf):
+    """A limited, ordered sample into a partitioned table (the limit is the statement's own)."""
+    path = scratch_path(spark, "places_sample")
+    sk.insert_dynamic_partitions(_places(spark, sf), path, "country", limit=25, order_by=["franchise_name", "id"], run_id="sample")
+    return sk.read_back(spark, _places(spark, sf), path)
+
+
+def q_verify_partitions(spark, sf):
+    """One partition of the written table loses rows and gains a changed one; it alone is named."""
+    path, places = scratch_path(spark, "places_verify"), _places(spark, sf)
+    sk.write_partitioned(places, path)
+    hurt = (places.where((F.col("country") == "NATION_5") & (F.col("id") % 3 > 0))
+            .withColumn("city", F.when(F.col("id") % 2 == 0, F.lit("elsewhere")).otherwise(F.col("city"))))
+    sk.write_partitioned(hurt, path, dynamic_overwrite=True)
+    return sk.differing_partitions(places, sk.read_back(spark, places, path))
+
+
+def q_compression_codec(spark, sf):
+    """Rows of a written table by the codec in its files' names."""
+    path = scratch_path(spark, "places_codec")
+    sk.write_partitioned(_places(spark, sf), path)
+    codec = F.regexp_extract(F.col("_metadata.file_name"), r"[.]([a-z]+)[.]parquet$", 1).alias("codec")
+    return spark.read.parquet(path).groupBy(codec).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_bucketed_hot_cell(spark, sf):
+    """Observations bucketed by cell and salt, a third of them moved into one cell; reduced from the buckets."""
+    hot = F.col("event_id") % 3 == 0
+    obs = _obs(spark, sf).withColumn("lat", F.when(hot, 30.5).otherwise(F.col("lat"))) \
+        .withColumn("lng", F.when(hot, -9.5).otherwise(F.col("lng")))
+    name = f"obs_by_cell_{uuid.uuid4().hex[:8]}"
+    table = en.bucket_observations(obs, name, scratch_path(spark, name), buckets=8, salts=4)
+    r = en.reduce_observations(table)
+    return _round(r.select(gh.cell_to_geohash(en.CELL).alias("geohash"), "weather_lat", "weather_lng",
+                           "weather_wthr_date", "weather_avg_tmpr_f", "weather_avg_tmpr_c"), AVG)
+
+
 def q_bucketed_table(spark, sf):
     name = f"places_bucketed_{uuid.uuid4().hex[:8]}"
     sk.save_bucketed(_places(spark, sf), name, scratch_path(spark, name), "id", 5, "orc")
@@ -826,6 +971,44 @@ def own_oracle_sql() -> dict[str, str]:
                          "strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate FROM orders",
         "write_partitioned_roundtrip": _q(f"SELECT {_OBS_COLS} FROM obs"),
         "append_mode": places_all,
+        "append_rerun": places_all,
+        "insert_limited": _q(f"SELECT {_PLACE_COLS} FROM places ORDER BY franchise_name, id LIMIT 25"),
+        "verify_partitions": _q("SELECT country, count(*) AS rows_expected, count(*) FILTER (id % 3 > 0) AS rows_actual "
+                                "FROM places WHERE country = 'NATION_5' GROUP BY country"),
+        "compression_codec": _q("SELECT 'snappy' AS codec, count(*) AS rows FROM places"),
+        "bucketed_hot_cell": f"""WITH obs AS (
+              SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 30.5 ELSE lat END AS lat,
+                     CASE WHEN event_id % 3 = 0 THEN -9.5 ELSE lng END AS lng, avg_tmpr_f, avg_tmpr_c, wthr_date FROM ({OBS_SQL})),
+            og AS (SELECT *, {_d_geohash('lat', 'lng')} AS geohash FROM obs), w AS ({_W})
+            SELECT wg AS geohash, weather_lat, weather_lng, weather_wthr_date,
+                   round(weather_avg_tmpr_f, 6) AS weather_avg_tmpr_f, round(weather_avg_tmpr_c, 6) AS weather_avg_tmpr_c FROM w""",
+        "ingest_twice": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+        "scan_delimited_quarantine": """SELECT CAST(o_custkey AS INTEGER) AS customer_number, 'C' || o_orderkey AS check_number,
+              strftime(o_orderdate, '%Y-%m-%d') AS payment_date,
+              CASE WHEN o_orderkey % 7 <> 0 THEN CAST(CAST(o_totalprice AS DECIMAL(10,2)) AS DOUBLE) END AS amount,
+              CASE WHEN o_orderkey % 7 = 0 THEN o_custkey || '|C' || o_orderkey || '|' || strftime(o_orderdate, '%Y-%m-%d') || '|n/a' END AS broken
+            FROM orders""",
+        "scan_order_details": """SELECT CAST(l_orderkey AS INTEGER) AS order_number, 'S' || l_partkey AS product_code,
+              CAST(l_quantity AS INTEGER) AS quantity_ordered, CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS DOUBLE) AS price_each,
+              CAST(l_linenumber AS INTEGER) AS order_line_number FROM lineitem""",
+        "scan_products": """SELECT 'S' || p_partkey AS product_code, p_name AS product_name, p_type AS product_line,
+              CAST(NULL AS VARCHAR) AS product_scale, p_brand AS product_vendor, 'say "hi"' AS product_description,
+              CAST(p_size AS INTEGER) AS quantity_in_stock, CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS DOUBLE) AS buy_price FROM part""",
+        "scan_offices": """SELECT CAST(s_suppkey AS INTEGER) AS office_code, s_name AS city, '+47 "55"' AS phone,
+              CAST(s_nationkey AS VARCHAR) AS address_line1, CAST(NULL AS VARCHAR) AS address_line2, CAST(NULL AS VARCHAR) AS state,
+              'Norway  ' AS country, '00100' AS postal_code, 'EMEA' AS territory FROM supplier""",
+        "scan_employees": """SELECT CAST(c_custkey AS INTEGER) AS employee_id, c_name AS last_name, c_mktsegment AS first_name,
+              'x' || c_nationkey AS extension, c_name || '@example.com' AS email, CAST(c_nationkey AS INTEGER) AS office_code,
+              CASE WHEN c_custkey % 10 > 0 THEN CAST(c_custkey - c_custkey % 10 AS INTEGER) END AS reports_to,
+              'Sales Rep' AS job_title FROM customer""",
+        "geohash_when_absent": _q("SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'kept' ELSE geohash END AS geohash FROM og"),
+        "lookup_attempts": _q(f"""SELECT city, country, CASE WHEN n % 20 = 0 THEN 1 ELSE 2 END AS questions,
+              CASE WHEN n % 20 = 0 THEN 1 ELSE 0 END AS answers,
+              CASE WHEN n % 20 = 0 THEN 40.0 + CAST(n AS DOUBLE) / 100 END AS lookup_lat,
+              CASE WHEN n % 20 = 0 THEN -5.0 - CAST(n AS DOUBLE) / 100 END AS lookup_lng
+            FROM (SELECT DISTINCT city, country, CAST(substr(city, 5, 10) AS INTEGER) AS n FROM places
+                  WHERE {_NULL} AND city IS NOT NULL AND city <> '' AND country IS NOT NULL AND country <> '')"""),
+        "enrich_incremental": _q(f"SELECT {_ENR} FROM enriched"),
         "dynamic_partition_insert": places_all,
         "bucketed_table": places_all,
         "verify_roundtrip": _q("SELECT count(*) AS rows_written, count(*) AS rows_read, true AS rows_match, "

@@ -29,7 +29,7 @@ from . import dedupe as dd
 from .sizing import broadcast_if_bounded
 
 CELL = "_cell"
-ORDER = "_order"
+SALT = "_salt"
 
 
 def cell_column(precision: int) -> str:
@@ -55,19 +55,28 @@ def add_cell(df: DataFrame, precision: int = 4, lat: str = "lat", lng: str = "ln
 
 
 def bucket_observations(observations: DataFrame, table: str, path: str, precision: int = 4,
-                        buckets: int = 200, fmt: str = "parquet") -> DataFrame:
+                        buckets: int = 200, fmt: str = "parquet", salts: int = 1, salt_key: str = "event_id") -> DataFrame:
     """Store observations bucketed (and sorted) by their cell id, once.
 
     Every later reduction by cell on this table reads bucket by bucket with
     no shuffle: the one expensive exchange is paid at ingest, not on every
     enrichment run.  Rows are dealt to the buckets before the write, so there
-    is one file per bucket (or several of bounded size for a hot cell), not
-    one per task and bucket.  Choose ``buckets`` from the data volume.
+    is one file per bucket.  Choose ``buckets`` from the data volume.
+
+    With ``salts`` above 1 buckets have two levels, cell and a salt from the
+    hash of ``salt_key`` (a column that tells the rows of a cell apart): a
+    cell that holds a third of the rows is written by up to ``salts`` tasks
+    into as many files.  A reduction then combines each file's rows to one
+    partial row per cell, and only these are exchanged and merged.
     """
     from ..sinks.files import save_bucketed
     stored = cell_column(precision)
     with_cell = observations.withColumn(stored, cell_id("lat", "lng", precision))
-    save_bucketed(with_cell, table, path, stored, buckets, fmt)
+    keys = [stored]
+    if salts > 1:
+        with_cell = with_cell.withColumn(SALT, F.pmod(F.xxhash64(salt_key), F.lit(salts)).cast("int"))
+        keys.append(SALT)
+    save_bucketed(with_cell, table, path, keys, buckets, fmt)
     return observations.sparkSession.table(table)
 
 
@@ -92,15 +101,14 @@ def place_cells(places: DataFrame, precision: int = 4) -> DataFrame:
     return add_cell(src, precision).select(CELL).where(F.col(CELL).isNotNull()).distinct()
 
 
-def content_order(observations: DataFrame, used: list[str], lead=("wthr_date", "observation_date", "lat", "lng")):
+def content_order(observations: DataFrame, used: list[str], lead=("wthr_date", "observation_date", "lat", "lng")) -> list[str]:
     """A total order for rows without a unique key: date, latitude, longitude, then the other used columns.
 
     Rows that tie agree in every used column, so any of them gives the same
     result; only columns that are read anyway take part.
     """
     first = [c for c in lead if c in observations.columns]
-    rest = sorted(c for c in used if c not in first)
-    return F.struct(*[F.col(c) for c in [*first, *rest]])
+    return [*first, *sorted(c for c in used if c not in first)]
 
 
 def reduce_observations(observations: DataFrame, precision: int = 4, order_key: str = "event_id",
@@ -127,10 +135,9 @@ def reduce_observations(observations: DataFrame, precision: int = 4, order_key:
     else:
         averages = []
         firsts = columns if columns is not None else [
-            c for c in observations.columns if c not in (order_key, "geohash") and not c.startswith("_cell_p")]
+            c for c in observations.columns if c not in (order_key, "geohash", SALT) and not c.startswith("_cell_p")]
     if order_key is None or order_key not in observations.columns:
-        observations = observations.withColumn(ORDER, content_order(observations, [*firsts, *averages]))
-        order_key = ORDER
+        order_key = content_order(observations, [*firsts, *averages])
     source = observations
     if _cell_from_coordinates(observations, precision):
         # plain range predicates reach the Parquet reader (row-group skipping); the
@@ -140,8 +147,8 @@ def reduce_observations(observations: DataFrame, precision: int = 4, order_key:
     if keep_cells is not None:
         obs = obs.join(broadcast_if_bounded(keep_cells, 32 ** precision), CELL, "left_semi")
     if mode == "avg":
-        return dd.dedupe_avg(obs, CELL, order_key, averages, firsts, prefix, null_keys=False)
-    return dd.dedupe_first(obs, CELL, order_key, firsts, prefix, null_keys=False)
+        return dd.dedupe_avg(obs, CELL, order_key, averages, firsts, prefix, null_keys=False, max_keys=32 ** precision)
+    return dd.dedupe_first(obs, CELL, order_key, firsts, prefix, null_keys=False, max_keys=32 ** precision)
 
 
 def enrich(places: DataFrame, observations: DataFrame, precision: int = 4, order_key: str = "event_id",
@@ -153,12 +160,17 @@ def enrich(places: DataFrame, observations: DataFrame, precision: int = 4, order
     Output: all place columns, ``geohash`` and the prefixed observation
     columns.  A place without a valid coordinate keeps NULL weather.
     """
-    left = add_cell(places, precision)
-    if "geohash" not in places.columns:
-        left = left.withColumn("geohash", cell_to_geohash(CELL, precision))
     keep = place_cells(places, precision) if reduce else None
     right = reduce_observations(observations, precision, order_key, mode, avg_columns, first_columns,
                                 columns, prefix, keep_cells=keep)
+    return join_cells(places, right, precision)
+
+
+def join_cells(places: DataFrame, per_cell: DataFrame, precision: int = 4) -> DataFrame:
+    """Places with their geohash, left-joined with a table of one row per ``_cell``."""
+    left = add_cell(places, precision)
+    if "geohash" not in places.columns:
+        left = left.withColumn("geohash", cell_to_geohash(CELL, precision))
     # when its bytes are proven (32**precision rows of fixed-width values), broadcasting the
     # per-cell table means the (possibly huge) places side is never shuffled
-    return left.join(broadcast_if_bounded(right, 32 ** precision), CELL, "left").drop(CELL)
+    return left.join(broadcast_if_bounded(per_cell, 32 ** precision), CELL, "left").drop(CELL)

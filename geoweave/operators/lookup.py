@@ -10,10 +10,12 @@ calls), then a left join and ``coalesce``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas
 from .quality import is_null, is_valid
@@ -97,11 +99,17 @@ def resolve_missing(keys: DataFrame, lookup: DataFrame | None,
     ``ValueError`` from an answer that cannot be parsed) into NULL coordinates
     for the keys of the batch; other exceptions still fail.
     """
-    if on_error not in ("null", "raise"):
-        raise ValueError("on_error must be 'null' or 'raise'")
     todo = keys.select("city", "country")
     if lookup is not None:
         todo = todo.join(lookup.select("city", "country"), ["city", "country"], "left_anti")
+    return _resolve(todo, resolver, batch_partitions, on_error).drop("outcome")
+
+
+def _resolve(todo: DataFrame, resolver: Callable[[pd.DataFrame], pd.DataFrame], batch_partitions: int | None,
+             on_error: str) -> DataFrame:
+    """Ask for every key of ``todo``: lookup rows with an ``outcome`` (found, none, error)."""
+    if on_error not in ("null", "raise"):
+        raise ValueError("on_error must be 'null' or 'raise'")
     if batch_partitions:
         todo = todo.repartition(batch_partitions, "city", "country")
 
@@ -109,32 +117,60 @@ def resolve_missing(keys: DataFrame, lookup: DataFrame | None,
         for pdf in batches:
             if not len(pdf):
                 continue
+            failed = False
             try:
                 out = resolver(pdf[["city", "country"]].copy())
             except (OSError, ValueError):
                 if on_error == "raise":
                     raise
-                out = pdf[["city", "country"]].assign(lookup_lat=None, lookup_lng=None)
-            yield out[["city", "country", "lookup_lat", "lookup_lng"]].astype(
-                {"lookup_lat": "float64", "lookup_lng": "float64"})
+                out, failed = pdf[["city", "country"]].assign(lookup_lat=None, lookup_lng=None), True
+            out = out[["city", "country", "lookup_lat", "lookup_lng"]].astype({"lookup_lat": "float64", "lookup_lng": "float64"})
+            known = out["lookup_lat"].notna() & out["lookup_lng"].notna()
+            yield out.assign(outcome=["found" if k else "error" if failed else "none" for k in known])
 
-    return todo.mapInPandas(run, schema=schemas.LOOKUP)
+    return todo.mapInPandas(run, schema=StructType([*schemas.LOOKUP.fields, StructField("outcome", StringType())]))
 
 
-def extend_lookup(spark, keys: DataFrame, path: str, resolver: Callable[[pd.DataFrame], pd.DataFrame],
-                  batch_partitions: int | None = None, on_error: str = "raise") -> DataFrame:
-    """Resolve the keys that the table at ``path`` does not hold, append them, return the table.
-
-    Only keys with coordinates are appended, so a rerun asks again for the
-    ones without an answer and for nothing else.  The table is made on first use.
-    """
+def _table(spark, path: str, schema: StructType) -> DataFrame | None:
     from pyspark.errors import AnalysisException
     try:
-        known = spark.read.schema(schemas.LOOKUP).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in (e.getCondition() or ""):
             raise
-        known = None
-    new = resolve_missing(keys, known, resolver, batch_partitions, on_error)
+        return None
+
+
+def extend_lookup(spark, keys: DataFrame, path: str, resolver: Callable[[pd.DataFrame], pd.DataFrame],
+                  batch_partitions: int | None = None, on_error: str = "raise", attempts_path: str | None = None,
+                  retry_after: timedelta = timedelta(days=30), now: datetime | None = None) -> DataFrame:
+    """Resolve the keys that the table at ``path`` does not hold, append them, return the table.
+
+    Only keys with coordinates are appended.  Without ``attempts_path`` a
+    rerun asks again for the keys without an answer and for nothing else.
+    With it every question is written to that table (city, country, answer,
+    outcome, asked_at) before its answer is used, and a key whose last
+    question, answered or not, is younger than ``retry_after`` is not asked
+    again; answers that a broken run did not append are taken from the
+    attempts.  ``now`` is the time of this run (by default the clock's, UTC).
+    The tables are made on first use.
+    """
+    known = _table(spark, path, schemas.LOOKUP)
+    if attempts_path is None:
+        new = resolve_missing(keys, known, resolver, batch_partitions, on_error)
+    else:
+        asked_at = F.lit((now or datetime.now(timezone.utc)).astimezone(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")).cast("timestamp")
+        before = _table(spark, attempts_path, schemas.ATTEMPTS)
+        todo = keys.select("city", "country").distinct()
+        if known is not None:
+            todo = todo.join(known.select("city", "country"), ["city", "country"], "left_anti")
+        if before is not None:
+            young = before.where(F.col("asked_at") > asked_at - F.expr(f"make_dt_interval(0, 0, 0, {retry_after.total_seconds()!r})"))
+            todo = todo.join(young.select("city", "country"), ["city", "country"], "left_anti")
+        (_resolve(todo, resolver, batch_partitions, on_error).withColumn("asked_at", asked_at)
+         .write.mode("append").parquet(attempts_path))
+        new = spark.read.schema(schemas.ATTEMPTS).parquet(attempts_path).where("outcome = 'found'").select(*schemas.LOOKUP.names)
+        if known is not None:
+            new = new.join(known.select("city", "country"), ["city", "country"], "left_anti")
     new.where(F.col("lookup_lat").isNotNull() & F.col("lookup_lng").isNotNull()).write.mode("append").parquet(path)
     return spark.read.schema(schemas.LOOKUP).parquet(path)

@@ -8,11 +8,9 @@ a reader of an older version is not disturbed.  With a partition column only
 the partitions that hold matching rows are rewritten; the folders of all other
 partitions are carried over as they are.
 
-A commit is one marker file per version, created only if it does not exist
-yet.  Of two writers that start from the same version one commits and the
-other fails with :class:`CommitConflict`; nothing is lost silently.  (The
-guarantee is the storage's: creating a file exclusively is atomic on HDFS and
-local disks; an object store needs a committer with the same property.)
+A commit is one marker file per version (:mod:`geoweave.sinks.commits`).  Of
+two writers that start from the same version one commits and the other fails
+with :class:`CommitConflict`; nothing is lost silently.
 
 SQL semantics: a row is changed or removed only where the predicate is
 TRUE; a NULL predicate leaves the row alone.
@@ -20,16 +18,13 @@ TRUE; a NULL predicate leaves the row alone.
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-
-class CommitConflict(RuntimeError):
-    """Another writer committed the version this one was about to write."""
+from ..sinks.commits import CommitConflict, CommitLog  # noqa: F401 (CommitConflict is part of this module's interface)
 
 
 def _true(condition: Column) -> Column:
@@ -59,8 +54,10 @@ class CowTable:
     sorted files.  With ``table``, a catalog table of that name follows the
     commits: snapshots are written with ``bucketBy``/``sortBy`` (a real bucket
     spec, usable for bucket joins) and the table is pointed at the snapshot
-    *after* its marker is committed; inserts into such a table append through
-    the catalog.
+    *after* its marker is committed.  Changes are always made from the
+    committed folders, and opening the table points the catalog at them again,
+    so a writer that died between both steps loses nothing.  As a catalog
+    table has one location, an insert into it writes a whole new snapshot.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "orc", bucket_col: str | None = None,
@@ -71,6 +68,7 @@ class CowTable:
         self.bucket_col, self.buckets = bucket_col, buckets
         self.partition_col, self.table = partition_col, table
         self.version, self.folders, self.schema = 0, [], None
+        self.log = CommitLog(spark, self.root)
 
     @classmethod
     def create(cls, spark: SparkSession, root: str, rows: DataFrame, **kw) -> "CowTable":
@@ -84,11 +82,13 @@ class CowTable:
     def open(cls, spark: SparkSession, root: str, **kw) -> "CowTable":
         """Existing table at ``root``, on its latest committed version."""
         t = cls(spark, root, **kw)
-        last = spark.read.text(f"{t.root}/_commits").agg(F.max_by("value", F.get_json_object("value", "$.version").cast("int"))) \
-            .first()[0]
-        commit = json.loads(last)
-        t.version, t.folders = commit["version"], commit["folders"]
-        t.schema = StructType.fromJson(commit["schema"])
+        entries = t.log.entries()
+        found = [content for _, content in entries if content]
+        if not found:
+            raise ValueError(f"table at {t.root} has no commit")
+        t.version, t.folders = entries[-1][0], found[-1]["folders"]
+        t.schema = StructType.fromJson(found[-1]["schema"])
+        t._point()
         return t
 
     def _bucketed(self) -> bool:
@@ -107,6 +107,9 @@ class CowTable:
             raise ValueError(f"table at {self.root} has no snapshot yet")
         if self.table:
             return self.spark.table(self.table)
+        return self._committed()
+
+    def _committed(self) -> DataFrame:
         return self._load(self.folders).select(*self.schema.names)
 
     def _write(self, df: DataFrame) -> list[str]:
@@ -142,35 +145,27 @@ class CowTable:
 
     def _commit(self, folders: list[str]) -> "CowTable":
         version = self.version + 1
-        content = json.dumps({"version": version, "folders": folders, "schema": self.schema.jsonValue()})
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/_commits/{version:09d}")
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        try:
-            out = fs.create(path, False)
-        except Exception as e:
-            if "exist" not in str(e):
-                raise
-            raise CommitConflict(f"version {version} of {self.root} is already committed") from e
-        out.write(bytearray((content + "\n").encode()))
-        out.close()
-        if self.table and version > 1:
-            self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{self.root}/{folders[0]}'")
-            self.spark.catalog.refreshTable(self.table)
+        self.log.commit(version, {"version": version, "folders": folders, "schema": self.schema.jsonValue()})
         self.version, self.folders = version, folders
+        self._point()
         return self
 
+    def _point(self) -> None:
+        """Point the catalog table at the committed snapshot."""
+        if self.table and self.spark.catalog.tableExists(self.table):
+            self.spark.sql(f"ALTER TABLE {self.table} SET LOCATION '{self.root}/{self.folders[0]}'")
+            self.spark.catalog.refreshTable(self.table)
+
     def insert(self, rows: DataFrame) -> "CowTable":
-        """``INSERT INTO``: the new rows are a snapshot of their own, nothing is rewritten."""
+        """``INSERT INTO``: the new rows are a snapshot of their own (a catalog table: with the old rows)."""
         typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
         if self.table:
-            typed.write.insertInto(self.table)
-            return self
+            return self._commit(self._write(self._committed().unionAll(typed)))
         return self._commit([*self.folders, *self._write(typed)])
 
     def _rewrite(self, condition: Column, change) -> "CowTable":
         if not self.partition_col:
-            return self._commit(self._write(change(self.read())))
+            return self._commit(self._write(change(self._committed())))
         own = self._load(self.folders)
         touched = self._folders_of(own.where(_true(condition)))
         if not touched:

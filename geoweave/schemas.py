@@ -1,7 +1,7 @@
 """Explicit schemas: no inference pass over the data."""
 
 from pyspark.sql.types import (DateType, DecimalType, DoubleType, IntegerType, LongType,
-                               StringType, StructField, StructType)
+                               StringType, StructField, StructType, TimestampType)
 
 
 def _s(*fields) -> StructType:
@@ -25,6 +25,9 @@ SYNTH_OBSERVATIONS = _s(("lat", D), ("lng", D), ("geohash", S), ("temperature_c"
 # Coordinate lookup table, keyed by (city, country).
 LOOKUP = _s(("city", S), ("country", S), ("lookup_lat", D), ("lookup_lng", D))
 
+# Questions asked for the lookup table, with their answers and outcome (found, none, error).
+ATTEMPTS = _s(*[(f.name, f.dataType) for f in LOOKUP.fields], ("outcome", S), ("asked_at", TimestampType()))
+
 # The six control-A delimited tables of the sample sales database.
 CUSTOMERS = _s(("customer_id", I), ("business_name", S), ("last_name", S), ("first_name", S),
                ("phone_number", S), ("address_line1", S), ("address_line2", S), ("city", S), ("state", S),

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import re
+import uuid
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .commits import swap_in
+
 
 def checksum(columns: list[str]) -> Column:
     """Order-free content checksum: sum of per-row xxhash64 (as decimal, no overflow)."""
@@ -47,6 +52,26 @@ def write_partitioned(df: DataFrame, path: str, partition_cols=("country",), mod
     w.save(path)
 
 
+def append_run(df: DataFrame, path: str, run_id: str, partition_cols=("country",), fmt: str = "parquet", **kw) -> None:
+    """Append ``df`` as the run ``run_id``; running it again with the same id replaces what it appended before.
+
+    The rows are written to a hidden folder beside the table and swapped in as
+    the partition directory ``run=<run_id>`` when they are complete, so a
+    failed run leaves the table as it was, and partition values that a rerun
+    no longer has do not stay behind.  Every write to such a table has to be a
+    run.  Read it with ``read_back`` (the table's own columns), or with
+    Spark's reader, which adds the column ``run``.
+    """
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", run_id):
+        raise ValueError(f"a run id has letters, digits, '.', '_' and '-': {run_id!r}")
+    if "run" in df.columns:
+        raise ValueError("the column name 'run' is taken by the run id")
+    root = path.rstrip("/")
+    staged = f"{root}/.run-{run_id}-{uuid.uuid4().hex[:12]}"
+    write_partitioned(df, staged, partition_cols, "errorifexists", fmt, **kw)
+    swap_in(df.sparkSession, staged, f"{root}/run={run_id}")
+
+
 def read_back(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     """The written table with the written types: partition values are not guessed from their text."""
     return spark.read.schema(df.schema).format(fmt).load(path).select(*df.columns)
@@ -95,6 +120,41 @@ def idempotent_rerun(spark: SparkSession, df: DataFrame, path: str, partition_co
                        ((F.coalesce(F.col("c"), F.lit(0)) == F.lit(c1)) & F.lit(c1 == c2)).alias("same_checksum"))
 
 
+def partition_checksums(df: DataFrame, partition_cols=("country",), by_file: bool = False) -> DataFrame:
+    """Rows and order-free content checksum per partition (and, for a table read from files, per file)."""
+    keys = [F.col(c) for c in partition_cols]
+    if by_file:
+        keys.append(F.col("_metadata.file_path").alias("file"))
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), checksum(df.columns).alias("checksum"))
+
+
+def differing_partitions(expected: DataFrame, actual: DataFrame, partition_cols=("country",)) -> DataFrame:
+    """Partitions in which two tables of the same columns differ.
+
+    Columns: the partition columns, rows_expected, rows_actual (0 where the
+    partition is missing on a side).  Each side is reduced to one row per
+    partition before the join.
+    """
+    cols = list(partition_cols)
+    a = partition_checksums(expected, cols).select(*[F.col(c).alias(f"_a{i}") for i, c in enumerate(cols)],
+                                                   F.col("rows").alias("_ra"), F.col("checksum").alias("_ca"))
+    b = partition_checksums(actual.select(*expected.columns), cols).select(
+        *[F.col(c).alias(f"_b{i}") for i, c in enumerate(cols)], F.col("rows").alias("_rb"), F.col("checksum").alias("_cb"))
+    same = reduce(and_, [F.col(f"_a{i}").eqNullSafe(F.col(f"_b{i}")) for i in range(len(cols))])
+    keys = [F.when(F.col("_ra").isNull(), F.col(f"_b{i}")).otherwise(F.col(f"_a{i}")).alias(c) for i, c in enumerate(cols)]
+    return (a.join(b, same, "full_outer").where(~(F.col("_ra").eqNullSafe(F.col("_rb")) & F.col("_ca").eqNullSafe(F.col("_cb"))))
+            .select(*keys, F.coalesce("_ra", F.lit(0)).alias("rows_expected"), F.coalesce("_rb", F.lit(0)).alias("rows_actual")))
+
+
+def differing_files(spark: SparkSession, expected: DataFrame, path: str, partition_cols=("country",), fmt: str = "parquet") -> DataFrame:
+    """Files of the differing partitions of a written table, with their rows and checksums: where to look."""
+    actual = spark.read.schema(expected.schema).format(fmt).load(path)
+    wrong = differing_partitions(expected, read_back(spark, expected, path, fmt), partition_cols)
+    files = partition_checksums(actual, partition_cols, by_file=True)
+    same = reduce(and_, [files[c].eqNullSafe(wrong[c]) for c in partition_cols])
+    return files.join(wrong, same, "left_semi")
+
+
 def partition_inventory(spark: SparkSession, path: str, partition_col: str = "country",
                         fmt: str = "parquet") -> DataFrame:
     """Rows and data files per partition directory, from the files' metadata column."""
@@ -123,31 +183,37 @@ def input_lineage(df: DataFrame, partition_col: str = "country") -> DataFrame:
                                         F.count(F.lit(1)).alias("rows")))
 
 
-def save_bucketed(df: DataFrame, table: str, path: str, bucket_col: str = "id", buckets: int = 5,
+def save_bucketed(df: DataFrame, table: str, path: str, bucket_col: str | list[str] = "id", buckets: int = 5,
                   fmt: str = "orc", mode: str = "overwrite", max_records_per_file: int | None = None) -> None:
     """Catalog table bucketed (and sorted) on ``bucket_col``; external at ``path``.
 
     Joins and aggregations on the bucket column between tables with the
     same bucketing skip the shuffle.  Rows are dealt to their buckets first
     (the same hash), so every bucket is one file and not one per task;
-    ``max_records_per_file`` splits the file of a hot bucket.
+    ``max_records_per_file`` splits the file of a hot bucket, and a second
+    bucket column (a salt) the task that writes it.
     """
-    w = df.repartition(buckets, bucket_col).write
+    cols = [bucket_col] if isinstance(bucket_col, str) else bucket_col
+    w = df.repartition(buckets, *cols).write
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
-    (w.mode(mode).format(fmt).bucketBy(buckets, bucket_col).sortBy(bucket_col)
+    (w.mode(mode).format(fmt).bucketBy(buckets, *cols).sortBy(*cols)
      .option("path", path).saveAsTable(table))
 
 
 def insert_dynamic_partitions(df: DataFrame, path: str, partition_col: str = "country",
                               fmt: str = "parquet", limit: int | None = None,
-                              order_by: list[str] | None = None) -> None:
+                              order_by: list[str] | None = None, run_id: str | None = None) -> None:
     """``INSERT INTO t PARTITION (col) SELECT ...``: partition values come from the data.
 
     Appends new files into the partition directories.  ``limit`` (with a
     total ``order_by`` so it is deterministic) mirrors an insert of a sample.
+    With ``run_id`` the insert can be run again (see :func:`append_run`).
     """
     src = df
     if limit is not None:
         src = src.orderBy(*(order_by or df.columns)).limit(limit)
-    write_partitioned(src, path, (partition_col,), mode="append", fmt=fmt)
+    if run_id is not None:
+        append_run(src, path, run_id, (partition_col,), fmt)
+    else:
+        write_partitioned(src, path, (partition_col,), mode="append", fmt=fmt)

@@ -9,7 +9,7 @@ other, and a rerun or a retried task writes the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geohash import geohash, valid_coordinates
@@ -29,24 +29,43 @@ def _uniform(key: Column, i: Column, salt: int, lo: float, hi: float, steps: int
     return F.lit(lo) + _draw(key, i, salt, steps + 1).cast("double") * F.lit((hi - lo) / steps)
 
 
+def _numbered(rows: DataFrame, buckets: int = 1024) -> DataFrame:
+    """Adds ``_number`` (gapless from 1) and ``_places`` (how many rows there are).
+
+    Rows are numbered inside hash buckets and shifted by the counts of the
+    buckets before; the table of counts has at most ``buckets`` rows.  Rows that
+    agree in every column are interchangeable, so a retried task changes nothing.
+    """
+    from ..operators.sizing import broadcast_if_bounded
+    cols = rows.columns
+    b = rows.withColumn("_bucket", F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int"))
+    counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.orderBy("_bucket")  # over at most ``buckets`` rows
+    counts = counts.select(F.col("_bucket").alias("_b"), (F.sum("_n").over(upto) - F.col("_n")).alias("_before"),
+                           F.sum("_n").over(Window.partitionBy()).alias("_places"))
+    ranked = b.withColumn("_nth", F.row_number().over(Window.partitionBy("_bucket").orderBy(*cols)))
+    return ranked.join(broadcast_if_bounded(counts, buckets), F.col("_bucket") == F.col("_b")) \
+        .select(*cols, "_places", (F.col("_before") + F.col("_nth")).alias("_number"))
+
+
 def synth_observations(places: DataFrame, per_place: int = 4, seed: int = 0, precision: int = 4,
                        jitter_deg: float = 0.1, start_date: str = "2024-01-01", days: int = 366,
                        records: int | None = None) -> DataFrame:
     """``per_place`` jittered weather rows per valid place, in the generator's schema.
 
     With ``records`` exactly that many rows, dealt evenly: every place gets
-    the same number and the first places by id one more (none, and no rows,
-    without a valid place).  This counts the places while the plan is built.
+    the same number and some places, numbered first by a hash of the row, one
+    more (no rows without a valid place).  Places are counted and numbered
+    inside the plan, bucket by bucket; no job runs while it is built.
     """
     base = places.where(valid_coordinates("lat", "lng")).select("id", "lat", "lng", "city", "country")
-    rest = 0
-    if records is not None:
-        n = base.count()
-        per_place, rest = divmod(records, n) if n else (0, 0)
-    draws = base.select("*", F.explode(F.sequence(F.lit(1), F.lit(per_place))).alias("draw")) if per_place else \
-        base.limit(0).select("*", F.lit(1).alias("draw"))
-    if rest:
-        draws = draws.unionAll(base.orderBy("id", "lat", "lng").limit(rest).select("*", F.lit(per_place + 1).alias("draw")))
+    if records is None:
+        wanted = F.lit(per_place)
+    else:
+        base = _numbered(base)
+        wanted = F.expr(f"{records}L div _places") + (F.col("_number") <= F.lit(records) % F.col("_places")).cast("int")
+    draws = base.withColumn("_draws", wanted.cast("int")).where("_draws > 0") \
+        .select("id", "lat", "lng", "city", "country", F.explode(F.sequence(F.lit(1), F.col("_draws"))).alias("draw"))
     k, i = F.col("id"), F.col("draw")
     s = seed * 31
     lat = F.least(F.greatest(F.col("lat") + _uniform(k, i, s + 1, -jitter_deg, jitter_deg), F.lit(-90.0)), F.lit(90.0))
