@@ -2,13 +2,14 @@
 
 1. One Arrow pass over the texts makes per document: the number of distinct
    word shingles, a 128-bit digest of the shingle set, ``bands * rows``
-   universal-hash minima (eight bits each are kept as the signature) and one
-   64-bit key per band.
+   universal-hash minima (eight bits of each, mixed first, are kept as the
+   signature) and one 64-bit key per band.
 2. Documents with equal shingle sets form a class; only its representative
    (smallest doc_id) goes on, so thousands of copies cost one row.
 3. In every band bucket each member is paired with the bucket's smallest
-   member (a star: as many pairs as rows).  Pairs are screened by signature
-   and confirmed on the full shingle sets.
+   member (a star: as many pairs as rows).  Pairs are screened by size and
+   signature and confirmed on the full shingle sets; a member's partners are
+   dealt to blocks, and its own set is sent once to each.
 4. Components by large-star / small-star.
 5. Buckets that still hold several components are searched in full, as blocks
    of signatures, for members of different components that look alike; these
@@ -82,6 +83,13 @@ def minima(x: np.ndarray, a: np.ndarray, b: np.ndarray, block: int = 512) -> np.
     return best
 
 
+def signature(m: np.ndarray) -> bytes:
+    """One byte of each minimum, mixed first: a minimum over many shingles is a small number, whose own top byte is 0."""
+    y = m * _MIX[0]
+    y ^= y >> np.uint64(29)
+    return (y * _MIX[2] >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
 def _sketcher(words: int, bands: int, rows: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = hash_family(bands * rows, seed)
@@ -96,7 +104,7 @@ def _sketcher(words: int, bands: int, rows: int, seed: int):
                     continue
                 m = minima(x, a, b)
                 hashes.append(xxhash.xxh128_digest(x.tobytes()))
-                sigs.append((m >> np.uint64(56)).astype(np.uint8).tobytes())
+                sigs.append(signature(m))
                 parts = m.reshape(bands, rows)
                 keys.append([xxhash.xxh64_intdigest(p.tobytes(), seed=i) - (1 << 63) for i, p in enumerate(parts)])
             yield pa.RecordBatch.from_arrays(
@@ -131,18 +139,19 @@ def _set_maker(words: int):
 
 
 def _confirm(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ok = []
-            for s, t in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(s.as_buffer(), "<u8"), np.frombuffer(t.as_buffer(), "<u8")
-                small, large = min(len(x), len(y)), max(len(x), len(y))
-                if 100 * small < percent * large:
-                    ok.append(False)
-                    continue
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+    """Links of one document (the row without ``b``) with a block of its partners, on full sets."""
+    def run(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, others, links = [], [], []  # rows that share a doc_id are one vertex with several sets
+        t = pa.Table.from_batches(list(group))
+        a = t.column("a")[0].as_py()
+        for b, s in zip(t.column("b").to_pylist(), t.column("s").combine_chunks()):
+            x = np.frombuffer(s.as_buffer(), "<u8")
+            own.append(x) if b is None else others.append((b, x))
+        for b, y in others:
+            both = [len(np.intersect1d(x, y, assume_unique=True)) for x in own]
+            if any(100 * n >= percent * (len(x) + len(y) - n) for n, x in zip(both, own)):
+                links.append(b)
+        yield _pairs([a] * len(links), links)
     return run
 
 
@@ -260,7 +269,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     classes = s.where("n_shingles > 0 and doc_id is not null").groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
     reps = staged(s.where("n_shingles > 0").join(classes.withColumnRenamed("rep", "doc_id"), ["set_hash", "doc_id"], "semi")
                   .dropDuplicates(["doc_id", "set_hash"])
-                  .select(F.col("doc_id").alias("rep"), "sig", "bands"), "minhash-reps")
+                  .select(F.col("doc_id").alias("rep"), "sig", "bands", F.col("n_shingles").alias("n")), "minhash-reps")
     members = reps.select("rep", F.explode("bands").alias("key"))
     # the bucket's smallest member stands for it; buckets of one row vanish here
     centres = members.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")) \
@@ -287,17 +296,27 @@ def _sets_of(base: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return base.join(wanted, "doc_id", "semi").mapInArrow(_set_maker(words), "doc_id long, s binary").where(F.length("s") > 0)
 
 
-def _checked(base: DataFrame, reps: DataFrame, pairs: DataFrame, words: int, percent: int, limit: float) -> DataFrame:
-    """Pairs (a, b) that pass the signature screen and then the exact test, staged."""
-    left, right = (reps.select(F.col("rep").alias(k), F.col("sig").alias("sig_" + k)) for k in "ab")
-    pairs = staged(pairs.join(left, "a").join(right, "b").select("a", "b", "sig_a", "sig_b")
+def _checked(base: DataFrame, reps: DataFrame, pairs: DataFrame, words: int, percent: int, limit: float,
+             rows: int = 256, shingles: int = 500_000) -> DataFrame:
+    """Pairs (a, b) whose sizes allow a link, that pass the signature screen and then the exact test, staged.
+
+    ``a`` may have any number of partners: they are dealt to blocks of about
+    ``rows`` rows and ``shingles`` shingles, and the set of ``a`` is sent once
+    to each block.
+    """
+    left, right = (reps.select(F.col("rep").alias(k), F.col("sig").alias("sig_" + k), F.col("n").alias("n_" + k)) for k in "ab")
+    pairs = staged(pairs.join(left, "a").join(right, "b")
+                   .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b", "sig_a", "sig_b")
                    .mapInArrow(_screen(limit), "a long, b long").distinct(), "minhash-pairs")
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     sets = staged(_sets_of(base, wanted, words), "minhash-sets")
-    return staged(pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("s_a")), "a")
-                  .join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("s_b")), "b")
-                  .select("a", "b", "s_a", "s_b").mapInArrow(_confirm(percent), "a long, b long").distinct(),
-                  "minhash-links")
+    cuts = pairs.join(reps.select(F.col("rep").alias("b"), "n"), "b").groupBy("a").agg(
+        F.greatest(F.ceil(F.count("*") / rows), F.ceil(F.sum("n") / shingles)).cast("int").alias("cuts"))
+    others = pairs.join(sets.withColumnRenamed("doc_id", "b"), "b").join(cuts, "a") \
+        .select("a", F.pmod(F.xxhash64("b"), F.col("cuts")).cast("int").alias("cut"), "b", "s")
+    own = sets.withColumnRenamed("doc_id", "a").join(cuts, "a") \
+        .select("a", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"), F.lit(None).cast("long").alias("b"), "s")
+    return staged(others.union(own).groupBy("a", "cut").applyInArrow(_confirm(percent), "a long, b long").distinct(), "minhash-links")
 
 
 def _alike(shared: DataFrame, reps: DataFrame, labels: DataFrame, limit: float, block: int) -> DataFrame:

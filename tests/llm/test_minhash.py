@@ -4,6 +4,9 @@ import itertools
 import random
 import re
 
+import numpy as np
+import pytest
+
 from geoweave.llm import minhash
 from geoweave.llm.components import connected_components
 
@@ -59,6 +62,34 @@ def test_links_that_no_star_finds(spark):
         assert _got(minhash.near_duplicates(docs, words=3, percent=percent, bucket_block=7)) == brute(rows, 3, percent)
 
 
+@pytest.mark.parametrize("shingles", [50, 300, 1000, 3000, 20000])
+def test_signature_estimates_likeness_at_every_length(shingles):
+    a, b = minhash.hash_family(308, 11)
+    rng = np.random.default_rng(shingles)
+
+    def sig(x):
+        return np.frombuffer(minhash.signature(minhash.minima(np.sort(x), a, b)), np.uint8)
+    x, y = (rng.integers(0, 2 ** 63, shingles).astype(np.uint64) for _ in range(2))
+    assert abs(minhash._likeness(sig(x), sig(y))) < 0.05          # disjoint
+    half = np.concatenate([x[: shingles // 2], y[: shingles - shingles // 2]])
+    assert abs(minhash._likeness(sig(x), sig(half)) - 1 / 3) < 0.12
+    assert minhash._likeness(sig(x), sig(x)) == 1.0
+
+
+def test_hub_with_more_partners_than_a_block(spark):
+    """One document links with hundreds; some of its partners are too short or too different."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(80)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 700):
+        words = list(base[: rng.choice((80, 80, 78, 60))])
+        for _ in range(rng.choice((1, 2, 3, 12))):
+            words[rng.randrange(len(words))] = f"v{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert _got(minhash.near_duplicates(docs, words=3, percent=80)) == brute(rows, 3, 80)
+
+
 def test_nulls_blanks_ties_and_extra_columns(nasty, empty):
     out = minhash.near_duplicates(nasty, words=3, percent=85).collect()
     assert len(out) == nasty.count()
