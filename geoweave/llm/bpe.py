@@ -21,6 +21,7 @@ whose ids do not all arrive stops the job.
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -151,12 +152,13 @@ def _encode_words(path: str):
     remembered for its continuation in the next.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads of their own cost memory
         from tokenizers import Tokenizer
         tok = Tokenizer.from_file(path)
         tok.no_padding()
         tok.no_truncation()
         last, last_ids = None, None
-        for batch in _runs(batches, 40_000):
+        for batch in _runs(batches, 4_000):
             coded = pc.dictionary_encode(batch.column(0))
             words = coded.dictionary.to_pylist()
             skip = int(words[0] == last)
