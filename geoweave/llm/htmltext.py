@@ -107,37 +107,57 @@ def _raw_end(source: str, tag: str, at: int) -> int:
     return found.end() if found else len(source)
 
 
-def _hidden_end(source: str, tag: str, at: int, around: set[str]) -> int | None:
-    """Where a hidden element ends whose content starts at ``at``; None if it is never closed.
-
-    That is so if the page or a block ``around`` it ends first.  A head also
-    ends where the body or its first block begins.
-    """
-    nested, inside = 1, {}
-    while m := TOKEN.search(source, at):
-        at = m.end()
-        name = (m["name"] or m["name2"] or "").lower()
-        attrs = m["attrs"] or m["attrs2"] or ""
-        if m["end"] or m["end2"]:
-            if name == tag:
-                nested -= 1
-                if nested == 0:
-                    return at
-            elif inside.get(name):
-                inside[name] -= 1
-            elif name in around and tag != "head":
-                return None
-        elif not name or attrs.endswith("/") or name in VOID:
-            continue
-        elif tag == "head" and name in BLOCK - {"html"}:
-            return m.start()
-        elif name == tag:
-            nested += 1
-        elif name in HIDDEN and name in RAW:
-            at = _raw_end(source, name, at)
-        elif name in BLOCK:
-            inside[name] = inside.get(name, 0) + 1
-    return None
+class _HiddenEnds:
+    """Where the hidden elements of a page end, found in one scan per name and stretch of the page."""
+
+    def __init__(self, source: str):
+        self.source = source
+        self.known: dict[int, int | None] = {}  # by the start of the content
+
+    def find(self, tag: str, at: int, around: dict) -> int | None:
+        """End of the hidden element whose content starts at ``at``; None if it is never closed.
+
+        That is so if the page or a block ``around`` it (a name with open
+        elements) ends first.  A head also ends where the body or its first
+        block begins.  Elements of the same name below it are settled in the
+        same scan.
+        """
+        if at in self.known:
+            return self.known[at]
+        opens, alive, inside = [at], [0], {}  # starts; which of them can still be closed; blocks below, by len(opens)
+        pos = at
+        while m := TOKEN.search(self.source, pos):
+            pos = m.end()
+            name = (m["name"] or m["name2"] or "").lower()
+            attrs = m["attrs"] or m["attrs2"] or ""
+            if m["end"] or m["end2"]:
+                if name == tag:
+                    start = opens.pop()
+                    if alive[-1] == len(opens):
+                        alive.pop()
+                        self.known[start] = pos
+                    if not opens:
+                        return pos
+                elif inside.get(name):
+                    below = inside[name].pop()
+                    while alive[-1] >= below:  # opened in the block that ends here
+                        self.known[opens[alive.pop()]] = None
+                elif tag != "head" and name in BLOCK and around.get(name):
+                    break
+            elif not name or attrs.endswith("/") or name in VOID:
+                continue
+            elif tag == "head" and name in BLOCK and name != "html":
+                self.known[at] = m.start()
+                return m.start()
+            elif name == tag:
+                alive.append(len(opens))
+                opens.append(pos)
+            elif name in HIDDEN and name in RAW:
+                pos = _raw_end(self.source, name, pos)
+            elif name in BLOCK:
+                inside.setdefault(name, []).append(len(opens))
+        self.known.update((opens[k], None) for k in alive)
+        return None
 
 
 def parse(source: str | None) -> Page:
@@ -149,6 +169,12 @@ def parse(source: str | None) -> Page:
     page, stack = Page(), []
     source = source or ""
     last_end: dict[str, int] = {}  # where the last end tag of a hidden element is
+    hidden = _HiddenEnds(source)
+    where: dict[str, list[int]] = {}  # stack positions of the open elements of a name
+
+    def last(names) -> int:
+        """Highest stack position of an open element with one of the names, or -1; html and body do not count."""
+        return max((where[n][-1] for n in names if where.get(n) and where[n][-1] > 1), default=-1)
 
     def open_(tag, attrs):
         at, up = len(page.tag), stack[-1] if stack else -1
@@ -167,6 +193,7 @@ def parse(source: str | None) -> Page:
         page.stats.append([0, 0, 0, 0])
         if stack:
             page.children[up] += 1
+        where.setdefault(tag, []).append(len(stack))
         stack.append(at)
         if tag in BLOCK:
             page.items.append((at, ""))
@@ -174,6 +201,7 @@ def parse(source: str | None) -> Page:
     def close(to):
         """Close open elements down to and with stack position ``to``."""
         for at in stack[to:]:
+            where[page.tag[at]].pop()
             page.end[at] = len(page.tag)
             if page.tag[at] in BLOCK:
                 page.items.append((at, ""))
@@ -218,7 +246,7 @@ def parse(source: str | None) -> Page:
                 if tag not in last_end:
                     last_end[tag] = max((e.start() for e in re.finditer(rf"</{tag}\b", source, re.I)), default=-1)
                 if tag == "head" or last_end[tag] >= at:
-                    end = _hidden_end(source, tag, at, {page.tag[k] for k in stack} & BLOCK)
+                    end = hidden.find(tag, at, where)
                     at = at if end is None else end
             continue
         if tag in ("html", "body"):
@@ -228,27 +256,19 @@ def parse(source: str | None) -> Page:
                 page.tokens[k] |= mask
             continue
         if ending:
-            k = len(stack) - 1
-            while k > 1 and page.tag[stack[k]] != tag:
-                k -= 1
+            k = last((tag,))
             if k > 1:
                 close(k)
             continue
         if tag in ENDS_P:
-            for k in range(len(stack) - 1, 1, -1):
-                if page.tag[stack[k]] == "p":
-                    close(k)
-                    break
-                if page.tag[stack[k]] in SCOPE:
-                    break
+            k = last(("p",))
+            if k > last(SCOPE):
+                close(k)
         if tag in CLOSES:
             own, stop = CLOSES[tag]
-            for k in range(len(stack) - 1, 1, -1):
-                if page.tag[stack[k]] in stop:
-                    break
-                if page.tag[stack[k]] in own:
-                    close(k)
-                    break
+            k = last(own)
+            if k > last(stop):
+                close(k)
         if tag in VOID or attrs.endswith("/"):
             if tag in ("br", "hr"):
                 page.items.append((stack[-1], " " if tag == "br" else "\0"))

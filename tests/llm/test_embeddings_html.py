@@ -162,6 +162,17 @@ def test_unclosed_and_nested_hidden_elements(tag):
     assert _all_text("<p>So <math><mi>x</mi> = 1</math> holds</p>") == "So x = 1 holds"
 
 
+@pytest.mark.parametrize("source", [
+    "<svg>" * 100_000 + "</svg>", "<svg><button>" * 50_000 + "</svg></button>", "<div><svg>" * 50_000 + "</div>" * 50_000,
+    "<div>" * 30_000 + "<svg>" * 30_000 + "</div>" * 30_000 + "</svg>", "<div>" * 50_000 + "</p>" * 50_000,
+    "<span>" * 50_000 + "</b>" * 50_000, "<li><span>" * 50_000], ids=["svg", "two", "nested", "closed", "blocks", "stray", "items"])
+def test_hostile_pages_take_linear_time(source):
+    import time
+    start = time.process_time()
+    ht.parse(source)
+    assert time.process_time() - start < 10  # quadratic parsing takes minutes
+
+
 def test_odd_pages(spark, model):
     sources = ["", None, "   ", "plain text,  no\nmarkup &lt;x&gt;", "<p>unclosed <b>markup", "<<>< <p>", "<div" * 50, "<p>" + "a " * 200_000 + "</p>",
                "<html><body></body></html>", "</p></div>", "<script>only()</script>", "<p class='x", "<![CDATA[ data ]]>", "<div>" * 3000 + "deep"]
