@@ -67,6 +67,14 @@ def text_first(docs: DataFrame, text_col: str, keep_text: bool):
     return d, d.schema.fields if keep_text else d.schema.fields[1:]
 
 
+def without(docs: DataFrame, text_col: str, *out: str) -> DataFrame:
+    """``docs`` without the columns that an operator is about to write (compared case-insensitively)."""
+    low = {name.lower() for name in out}
+    if text_col.lower() in low:
+        raise ValueError(f"the text column {text_col} cannot be an output")
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in low])
+
+
 def fresh(taken: list[str], name: str) -> str:
     """``name``, with underscores put in front until no column has it (case-insensitively)."""
     low = {c.lower() for c in taken}

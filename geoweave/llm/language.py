@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from geoweave.llm.common import fold_of, text_first
+from geoweave.llm.common import fold_of, text_first, without
 
 SPACE = 32
 UNKNOWN = "und"
@@ -187,11 +187,11 @@ def predict(docs: DataFrame, profiles: Profiles, text_col: str = "text", out: tu
 
     The language is a learned one, or ``und`` with score 0 when the text is
     null or has no letter (or nothing was learned).  Equal cosines go to the
-    language first in order.  The names in ``out`` must not be columns of
-    ``docs``; other columns pass through.  Repeated rows are judged as often
-    as they occur; an empty table gives none.
+    language first in order.  Columns of ``docs`` named like those in ``out``
+    (in any case) are replaced; other columns pass through.  Repeated rows are
+    judged as often as they occur; an empty table gives none.
     """
-    d, kept = text_first(docs, text_col, keep_text)
+    d, kept = text_first(without(docs, text_col, *out), text_col, keep_text)
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(profiles))  # languages * dims doubles
     kinds = (StringType(), DoubleType(), LongType())
     schema = StructType([*kept, *(StructField(name, kind) for name, kind in zip(out, kinds))])

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from geoweave.llm.common import fold_of, text_first
+from geoweave.llm.common import fold_of, text_first, without
 
 WORD_BITS, SHAPE_BITS = 17, 16
 DIM = (1 << WORD_BITS) + (1 << SHAPE_BITS)
@@ -181,9 +181,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, held_ou
 
     N-gram counts come from every training row (one partial count per task,
     at most two numbers per hashed n-gram); the linear model is fitted on the
-    ``sample_rows`` training rows with the smallest hash of their id, a
-    documented bound that keeps the fit in driver memory.
-    Labels other than 0 and 1, and several labels of one id, do not train.
+    ``sample_rows`` training documents (labelled and in ``docs``) with the
+    smallest hash of their id, a documented bound that keeps the fit in driver
+    memory.  Labels other than 0 and 1, and several labels of one id, do not
+    train.  Without a training row every text scores 0.5.
     """
     lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")) \
         .where("label in (0, 1) and doc_id is not null").groupBy("doc_id") \
@@ -198,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, held_ou
     for cls, feature, n in rows.select("text", "label").mapInArrow(_counter, "cls long, feature long, n long") \
             .groupBy("cls", "feature").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[cls, feature] = n
-    chosen = lab.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    chosen = rows.select("doc_id", "label").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     sample = d.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label") \
         .mapInArrow(_featuriser, "doc_id long, label int, x binary").collect()
     sample.sort(key=lambda r: (xxhash.xxh64_intdigest(str(r[0])), bytes(r[2])))
@@ -216,11 +217,11 @@ def _featuriser(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score", keep_text: bool = False) -> DataFrame:
     """``docs`` (without its text unless ``keep_text``) plus column ``out``: 0..1, higher means label 1 likelier.
 
-    ``out`` must not be a column of ``docs``; other columns pass through.
-    Null, empty and blank texts get the score of a text without n-grams.
+    A column of ``docs`` named like ``out`` (in any case) is replaced; other
+    columns pass through.  Null, empty and blank texts get the score of a text without n-grams.
     Repeated rows are scored as often as they occur; an empty table gives none.
     """
-    d, kept = text_first(docs, text_col, keep_text)
+    d, kept = text_first(without(docs, text_col, out), text_col, keep_text)
     shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))  # 2 * DIM doubles, fixed size
     schema = StructType([*kept, StructField(out, DoubleType())])
     return d.mapInArrow(_scorer(shared, len(d.columns) - len(kept), out), schema)

@@ -34,6 +34,20 @@ def test_quality_rules(spark, nasty, empty, sf):
     none = quality.train(empty, labels, held_out_fold=None)   # nothing learned: one constant score
     assert len({r.score for r in quality.score(d, none).collect()}) == 1
     assert quality.score(nasty, model, out="other", keep_text=True).columns[-1] == "other"
+    # a clashing column of the input gives way to the result
+    again = quality.score(nasty.withColumnRenamed("score", "Score"), model, keep_text=True)
+    assert again.columns[-1] == "score" and [c.lower() for c in again.columns].count("score") == 1
+    assert sorted(r.score for r in again.collect()) == sorted(r.score for r in out)
+
+
+def test_quality_sample_is_drawn_from_the_documents_at_hand(spark):
+    """Labels of documents that are not there take no place in the bounded sample."""
+    rows = [(10_000 + i, ("good fine prose here " if i % 2 else "buy now click win ") * 5) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2000)] + [(i, int(i % 2)) for i, _ in rows], "doc_id long, quality int")
+    model = quality.train(docs, labels, sample_rows=20, held_out_fold=None)
+    got = {r.doc_id: r.score for r in quality.score(docs, model).collect()}
+    assert min(v for i, v in got.items() if i % 2) > 0.5 > max(v for i, v in got.items() if i % 2 == 0)
 
 
 def test_quality_dual_coordinate_descent_reaches_the_optimum():
@@ -67,6 +81,11 @@ def test_language_rules(nasty, empty):
         assert (out[i, t].lang_pred, out[i, t].score) == ("und", 0.0)
     assert all(r.lang_pred in ("en", "fr") and 0 <= r.score <= 1 for k, r in out.items() if k[0] not in (0, 1, 2, 3))
     assert language.predict(empty.drop("score"), p).collect() == []
+    clash = nasty.withColumnRenamed("rep", "LANG_PRED")  # clashing columns of the input give way to the result
+    again = language.predict(clash, p)
+    assert sorted(c.lower() for c in again.columns).count("lang_pred") == 1 and again.columns[-2:] == ["lang_pred", "score"]
+    plain = language.predict(nasty.drop("score", "rep"), p)
+    assert sorted((r.lang_pred, r.score) for r in again.collect()) == sorted((r.lang_pred, r.score) for r in plain.collect())
     nothing = language.train(empty, held_out_fold=None)
     assert {r.lang_pred for r in language.predict(nasty.drop("score"), nothing).collect()} == {"und"}
 
