@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from geoweave.llm.common import staged
 from geoweave.llm.components import connected_components
 
-SKETCH = "doc_id long, n_shingles long, set_hash binary, sig binary, bands array<long>"
+SKETCH = "doc_id long, n_shingles long, set_hash binary, sig binary, bands array<long>, text_key long"
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xFF51AFD7ED558CCD))
 #: Below the threshold by this much, a signature estimate rules a pair out (over five standard deviations
 #: at 300 minima).
@@ -109,8 +109,8 @@ def _sketcher(words: int, bands: int, rows: int, seed: int):
                 keys.append([xxhash.xxh64_intdigest(p.tobytes(), seed=i) - (1 << 63) for i, p in enumerate(parts)])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(hashes, pa.binary()),
-                 pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_hash", "sig", "bands"])
+                 pa.array(sigs, pa.binary()), pa.array(keys, pa.list_(pa.int64())), batch.column(2)],
+                names=["doc_id", "n_shingles", "set_hash", "sig", "bands", "text_key"])
     return run
 
 
@@ -241,14 +241,15 @@ def _exact_links(percent: int):
 
 
 def sketch(docs: DataFrame, words: int, bands: int, rows: int, seed: int, id_col="doc_id", text_col="text"):
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key")) \
         .mapInArrow(_sketcher(words, bands, rows, seed), SKETCH)
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 44, rows: int = 7,
                     seed: int = 11, bucket_block: int = 2000, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+                    text_col: str = "text", text_key: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, and with ``text_key`` the xxhash64 of its text.
 
     Two documents are linked when ``100 * |A and B| >= percent * |A or B|`` on
     their full sets of ``words``-word shingles; ``component_id`` is the
@@ -284,9 +285,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
         labels = connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
                                       .union(more.select("a", "b")))
     labels = labels.distinct()
-    return (s.select("doc_id", "n_shingles", "set_hash").join(classes, "set_hash", "left")
+    return (s.select("doc_id", "n_shingles", "set_hash", "text_key").join(classes, "set_hash", "left")
             .join(labels, F.col("rep") == F.col("node"), "left")
-            .select("doc_id", "n_shingles",
+            .select("doc_id", "n_shingles", *["text_key"] * text_key,
                     F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 

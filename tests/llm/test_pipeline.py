@@ -70,3 +70,11 @@ def test_one_document_of_each_group_stays(spark, sf, nasty):
     out = [r.doc_id for r in cp.one_of_each_group(spark, nasty, sf).collect()]
     assert out.count(5) == 1 and 40 not in out       # repeated row once, copy gone
     assert out.count(None) == 1 and {0, 1, 2} <= set(out)  # texts without words are copies of nothing
+
+
+def test_reused_doc_id_loses_only_copies(spark, sf):
+    x, y = ("one two three four five six seven eight " * 3, "another text that is a copy of nothing at all here")
+    docs = spark.createDataFrame([(3, x, "a"), (5, x, "b"), (5, y, "c"), (5, y, "d"), (7, "short", "e"), (None, x, "f")],
+                                 "doc_id long, text string, text_key string")
+    out = sorted(((r.doc_id, r.text) for r in cp.one_of_each_group(spark, docs, sf).collect()), key=repr)
+    assert out == sorted([(3, x), (5, y), (7, "short"), (None, x)], key=repr)
