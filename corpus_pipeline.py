@@ -45,13 +45,17 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of every near-duplicate group (five-word shingles, similarity 0.8).
 
-    Rows that share a doc_id are one document; rows without one all stay.
+    Rows are told apart by doc_id and text: of rows that share a doc_id only
+    those go that are copies of another document or of each other.  Rows
+    without a doc_id all stay.
     """
     small_batches(spark)
-    kept = minhash.near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    nth = fresh(docs.columns, "nth")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    return (docs.join(kept, "doc_id", "semi").withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1)
+    near = minhash.near_duplicates(docs, text_key=True).where("kept and doc_id is not null")
+    key, nth = fresh(docs.columns, "text_key"), fresh(docs.columns, "nth")
+    kept = near.select("doc_id", F.col("text_key").alias(key)).distinct()
+    first = Window.partitionBy("doc_id", key).orderBy("text")
+    return (docs.withColumn(key, F.xxhash64("text")).join(kept, ["doc_id", key], "semi")
+            .withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1)
             .select(*docs.columns).unionByName(docs.where("doc_id is null")))
 
 
