@@ -40,6 +40,9 @@ def parse(argv=None) -> argparse.Namespace:
                    help="first write the observations as a table bucketed by cell (then read from it)")
     p.add_argument("--bucket-path", default=None, help="storage path of the --bucket-into table")
     p.add_argument("--buckets", type=int, default=200, help="number of buckets for --bucket-into")
+    p.add_argument("--state-path", default=None,
+                   help="keep a per-cell state there, so that a run reads only new observation files")
+    p.add_argument("--run-id", default=None, help="append the output as this run; the same id again replaces it")
     p.add_argument("--explain", action="store_true", help="print the formatted physical plan to stderr first")
     p.add_argument("--master", default=None)
     return p.parse_args(argv)
@@ -61,7 +64,7 @@ def main(argv=None) -> int:
     cfg = EnrichConfig(places_path=a.restaurant_path, observations_path=a.weather_path,
                        output_path=a.output_path, fill_coordinates=not a.no_geocode,
                        lookup_path=a.lookup_path, fill_from_places=a.fill_from_places, repair_invalid=a.repair_invalid,
-                       observations_table=a.weather_table,
+                       observations_table=a.weather_table, state_path=a.state_path, run_id=a.run_id,
                        geohash_precision=a.precision, dedupe=a.dedupe,
                        order_key=a.order_key)
     if a.explain:

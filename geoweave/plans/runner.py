@@ -8,6 +8,7 @@ come from ``observe`` on that same job instead of extra counts.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,7 +18,8 @@ from .. import schemas
 from ..operators import enrich as en
 from ..operators import lookup as lk
 from ..operators.quality import is_valid
-from ..sinks.files import write_partitioned
+from ..operators.state import CellState
+from ..sinks.files import append_run, write_partitioned
 from ..sources import files as src
 from . import report as rp
 from .config import EnrichConfig
@@ -52,7 +54,8 @@ def prepare_places(spark: SparkSession, places: DataFrame, cfg: EnrichConfig, lo
         return places
     if lookup is None and cfg.lookup_path:
         if resolver is not None:
-            lookup = lk.extend_lookup(spark, lk.lookup_keys(places), cfg.lookup_path, resolver)
+            lookup = lk.extend_lookup(spark, lk.lookup_keys(places), cfg.lookup_path, resolver, attempts_path=cfg.attempts_path,
+                                      retry_after=timedelta(days=cfg.retry_days))
         else:
             lookup = spark.read.schema(schemas.LOOKUP).parquet(cfg.lookup_path)
     if lookup is None and cfg.fill_from_places:
@@ -66,6 +69,8 @@ def build(spark: SparkSession, cfg: EnrichConfig, places: DataFrame | None = Non
     """The enriched plan (lazy) and whether observations were found."""
     places = places if places is not None else read_places(spark, cfg)
     places = prepare_places(spark, places, cfg, lookup, resolver)
+    if observations is None and cfg.state_path:
+        return _from_state(spark, cfg, places)
     if observations is None and cfg.observations_table:
         observations = spark.table(cfg.observations_table)  # keeps a bucket spec
     if observations is None:
@@ -80,6 +85,21 @@ def build(spark: SparkSession, cfg: EnrichConfig, places: DataFrame | None = Non
     return out, True
 
 
+def _from_state(spark: SparkSession, cfg: EnrichConfig, places: DataFrame) -> tuple[DataFrame, bool]:
+    """Enrich from the stored per-cell state, after the new observation files have gone into it."""
+    if cfg.dedupe != "avg" or cfg.observations_table:
+        raise ValueError("a state holds averages of the files under observations_path (dedupe='avg', no table)")
+    state = CellState(spark, cfg.state_path, cfg.geohash_precision, cfg.order_key)
+    try:
+        state.advance(cfg.observations_path)
+    except AnalysisException as e:
+        if not _is_missing_path(e):
+            raise
+        if state.content is None:
+            return en.add_geohash(places, cfg.geohash_precision), False
+    return en.join_cells(places, state.reduced(), cfg.geohash_precision), True
+
+
 def run(spark: SparkSession, cfg: EnrichConfig, places: DataFrame | None = None,
         observations: DataFrame | None = None, lookup: DataFrame | None = None, resolver=None) -> RunResult:
     enriched, joined = build(spark, cfg, places, observations, lookup, resolver)
@@ -87,7 +107,11 @@ def run(spark: SparkSession, cfg: EnrichConfig, places: DataFrame | None = None,
     metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(is_valid()).alias("valid_coordinates")]
     if any(c.startswith("weather_") for c in enriched.columns):
         metrics.append(F.count_if(rp.has_match(enriched)).alias("matched"))
-    write_partitioned(enriched, cfg.output_path, cfg.partition_columns, cfg.write_mode,
-                      max_records_per_file=cfg.max_records_per_file, observe=(obs, metrics))
+    if cfg.run_id is not None:
+        append_run(enriched, cfg.output_path, cfg.run_id, cfg.partition_columns, max_records_per_file=cfg.max_records_per_file,
+                   observe=(obs, metrics))
+    else:
+        write_partitioned(enriched, cfg.output_path, cfg.partition_columns, cfg.write_mode,
+                          max_records_per_file=cfg.max_records_per_file, observe=(obs, metrics))
     out = spark.read.schema(enriched.schema).parquet(cfg.output_path)  # written types, also of partition values
     return RunResult(output=out.select(*enriched.columns), weather_joined=joined, metrics=dict(obs.get))

@@ -275,3 +275,28 @@ def test_exact_number_of_records_without_a_job_at_plan_time(spark):
     assert synth_observations(p.where("false"), records=10).count() == 0
     a, b = (synth_observations(x, records=n + 40) for x in (p, p.repartition(9)))
     assert _sorted(a) == _sorted(b)
+
+
+# ------------------------------------------------------------------- the job
+
+def test_job_with_state_and_run_id(spark, places, places_csv, tmp_path):
+    """Deliveries arrive between runs; every run's output equals a run over all files, and a repeated run changes nothing."""
+    from geoweave.plans.config import EnrichConfig
+    from geoweave.plans.runner import run
+    rows = [(i, 41.16, -8.62, float(i), 2.0 * i, f"2023-05-{11 - i:02d}") for i in range(6)] + [(9, 52.08, 5.11, 3.0, 4.0, "2023-05-12")]
+    obs = spark.createDataFrame(rows, "event_id long, lat double, lng double, avg_tmpr_f double, avg_tmpr_c double, wthr_date string")
+    path = str(tmp_path / "obs")
+    cfg = EnrichConfig(places_path=places_csv, observations_path=path, output_path=str(tmp_path / "out"), state_path=str(tmp_path / "state"),
+                       run_id="nightly", fill_coordinates=False)
+    assert run(spark, cfg).weather_joined is False  # no observations yet
+    for part in (obs.where("event_id >= 3"), obs.where("event_id < 3")):
+        part.coalesce(1).write.mode("append").parquet(path)
+        first = run(spark, cfg)
+        once = _sorted(first.output)
+        plain = run(spark, EnrichConfig(places_path=places_csv, observations_path=path, output_path=str(tmp_path / "plain"), fill_coordinates=False))
+        assert once == _sorted(plain.output.select(*first.output.columns))
+        assert first.metrics["matched"] == plain.metrics["matched"] == 2
+        assert _sorted(run(spark, cfg).output) == once
+    assert {r.weather_wthr_date for r in run(spark, cfg).output.collect()} == {"2023-05-11", "2023-05-12", None}
+    with pytest.raises(ValueError, match="averages"):
+        run(spark, EnrichConfig(places_path=places_csv, observations_path=path, output_path="x", state_path="y", dedupe="first"))
