@@ -8,7 +8,8 @@ positions is found by binary search on the length.
 
 A fingerprint is the sorted list of the smallest mixed hashes of all spans of
 ``SPAN`` characters; the likeness of two fingerprints estimates the share of
-spans the texts have in common.
+spans the texts have in common.  How far two texts agree from their start on
+is their longest common extension at 0, found on the prefix arrays.
 """
 
 from __future__ import annotations
@@ -144,8 +145,9 @@ class _Print:
         self.n = len(self.codes)
         self.width = min(SPAN, self.n)
         self.hashes = np.empty(0, np.uint64)
+        self.prefix = PrefixHash(self.codes)
         if self.n:
-            self.hashes = _mixed(PrefixHash(self.codes).windows(0, self.n - self.width + 1, self.width))
+            self.hashes = _mixed(self.prefix.windows(0, self.n - self.width + 1, self.width))
         self.values = smallest(self.hashes, KEEP)
 
     def edited(self, other: _Print) -> tuple[bytes, np.ndarray]:
@@ -166,13 +168,20 @@ class _Print:
         return data, smallest(np.concatenate((self.hashes[:max(0, kept)], fresh)), KEEP)
 
 
+    def same_start(self, other: _Print) -> tuple[int, int]:
+        """Longest common prefix with the edited text, and with ``other``."""
+        q = self.n // 4
+        m = self.n - q
+        return m + min(common_extension(self.prefix, m, other.prefix, 0), q, other.n), common_extension(self.prefix, 0, other.prefix, 0)
+
+
 COLUMNS = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-           "near_edited double, near_next double")
+           "near_edited double, near_next double, prefix_edited long, prefix_next long")
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (bucket, borrowed, doc_id, text) in order; a bucket ends with the first row of the next one."""
-    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int64())
     before = None
     for batch in batches:
         out = [[] for _ in kinds]
@@ -186,7 +195,7 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 data, values = last.edited(now)
                 for column, x in zip(out, (before[1], last.n, hashlib.sha256(data).hexdigest(), as_text(last.values),
                                            as_text(values), likeness(last.values, values),
-                                           likeness(last.values, now.values))):
+                                           likeness(last.values, now.values), *last.same_start(now))):
                     column.append(x)
             before = None if borrowed else (bucket, doc_id, now)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)],
@@ -208,11 +217,13 @@ def _place(x: Column, bounds: list[int], fan: int = 256) -> Column:
 
 def fingerprints(docs: DataFrame, rows_per_bucket: int = 4000, max_buckets: int = 65_536, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
-    """Fingerprint of every whole text and of its edited text, and two likenesses.
+    """Fingerprint of every whole text and of its edited text, two likenesses and two common prefixes.
 
     The edited text has its last quarter (rounded down, in code points)
     replaced by as many first code points of the next document in ascending
     doc_id (all of them if it has fewer); the first document follows the last.
+    ``prefix_edited`` and ``prefix_next`` are the lengths, in code points, of
+    the longest common prefix with the edited text and with the next document.
     Equal texts have equal fingerprints.  Null texts count as empty; two empty
     texts are alike (1.0), an empty and another are not (0.0).  Rows with equal
     doc_id stand in the order of a hash of their text, rows without one come

@@ -1,6 +1,7 @@
 """BPE against the tokenizers library; fingerprints against direct hashing."""
 
 import hashlib
+import os
 import random
 
 import numpy as np
@@ -108,10 +109,36 @@ def test_edited_texts_and_likeness(spark, real_docs):
             a, e, n = (fp._Print(x) for x in (t, edited, nxt))
             assert (r.fingerprint, r.edited_fingerprint) == (fp.as_text(a.values), fp.as_text(e.values))
             assert r.near_edited == fp.likeness(a.values, e.values) and r.near_next == fp.likeness(a.values, n.values)
+            assert (r.prefix_edited, r.prefix_next) == (len(os.path.commonprefix([t, edited])), len(os.path.commonprefix([t, nxt])))
         long = [r for r in out.values() if r.n_chars > 400]
         assert np.mean([r.near_edited for r in long]) > 0.5 and np.median([r.near_next for r in long]) < 0.1
 
 
+def _brute_print(text):
+    """The smallest mixed hashes of a text's spans, each hashed on its own."""
+    codes, width = fp.codes_of(text), min(fp.SPAN, len(text))
+    spans = [_direct(codes, i, i + width) for i in range(len(text) - width + 1)] if text else []
+    return sorted({int(v) for v in fp._mixed(np.array(spans, np.uint64))})[:fp.KEEP]
+
+
+def test_likeness_of_short_texts_equals_direct_comparison(spark):
+    """Texts around the span's length, compared span by span without prefix arrays."""
+    rng = random.Random(4)
+    texts = ["", "a", "ab", "abcdefghijk", "abcdefghijkl", "abcdefghijkl", "abcdefghijklm", "abcdefghijklX", "x" * 40, "x" * 41,
+             *("".join(rng.choice("ab ") for _ in range(rng.randrange(9, 90))) for _ in range(25))]
+    rows = list(enumerate(texts))
+    out = {r.doc_id: r for r in fp.fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    for i, t, edited, nxt in _expect(rows):
+        a, e, n = (_brute_print(x) for x in (t, edited, nxt))
+
+        def like(x, y):
+            union = sorted(set(x) | set(y))[:fp.KEEP]
+            return sum(v in x and v in y for v in union) / len(union) if x and y else float(len(x) == len(y))
+        assert abs(out[i].near_edited - like(a, e)) < 1e-12 and abs(out[i].near_next - like(a, n)) < 1e-12
+        assert out[i].fingerprint == "".join(f"{v:08x}" for v in a)
+        assert (out[i].prefix_edited, out[i].prefix_next) == (len(os.path.commonprefix([t, edited])), len(os.path.commonprefix([t, nxt])))
+
+
 def test_fingerprints_of_nasty_rows(spark, nasty, empty):
     out = fp.fingerprints(nasty).collect()
     assert len(out) == nasty.count() and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in out)
