@@ -91,7 +91,7 @@ class _First:
 
 
 def _by_key(df: DataFrame, order_keys: dict[str, str], columns: list[str]):
-    """By a unique fixed-width key per column: rows, aggregates, columns, order of candidates."""
+    """By a unique fixed-width key per column: preparation of rows, aggregates, columns, order of candidates."""
     aggs, found = [], []
     for i, name in enumerate(columns):
         c, kind, order = F.col(name), df.schema[name].dataType, F.col(order_keys[name])
@@ -108,7 +108,7 @@ def _by_key(df: DataFrame, order_keys: dict[str, str], columns: list[str]):
             known = text_of(F.col(f"_c{i}"))
             need = need & (F.col(f"_c{i}") == 0)  # both columns are read on either side, so the two branches share one plan
         found.append(_First(name, known, need, order == F.col(f"_o{i}")))
-    return df, aggs, found, []
+    return lambda rows: rows, aggs, found, []
 
 
 # The packed order: 8 digits of date, 13 of the first coordinate, 1 (is it exact), 13 of the second, 1 (is it exact).
@@ -126,7 +126,7 @@ def _coordinate(c: Column) -> tuple[Column, Column, Column]:
 
 
 def _by_content(df: DataFrame, parts: list[str], columns: list[str]):
-    """By a list of columns (NULL first): rows, aggregates, columns, order of candidates."""
+    """By a list of columns (NULL first): preparation of rows, aggregates, columns, order of candidates."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
     rest = list(parts)
     date = rest.pop(0) if rest and isinstance(kinds[rest[0]], StringType) else None
@@ -142,11 +142,12 @@ def _by_content(df: DataFrame, parts: list[str], columns: list[str]):
         codes.append((code, exact))
         fits = fits & ok
     (x, x_exact), (y, y_exact) = codes
-    src = (df.withColumn("_x", x).withColumn("_hi", day * 10_000_000_000 + F.expr("_x div 1000"))
-           .withColumn("_lo", (F.col("_x") % 1000) * 10 ** 15 + x_exact * F.lit(10 ** 14) + y * 10 + y_exact)
-           .withColumn("_odd", (~fits).cast("int")).drop("_x"))
     packed = F.col("_hi").cast("decimal(18,0)") * F.lit(_HALF).cast("decimal(19,0)") + F.col("_lo").cast("decimal(18,0)")
-    src = src.withColumn("_rank", packed.cast("decimal(38,0)"))
+
+    def prepared(rows: DataFrame) -> DataFrame:
+        return (rows.withColumn("_x", x).withColumn("_hi", day * 10_000_000_000 + F.expr("_x div 1000"))
+                .withColumn("_lo", (F.col("_x") % 1000) * 10 ** 15 + x_exact * F.lit(10 ** 14) + y * 10 + y_exact)
+                .withColumn("_odd", (~fits).cast("int")).drop("_x").withColumn("_rank", packed.cast("decimal(38,0)")))
     aggs = [F.max("_odd").alias("_odds")]
     found = []
     for i, name in enumerate(columns):
@@ -168,25 +169,28 @@ def _by_content(df: DataFrame, parts: list[str], columns: list[str]):
             open_ = F.col("_odds").isNotNull()
         same = (F.col("_odds") == 1) | ((F.col("_hi") == hi) & (F.expr(f"_lo div {10 ** 15}L") == lo_x))
         found.append(_First(name, known, F.col(f"_m{i}").isNotNull() & open_, same))
-    return src, aggs, found, [F.col(c) for c in parts]
+    return prepared, aggs, found, [F.col(c) for c in parts]
 
 
 def reduce_rows(df: DataFrame, key: str, order_key: str | list[str] | dict[str, str], first_columns: list[str],
-                more: dict[str, Column], prefix: str = "", null_keys: bool = True, max_keys: int | None = None) -> DataFrame:
+                more: dict[str, Column], prefix: str = "", null_keys: bool = True, max_keys: int | None = None,
+                all_rows: DataFrame | None = None) -> DataFrame:
     """One row per ``key``: first values of ``first_columns`` (with ``prefix``) and the fixed-width aggregates ``more``.
 
     ``order_key`` as in :func:`dedupe_first`, or a unique fixed-width order
-    column for each of ``first_columns``.
+    column for each of ``first_columns``.  If ``df`` holds only some keys of a
+    table, ``all_rows`` is that table: values are fetched from it without
+    choosing the keys again.
     """
     if isinstance(order_key, str) and is_fixed_width(df.schema[order_key].dataType):
         order_key = {c: order_key for c in first_columns}
     if isinstance(order_key, dict):
-        src, aggs, found, order = _by_key(df, order_key, first_columns)
+        prepared, aggs, found, order = _by_key(df, order_key, first_columns)
         ordered = list(order_key.values())
     else:
         ordered = [order_key] if isinstance(order_key, str) else order_key
-        src, aggs, found, order = _by_content(df, ordered, first_columns)
-    best = src.groupBy(key).agg(*aggs, *[v.alias(f"_a{i}") for i, v in enumerate(more.values())])
+        prepared, aggs, found, order = _by_content(df, ordered, first_columns)
+    best = prepared(df).groupBy(key).agg(*aggs, *[v.alias(f"_a{i}") for i, v in enumerate(more.values())])
     means = [F.col(f"_a{i}").alias(c) for i, c in enumerate(more)]
     held = [f for f in found if f.need is not None]
     if not held:
@@ -200,6 +204,7 @@ def reduce_rows(df: DataFrame, key: str, order_key: str | list[str] | dict[str,
     payload = [c for c in wanted.columns if c != "_key"]
     if max_keys is not None:
         wanted = broadcast_if_bounded(wanted, max_keys)
+    src = prepared(df if all_rows is None else all_rows)
     own = [c for c in dict.fromkeys([key, *ordered, "_hi", "_lo", "_odd", *[f.name for f in held]]) if c in src.columns]
     same_key = src[key].eqNullSafe(F.col("_key")) if null_keys else src[key] == F.col("_key")
     columns = F.array(*[F.when(f.need & f.same & F.col(f.name).isNotNull(), F.lit(i)) for i, f in enumerate(held)])
@@ -215,7 +220,8 @@ def reduce_rows(df: DataFrame, key: str, order_key: str | list[str] | dict[str,
 
 
 def dedupe_first(df: DataFrame, key: str, order_key: str | list[str], columns: list[str] | None = None,
-                 prefix: str = "", null_keys: bool = True, max_keys: int | None = None) -> DataFrame:
+                 prefix: str = "", null_keys: bool = True, max_keys: int | None = None,
+                 all_rows: DataFrame | None = None) -> DataFrame:
     """One row per ``key``; every other column is its first non-null value.
 
     ``order_key`` is the name of a column that is unique within a key (of
@@ -223,14 +229,17 @@ def dedupe_first(df: DataFrame, key: str, order_key: str | list[str], columns: l
     by, NULL first (rows that tie in all of them and in the value give the
     same result).  ``null_keys=False`` says that the key is never NULL, which
     lets a table bucketed on the key be reduced without a shuffle.
-    ``max_keys`` is a proven bound on the number of keys, if there is one.
+    ``max_keys`` is a proven bound on the number of keys, if there is one, and
+    ``all_rows`` the table of which ``df`` holds the rows of some keys.
     """
     order = [order_key] if isinstance(order_key, str) else order_key
     cols = columns if columns is not None else [c for c in df.columns if c != key and c not in order]
-    return reduce_rows(df, key, order_key, cols, {}, prefix, null_keys, max_keys)
+    return reduce_rows(df, key, order_key, cols, {}, prefix, null_keys, max_keys, all_rows)
 
 
 def dedupe_avg(df: DataFrame, key: str, order_key: str | list[str], avg_columns: list[str],
-               first_columns: list[str], prefix: str = "", null_keys: bool = True, max_keys: int | None = None) -> DataFrame:
+               first_columns: list[str], prefix: str = "", null_keys: bool = True, max_keys: int | None = None,
+               all_rows: DataFrame | None = None) -> DataFrame:
     """One row per ``key``: averages for ``avg_columns``, first values (as in :func:`dedupe_first`) for the rest."""
-    return reduce_rows(df, key, order_key, first_columns, {f"{prefix}{c}": F.avg(c) for c in avg_columns}, prefix, null_keys, max_keys)
+    return reduce_rows(df, key, order_key, first_columns, {f"{prefix}{c}": F.avg(c) for c in avg_columns}, prefix, null_keys, max_keys,
+                       all_rows)

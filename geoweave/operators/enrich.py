@@ -143,12 +143,13 @@ def reduce_observations(observations: DataFrame, precision: int = 4, order_key:
         # plain range predicates reach the Parquet reader (row-group skipping); the
         # inferred isnotnull(cell) alone is rewritten into a form that is not pushed
         source = observations.where(valid_coordinates("lat", "lng"))
-    obs = add_cell(source, precision).where(F.col(CELL).isNotNull())
+    obs = with_cell = add_cell(source, precision).where(F.col(CELL).isNotNull())
     if keep_cells is not None:
         obs = obs.join(broadcast_if_bounded(keep_cells, 32 ** precision), CELL, "left_semi")
     if mode == "avg":
-        return dd.dedupe_avg(obs, CELL, order_key, averages, firsts, prefix, null_keys=False, max_keys=32 ** precision)
-    return dd.dedupe_first(obs, CELL, order_key, firsts, prefix, null_keys=False, max_keys=32 ** precision)
+        return dd.dedupe_avg(obs, CELL, order_key, averages, firsts, prefix, null_keys=False, max_keys=32 ** precision,
+                             all_rows=with_cell)
+    return dd.dedupe_first(obs, CELL, order_key, firsts, prefix, null_keys=False, max_keys=32 ** precision, all_rows=with_cell)
 
 
 def enrich(places: DataFrame, observations: DataFrame, precision: int = 4, order_key: str = "event_id",
