@@ -131,17 +131,23 @@ def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return (float(p[0]), float(p[1])) if p[0] > 0 else (1.0, 0.0)
 
 
+def _views(flat: np.ndarray, rows: list) -> list[np.ndarray]:
+    """One slice of ``flat`` per row: a single allocation, which goes back to the system as a whole."""
+    ends = np.cumsum([len(x) for x in rows], dtype=np.int64)
+    return [flat[end - len(x):end] for end, x in zip(ends.tolist(), rows)]
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, c: float = 1.0) -> Model:
     """Fit on four fifths of the sample, map margins to 0..1 on the last fifth."""
     y = np.where(np.asarray(labels) > 0, 1.0, -1.0)
     if len(rows) == 0 or abs(y.sum()) == len(y):
         sure = 0.0 if len(rows) == 0 else 3.0 * y[0]
         return Model(ratio, np.zeros(DIM), 0.0, 1.0, sure)
-    values = []
-    for x in rows:
-        v = ratio[x]
-        n = np.sqrt(v @ v)
-        values.append(v / n if n else v)
+    values = _views(np.empty(sum(map(len, rows))), rows)
+    for x, v in zip(rows, values):
+        v[:] = ratio[x]
+        if n := np.sqrt(v @ v):
+            v /= n
     share = {s: (y == s).mean() for s in (1.0, -1.0)}
     cost = np.array([c / (2 * share[s]) for s in y])
     late = np.arange(len(rows)) % 5 == 4
@@ -203,8 +209,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, held_ou
     sample = d.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label") \
         .mapInArrow(_featuriser, "doc_id long, label int, x binary").collect()
     sample.sort(key=lambda r: (xxhash.xxh64_intdigest(str(r[0])), bytes(r[2])))
-    return fit([np.frombuffer(r["x"], "<i4").astype(np.int64) for r in sample],
-               np.array([r["label"] for r in sample]), log_count_ratio(counts[1].astype(float), counts[0].astype(float)))
+    y, x = np.array([r["label"] for r in sample]), [np.frombuffer(r["x"], "<i4") for r in sample]
+    x = _views(np.concatenate([np.empty(0, "<i4"), *x]), x)
+    del sample
+    return fit(x, y, log_count_ratio(counts[1].astype(float), counts[0].astype(float)))
 
 
 def _featuriser(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
