@@ -98,8 +98,14 @@ def span_equal(a: PrefixHash, i: int, b: PrefixHash, j: int, length: int) -> boo
 
 
 def common_extension(a: PrefixHash, i: int, b: PrefixHash, j: int) -> int:
-    """Length of the longest common prefix of a[i:] and b[j:], by binary search."""
+    """Length of the longest common prefix of a[i:] and b[j:]: doubled lengths up to a miss, then binary search."""
     low, high = 0, max(0, min(a.n - i, b.n - j))
+    step = 1
+    while step < high:
+        if not span_equal(a, i, b, j, step):
+            high = step - 1
+            break
+        low, step = step, 2 * step
     while low < high:
         mid = (low + high + 1) // 2
         if span_equal(a, i, b, j, mid):
@@ -170,9 +176,13 @@ class _Print:
 
     def same_start(self, other: _Print) -> tuple[int, int]:
         """Longest common prefix with the edited text, and with ``other``."""
-        q = self.n // 4
-        m = self.n - q
-        return m + min(common_extension(self.prefix, m, other.prefix, 0), q, other.n), common_extension(self.prefix, 0, other.prefix, 0)
+        m = self.n - self.n // 4
+
+        def extension(at: int) -> int:
+            if at >= self.n or not other.n or self.codes[at] != other.codes[0]:
+                return 0  # most texts: no hash is needed
+            return common_extension(self.prefix, at, other.prefix, 0)
+        return m + extension(m), extension(0)
 
 
 COLUMNS = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
